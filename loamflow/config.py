@@ -82,6 +82,16 @@ SYNTH_COLLECTIONS = [
     ("otps", "low", "parquet", None),
 ]
 
+# Synthetic value domains per collection.
+SYNTH_TRANSACTION_STATUSES = ["PENDING", "COMPLETED", "FAILED", "REVERSED"]
+SYNTH_STATUSLOG_STATUSES = ["PENDING", "COMPLETED", "FAILED"]
+SYNTH_KYC_STATES = ["PENDING", "APPROVED", "REJECTED"]
+SYNTH_CALL_STATES = ["SCHEDULED", "COMPLETED", "MISSED", "CANCELLED"]
+SYNTH_DEPARTMENT_NAMES = ["Engineering", "HR", "Finance", "Operations", "Sales", "Legal"]
+SYNTH_OTP_PURPOSES = ["LOGIN", "WITHDRAWAL", "KYC", "BANK_CHANGE", "DISBURSEMENT"]
+SYNTH_ROW_JITTER_MS = 3_600_000        # row timestamps: day midnight + 0..3,600,000 ms
+SYNTH_FILE_JITTER_MS = 86_399_999      # file name epoch: day midnight + 0..86,399,999 ms
+
 # ----------------------------------------------------------------------------------------
 # Our own settings
 # ----------------------------------------------------------------------------------------

@@ -28,13 +28,15 @@ from ..session import ship_package
 
 MANIFEST_SCHEMA = ("path string, collection string, day date, file_key long, "
                    "format string, rows long, bytes long")
-_CONTROL = ("collection", "day", "file_key", "file_epoch_ms", "_format", "_reverse", "_mtime_ms")
+_CONTROL = ("collection", "day", "file_key", "file_epoch_ms", "_format", "_reverse", "_mtime_ms",
+            "_name_day")
 
 
 def block_file_key(id_col: str | Column, rows_per_file: int) -> Column:
     """File key from a unique row id: at most ``rows_per_file`` rows per file."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.floor(c / F.lit(int(rows_per_file))).cast("long")
+    n = F.lit(int(rows_per_file))
+    return ((c - F.pmod(c, n)) / n).cast("long")
 
 
 def resolve_fs(uri: str):
@@ -84,7 +86,9 @@ def _make_writer(root: str, database: str, default_fmt: str, omit_null_columns:
             payload = payload.select(keep)
         if reverse:
             payload = payload.select(list(reversed(payload.column_names)))
-        name = f"{epoch:013d}_{coll}_{day.day:02d}_{key:02d}.{fmt}"
+        name_day = (int(table.column("_name_day")[0].as_py()) if "_name_day" in table.column_names
+                    else day.day)
+        name = f"{epoch:013d}_{coll}_{name_day:02d}_{key:02d}.{fmt}"
         rel = (f"{config.LANDING_SOURCE_SEGMENT}/year={day.year:04d}/month={day.month:02d}/"
                f"day={day.day:02d}/database={database}/collection={coll}")
         fs, base, is_local = resolve_fs(root)
@@ -114,7 +118,8 @@ def write_landing(df: DataFrame, root: str, database: str, manifest_path: str,
     ``df`` columns: ``collection`` string, ``day`` date, ``file_key`` long,
     ``file_epoch_ms`` long (the file name epoch is its minimum per file), optional
     ``_format`` ('parquet'/'csv', per file), ``_reverse`` (write columns in reverse order),
-    ``_mtime_ms`` (local file systems only: set the modification time), and the payload
+    ``_mtime_ms`` (local file systems only: set the modification time), ``_name_day`` (day
+    number used in the file name instead of the day of month), and the payload
     columns. With ``omit_null_columns`` a column that is NULL in every row of a file is
     left out of that file."""
     ship_package(df.sparkSession)
