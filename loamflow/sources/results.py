@@ -32,6 +32,23 @@ def append_results(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_results_table(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Append to a catalog table ``[catalog.]schema.table``, creating the schema when
+    missing; new columns are added to the table before the append."""
+    parts = table.split(".")
+    if len(parts) >= 2:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {'.'.join(parts[:-1])}")
+    if spark.catalog.tableExists(table):
+        have = {f.name.lower() for f in spark.table(table).schema.fields}
+        new = [f for f in df.schema.fields if f.name.lower() not in have]
+        if new:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        df.select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        df.write.format("parquet").saveAsTable(table)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 

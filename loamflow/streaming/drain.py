@@ -155,7 +155,8 @@ def raw_union(spark: SparkSession, layout: Layout, specs: list[CollectionSpec],
         if df is None:
             continue
         if columns is not None:
-            df = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns])
+            df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                             for c in columns])
         frames.append(df.withColumn("collection", F.lit(s.collection)))
     if not frames:
         return None
@@ -166,11 +167,35 @@ def raw_union(spark: SparkSession, layout: Layout, specs: list[CollectionSpec],
 
 
 def row_counts(spark: SparkSession, layout: Layout, specs: list[CollectionSpec]) -> DataFrame:
-    """Rows per collection's raw dataset (0 when nothing was ingested yet)."""
-    u = raw_union(spark, layout, specs, columns=["_source_file"])
+    """Rows per collection's raw dataset (0 when nothing was ingested yet). No column is
+    read: Parquet row counts come from the row-group metadata."""
+    u = raw_union(spark, layout, specs, columns=[])
     names = spark.createDataFrame([(s.collection,) for s in specs], "collection string")
     if u is None:
         return names.withColumn("n", F.lit(0).cast("bigint"))
     counts = u.groupBy("collection").agg(F.count(F.lit(1)).alias("n"))
     return names.join(counts, "collection", "left").select(
         "collection", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+def drain_waves(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, waves: int,
+                pause_seconds: float = 120.0, max_concurrent: int = config.DEFAULT_MAX_CONCURRENT,
+                evolve: bool = True, backoff_seconds: float = config.RESTART_BACKOFF_SECONDS
+                ) -> tuple[DataFrame, DataFrame]:
+    """Repeated bounded drains (one process, one writer per checkpoint): drain, stop on any
+    failure, pause, repeat. Outcomes and attempts carry the wave number."""
+    if waves < 1 or pause_seconds <= 0:
+        raise ValueError("waves and pause_seconds must be positive")
+    outs, atts = [], []
+    for wave in range(1, int(waves) + 1):
+        o, a = drain(spark, specs, layout, None, max_concurrent, "availableNow", evolve,
+                     backoff_seconds)
+        outs.append(o.withColumn("wave", F.lit(wave)))
+        atts.append(a.withColumn("wave", F.lit(wave)))
+        report_and_raise(o, f"drain wave {wave}")
+        if wave < waves:
+            time.sleep(pause_seconds)
+    out, att = outs[0], atts[0]
+    for o, a in zip(outs[1:], atts[1:]):
+        out, att = out.unionByName(o), att.unionByName(a)
+    return out, att
