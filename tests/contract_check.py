@@ -70,6 +70,13 @@ def main():
             bad += 1
             continue
         same_cols = sorted(cols) == sorted(ocols)
+        dmap = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                "BOOLEAN": "boolean", "FLOAT": "float", "DATE": "date", "HUGEINT": "hugeint"}
+        otypes = {d[0]: dmap.get(str(d[1]), str(d[1])) for d in res.description}
+        stypes = dict(df.dtypes)
+        tdiff = {c: (stypes.get(c), otypes.get(c)) for c in otypes if stypes.get(c) != otypes.get(c)}
+        if tdiff:
+            print(f"   type differences: {tdiff}")
         same = same_cols and _rows(rows, cols) == _rows(orows, ocols)
         flag = "OK " if same else "BAD"
         if not same:
