@@ -8,9 +8,9 @@ Rules of one stream (attempts in order):
   stream: verdict 'failed';
 - a log that ends before either: verdict 'running'.
 
-Counters are running sums minus the running sum at the last reset, both computed with the
-bucketed prefix scan of :mod:`.scans`, so a stream with a huge log is not sorted in one
-task. The first terminal attempt per stream is a min-by aggregate."""
+Counters are segmented running counts (restarting at every reset) from the one-pass
+bucketed scan of :mod:`.scans`, so a stream with a huge log is not sorted in one task.
+The first terminal attempt per stream is a min-by aggregate."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from .scans import running
+from .scans import segmented_counts
 
 
 def restart_verdict(attempts: DataFrame, stream_col: str = "collection", order_col: str = "attempt",
@@ -35,12 +35,7 @@ def restart_verdict(attempts: DataFrame, stream_col: str = "collection", order_c
         F.when((kind != "ok") & (kind != "schema_evolution"), 1).otherwise(0).alias("_g"),
         F.when(kind == "schema_evolution", 1).otherwise(0).alias("_sc"),
         ((kind != "ok") & (F.col(ran_col) >= F.lit(float(healthy_seconds)))).alias("_reset"))
-    b = running(a, ["_s"], "_o", sums={"_cg": "_g", "_cs": "_sc"}, width=width)
-    b = (b.withColumn("_bg_at", F.when(F.col("_reset"), F.col("_cg") - F.col("_g")))
-         .withColumn("_bs_at", F.when(F.col("_reset"), F.col("_cs") - F.col("_sc"))))
-    c = running(b, ["_s"], "_o", maxes={"_bg": "_bg_at", "_bs": "_bs_at"}, width=width)
-    c = c.withColumns({"_gc": F.col("_cg") - F.coalesce("_bg", F.lit(0)),
-                       "_scc": F.col("_cs") - F.coalesce("_bs", F.lit(0))})
+    c = segmented_counts(a, ["_s"], "_o", "_reset", {"_gc": "_g", "_scc": "_sc"}, width=width)
     failed = ((F.col("_g") == 1) & (F.col("_gc") > max_restarts)) | \
              ((F.col("_sc") == 1) & (F.col("_scc") > max_schema_restarts))
     d = c.withColumn("_term", F.col("_ok") | failed) \

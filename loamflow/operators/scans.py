@@ -43,3 +43,45 @@ def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, str] | N
     drop = ["_bkt"] + [f"_r_{o}" for o in sums] + [f"_o_{o}" for o in sums] + \
            [f"_q_{o}" for o in maxes] + [f"_p_{o}" for o in maxes]
     return z.withColumns(cols).drop(*drop)
+
+
+def segmented_counts(df: DataFrame, keys: list[str], order: str, reset: str,
+                     counts: dict[str, str], width: int = 1 << 16) -> DataFrame:
+    """``df`` plus, per ``keys`` in ``order``, running counts that restart at every row
+    where ``reset`` is true (the resetting row itself counts after the restart):
+    ``counts`` maps output -> 0/1 column. One pass over ``df``: rows are windowed per
+    (key, bucket); each bucket is summarised as (totals, has_reset, counts after its last
+    reset) and the buckets of a key are combined with windows over the small bucket
+    table; nothing sorts a key's whole history in one task."""
+    b = F.floor(F.col(order) / F.lit(int(width))).cast("long")
+    x = df.withColumn("_bkt", b).withColumn("_rs", F.coalesce(F.col(reset), F.lit(False)))
+    w = Window.partitionBy(*keys, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    y = x.select("*", F.max(F.col("_rs").cast("int")).over(w).alias("_lr"),
+                 *[F.sum(c).over(w).alias(f"_l_{o}") for o, c in counts.items()])
+    y = y.select("*", *[F.last(F.when(F.col("_rs"), F.col(f"_l_{o}") - F.col(c)), ignorenulls=True)
+                        .over(w).alias(f"_lb_{o}") for o, c in counts.items()])
+    last = F.max_by(F.struct("_lr", *[f"_l_{o}" for o in counts], *[f"_lb_{o}" for o in counts]),
+                    F.col(order))
+    summ = (y.groupBy(*keys, "_bkt").agg(last.alias("_e"))
+            .select(*keys, "_bkt", (F.col("_e._lr") == 1).alias("_has"),
+                    *[F.col(f"_e._l_{o}").alias(f"_t_{o}") for o in counts],
+                    *[(F.col(f"_e._l_{o}") - F.col(f"_e._lb_{o}")).alias(f"_a_{o}") for o in counts]))
+    prev = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    incl = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, 0)
+    s1 = summ.select("*", *[F.sum(f"_t_{o}").over(incl).alias(f"_si_{o}") for o in counts])
+    s2 = s1.select(
+        *keys, "_bkt",
+        F.max(F.col("_has").cast("int")).over(prev).alias("_ph"),
+        *[F.coalesce(F.sum(f"_t_{o}").over(prev), F.lit(0)).alias(f"_sp_{o}") for o in counts],
+        *[F.last(F.when(F.col("_has"), F.col(f"_a_{o}")), ignorenulls=True).over(prev)
+          .alias(f"_pa_{o}") for o in counts],
+        *[F.last(F.when(F.col("_has"), F.col(f"_si_{o}")), ignorenulls=True).over(prev)
+          .alias(f"_ps_{o}") for o in counts])
+    inc = s2.select(*keys, "_bkt", *[
+        F.when(F.col("_ph") == 1, F.col(f"_pa_{o}") + F.col(f"_sp_{o}") - F.col(f"_ps_{o}"))
+        .otherwise(F.col(f"_sp_{o}")).alias(f"_in_{o}") for o in counts])
+    z = y.join(inc, [*keys, "_bkt"], "inner")
+    out = {o: F.when(F.col("_lr") == 1, F.col(f"_l_{o}") - F.col(f"_lb_{o}"))
+           .otherwise(F.col(f"_in_{o}") + F.col(f"_l_{o}")) for o in counts}
+    drop = ["_bkt", "_rs", "_lr"] + [f"_{p}_{o}" for o in counts for p in ("l", "lb", "in")]
+    return z.withColumns(out).drop(*drop)

@@ -51,7 +51,10 @@ _SHIPPED: set[int] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``loamflow`` importable in Python workers (once per SparkContext), the same
-    way ``--py-files`` does. Harmless when the package is installed on the workers."""
+    way ``--py-files`` does: the package is zipped into the shared work folder and added
+    with ``addPyFile``. Harmless when the package is installed on the workers."""
+    import hashlib
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -59,13 +62,28 @@ def ship_package(spark: SparkSession) -> None:
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="loamflow-pyfiles-")
-    zpath = os.path.join(out_dir, "loamflow.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _dirs, files in os.walk(pkg_dir):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in sorted(os.walk(pkg_dir)):
+            dirs.sort()
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
+                    info = zipfile.ZipInfo(os.path.relpath(full, os.path.dirname(pkg_dir)))
+                    with open(full, "rb") as fh:
+                        z.writestr(info, fh.read())
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:16]
+    from .sources.landing_writer import resolve_fs
+
+    folder = f"{work_root(spark)}/loamflow/_pyfiles"
+    fs, base_path, _ = resolve_fs(folder)
+    fs.create_dir(base_path, recursive=True)
+    target = f"{base_path}/loamflow-{digest}.zip"
+    if fs.get_file_info(target).type.name == "NotFound":
+        tmp = f"{base_path}/_tmp_{uuid.uuid4().hex}.zip"
+        with fs.open_output_stream(tmp) as out:
+            out.write(data)
+        fs.move(tmp, target)
+    sc.addPyFile(f"{folder}/loamflow-{digest}.zip")
     _SHIPPED.add(key)
