@@ -31,6 +31,15 @@ OUTCOME_SCHEMA = T.StructType([
     T.StructField("message", T.StringType()),
 ])
 
+PROGRESS_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("collection", T.StringType()),
+    T.StructField("attempt", T.IntegerType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("input_files", T.LongType()),
+    T.StructField("trigger_ms", T.LongType()),
+])
+
 ATTEMPT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("collection", T.StringType()),
@@ -60,6 +69,18 @@ def specs_from_resolved(resolved: DataFrame) -> list[CollectionSpec]:
                            int(r.interval_seconds)) for r in rows]
 
 
+def _record_progress(handler: BatchHandler, q, run_id: str, collection: str, attempt: int) -> None:
+    """Keep (batch id, input files, trigger milliseconds) of every finished micro-batch."""
+    try:
+        for p in q.recentProgress:
+            if p.numInputRows or p.batchId is not None:
+                handler.progress.append((run_id, collection, attempt, int(p.batchId),
+                                         int(p.numInputRows or 0),
+                                         int((p.durationMs or {}).get("triggerExecution", 0))))
+    except Exception:  # progress is reporting only
+        pass
+
+
 def supervise(spark: SparkSession, spec: CollectionSpec, layout: Layout, run_id: str,
               trigger: str = "availableNow", evolve: bool = True,
               backoff_seconds: float = config.RESTART_BACKOFF_SECONDS,
@@ -77,10 +98,13 @@ def supervise(spark: SparkSession, spec: CollectionSpec, layout: Layout, run_id:
         started = time.monotonic()
         try:
             q = start_ingest(spark, spec, layout, trigger, evolve, handler)
-            q.awaitTermination()
+            try:
+                q.awaitTermination()
+            finally:
+                _record_progress(handler, q, run_id, spec.collection, n)
             attempts.append((run_id, spec.collection, n, "ok", time.monotonic() - started, None))
             return ((run_id, spec.collection, spec.name, "ok", "ok", n, handler.batches,
-                     handler.files_seen, None), attempts)
+                     handler.files_seen, None), attempts, handler.progress)
         except Exception as e:  # classified and bounded below
             ran = time.monotonic() - started
             text = str(e)
@@ -95,21 +119,23 @@ def supervise(spark: SparkSession, spec: CollectionSpec, layout: Layout, run_id:
                     return ((run_id, spec.collection, spec.name, "failed", kind, n,
                              handler.batches, handler.files_seen,
                              f"schema-evolution restart loop ({schema_restarts}x) — {msg}"),
-                            attempts)
+                            attempts, handler.progress)
             else:
                 restarts += 1
                 if restarts > max_restarts:
                     return ((run_id, spec.collection, spec.name, "failed", kind, n,
                              handler.batches, handler.files_seen,
-                             f"failed after {restarts - 1} restart(s): {msg}"), attempts)
+                             f"failed after {restarts - 1} restart(s): {msg}"), attempts,
+                            handler.progress)
             time.sleep(backoff_seconds)
 
 
 def drain(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, run_id: str | None = None,
           max_concurrent: int = config.DEFAULT_MAX_CONCURRENT, trigger: str = "availableNow",
-          evolve: bool = True, backoff_seconds: float = config.RESTART_BACKOFF_SECONDS
-          ) -> tuple[DataFrame, DataFrame]:
-    """Drain every collection; returns (outcomes, attempts) DataFrames."""
+          evolve: bool = True, backoff_seconds: float = config.RESTART_BACKOFF_SECONDS,
+          with_progress: bool = False):
+    """Drain every collection; returns (outcomes, attempts) DataFrames, plus the per-batch
+    progress (batch id, input files, trigger ms) when ``with_progress``."""
     if max_concurrent <= 0:
         raise ValueError("max_concurrent must be a positive integer")
     workers = min(int(max_concurrent), config.MAX_CONCURRENT_CAP)
@@ -125,8 +151,11 @@ def drain(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, run_
         results = []
     outcomes = [r[0] for r in results]
     attempts = [a for r in results for a in r[1]]
-    return (spark.createDataFrame(outcomes, OUTCOME_SCHEMA),
-            spark.createDataFrame(attempts, ATTEMPT_SCHEMA))
+    out = (spark.createDataFrame(outcomes, OUTCOME_SCHEMA),
+           spark.createDataFrame(attempts, ATTEMPT_SCHEMA))
+    if with_progress:
+        return out + (spark.createDataFrame([p for r in results for p in r[2]], PROGRESS_SCHEMA),)
+    return out
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:

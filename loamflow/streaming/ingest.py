@@ -181,6 +181,7 @@ class BatchHandler:
         self.store: S.SchemaStore | None = None
         self.files_seen = 0
         self.batches = 0
+        self.progress: list[tuple] = []
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

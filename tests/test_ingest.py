@@ -166,3 +166,36 @@ def test_measure_gz_and_steady_state(spark, run_dir):
     listed = measure(spark, root, DB, f"{run_dir}/_measurement", topics, "LISTING_ONLY")
     lm = listed["measurements"].first()
     assert lm.status == "LISTED" and lm.rows_seen is None
+
+
+def test_failure_budget_and_isolation(spark, run_dir):
+    import pytest
+
+    lay = _layout(run_dir)
+    d = _dir(lay.source_root, "bad")
+    with open(f"{d}/1735689600000_bad_00_00.parquet", "wb") as f:
+        f.write(b"this is not parquet")
+    _pq(lay.source_root, "good", "1735689600000_good_00_00.parquet", {"a": [1, 2]})
+    specs = [CollectionSpec("bad", "bad", "parquet"), CollectionSpec("good", "good", "parquet")]
+    outcomes, attempts = drain(spark, specs, lay, max_concurrent=2, backoff_seconds=0)
+    got = {r.collection: (r.status, r.attempts) for r in outcomes.collect()}
+    assert got["good"] == ("ok", 1)
+    assert got["bad"] == ("failed", 6)            # 1 try + 5 restarts, then the budget is spent
+    kinds = [r.kind for r in attempts.where("collection = 'bad'").orderBy("attempt").collect()]
+    assert kinds == ["genuine"] * 6
+    c = outcome_counts(outcomes).first()
+    assert (c.ok, c.failed, list(c.failed_names)) == (1, 1, ["bad"])
+    with pytest.raises(RuntimeError, match="failed permanently"):
+        report_and_raise(outcomes)
+    assert read_raw(spark, lay, "good").count() == 2
+
+
+def test_rate_limit_and_progress(spark, run_dir):
+    lay = _layout(run_dir)
+    for i in range(5):
+        _pq(lay.source_root, "c", f"173568960000{i}_c_0{i}_00.parquet", {"a": [i]}, day=f"0{i + 1}")
+    spec = CollectionSpec("c", "c", "parquet", max_files=2)
+    outcomes, _att, progress = drain(spark, [spec], lay, backoff_seconds=0, with_progress=True)
+    o = outcomes.first()
+    assert (o.batches, o.files) == (3, 5)
+    assert sorted((r.batch_id, r.input_files) for r in progress.collect()) == [(0, 2), (1, 2), (2, 1)]
