@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import time
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -182,25 +183,38 @@ class BatchHandler:
         self.files_seen = 0
         self.batches = 0
         self.progress: list[tuple] = []
+        self.phase_seconds: dict[str, float] = {}
+
+    def _tick(self, phase: str, t0: float) -> float:
+        now = time.perf_counter()
+        self.phase_seconds[phase] = self.phase_seconds.get(phase, 0.0) + now - t0
+        return now
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        t = time.perf_counter()
         if self.store is None:
             self.store = S.SchemaStore(spark, self.layout.schema_path(self.spec.name))
+        tracked = self.store.latest()
+        t = self._tick("schema_load", t)
         groups = probe_groups(batch, self.spec.fmt)
+        t = self._tick("probe", t)
         if not groups:
             return
         frames = [read_group(spark, self.spec.fmt, paths) for _sig, paths in groups]
-        tracked = self.store.latest()
+        t = self._tick("read_plan", t)
         new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve)
+        t = self._tick("evolve", t)
         aligned = [S.align_and_rescue(fr, new_tracked, text_source=self.spec.fmt == "csv")
                    for fr in frames]
         out = finish(reduce(lambda a, b: a.unionByName(b), aligned), new_tracked)
         (out.withColumn(config.BATCH_COLUMN, F.lit(int(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(config.BATCH_COLUMN).parquet(self.layout.raw_path(self.spec.name)))
+        t = self._tick("write", t)
         if tracked is None or new_tracked != tracked:
             self.store.save(new_tracked, batch_id)
+        self._tick("schema_save", t)
         self.files_seen += sum(len(p) for _s, p in groups)
         self.batches += 1
 
