@@ -27,30 +27,30 @@ ORACLE_SQL = {
                min(epoch_us(ts) // 1000) OVER (PARTITION BY CAST(ts AS DATE), event_id // 2000) AS file_epoch_ms
         FROM events WHERE event_type = 'purchase'""",
 
-    "csv_header_drift": """
-        SELECT event_id, user_id, epoch_us(ts) AS ts_us, value, props
-        FROM events WHERE event_type = 'signup'""",
+    "csv_header_drift": f"""
+        SELECT {_COLL} AS collection, event_id, user_id, epoch_us(ts) AS ts_us, value, props
+        FROM events""",
 
-    "evolved_columns": """
-        SELECT event_id, value, CASE WHEN day(ts) > 15 THEN props END AS props
-        FROM events WHERE event_type = 'click'""",
+    "evolved_columns": f"""
+        SELECT {_COLL} AS collection, event_id, value, CASE WHEN day(ts) > 15 THEN props END AS props
+        FROM events""",
 
-    "frozen_schema_rescue": """
-        SELECT event_id,
-               CASE WHEN day(ts) > 15 THEN '{"props":' || CAST(to_json(props) AS VARCHAR) || '}' END
+    "frozen_schema_rescue": f"""
+        SELECT {_COLL} AS collection, event_id,
+               CASE WHEN day(ts) > 15 THEN '{{"props":' || CAST(to_json(props) AS VARCHAR) || '}}' END
                  AS _rescued_data
-        FROM events WHERE event_type = 'click'""",
+        FROM events""",
 
-    "rescued_values": """
-        SELECT event_id,
+    "rescued_values": f"""
+        SELECT {_COLL} AS collection, event_id,
                CASE WHEN day(ts) % 2 = 1 THEN value END AS value,
                CASE WHEN day(ts) % 2 = 0
-                    THEN '{"value":"n/a:' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || '"}'
+                    THEN '{{"value":"n/a:' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || '"}}'
                END AS _rescued_data
-        FROM events WHERE event_type = 'purchase'""",
+        FROM events""",
 
-    "late_files": """
-        SELECT event_id, epoch_us(ts) AS ts_us FROM events WHERE event_type = 'view'""",
+    "late_files": f"""
+        SELECT {_COLL} AS collection, event_id, epoch_us(ts) AS ts_us FROM events""",
 
     "steady_state_increment": f"""
         SELECT {_COLL} AS collection, count(*) AS rows_seen
@@ -91,7 +91,7 @@ ORACLE_SQL = {
                CAST(CASE WHEN event_type = 'view'
                          THEN count(DISTINCT CAST(ts AS DATE)) FILTER (WHERE day(ts) <= 3)
                          ELSE 0 END AS BIGINT) AS mixed_dirs
-        FROM events WHERE event_type IN ('view', 'signup') GROUP BY event_type""",
+        FROM events GROUP BY event_type""",
 
     "resolve_collections": f"""
         SELECT {_COLL} AS collection, {_COLL} AS name,

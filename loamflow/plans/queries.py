@@ -20,7 +20,8 @@ from ..sources import landing as L
 from ..sources.landing_writer import block_file_key, write_landing
 from ..sources.results import read_results_json, write_results_json
 from ..streaming import measure as M
-from ..streaming.drain import drain, outcome_counts, raw_union, row_counts, specs_from_resolved
+from ..streaming.drain import (drain, outcome_counts, raw_union, report_and_raise, row_counts,
+                               specs_from_resolved)
 from ..streaming.ingest import CollectionSpec, Layout, ingest_available, read_raw
 from .resolve import resolve
 
@@ -140,61 +141,73 @@ def raw_content_purchase(spark, sf_dir):
                      F.col("_file_epoch_ms").alias("file_epoch_ms"))
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def _drain_all(spark, run: LandedRun, evolve: bool = True) -> list[CollectionSpec]:
+    """Resolve and drain every landed collection (concurrently); fail on any failure."""
+    specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
+    outcomes, _att = drain(spark, specs, run.layout, backoff_seconds=1, evolve=evolve)
+    report_and_raise(outcomes)
+    return specs
+
+
+def _raw_all(spark, run: LandedRun, specs, cols) -> DataFrame:
+    return raw_union(spark, run.layout, specs, columns=cols).select("collection", *cols)
+
+
 def csv_header_drift(spark, sf_dir):
     run = LandedRun(spark, "csvdrift")
-    ev = _table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    run.land(landing_frame(ev).withColumn("_reverse", F.dayofmonth("day") % 2 == 0))
-    _one(spark, run, "events_signup", "csv")
-    return read_raw(spark, run.layout, "events_signup").select(
-        "event_id", "user_id", "ts_us", "value", "props")
+    ev = _table(spark, sf_dir, "events")
+    run.land(landing_frame(ev, csv_types=EVENT_TYPES)
+             .withColumn("_reverse", F.dayofmonth("day") % 2 == 0))
+    specs = _drain_all(spark, run)
+    return _raw_all(spark, run, specs, ["event_id", "user_id", "ts_us", "value", "props"])
 
 
-def evolved_columns(spark, sf_dir):
-    run = LandedRun(spark, "evolve")
-    ev = _table(spark, sf_dir, "events").where(F.col("event_type") == "click")
+def _two_waves_props(spark, sf_dir, label, evolve):
+    run = LandedRun(spark, label)
+    ev = _table(spark, sf_dir, "events")
     early = F.dayofmonth(_ts()) <= 15
     run.land(landing_frame(ev.where(early)).withColumn("props", F.lit(None).cast("string")),
              omit_null_columns=True)
-    _one(spark, run, "events_click")
+    _drain_all(spark, run, evolve)
     run.land(landing_frame(ev.where(~early)))
-    _one(spark, run, "events_click")
-    return read_raw(spark, run.layout, "events_click").select("event_id", "value", "props")
+    return run, _drain_all(spark, run, evolve)
+
+
+def evolved_columns(spark, sf_dir):
+    run, specs = _two_waves_props(spark, sf_dir, "evolve", True)
+    return _raw_all(spark, run, specs, ["event_id", "value", "props"])
 
 
 def frozen_schema_rescue(spark, sf_dir):
-    run = LandedRun(spark, "frozen")
-    ev = _table(spark, sf_dir, "events").where(F.col("event_type") == "click")
-    early = F.dayofmonth(_ts()) <= 15
-    run.land(landing_frame(ev.where(early)).withColumn("props", F.lit(None).cast("string")),
-             omit_null_columns=True)
-    _one(spark, run, "events_click", evolve=False)
-    run.land(landing_frame(ev.where(~early)))
-    _one(spark, run, "events_click", evolve=False)
-    return read_raw(spark, run.layout, "events_click").select("event_id", "_rescued_data")
+    run, specs = _two_waves_props(spark, sf_dir, "frozen", False)
+    return _raw_all(spark, run, specs, ["event_id", "_rescued_data"])
 
 
 def rescued_values(spark, sf_dir):
     run = LandedRun(spark, "rescue")
-    ev = _table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    ev = _table(spark, sf_dir, "events")
     odd = F.dayofmonth(_ts()) % 2 == 1
     run.land(landing_frame(ev.where(odd)))
-    _one(spark, run, "events_purchase")
+    _drain_all(spark, run)
     text = F.concat(F.lit("n/a:"), F.round(F.col("value") * 100).cast("bigint").cast("string"))
     run.land(landing_frame(ev.where(~odd)).withColumn("value", text))
-    _one(spark, run, "events_purchase")
-    return read_raw(spark, run.layout, "events_purchase").select("event_id", "value", "_rescued_data")
+    specs = _drain_all(spark, run)
+    return _raw_all(spark, run, specs, ["event_id", "value", "_rescued_data"])
 
 
 def late_files(spark, sf_dir):
     run = LandedRun(spark, "late")
-    ev = _table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    ev = _table(spark, sf_dir, "events")
     early = F.dayofmonth(_ts()) <= 5
     run.land(landing_frame(ev.where(~early)))
-    _one(spark, run, "events_view")
+    _drain_all(spark, run)
     old = F.unix_millis(F.current_timestamp()) - F.lit(60 * 86400 * 1000)
     run.land(landing_frame(ev.where(early)).withColumn("_mtime_ms", old))
-    _one(spark, run, "events_view")
-    return read_raw(spark, run.layout, "events_view").select("event_id", "ts_us")
+    specs = _drain_all(spark, run)
+    return _raw_all(spark, run, specs, ["event_id", "ts_us"])
 
 
 def steady_state_increment(spark, sf_dir):
@@ -267,7 +280,7 @@ def results_cast(spark, sf_dir):
 
 def format_detection(spark, sf_dir):
     run = LandedRun(spark, "formats")
-    ev = _table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "signup"))
+    ev = _table(spark, sf_dir, "events")
     run.land(landing_frame(ev))
     extra = ev.where((F.col("event_type") == "view") & (F.dayofmonth(_ts()) <= 3))
     run.land(landing_frame(extra).withColumn("_format", F.lit("csv")))
