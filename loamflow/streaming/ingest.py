@@ -23,7 +23,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -63,7 +63,6 @@ class Layout:
     checkpoint_root: str
     prefix: str = ""
     gz: bool = False
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def raw_path(self, name: str) -> str:
         return f"{self.raw_root.rstrip('/')}/{self.prefix}raw_{name}"
@@ -82,26 +81,36 @@ class Layout:
 # per-file probe (runs in Python workers; small helper, no data read)
 # ----------------------------------------------------------------------------------------
 
-def _file_signature(path: str, fmt: str) -> str:
-    from ..sources.landing_writer import resolve_fs
-
-    fs, p, _ = resolve_fs(path)
+def _signature_of_stream(stream, path: str, fmt: str) -> str:
+    """Parquet: the physical schema from the footer; CSV: the header line."""
     if fmt == "parquet":
         import pyarrow.parquet as pq
 
-        with fs.open_input_file(p) as f:
-            schema = pq.read_schema(f)
-        return "parquet:" + str(schema.remove_metadata())
-    with fs.open_input_stream(p) as raw:
-        stream = gzip.GzipFile(fileobj=raw) if p.lower().endswith(".gz") else raw
-        buf = b""
-        while b"\n" not in buf and len(buf) < _HEADER_LIMIT:
-            chunk = stream.read(1 << 16)
-            if not chunk:
-                break
-            buf += chunk
+        return "parquet:" + str(pq.read_schema(stream).remove_metadata())
+    src = gzip.GzipFile(fileobj=stream) if path.lower().endswith(".gz") else stream
+    buf = b""
+    while b"\n" not in buf and len(buf) < _HEADER_LIMIT:
+        chunk = src.read(1 << 16)
+        if not chunk:
+            break
+        buf += chunk
     head = buf.split(b"\n", 1)[0].rstrip(b"\r")
-    return "csv:" + head.decode("utf-8", errors="replace").lstrip("﻿")
+    return "csv:" + head.decode("utf-8", errors="replace").lstrip("\ufeff")
+
+
+def _file_signature(path: str, fmt: str) -> str | None:
+    """Signature read through Arrow's file systems (footer / first line only); None when
+    Arrow cannot open the scheme, so the caller falls back to Spark's reader."""
+    from ..sources.landing_writer import resolve_fs
+
+    try:
+        fs, p, _ = resolve_fs(path)
+        opener = fs.open_input_file if fmt == "parquet" else fs.open_input_stream
+        f = opener(p)
+    except Exception:
+        return None
+    with f:
+        return _signature_of_stream(f, p, fmt)
 
 
 def _probe_partition(fmt: str):
@@ -112,12 +121,36 @@ def _probe_partition(fmt: str):
     return probe
 
 
+def _probe_bytes(fmt: str):
+    import io
+
+    def probe(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"path": pdf["path"], "signature": [
+                _signature_of_stream(io.BytesIO(c), p, fmt) for p, c in zip(pdf["path"], pdf["content"])]})
+    return probe
+
+
 def probe_groups(files: DataFrame, fmt: str) -> list[tuple[str, list[str]]]:
-    """[(signature, sorted paths)] for the files of one micro-batch."""
-    sig = files.select("path").mapInPandas(_probe_partition(fmt), "path string, signature string")
+    """[(signature, sorted paths)] for the files of one micro-batch. Files whose scheme
+    Arrow cannot open are probed from their bytes read by Spark's ``binaryFile`` source."""
+    schema = "path string, signature string"
+    sig = files.select("path").mapInPandas(_probe_partition(fmt), schema)
     rows = (sig.groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
             .orderBy("signature").collect())
-    return [(r.signature, list(r.paths)) for r in rows]
+    groups = [(r.signature, list(r.paths)) for r in rows if r.signature is not None]
+    missing = [p for r in rows if r.signature is None for p in r.paths]
+    if missing:
+        spark = files.sparkSession
+        raw = spark.read.format("binaryFile").load(_glob_safe(missing)).select("path", "content")
+        more = (raw.mapInPandas(_probe_bytes(fmt), schema)
+                .groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+                .orderBy("signature").collect())
+        merged = dict(groups)
+        for r in more:
+            merged[r.signature] = sorted(merged.get(r.signature, []) + list(r.paths))
+        groups = sorted(merged.items())
+    return groups
 
 
 # ----------------------------------------------------------------------------------------

@@ -199,3 +199,18 @@ def test_rate_limit_and_progress(spark, run_dir):
     o = outcomes.first()
     assert (o.batches, o.files) == (3, 5)
     assert sorted((r.batch_id, r.input_files) for r in progress.collect()) == [(0, 2), (1, 2), (2, 1)]
+
+
+def test_probe_falls_back_to_spark_bytes(spark, run_dir, monkeypatch):
+    from loamflow.streaming import ingest as I
+
+    lay = _layout(run_dir)
+    _pq(lay.source_root, "f", "1735689600000_f_00_00.parquet", {"a": [1]})
+    _pq(lay.source_root, "f", "1735689600001_f_00_01.parquet", {"a": [2], "b": ["x"]})
+    spec = CollectionSpec("f", "f", "parquet")
+    files = spark.read.format("binaryFile").load(lay.glob(spec)).select("path", "length")
+    direct = I.probe_groups(files, "parquet")
+    monkeypatch.setattr(I, "_probe_partition", lambda fmt: (lambda it: (
+        __import__("pandas").DataFrame({"path": pdf["path"], "signature": [None] * len(pdf)}) for pdf in it)))
+    fallback = I.probe_groups(files, "parquet")
+    assert fallback == direct and len(direct) == 2
