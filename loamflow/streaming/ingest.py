@@ -20,6 +20,7 @@ the only thing that reaches the driver, as with Spark's own file source."""
 
 from __future__ import annotations
 
+import csv
 import gzip
 import hashlib
 import time
@@ -161,14 +162,38 @@ def _glob_safe(paths: list[str]) -> list[str]:
     return [escape_glob(p) for p in paths]
 
 
-def read_group(spark: SparkSession, fmt: str, paths: list[str]) -> DataFrame:
-    """Read files that share one physical schema (Parquet) or one header (CSV, bound by
-    name, all columns as text), with the source file of every row."""
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def header_names(signature: str) -> list[str]:
+    """Column names of a CSV header line (RFC 4180 quoting); empty -> _c<i>,
+    repeated -> name<i>."""
+    line = signature[len("csv:"):]
+    fields = next(csv.reader([line]), []) if line else []
+    out: list[str] = []
+    seen: set[str] = set()
+    for i, name in enumerate(fields):
+        name = name if name else f"_c{i}"
+        if name.lower() in seen:
+            name = f"{name}{i}"
+        seen.add(name.lower())
+        out.append(name)
+    return out
+
+
+def read_group(spark: SparkSession, fmt: str, paths: list[str], signature: str | None = None) -> DataFrame:
+    """Read files that share one physical schema (Parquet) or one header (CSV: bound by
+    the group's own header, all columns as text; a line whose field count does not match
+    keeps its raw text in ``_corrupt_record``), with the source file of every row."""
     if fmt == "parquet":
         df = spark.read.parquet(*_glob_safe(paths))
     else:
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("escape", '"').option("mode", "PERMISSIVE").csv(_glob_safe(paths)))
+        names = header_names(signature or "csv:")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names] +
+                              [T.StructField(CORRUPT_COLUMN, T.StringType())])
+        df = (spark.read.schema(schema).option("header", True).option("escape", '"')
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+              .csv(_glob_safe(paths)))
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
@@ -185,8 +210,8 @@ def evolve_for_batch(frames: list[DataFrame], fmt: str, tracked: T.StructType |
     new_cols: list[str] = []
     for fr in frames:
         for c in fr.columns:
-            if c != "_source_file" and c.lower() not in known and c not in new_cols \
-                    and c not in S.RESERVED:
+            if c not in ("_source_file", CORRUPT_COLUMN) and c.lower() not in known \
+                    and c not in new_cols and c not in S.RESERVED:
                 new_cols.append(c)
     if not new_cols:
         return tracked if tracked is not None else T.StructType([])
@@ -234,7 +259,7 @@ class BatchHandler:
         t = self._tick("probe", t)
         if not groups:
             return
-        frames = [read_group(spark, self.spec.fmt, paths) for _sig, paths in groups]
+        frames = [read_group(spark, self.spec.fmt, paths, sig) for sig, paths in groups]
         t = self._tick("read_plan", t)
         new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve)
         t = self._tick("evolve", t)

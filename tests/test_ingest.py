@@ -214,3 +214,12 @@ def test_probe_falls_back_to_spark_bytes(spark, run_dir, monkeypatch):
         __import__("pandas").DataFrame({"path": pdf["path"], "signature": [None] * len(pdf)}) for pdf in it)))
     fallback = I.probe_groups(files, "parquet")
     assert fallback == direct and len(direct) == 2
+
+
+def test_csv_malformed_lines_are_rescued(spark, run_dir):
+    lay = _layout(run_dir)
+    _csv(lay.source_root, "m", "1735689600000_m_00_00.csv", 'a,b\n1,2\n3,4,5\n6\n"7","x,y"\n')
+    ingest_available(spark, CollectionSpec("m", "m", "csv"), lay)
+    rows = sorted(((r.a, r.b, r._rescued_data) for r in read_raw(spark, lay, "m").collect()), key=str)
+    assert rows == sorted([(1, "2", None), (3, "4", '{"_corrupt_record":"3,4,5"}'),
+                           (6, None, '{"_corrupt_record":"6"}'), (7, "x,y", None)], key=str)
