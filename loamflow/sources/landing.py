@@ -52,11 +52,15 @@ def source_glob(root: str, database: str, collection: str, fmt: str, gz: bool =
     return landing_glob(root, escape_glob(database), escape_glob(collection), f"*.{ext}")
 
 
-def list_landing(spark: SparkSession, root: str, database: str | None = None) -> DataFrame:
+def list_landing(spark: SparkSession, root: str, database: str | None = None,
+                 year: str = "*", month: str = "*", day: str = "*") -> DataFrame:
     """One row per landed file: path, length, modificationTime, the layout segments, the
-    collection directory and the file format (lenient and strict suffix rules)."""
+    collection directory and the file format (lenient and strict suffix rules).
+    ``year`` / ``month`` / ``day`` are glob patterns of the partition directories (for
+    example ``day="{0[1-9],1[0-5]}"``): only matching directories are listed at all."""
     db = escape_glob(database) if database else "*"
-    pattern = f"{root.rstrip('/')}/{config.LANDING_SOURCE_SEGMENT}/year=*/month=*/day=*/database={db}"
+    pattern = (f"{root.rstrip('/')}/{config.LANDING_SOURCE_SEGMENT}/year={year}/month={month}/"
+               f"day={day}/database={db}")
     try:
         raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(pattern).select("path", "length", "modificationTime"))

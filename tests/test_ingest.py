@@ -223,3 +223,28 @@ def test_csv_malformed_lines_are_rescued(spark, run_dir):
     rows = sorted(((r.a, r.b, r._rescued_data) for r in read_raw(spark, lay, "m").collect()), key=str)
     assert rows == sorted([(1, "2", None), (3, "4", '{"_corrupt_record":"3,4,5"}'),
                            (6, None, '{"_corrupt_record":"6"}'), (7, "x,y", None)], key=str)
+
+
+def test_listing_day_glob_prunes(spark, run_dir):
+    root = f"{run_dir}/landing"
+    for d in ("01", "02", "11"):
+        _pq(root, "c", f"17356896000{d}_c_{d}_00.parquet", {"a": [1]}, day=d)
+    assert L.list_landing(spark, root, DB).count() == 3
+    assert L.list_landing(spark, root, DB, day="0[1-2]").count() == 2
+    assert L.list_landing(spark, root, DB, day="2*").count() == 0
+
+
+def test_measure_listing_error_rows(spark, run_dir, monkeypatch):
+    from loamflow.streaming import measure as Mm
+
+    def boom(*a, **k):
+        raise RuntimeError("throttled by the store")
+
+    monkeypatch.setattr(Mm.L, "list_landing", boom)
+    topics = O.topics_frame(spark, [("a", "high", 0)])
+    res = Mm.measure(spark, f"{run_dir}/landing", DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
+    m = res["measurements"].first()
+    assert (m.status, m.listing_status, m.file_count, m.rows_seen) == ("ERROR", "ERROR", None, None)
+    assert "throttled" in m.error
+    s = res["summary"].first()
+    assert (s.errored_collections, s.visible_files) == (1, 0)
