@@ -20,24 +20,37 @@ RESERVED = (config.RESCUED_COLUMN, config.BATCH_COLUMN) + tuple(config.LINEAGE_C
 
 
 class SchemaStore:
-    """Versioned schema history of one collection, kept as an append-only JSON dataset
-    (one file per version) below the collection's schema location. One writer per
-    collection (its stream), so the cached latest value stays valid."""
+    """Versioned schema history of one collection: one small JSON-lines file per version
+    (``v00001.json`` …) below the collection's schema location, written to a temporary
+    name and moved into place. One writer per collection (its stream), so the cached
+    latest value stays valid. ``history()`` reads the folder as a DataFrame."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
         self._cache: tuple[int, T.StructType | None] | None = None
 
+    def _fs(self):
+        from ..sources.landing_writer import resolve_fs
+
+        fs, base, _ = resolve_fs(self.path)
+        return fs, base
+
     def _load(self) -> tuple[int, T.StructType | None]:
-        try:
-            hist = self.spark.read.schema(_HISTORY_SCHEMA).json(self.path)
-            row = hist.orderBy(F.col("version").desc()).select("version", "schema_json").first()
-        except AnalysisException:
-            row = None
-        if row is None:
+        import pyarrow.fs as pafs
+
+        fs, base = self._fs()
+        info = fs.get_file_info(base)
+        if info.type == pafs.FileType.NotFound:
+            return 0, None
+        names = [f.base_name for f in fs.get_file_info(pafs.FileSelector(base))
+                 if f.base_name.startswith("v") and f.base_name.endswith(".json")]
+        if not names:
             return 0, None
-        return int(row.version), T.StructType.fromJson(json.loads(row.schema_json))
+        latest = max(names)
+        with fs.open_input_stream(f"{base}/{latest}") as fh:
+            row = json.loads(fh.read().decode("utf-8").strip().splitlines()[0])
+        return int(row["version"]), T.StructType.fromJson(json.loads(row["schema_json"]))
 
     def latest(self) -> T.StructType | None:
         if self._cache is None:
@@ -50,9 +63,16 @@ class SchemaStore:
         return self._cache[0]
 
     def save(self, schema: T.StructType, batch_id: int) -> int:
+        import uuid
+
         v = self.version() + 1
-        (self.spark.createDataFrame([(v, int(batch_id), schema.json())], _HISTORY_SCHEMA)
-         .coalesce(1).write.mode("append").json(self.path))
+        fs, base = self._fs()
+        fs.create_dir(base, recursive=True)
+        line = json.dumps({"version": v, "batch_id": int(batch_id), "schema_json": schema.json()})
+        tmp = f"{base}/_tmp_{uuid.uuid4().hex}"
+        with fs.open_output_stream(tmp) as out:
+            out.write((line + "\n").encode("utf-8"))
+        fs.move(tmp, f"{base}/v{v:05d}.json")
         self._cache = (v, schema)
         return v
 
@@ -60,6 +80,51 @@ class SchemaStore:
         return self.spark.read.schema(_HISTORY_SCHEMA).json(self.path)
 
 
+def spark_type_from_arrow(t) -> T.DataType | None:
+    """Spark type of a Parquet column as Spark's reader infers it, for a conservative set
+    of Arrow types; None when not covered (the caller lets Spark infer)."""
+    import pyarrow as pa
+    import pyarrow.types as at
+
+    simple = [(at.is_boolean, T.BooleanType), (at.is_int8, T.ByteType), (at.is_int16, T.ShortType),
+              (at.is_int32, T.IntegerType), (at.is_int64, T.LongType), (at.is_float32, T.FloatType),
+              (at.is_float64, T.DoubleType), (at.is_date32, T.DateType)]
+    for test, cls in simple:
+        if test(t):
+            return cls()
+    if at.is_string(t) or at.is_large_string(t):
+        return T.StringType()
+    if at.is_binary(t) or at.is_large_binary(t):
+        return T.BinaryType()
+    if at.is_timestamp(t) and t.unit in ("ms", "us"):
+        return T.TimestampType() if t.tz is not None else T.TimestampNTZType()
+    if at.is_decimal(t) and t.precision <= 38:
+        return T.DecimalType(t.precision, t.scale)
+    if isinstance(t, pa.ListType):
+        inner = spark_type_from_arrow(t.value_type)
+        return None if inner is None else T.ArrayType(inner, True)
+    if isinstance(t, pa.StructType):
+        fields = []
+        for i in range(t.num_fields):
+            f = t.field(i)
+            ft = spark_type_from_arrow(f.type)
+            if ft is None:
+                return None
+            fields.append(T.StructField(f.name, ft, True))
+        return T.StructType(fields)
+    return None
+
+
+def spark_schema_from_arrow(schema) -> T.StructType | None:
+    fields = []
+    for f in schema:
+        t = spark_type_from_arrow(f.type)
+        if t is None:
+            return None
+        fields.append(T.StructField(f.name, t, True))
+    return T.StructType(fields)
+
+
 def widen(a: T.DataType, b: T.DataType) -> T.DataType:
     """Common type of two observations of one new column."""
     if a == b:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,6 +48,7 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
 
 
 _SHIPPED: set[int] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -59,8 +61,17 @@ def ship_package(spark: SparkSession) -> None:
 
     sc = spark.sparkContext
     key = id(sc._jsc) if getattr(sc, "_jsc", None) is not None else id(sc)
-    if key in _SHIPPED:
-        return
+    with _SHIP_LOCK:
+        if key not in _SHIPPED:
+            _ship(spark, sc)
+            _SHIPPED.add(key)
+
+
+def _ship(spark: SparkSession, sc) -> None:
+    import hashlib
+    import io
+    import zipfile
+
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
@@ -86,4 +97,3 @@ def ship_package(spark: SparkSession) -> None:
             out.write(data)
         fs.move(tmp, target)
     sc.addPyFile(f"{folder}/loamflow-{digest}.zip")
-    _SHIPPED.add(key)

@@ -85,9 +85,12 @@ class Layout:
 def _signature_of_stream(stream, path: str, fmt: str) -> str:
     """Parquet: the physical schema from the footer; CSV: the header line."""
     if fmt == "parquet":
+        import base64
+
         import pyarrow.parquet as pq
 
-        return "parquet:" + str(pq.read_schema(stream).remove_metadata())
+        schema = pq.read_schema(stream).remove_metadata()
+        return "parquet:" + base64.b64encode(schema.serialize().to_pybytes()).decode("ascii")
     src = gzip.GzipFile(fileobj=stream) if path.lower().endswith(".gz") else stream
     buf = b""
     while b"\n" not in buf and len(buf) < _HEADER_LIMIT:
@@ -165,6 +168,22 @@ def _glob_safe(paths: list[str]) -> list[str]:
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+def parquet_schema(signature: str | None) -> T.StructType | None:
+    """Spark schema of a Parquet signature group (from the probed footer), so reading the
+    group needs no schema-inference job; None -> let Spark infer."""
+    if not signature or not signature.startswith("parquet:"):
+        return None
+    import base64
+
+    import pyarrow as pa
+
+    try:
+        arrow = pa.ipc.read_schema(pa.py_buffer(base64.b64decode(signature[len("parquet:"):])))
+    except Exception:
+        return None
+    return S.spark_schema_from_arrow(arrow)
+
+
 def header_names(signature: str) -> list[str]:
     """Column names of a CSV header line (RFC 4180 quoting); empty -> _c<i>,
     repeated -> name<i>."""
@@ -186,7 +205,9 @@ def read_group(spark: SparkSession, fmt: str, paths: list[str], signature: str |
     the group's own header, all columns as text; a line whose field count does not match
     keeps its raw text in ``_corrupt_record``), with the source file of every row."""
     if fmt == "parquet":
-        df = spark.read.parquet(*_glob_safe(paths))
+        known = parquet_schema(signature)
+        reader = spark.read.schema(known) if known is not None else spark.read
+        df = reader.parquet(*_glob_safe(paths))
     else:
         names = header_names(signature or "csv:")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names] +
