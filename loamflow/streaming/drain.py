@@ -9,6 +9,7 @@ config-bounded, one row per collection."""
 from __future__ import annotations
 
 import time
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -139,6 +140,12 @@ def drain(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, run_
     if max_concurrent <= 0:
         raise ValueError("max_concurrent must be a positive integer")
     workers = min(int(max_concurrent), config.MAX_CONCURRENT_CAP)
+    if trigger == "continuous" and specs:
+        # continuous streams never finish: every collection needs its own supervisor
+        if len(specs) > workers:
+            warnings.warn(f"{len(specs)} continuous streams exceed the concurrency budget of "
+                          f"{workers}; they will contend for the cluster")
+        workers = len(specs)
     run_id = N.run_token(run_id)
 
     def one(spec):

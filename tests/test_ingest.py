@@ -248,3 +248,32 @@ def test_measure_listing_error_rows(spark, run_dir, monkeypatch):
     assert "throttled" in m.error
     s = res["summary"].first()
     assert (s.errored_collections, s.visible_files) == (1, 0)
+
+
+def test_continuous_drain_starts_every_collection(spark, run_dir):
+    import threading
+    import time as _t
+
+    lay = _layout(run_dir)
+    for c in ("x", "y"):
+        _pq(lay.source_root, c, f"1735689600000_{c}_00_00.parquet", {"a": [1]})
+    specs = [CollectionSpec(c, c, "parquet", interval_seconds=1) for c in ("x", "y")]
+    box = {}
+    th = threading.Thread(target=lambda: box.setdefault(
+        "r", drain(spark, specs, lay, max_concurrent=1, trigger="continuous", backoff_seconds=0)))
+    th.start()
+    from loamflow.streaming.ingest import query_name
+
+    wanted = {query_name("raw", lay, c) for c in ("x", "y")}
+    deadline = _t.time() + 120
+    while _t.time() < deadline and len([q for q in spark.streams.active if q.name in wanted]) < 2:
+        _t.sleep(0.5)
+    qs = [q for q in spark.streams.active if q.name in wanted]
+    assert len(qs) == 2            # both started although max_concurrent=1
+    for q in qs:
+        q.processAllAvailable()
+        q.stop()
+    th.join(timeout=120)
+    outcomes, _ = box["r"]
+    assert {r.collection: r.status for r in outcomes.collect()} == {"x": "ok", "y": "ok"}
+    assert read_raw(spark, lay, "x").count() == 1 and read_raw(spark, lay, "y").count() == 1
