@@ -27,6 +27,12 @@ ORACLE_SQL = {
                min(epoch_us(ts) // 1000) OVER (PARTITION BY CAST(ts AS DATE), event_id // 2000) AS file_epoch_ms
         FROM events WHERE event_type = 'purchase'""",
 
+    "raw_content": f"""
+        SELECT {_COLL} AS collection, event_id, user_id, epoch_us(ts) AS ts_us, value, props,
+               min(epoch_us(ts) // 1000) OVER (PARTITION BY event_type, CAST(ts AS DATE), event_id // 2000)
+                 AS file_epoch_ms
+        FROM events""",
+
     "csv_header_drift": f"""
         SELECT {_COLL} AS collection, event_id, user_id, epoch_us(ts) AS ts_us, value, props
         FROM events""",

@@ -156,6 +156,12 @@ def _raw_all(spark, run: LandedRun, specs, cols) -> DataFrame:
     return raw_union(spark, run.layout, specs, columns=cols).select("collection", *cols)
 
 
+def raw_content(spark, sf_dir):
+    run = full_drain(spark, sf_dir)
+    cols = ["event_id", "user_id", "ts_us", "value", "props", "_file_epoch_ms"]
+    return _raw_all(spark, run, run.specs, cols).withColumnRenamed("_file_epoch_ms", "file_epoch_ms")
+
+
 def csv_header_drift(spark, sf_dir):
     run = LandedRun(spark, "csvdrift")
     ev = _table(spark, sf_dir, "events")
@@ -435,6 +441,7 @@ QUERIES = {
     "drain_outcomes": drain_outcomes,
     "drain_outcome_counts": drain_outcome_counts,
     "raw_content_purchase": raw_content_purchase,
+    "raw_content": raw_content,
     "csv_header_drift": csv_header_drift,
     "evolved_columns": evolved_columns,
     "frozen_schema_rescue": frozen_schema_rescue,
