@@ -162,9 +162,13 @@ def evolve(tracked: T.StructType | None, observed: list[T.StructType]) -> T.Stru
     return T.StructType(out)
 
 
+_ISO_TS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
+
+
 def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
-    """Narrowest of bigint, double, boolean, string that every non-null value of a text
-    column parses as. One aggregation pass, one result row."""
+    """Narrowest of bigint, double, boolean, timestamp (ISO 8601 date-time text only),
+    string that every non-null value of a text column parses as. One aggregation pass,
+    one result row."""
     if not columns:
         return {}
     aggs = []
@@ -174,9 +178,11 @@ def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]
         is_long = v.rlike(r"^\s*[+-]?[0-9]+\s*$") & v.try_cast("bigint").isNotNull()
         is_double = v.try_cast("double").isNotNull()
         is_bool = F.lower(F.trim(v)).isin("true", "false")
+        is_ts = v.rlike(_ISO_TS) & v.try_cast("timestamp").isNotNull()
         aggs += [F.bool_and(~present | is_long).alias(f"l{i}"),
                  F.bool_and(~present | is_double).alias(f"d{i}"),
                  F.bool_and(~present | is_bool).alias(f"b{i}"),
+                 F.bool_and(~present | is_ts).alias(f"t{i}"),
                  F.max(present).alias(f"p{i}")]
     row = df.agg(*aggs).first()
     out: dict[str, T.DataType] = {}
@@ -189,6 +195,8 @@ def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]
             out[c] = T.DoubleType()
         elif row[f"b{i}"]:
             out[c] = T.BooleanType()
+        elif row[f"t{i}"]:
+            out[c] = T.TimestampType()
         else:
             out[c] = T.StringType()
     return out

@@ -38,12 +38,14 @@ def test_non_text_round_trip_rule(spark):
 
 
 def test_infer_text_types(spark):
-    df = spark.createDataFrame([("1", "1.5", "true", "x", None, "007"),
-                                ("-2", "2", "False", "1", None, "8")],
-                               "i string, d string, b string, s string, z string, p string")
+    df = spark.createDataFrame([("1", "1.5", "true", "x", None, "007", "2025-01-02T03:04:05Z", "2024"),
+                                ("-2", "2", "False", "1", None, "8", "2025-01-02 03:04", "2025")],
+                               "i string, d string, b string, s string, z string, p string, "
+                               "t string, y string")
     got = S.infer_text_types(df, df.columns)
     assert got == {"i": T.LongType(), "d": T.DoubleType(), "b": T.BooleanType(),
-                   "s": T.StringType(), "z": T.StringType(), "p": T.LongType()}
+                   "s": T.StringType(), "z": T.StringType(), "p": T.LongType(),
+                   "t": T.TimestampType(), "y": T.LongType()}
 
 
 def test_schema_store(spark, run_dir):
