@@ -423,7 +423,7 @@ def _attempts(spark, sf_dir):
 
 
 def restart_verdicts(spark, sf_dir):
-    return restart_verdict(_attempts(spark, sf_dir), width=256)
+    return restart_verdict(_attempts(spark, sf_dir))
 
 
 def failure_kind(spark, sf_dir):
