@@ -24,7 +24,9 @@ def resolve(spark: SparkSession, source_root: str, database: str, topics: DataFr
             check: bool = True) -> DataFrame:
     """(collection, name, owner, tier, format, is_parent, from_fallback, shard_index,
     max_files, interval_seconds). ``format`` is NULL for a collection without files
-    (skipped by the drain). ``shard_index=None`` annotates every shard instead of keeping one."""
+    (skipped by the drain). ``shard_index=None`` annotates every shard instead of keeping one.
+    Table-name collisions are checked where the specs are collected
+    (``drain.specs_from_resolved``) or on demand with :func:`table_name_collisions`."""
     if shard_count < 1 or (shard_index is not None and not (0 <= shard_index < shard_count)):
         raise ValueError(f"shard_index={shard_index} must satisfy 0 <= shard_index < shard_count "
                          f"(shard_count={shard_count})")
@@ -43,11 +45,6 @@ def resolve(spark: SparkSession, source_root: str, database: str, topics: DataFr
     out = O.with_tier_params(out, tiers if tiers is not None else O.tiers_frame(spark))
     out = out.select("collection", "name", "owner", "tier", "format", "is_parent",
                      "from_fallback", "shard_index", "max_files", "interval_seconds")
-    if check:
-        bad = table_name_collisions(out).limit(5).collect()
-        if bad:
-            raise ValueError(f"collections share a table name and checkpoint: "
-                             f"{[(r.name, list(r.collections)) for r in bad]}")
     return out
 
 

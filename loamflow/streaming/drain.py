@@ -66,8 +66,15 @@ def specs_from_resolved(resolved: DataFrame) -> list[CollectionSpec]:
     rows = (resolved.where(F.col("format").isNotNull())
             .select("collection", "name", "format", "tier", "max_files", "interval_seconds")
             .orderBy("collection").collect())
-    return [CollectionSpec(r.collection, r.name, r.format, r.tier, int(r.max_files),
-                           int(r.interval_seconds)) for r in rows]
+    specs = [CollectionSpec(r.collection, r.name, r.format, r.tier, int(r.max_files),
+                            int(r.interval_seconds)) for r in rows]
+    by_name: dict[str, list[str]] = {}
+    for sp in specs:
+        by_name.setdefault(sp.name, []).append(sp.collection)
+    clash = {n: c for n, c in by_name.items() if len(c) > 1}
+    if clash:
+        raise ValueError(f"collections share a table name and checkpoint: {clash}")
+    return specs
 
 
 def _record_progress(handler: BatchHandler, q, run_id: str, collection: str, attempt: int) -> None:

@@ -277,3 +277,17 @@ def test_continuous_drain_starts_every_collection(spark, run_dir):
     outcomes, _ = box["r"]
     assert {r.collection: r.status for r in outcomes.collect()} == {"x": "ok", "y": "ok"}
     assert read_raw(spark, lay, "x").count() == 1 and read_raw(spark, lay, "y").count() == 1
+
+
+def test_table_name_collision_is_refused(spark):
+    import pytest
+
+    from loamflow.plans.resolve import table_name_collisions
+
+    resolved = spark.createDataFrame(
+        [("ui-elements", "ui_elements", "parquet", "low", 100, 90),
+         ("ui_elements", "ui_elements", "parquet", "low", 100, 90)],
+        "collection string, name string, format string, tier string, max_files int, interval_seconds int")
+    assert table_name_collisions(resolved).count() == 1
+    with pytest.raises(ValueError, match="share a table name"):
+        specs_from_resolved(resolved)
