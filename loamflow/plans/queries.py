@@ -22,7 +22,7 @@ from ..sources.results import read_results_json, write_results_json
 from ..streaming import measure as M
 from ..streaming.drain import (drain, outcome_counts, raw_union, report_and_raise, row_counts,
                                specs_from_resolved)
-from ..streaming.ingest import CollectionSpec, Layout, ingest_available, read_raw
+from ..streaming.ingest import CollectionSpec, Layout, read_raw
 from .resolve import resolve
 
 ROWS_PER_FILE = 2000
@@ -104,17 +104,6 @@ def full_drain(spark: SparkSession, sf_dir: str) -> LandedRun:
     return run
 
 
-def _one(spark, run: LandedRun, collection: str, fmt: str = "parquet", evolve: bool = True,
-         max_files: int = 3000) -> CollectionSpec:
-    spec = CollectionSpec(collection, _table_name(collection), fmt, max_files=max_files)
-    ingest_available(spark, spec, run.layout, evolve)
-    return spec
-
-
-def _table_name(c: str) -> str:
-    return c.replace("-", "_").replace(".", "_")
-
-
 # ----------------------------------------------------------------------------------------
 # queries
 # ----------------------------------------------------------------------------------------

@@ -114,10 +114,12 @@ def test_replay_of_a_batch_is_idempotent(spark, run_dir):
 
 def test_prefix_siblings_and_mixed_formats(spark, run_dir):
     lay = _layout(run_dir)
+    assert not L.has_files(L.list_landing(spark, lay.source_root, DB))
     _pq(lay.source_root, "t", "1735689600000_t_00_00.parquet", {"a": [1]})
     _pq(lay.source_root, "t_x", "1735689600000_t_x_00_00.parquet", {"a": [2, 3]})
     _csv(lay.source_root, "t", "1735689600000_t_00_01.csv", "a\n9\n")
     files = L.list_landing(spark, lay.source_root, DB)
+    assert L.has_files(files)
     assert {r.collection: r.format for r in L.detect_formats(files).collect()} == {"t": "parquet", "t_x": "parquet"}
     assert L.mixed_format_dirs(files).count() == 1
     ingest_available(spark, CollectionSpec("t", "t", "parquet"), lay)

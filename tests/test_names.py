@@ -78,3 +78,9 @@ def test_cast_seconds_and_errors(spark):
     e = spark.createDataFrame([(None,), ("a",)], "m string")
     got = [r.r for r in e.select(N.append_error("m", F.lit("stop failed")).alias("r")).collect()]
     assert got == ["stop failed", "a; stop failed"]
+
+
+def test_join_errors(spark):
+    df = spark.createDataFrame([(["a: boom", "b: slow"],)], "e array<string>")
+    assert df.select(N.join_errors("e").alias("r")).first().r == "a: boom | b: slow"
+    assert df.select(N.join_errors("e", n=4).alias("r")).first().r == "a: b"
