@@ -91,14 +91,20 @@ def name_candidates(name_col: str = "name") -> "F.Column":
 
 def owners(names: DataFrame, parents: DataFrame, name_col: str = "name") -> DataFrame:
     """``names`` + ``owner`` (longest parent p with name == p or name startswith p + '_',
-    NULL when none) and ``tier`` (the owner's tier)."""
+    NULL when none) and ``tier`` (the owner's tier).
+
+    Every matching candidate is a prefix of the name, so the longest match is just
+    ``max(length)`` (a hash aggregate with a fixed-width buffer) and the owner is that
+    many leading characters of the name; its tier comes from an equi-join on the parents."""
+    p = parents.select(F.col("parent").alias("_cand"), F.col("tier").alias("_tier")) \
+               .dropDuplicates(["_cand"])
     distinct_names = names.select(F.col(name_col).alias("_n")).distinct()
     cand = distinct_names.select("_n", F.explode(name_candidates("_n")).alias("_cand"))
-    matched = cand.join(parents.select(F.col("parent").alias("_cand"), F.col("tier").alias("_tier")),
-                        "_cand", "inner")
-    best = (matched.groupBy("_n")
-            .agg(F.max_by(F.struct("_cand", "_tier"), F.length("_cand")).alias("_b"))
-            .select("_n", F.col("_b._cand").alias("owner"), F.col("_b._tier").alias("tier")))
+    matched = cand.join(p.select("_cand"), "_cand", "left_semi")
+    best = (matched.groupBy("_n").agg(F.max(F.length("_cand")).alias("_len"))
+            .select("_n", F.expr("substring(_n, 1, _len)").alias("owner")))
+    best = best.join(p.select(F.col("_cand").alias("owner"), F.col("_tier").alias("tier")),
+                     "owner", "left")
     return names.join(best, names[name_col] == best["_n"], "left").drop("_n")
 
 

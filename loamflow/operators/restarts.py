@@ -38,18 +38,20 @@ def restart_verdict(attempts: DataFrame, stream_col: str = "collection", order_c
     c = segmented_counts(a, ["_s"], "_o", "_reset", {"_gc": "_g", "_scc": "_sc"}, width=width)
     failed = ((F.col("_g") == 1) & (F.col("_gc") > max_restarts)) | \
              ((F.col("_sc") == 1) & (F.col("_scc") > max_schema_restarts))
-    d = c.withColumn("_term", F.col("_ok") | failed) \
-         .withColumn("_v", F.when(F.col("_ok"), "ok").otherwise("failed"))
-    first_term = F.min_by(F.struct("_o", "_v", "_gc", "_scc"),
-                          F.when(F.col("_term"), F.col("_o")))
+    d = c.withColumn("_term", F.col("_ok") | failed)
+    key = F.when(F.col("_term"), F.col("_o"))
+    # one fixed-width min_by per field keeps the aggregate hash-based
     out = d.groupBy("_s").agg(
-        F.min(F.when(F.col("_term"), F.col("_o"))).alias("decided_at"),
-        first_term.alias("_t"),
+        F.min(key).alias("decided_at"),
+        F.min_by("_ok", key).alias("_t_ok"),
+        F.min_by("_gc", key).alias("_t_gc"),
+        F.min_by("_scc", key).alias("_t_scc"),
         F.count(F.lit(1)).alias("_n"))
+    decided = F.col("decided_at").isNotNull()
     return out.select(
         F.col("_s").alias(stream_col),
-        F.when(F.col("decided_at").isNull(), "running").otherwise(F.col("_t._v")).alias("verdict"),
+        F.when(~decided, "running").when(F.col("_t_ok"), "ok").otherwise("failed").alias("verdict"),
         "decided_at",
-        F.when(F.col("decided_at").isNotNull(), F.col("_t._gc")).alias("genuine_restarts"),
-        F.when(F.col("decided_at").isNotNull(), F.col("_t._scc")).alias("schema_restarts"),
+        F.when(decided, F.col("_t_gc")).alias("genuine_restarts"),
+        F.when(decided, F.col("_t_scc")).alias("schema_restarts"),
         F.col("_n").alias("attempts_logged"))

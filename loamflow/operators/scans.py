@@ -60,12 +60,14 @@ def segmented_counts(df: DataFrame, keys: list[str], order: str, reset: str,
                  *[F.sum(c).over(w).alias(f"_l_{o}") for o, c in counts.items()])
     y = y.select("*", *[F.last(F.when(F.col("_rs"), F.col(f"_l_{o}") - F.col(c)), ignorenulls=True)
                         .over(w).alias(f"_lb_{o}") for o, c in counts.items()])
-    last = F.max_by(F.struct("_lr", *[f"_l_{o}" for o in counts], *[f"_lb_{o}" for o in counts]),
-                    F.col(order))
-    summ = (y.groupBy(*keys, "_bkt").agg(last.alias("_e"))
-            .select(*keys, "_bkt", (F.col("_e._lr") == 1).alias("_has"),
-                    *[F.col(f"_e._l_{o}").alias(f"_t_{o}") for o in counts],
-                    *[(F.col(f"_e._l_{o}") - F.col(f"_e._lb_{o}")).alias(f"_a_{o}") for o in counts]))
+    # values at the last row of a bucket: all of them are non-decreasing in ``order``
+    # (0/1 counts), so plain maxima (a hash aggregate) give them
+    summ = (y.groupBy(*keys, "_bkt")
+            .agg(F.max("_lr").alias("_mr"), *[F.max(f"_l_{o}").alias(f"_ml_{o}") for o in counts],
+                 *[F.max(f"_lb_{o}").alias(f"_mb_{o}") for o in counts])
+            .select(*keys, "_bkt", (F.col("_mr") == 1).alias("_has"),
+                    *[F.col(f"_ml_{o}").alias(f"_t_{o}") for o in counts],
+                    *[(F.col(f"_ml_{o}") - F.col(f"_mb_{o}")).alias(f"_a_{o}") for o in counts]))
     prev = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     incl = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, 0)
     s1 = summ.select("*", *[F.sum(f"_t_{o}").over(incl).alias(f"_si_{o}") for o in counts])
