@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, cores: int | None = None,
-              shuffle_partitions: int | None = None, app: str = "loamflow") -> SparkSession:
+              shuffle_partitions: int | None = None, app: str = "loamflow",
+              extra: dict | None = None) -> SparkSession:
     """Session for local runs and tests. On a cluster, pass nothing and keep its settings."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     master = master or f"local[{cores}]"
@@ -25,6 +26,8 @@ def get_spark(master: str | None = None, cores: int | None = None,
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("LOAMFLOW_DRIVER_MEMORY", "8g"))
          .config("spark.sql.streaming.stopActiveRunOnRestart", "true"))
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

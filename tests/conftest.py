@@ -10,7 +10,10 @@ from loamflow.session import get_spark, new_run_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark(master="local[4]", cores=4, shuffle_partitions=8, app="loamflow-tests")
+    import tempfile
+
+    s = get_spark(master="local[4]", cores=4, shuffle_partitions=8, app="loamflow-tests",
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="loamflow-wh-")})
     yield s
 
 
