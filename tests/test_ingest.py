@@ -293,3 +293,15 @@ def test_table_name_collision_is_refused(spark):
     assert table_name_collisions(resolved).count() == 1
     with pytest.raises(ValueError, match="share a table name"):
         specs_from_resolved(resolved)
+
+
+def test_drain_waves(spark, run_dir):
+    from loamflow.streaming.drain import drain_waves
+
+    lay = _layout(run_dir)
+    _pq(lay.source_root, "w", "1735689600000_w_00_00.parquet", {"a": [1, 2]})
+    spec = CollectionSpec("w", "w", "parquet")
+    outcomes, attempts = drain_waves(spark, [spec], lay, waves=2, pause_seconds=0.1, backoff_seconds=0)
+    got = sorted((r.wave, r.status, r.files) for r in outcomes.collect())
+    assert got == [(1, "ok", 1), (2, "ok", 0)]          # the second wave finds nothing new
+    assert read_raw(spark, lay, "w").count() == 2
