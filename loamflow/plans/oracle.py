@@ -68,6 +68,20 @@ ORACLE_SQL = {
         FROM (SELECT {_COLL} AS collection, count(DISTINCT {_FILE_KEY}) AS files, count(*) AS n
               FROM events GROUP BY 1)""",
 
+    "batch_rows_json": f"""
+        WITH f AS (SELECT {_COLL} AS collection, CAST(ts AS DATE) AS d, event_id // 2000 AS b,
+                          count(*) AS n
+                   FROM events GROUP BY 1, 2, 3),
+             r AS (SELECT collection, n,
+                          (row_number() OVER (PARTITION BY collection ORDER BY d, b) - 1) // 7 AS batch_id
+                   FROM f),
+             g AS (SELECT collection, CAST(batch_id AS BIGINT) AS batch_id, CAST(sum(n) AS BIGINT) AS rows
+                   FROM r GROUP BY 1, 2)
+        SELECT collection, count(*) AS micro_batches, CAST(sum(rows) AS BIGINT) AS rows_seen,
+               CAST(to_json(list({{'batch_id': batch_id, 'rows': rows}} ORDER BY batch_id)) AS VARCHAR)
+                 AS batch_rows_json
+        FROM g GROUP BY collection""",
+
     "listing_stats": f"""
         SELECT {_COLL} AS collection,
                CASE WHEN event_type = 'signup' THEN 'csv' ELSE 'parquet' END AS format,

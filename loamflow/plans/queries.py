@@ -246,6 +246,21 @@ def batch_details_json(spark, sf_dir):
                                                   "batch_details_json")
 
 
+def batch_rows_json(spark, sf_dir):
+    run = LandedRun(spark, "batchrows")
+    frame = landing_frame(_table(spark, sf_dir, "events"))
+    # modification times fixed by (day, file key): the file stream's order, hence every
+    # micro-batch's files, is reproducible
+    frame = frame.withColumn("_mtime_ms", F.unix_millis(F.to_timestamp("day"))
+                             + F.col("file_key") * F.lit(1000))
+    run.land(frame)
+    tiers = O.tiers_frame(spark, [("high", 7, 90), ("medium", 7, 90), ("low", 7, 90)])
+    res = M.measure(spark, run.root, DATABASE, f"{run.dir}/_measurement", _bare_topics(spark),
+                    "BOUNDED_DRAIN", tiers=tiers)
+    return M.batch_details(res["batches"], with_seconds=False).select(
+        "collection", "micro_batches", "rows_seen", "batch_rows_json")
+
+
 def drain_projection(spark, sf_dir):
     res = _measured(spark, sf_dir, "BOUNDED_DRAIN",
                     [("high", 7, 90), ("medium", 7, 90), ("low", 7, 90)], "ratelimit")
@@ -439,6 +454,7 @@ QUERIES = {
     "steady_state_increment": steady_state_increment,
     "rate_limited_batches": rate_limited_batches,
     "batch_details_json": batch_details_json,
+    "batch_rows_json": batch_rows_json,
     "drain_projection": drain_projection,
     "listing_stats": listing_stats,
     "run_summary": run_summary,

@@ -11,6 +11,7 @@ def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"batch_details_json", "drain_projection"}
+    assert "batch_rows_json" in o
 
 
 def test_entry_smoke(spark):
