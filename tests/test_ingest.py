@@ -305,3 +305,16 @@ def test_drain_waves(spark, run_dir):
     got = sorted((r.wave, r.status, r.files) for r in outcomes.collect())
     assert got == [(1, "ok", 1), (2, "ok", 0)]          # the second wave finds nothing new
     assert read_raw(spark, lay, "w").count() == 2
+
+
+def test_gzip_csv_ingest_when_enabled(spark, run_dir):
+    root = f"{run_dir}/landing"
+    _csv(root, "z", "1735689600000_z_00_00.csv.gz", "a,b\n1,x\n2,y\n", gz=True)
+    _csv(root, "z", "1735689600001_z_00_01.csv", "b,a\nq,3\n")
+    plain = Layout(root, DB, f"{run_dir}/raw_plain", f"{run_dir}/ck_plain")
+    ingest_available(spark, CollectionSpec("z", "z", "csv"), plain)
+    assert read_raw(spark, plain, "z").count() == 1              # default glob: *.csv only
+    gz = Layout(root, DB, f"{run_dir}/raw_gz", f"{run_dir}/ck_gz", gz=True)
+    ingest_available(spark, CollectionSpec("z", "z", "csv"), gz)
+    rows = sorted((r.a, r.b) for r in read_raw(spark, gz, "z").collect())
+    assert rows == [(1, "x"), (2, "y"), (3, "q")]
