@@ -109,8 +109,10 @@ def _file_signature(path: str, fmt: str) -> str | None:
 
     try:
         fs, p, _ = resolve_fs(path)
-        opener = fs.open_input_file if fmt == "parquet" else fs.open_input_stream
-        f = opener(p)
+        if fmt == "parquet":
+            f = fs.open_input_file(p)
+        else:  # raw bytes; gzip is handled once, by the caller
+            f = fs.open_input_stream(p, compression=None)
     except Exception:
         return None
     with f:
