@@ -318,3 +318,14 @@ def test_gzip_csv_ingest_when_enabled(spark, run_dir):
     ingest_available(spark, CollectionSpec("z", "z", "csv"), gz)
     rows = sorted((r.a, r.b) for r in read_raw(spark, gz, "z").collect())
     assert rows == [(1, "x"), (2, "y"), (3, "q")]
+
+
+def test_collection_name_with_glob_characters(spark, run_dir):
+    lay = _layout(run_dir)
+    name = "odd [x] name{1}"
+    _pq(lay.source_root, name, "1735689600000_odd_00_00.parquet", {"a": [1, 2]})
+    _pq(lay.source_root, "odd x name1", "1735689600000_other_00_00.parquet", {"a": [9]})
+    files = L.list_landing(spark, lay.source_root, DB)
+    assert sorted(r.collection for r in L.discover_collections(files).collect()) == sorted([name, "odd x name1"])
+    ingest_available(spark, CollectionSpec(name, "odd", "parquet"), lay)
+    assert sorted(r.a for r in read_raw(spark, lay, "odd").collect()) == [1, 2]
