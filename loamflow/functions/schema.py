@@ -140,16 +140,40 @@ def widen(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def merge_nested(tracked_t: T.DataType, seen: T.DataType) -> T.DataType:
+    """Add sub-fields never seen before to a struct (or array of structs), recursively;
+    every existing (sub-)field keeps its type."""
+    if isinstance(tracked_t, T.StructType) and isinstance(seen, T.StructType):
+        by = {f.name.lower(): f for f in seen.fields}
+        out = []
+        for f in tracked_t.fields:
+            s = by.pop(f.name.lower(), None)
+            out.append(T.StructField(f.name, merge_nested(f.dataType, s.dataType) if s else f.dataType, True))
+        for f in seen.fields:
+            if f.name.lower() in by:
+                out.append(T.StructField(f.name, f.dataType, True))
+        return T.StructType(out)
+    if isinstance(tracked_t, T.ArrayType) and isinstance(seen, T.ArrayType):
+        return T.ArrayType(merge_nested(tracked_t.elementType, seen.elementType), True)
+    return tracked_t
+
+
 def evolve(tracked: T.StructType | None, observed: list[T.StructType]) -> T.StructType:
-    """Add columns never seen before (in order of first appearance); never change a type."""
+    """Add columns (and struct sub-fields) never seen before, in order of first
+    appearance; never change a type."""
     fields = list(tracked.fields) if tracked is not None else []
     known = {f.name.lower() for f in fields}
+    pos = {f.name.lower(): i for i, f in enumerate(fields)}
     new: dict[str, T.DataType] = {}
     lower_to_name: dict[str, str] = {}
     for s in observed:
         for f in s.fields:
             key = f.name.lower()
-            if key in known or f.name in RESERVED:
+            if key in known:
+                i = pos[key]
+                fields[i] = T.StructField(fields[i].name, merge_nested(fields[i].dataType, f.dataType), True)
+                continue
+            if f.name in RESERVED:
                 continue
             if key in lower_to_name:
                 name = lower_to_name[key]
@@ -202,6 +226,42 @@ def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]
     return out
 
 
+def nested_fits(src: T.DataType, tgt: T.DataType) -> bool:
+    """Every source (sub-)field exists in the target with the same type; target structs
+    may have extra sub-fields."""
+    if src == tgt:
+        return True
+    if isinstance(src, T.StructType) and isinstance(tgt, T.StructType):
+        want = {f.name.lower(): f for f in tgt.fields}
+        return all(f.name.lower() in want and nested_fits(f.dataType, want[f.name.lower()].dataType)
+                   for f in src.fields)
+    if isinstance(src, T.ArrayType) and isinstance(tgt, T.ArrayType):
+        return nested_fits(src.elementType, tgt.elementType)
+    return False
+
+
+def fit_nested(c: Column, src: T.DataType, tgt: T.DataType) -> Column | None:
+    """``c`` (of type ``src``) reshaped to ``tgt`` — missing struct sub-fields NULL — or
+    None when it does not fit (the caller rescues the whole value)."""
+    if not nested_fits(src, tgt):
+        return None
+    return _reshape(c, src, tgt)
+
+
+def _reshape(c: Column, src: T.DataType, tgt: T.DataType) -> Column:
+    if src == tgt:
+        return c
+    if isinstance(src, T.StructType):
+        have = {f.name.lower(): f for f in src.fields}
+        parts = []
+        for f in tgt.fields:
+            s = have.get(f.name.lower())
+            parts.append(F.lit(None).cast(f.dataType).alias(f.name) if s is None
+                         else _reshape(c.getField(s.name), s.dataType, f.dataType).alias(f.name))
+        return F.when(c.isNull(), F.lit(None).cast(tgt)).otherwise(F.struct(*parts))
+    return F.transform(c, lambda x: _reshape(x, src.elementType, tgt.elementType))
+
+
 def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -228,8 +288,12 @@ def align_and_rescue(df: DataFrame, tracked: T.StructType, text_source: bool = F
             cols.append(c.alias(f.name))
             continue
         if isinstance(s.dataType, _COMPLEX) or isinstance(f.dataType, _COMPLEX):
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-            rescued.append(c.alias(s.name))
+            fitted = fit_nested(c, s.dataType, f.dataType)
+            if fitted is not None:
+                cols.append(fitted.alias(f.name))
+            else:
+                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+                rescued.append(c.alias(s.name))
             continue
         tc = c.try_cast(f.dataType)
         if text_source or isinstance(s.dataType, T.StringType):

@@ -329,3 +329,16 @@ def test_collection_name_with_glob_characters(spark, run_dir):
     assert sorted(r.collection for r in L.discover_collections(files).collect()) == sorted([name, "odd x name1"])
     ingest_available(spark, CollectionSpec(name, "odd", "parquet"), lay)
     assert sorted(r.a for r in read_raw(spark, lay, "odd").collect()) == [1, 2]
+
+
+def test_nested_columns_evolve_through_the_stream(spark, run_dir):
+    lay = _layout(run_dir)
+    spec = CollectionSpec("n", "n", "parquet")
+    _pq(lay.source_root, "n", "1735689600000_n_00_00.parquet",
+        {"id": [1], "doc": pa.array([{"x": 1}], pa.struct([("x", pa.int64())]))})
+    ingest_available(spark, spec, lay)
+    _pq(lay.source_root, "n", "1735689700000_n_00_01.parquet",
+        {"id": [2], "doc": pa.array([{"x": 2, "y": "new"}], pa.struct([("x", pa.int64()), ("y", pa.string())]))})
+    ingest_available(spark, spec, lay)
+    rows = sorted((r.id, r.doc.x, r.doc.y, r._rescued_data) for r in read_raw(spark, lay, "n").collect())
+    assert rows == [(1, 1, None, None), (2, 2, "new", None)]

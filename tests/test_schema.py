@@ -58,3 +58,23 @@ def test_schema_store(spark, run_dir):
     fresh = S.SchemaStore(spark, f"{run_dir}/schemas/x")
     assert fresh.latest() == s2 and fresh.version() == 2
     assert fresh.history().count() == 2
+
+
+def test_nested_evolution_and_alignment(spark):
+    s1 = T.StructType([T.StructField("doc", T.StructType([T.StructField("x", T.LongType())])),
+                       T.StructField("items", T.ArrayType(T.StructType([T.StructField("k", T.StringType())])))])
+    s2 = T.StructType([T.StructField("doc", T.StructType([T.StructField("x", T.LongType()),
+                                                          T.StructField("y", T.StringType())])),
+                       T.StructField("items", T.ArrayType(T.StructType([T.StructField("k", T.StringType()),
+                                                                        T.StructField("v", T.LongType())])))])
+    tracked = S.evolve(S.evolve(None, [s1]), [s2])
+    assert tracked == s2
+    old = spark.createDataFrame([({"x": 1}, [{"k": "a"}]), (None, None)], s1)
+    rows = S.align_and_rescue(old, tracked).collect()
+    assert rows[0].doc.asDict() == {"x": 1, "y": None}
+    assert [i.asDict() for i in rows[0].items] == [{"k": "a", "v": None}]
+    assert rows[0]._rescued_data is None and rows[1].doc is None and rows[1].items is None
+    clash = T.StructType([T.StructField("doc", T.StructType([T.StructField("x", T.StringType())]))])
+    bad = spark.createDataFrame([({"x": "oops"},)], clash)
+    r = S.align_and_rescue(bad, tracked).first()
+    assert r.doc is None and r._rescued_data == '{"doc":{"x":"oops"}}'
