@@ -41,7 +41,6 @@ from ..session import ship_package
 from ..sources.landing import escape_glob, source_glob
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-_HEADER_LIMIT = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -93,7 +92,7 @@ def _signature_of_stream(stream, path: str, fmt: str) -> str:
         return "parquet:" + base64.b64encode(schema.serialize().to_pybytes()).decode("ascii")
     src = gzip.GzipFile(fileobj=stream) if path.lower().endswith(".gz") else stream
     buf = b""
-    while b"\n" not in buf and len(buf) < _HEADER_LIMIT:
+    while b"\n" not in buf:             # the whole first line, however long
         chunk = src.read(1 << 16)
         if not chunk:
             break
