@@ -39,7 +39,10 @@ class SchemaStore:
     def _load(self) -> tuple[int, T.StructType | None]:
         import pyarrow.fs as pafs
 
-        fs, base = self._fs()
+        try:
+            fs, base = self._fs()
+        except Exception:  # a scheme Arrow cannot open: read the history with Spark
+            return self._load_with_spark()
         info = fs.get_file_info(base)
         if info.type == pafs.FileType.NotFound:
             return 0, None
@@ -52,6 +55,16 @@ class SchemaStore:
             row = json.loads(fh.read().decode("utf-8").strip().splitlines()[0])
         return int(row["version"]), T.StructType.fromJson(json.loads(row["schema_json"]))
 
+    def _load_with_spark(self) -> tuple[int, T.StructType | None]:
+        try:
+            row = (self.spark.read.schema(_HISTORY_SCHEMA).json(self.path)
+                   .orderBy(F.col("version").desc()).select("version", "schema_json").first())
+        except AnalysisException:
+            row = None
+        if row is None:
+            return 0, None
+        return int(row.version), T.StructType.fromJson(json.loads(row.schema_json))
+
     def latest(self) -> T.StructType | None:
         if self._cache is None:
             self._cache = self._load()
@@ -66,7 +79,13 @@ class SchemaStore:
         import uuid
 
         v = self.version() + 1
-        fs, base = self._fs()
+        try:
+            fs, base = self._fs()
+        except Exception:  # a scheme Arrow cannot open: append the version with Spark
+            (self.spark.createDataFrame([(v, int(batch_id), schema.json())], _HISTORY_SCHEMA)
+             .coalesce(1).write.mode("append").json(self.path))
+            self._cache = (v, schema)
+            return v
         fs.create_dir(base, recursive=True)
         line = json.dumps({"version": v, "batch_id": int(batch_id), "schema_json": schema.json()})
         tmp = f"{base}/_tmp_{uuid.uuid4().hex}"

@@ -91,7 +91,14 @@ def _ship(spark: SparkSession, sc) -> None:
     from .sources.landing_writer import resolve_fs
 
     folder = f"{work_root(spark)}/loamflow/_pyfiles"
-    fs, base_path, _ = resolve_fs(folder)
+    try:
+        fs, base_path, _ = resolve_fs(folder)
+    except Exception:  # a scheme Arrow cannot open: rely on --py-files / an installed wheel
+        import warnings
+
+        warnings.warn(f"cannot write the package zip below {folder}; deploy loamflow to the "
+                      f"workers with --py-files or as an installed package")
+        return
     fs.create_dir(base_path, recursive=True)
     target = f"{base_path}/loamflow-{digest}.zip"
     if fs.get_file_info(target).type.name == "NotFound":

@@ -78,3 +78,13 @@ def test_nested_evolution_and_alignment(spark):
     bad = spark.createDataFrame([({"x": "oops"},)], clash)
     r = S.align_and_rescue(bad, tracked).first()
     assert r.doc is None and r._rescued_data == '{"doc":{"x":"oops"}}'
+
+
+def test_schema_store_spark_fallback(spark, run_dir, monkeypatch):
+    st = S.SchemaStore(spark, f"{run_dir}/schemas/fb")
+    monkeypatch.setattr(S.SchemaStore, "_fs", lambda self: (_ for _ in ()).throw(OSError("no such scheme")))
+    assert st.latest() is None
+    s1 = T.StructType([T.StructField("a", T.LongType())])
+    st.save(s1, 0)
+    fresh = S.SchemaStore(spark, f"{run_dir}/schemas/fb")
+    assert fresh.latest() == s1 and fresh.version() == 1
