@@ -100,6 +100,9 @@ def supervise(spark: SparkSession, spec: CollectionSpec, layout: Layout, run_id:
     restarts = schema_restarts = 0
     attempts = []
     handler = BatchHandler(spec, layout, evolve)
+    # one scheduler pool per collection (used when spark.scheduler.mode=FAIR), so a large
+    # collection's jobs do not hold back the small jobs of the others
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"raw_{spec.name}")
     n = 0
     while True:
         n += 1
