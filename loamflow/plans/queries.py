@@ -20,8 +20,8 @@ from ..sources import landing as L
 from ..sources.landing_writer import block_file_key, write_landing
 from ..sources.results import read_results_json, write_results_json
 from ..streaming import measure as M
-from ..streaming.drain import (drain, outcome_counts, raw_union, report_and_raise, row_counts,
-                               specs_from_resolved)
+from ..streaming.drain import (drain, ingested_file_table, outcome_counts, raw_union,
+                               report_and_raise, row_counts, specs_from_resolved)
 from ..streaming.ingest import CollectionSpec, Layout, read_raw
 from .resolve import resolve
 
@@ -318,8 +318,8 @@ def backlog_anti(spark, sf_dir):
     specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
     drain(spark, specs, run.layout, backoff_seconds=1)
     run.land(landing_frame(ev.where(~early)))
-    ingested = raw_union(spark, run.layout, specs, columns=["_source_file"])
-    pending = L.backlog(run.files(), ingested)
+    # what the streams wrote, from their small per-batch file manifests (no raw scan)
+    pending = L.backlog(run.files(), ingested_file_table(spark, run.layout, specs), "path")
     return pending.groupBy("collection").agg(F.count(F.lit(1)).alias("backlog_files"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from .. import config
 from ..functions import names as N
-from .ingest import BatchHandler, CollectionSpec, Layout, read_raw, start_ingest
+from .ingest import BatchHandler, CollectionSpec, Layout, ingested_files, read_raw, start_ingest
 
 OUTCOME_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -245,3 +245,14 @@ def drain_waves(spark: SparkSession, specs: list[CollectionSpec], layout: Layout
     for o, a in zip(outs[1:], atts[1:]):
         out, att = out.unionByName(o), att.unionByName(a)
     return out, att
+
+
+def ingested_file_table(spark: SparkSession, layout: Layout, specs: list[CollectionSpec]) -> DataFrame:
+    """(collection, batch_id, path) over the file manifests of all collections."""
+    out = None
+    for sp in specs:
+        df = ingested_files(spark, layout, sp.name).withColumn("collection", F.lit(sp.collection))
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        return spark.createDataFrame([], "batch_id bigint, path string, collection string")
+    return out

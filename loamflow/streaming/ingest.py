@@ -70,6 +70,9 @@ class Layout:
     def checkpoint_path(self, name: str) -> str:
         return f"{self.checkpoint_root.rstrip('/')}/{self.prefix}raw/{name}"
 
+    def files_path(self, name: str) -> str:
+        return f"{self.checkpoint_root.rstrip('/')}/{self.prefix}files/{name}"
+
     def schema_path(self, name: str) -> str:
         return f"{self.checkpoint_root.rstrip('/')}/{self.prefix}schemas/{name}"
 
@@ -292,6 +295,8 @@ class BatchHandler:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(config.BATCH_COLUMN).parquet(self.layout.raw_path(self.spec.name)))
         t = self._tick("write", t)
+        write_file_manifest(spark, self.layout.files_path(self.spec.name), batch_id,
+                            [p for _s, paths in groups for p in paths])
         if tracked is None or new_tracked != tracked:
             self.store.save(new_tracked, batch_id)
         self._tick("schema_save", t)
@@ -343,6 +348,42 @@ def tracked_schema(spark: SparkSession, layout: Layout, name: str) -> T.StructTy
     return S.SchemaStore(spark, layout.schema_path(name)).latest()
 
 
+FILES_SCHEMA = "batch_id BIGINT, path STRING"
+
+
+def write_file_manifest(spark: SparkSession, folder: str, batch_id: int, paths: list[str]) -> None:
+    """The files of one micro-batch (already on the driver, at most the tier's file cap) as
+    one small JSON-lines file named after the batch id, so a replay rewrites it in place.
+    Written through the shared file system; Spark's writer where Arrow cannot open it."""
+    import json as _json
+    import uuid as _uuid
+
+    from ..sources.landing_writer import resolve_fs
+
+    lines = "".join(_json.dumps({"batch_id": int(batch_id), "path": p}) + "\n" for p in paths)
+    try:
+        fs, base, _ = resolve_fs(folder)
+    except Exception:
+        (spark.createDataFrame([(int(batch_id), p) for p in paths], FILES_SCHEMA)
+         .coalesce(1).write.mode("overwrite").json(f"{folder}/batch={int(batch_id)}"))
+        return
+    fs.create_dir(base, recursive=True)
+    tmp = f"{base}/_tmp_{_uuid.uuid4().hex}"
+    with fs.open_output_stream(tmp) as out:
+        out.write(lines.encode("utf-8"))
+    fs.move(tmp, f"{base}/batch-{int(batch_id):012d}.json")
+
+
+def ingested_files(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """(batch_id, path) of every file a collection's stream has written: a small table,
+    so backlog questions never scan the raw data."""
+    try:
+        return (spark.read.schema(FILES_SCHEMA).option("recursiveFileLookup", "true")
+                .json(layout.files_path(name)))
+    except AnalysisException:
+        return spark.createDataFrame([], FILES_SCHEMA)
+
+
 def read_raw(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
     """Raw dataset with the latest tracked schema (older batches: new columns NULL).
     None when nothing was ingested yet."""

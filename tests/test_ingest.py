@@ -110,6 +110,13 @@ def test_replay_of_a_batch_is_idempotent(spark, run_dir):
     h(files, 0)
     h(files, 0)          # the same batch again, as after a crash before the commit
     assert read_raw(spark, lay, "r").count() == 3
+    from loamflow.streaming.ingest import ingested_files
+
+    man = ingested_files(spark, lay, "r").collect()
+    assert len(man) == 1 and man[0].batch_id == 0
+    raw_files = read_raw(spark, lay, "r").select(L.normalize_path("_source_file").alias("p")).distinct()
+    assert [r.p for r in raw_files.collect()] == [
+        r.p for r in ingested_files(spark, lay, "r").select(L.normalize_path("path").alias("p")).collect()]
 
 
 def test_prefix_siblings_and_mixed_formats(spark, run_dir):
