@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -247,6 +248,11 @@ def evolve_for_batch(frames: list[DataFrame], fmt: str, tracked: T.StructType |
     return S.evolve(tracked, [T.StructType([T.StructField(c, types[c]) for c in new_cols])])
 
 
+def _has_new_text_columns(groups: list[tuple[str, list[str]]], tracked: T.StructType | None) -> bool:
+    known = {f.name.lower() for f in tracked.fields} if tracked is not None else set()
+    return any(n.lower() not in known for sig, _p in groups for n in header_names(sig))
+
+
 def finish(df: DataFrame, tracked: T.StructType) -> DataFrame:
     """Lineage columns and final column order of a raw dataset."""
     out = df.withColumns({"_ingested_at": F.current_timestamp(),
@@ -286,6 +292,10 @@ class BatchHandler:
             return
         frames = [read_group(spark, self.spec.fmt, paths, sig) for sig, paths in groups]
         t = self._tick("read_plan", t)
+        cached = self.spec.fmt == "csv" and (self.evolve or tracked is None) and \
+            _has_new_text_columns(groups, tracked)
+        if cached:  # inference and write would otherwise read and parse the files twice
+            frames = [fr.persist(StorageLevel.MEMORY_AND_DISK) for fr in frames]
         new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve)
         t = self._tick("evolve", t)
         aligned = [S.align_and_rescue(fr, new_tracked, text_source=self.spec.fmt == "csv")
@@ -295,6 +305,9 @@ class BatchHandler:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(config.BATCH_COLUMN).parquet(self.layout.raw_path(self.spec.name)))
         t = self._tick("write", t)
+        if cached:
+            for fr in frames:
+                fr.unpersist()
         write_file_manifest(spark, self.layout.files_path(self.spec.name), batch_id,
                             [p for _s, paths in groups for p in paths])
         if tracked is None or new_tracked != tracked:
