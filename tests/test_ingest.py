@@ -349,3 +349,19 @@ def test_nested_columns_evolve_through_the_stream(spark, run_dir):
     ingest_available(spark, spec, lay)
     rows = sorted((r.id, r.doc.x, r.doc.y, r._rescued_data) for r in read_raw(spark, lay, "n").collect())
     assert rows == [(1, 1, None, None), (2, 2, "new", None)]
+
+
+def test_measure_no_files_row(spark, run_dir):
+    root = f"{run_dir}/landing"
+    d = _dir(root, "j")
+    with open(f"{d}/1735689600000_j_00_00.json", "w") as f:
+        f.write('{"a": 1}\n')
+    _pq(root, "j_child", "1735689600000_c_00_00.parquet", {"a": [1, 2]})
+    topics = O.topics_frame(spark, [("j", "low", 0)])
+    res = measure(spark, root, DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
+    got = {r.collection: (r.status, r.format, r.file_count, r.micro_batches, r.rows_seen, r.drain_seconds,
+                          r.batch_details_json) for r in res["measurements"].collect()}
+    assert got["j"] == ("NO_FILES", None, 0, 0, 0, 0.0, "[]")
+    assert got["j_child"][:5] == ("OK", "parquet", 1, 1, 2)
+    proj = {r.max_workers: r.simple_ceil_collection_rounds for r in res["projections"].collect()}
+    assert proj == {4: 1, 6: 1, 8: 1, 12: 1, 16: 1}       # only the OK collection counts
