@@ -82,6 +82,8 @@ def main(argv=None) -> int:
     i.add_argument("--pause-seconds", type=_positive("pause_seconds"), default=120)
     i.add_argument("--shard-count", type=_positive("shard_count"), default=1)
     i.add_argument("--shard-index", type=_nonneg, default=0)
+    i.add_argument("--schema-evolution", choices=["addNewColumns", "none"], default="addNewColumns",
+                   help="none: schema frozen at first inference, new columns go to _rescued_data")
 
     m = sub.add_parser("measure", help="listing-only or count-only drain measurement")
     m.add_argument("--source-root", required=True)
@@ -118,10 +120,12 @@ def main(argv=None) -> int:
                            a.shard_count, a.shard_index)
         resolution_counts(resolved).show(truncate=False)
         specs = specs_from_resolved(resolved)
+        evolve = a.schema_evolution == "addNewColumns"
         if a.trigger == "waves":
-            outcomes, _ = drain_waves(spark, specs, layout, a.waves, a.pause_seconds, a.max_concurrent)
+            outcomes, _ = drain_waves(spark, specs, layout, a.waves, a.pause_seconds, a.max_concurrent,
+                                      evolve)
         else:
-            outcomes, _ = drain(spark, specs, layout, None, a.max_concurrent, a.trigger)
+            outcomes, _ = drain(spark, specs, layout, None, a.max_concurrent, a.trigger, evolve)
         outcomes.orderBy("collection").show(200, truncate=False)
         report_and_raise(outcomes)
         row_counts(spark, layout, specs).orderBy("collection").show(200, truncate=False)
