@@ -3,8 +3,9 @@
 "Landed" queries write rows of ``events`` below a fresh folder of the shared work root in
 the landing layout (collections ``events_<event_type>``, ``signup`` as CSV, timestamps as
 epoch microseconds, at most ``ROWS_PER_FILE`` rows per file), stream them in, and query the
-result. Each function takes (spark, sf_dir) and returns a DataFrame; ``ORACLE_SQL`` holds
-the DuckDB twin of each, with the same column names."""
+result; every landed query lands and drains all collections of the whole table. Each
+function takes (spark, sf_dir) and returns a DataFrame; ``oracle.ORACLE_SQL`` holds the
+DuckDB twin of each (same column names) except the two that carry wall-clock seconds."""
 
 from __future__ import annotations
 
