@@ -75,3 +75,16 @@ def test_shards_round_robin(spark):
     got = {r.collection: r.shard_index for r in O.shard_assignment(sel, 3).collect()}
     # owners sorted a, b, c, d -> 0, 1, 2, 0; children follow their owner
     assert got == {"a": 0, "a_2": 0, "b_1": 1, "c": 2, "d": 0}
+
+
+def test_owner_matches_brute_force_on_random_names(spark):
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab_") for _ in range(n))
+    parents = sorted({word(rng.randint(1, 4)) for _ in range(40)})
+    tiers = [(p, rng.choice(["high", "medium", "low"])) for p in parents]
+    names = sorted({word(rng.randint(1, 9)) for _ in range(500)})
+    got = _owner_map(spark, names, tiers)
+    for n in names:
+        assert got[n] == _brute(n, tiers), n
