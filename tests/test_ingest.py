@@ -363,5 +363,9 @@ def test_measure_no_files_row(spark, run_dir):
                           r.batch_details_json) for r in res["measurements"].collect()}
     assert got["j"] == ("NO_FILES", None, 0, 0, 0, 0.0, "[]")
     assert got["j_child"][:5] == ("OK", "parquet", 1, 1, 2)
+    size = os.path.getsize(f"{_dir(root, 'j_child')}/1735689600000_c_00_00.parquet")
+    child = res["measurements"].where("collection = 'j_child'").first()
+    assert (child.total_bytes, child.collection_dirs_checked) == (size, 1)
+    assert res["summary"].first().visible_bytes == size
     proj = {r.max_workers: r.simple_ceil_collection_rounds for r in res["projections"].collect()}
     assert proj == {4: 1, 6: 1, 8: 1, 12: 1, 16: 1}       # only the OK collection counts
