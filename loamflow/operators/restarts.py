@@ -27,7 +27,9 @@ def restart_verdict(attempts: DataFrame, stream_col: str = "collection", order_c
                     max_schema_restarts: int = config.MAX_SCHEMA_RESTARTS,
                     healthy_seconds: float = config.HEALTHY_RESET_SECONDS,
                     width: int = 1 << 16) -> DataFrame:
-    """(stream, verdict, decided_at, genuine_restarts, schema_restarts, attempts_seen)."""
+    """(stream, verdict, decided_at, genuine_restarts, schema_restarts, attempts_logged).
+    ``order_col`` must be unique within a stream (attempt numbers are); ties would make the
+    running counters depend on an arbitrary order."""
     kind = F.col(kind_col)
     a = attempts.select(
         F.col(stream_col).alias("_s"), F.col(order_col).alias("_o"), kind.alias("_k"),

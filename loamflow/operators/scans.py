@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, str] | None = None,
             maxes: dict[str, str] | None = None, width: int = 1 << 16) -> DataFrame:
     """``df`` plus inclusive running sums (``sums``: out -> column) and running maxima
-    (``maxes``: out -> column) per ``keys`` in ``order`` (unique within keys)."""
+    (``maxes``: out -> column) per ``keys`` in ``order`` (unique within keys; ``width`` then
+    also bounds the rows of one (key, bucket) window partition)."""
     sums = sums or {}
     maxes = maxes or {}
     b = F.floor(F.col(order) / F.lit(int(width))).cast("long")
