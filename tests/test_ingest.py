@@ -59,6 +59,23 @@ def test_synthesize_resolve_drain(spark, run_dir):
         s.collection: 3000 for s in specs}
     vk = read_raw(spark, lay, "videokycs")
     assert dict(vk.dtypes)["attemptCount"] == "bigint"
+    a = vk.agg(F.min("attemptCount"), F.max("attemptCount")).first()
+    assert 1 <= a[0] <= a[1] <= 5
+    tx = read_raw(spark, lay, "transactions")
+    chk = tx.agg(
+        F.min("amount").alias("lo"), F.max("amount").alias("hi"),
+        F.count_if(F.round("amount", 2) != F.col("amount")).alias("not2dp"),
+        F.count_if(~F.col("status").isin("PENDING", "COMPLETED", "FAILED", "REVERSED")).alias("badst"),
+        F.count_if(~F.col("_id").rlike("^txn_[1-9][0-9]{5}$")).alias("badid"),
+        F.count_if(~F.col("userId").rlike("^usr_[1-9][0-9]{4}$")).alias("badusr"),
+        F.min("ts").alias("ts0"), F.max("ts").alias("ts1")).first()
+    assert 10.0 <= chk.lo <= chk.hi <= 50000.0
+    assert (chk.not2dp, chk.badst, chk.badid, chk.badusr) == (0, 0, 0, 0)
+    day0 = 1735689600000                                   # 2025-01-01 UTC
+    assert day0 <= chk.ts0 and chk.ts1 <= day0 + 2 * 86400000 + 3600000
+    otp = read_raw(spark, lay, "otps")
+    assert dict(otp.dtypes)["verified"] == "boolean"
+    assert otp.where(~F.col("phone").rlike("^9[0-9]{9}$")).count() == 0
     assert vk.where("_file_epoch_ms IS NULL OR _rescued_data IS NOT NULL").count() == 0
     # rerun without new files: nothing new
     outcomes2, _ = drain(spark, specs, lay, backoff_seconds=0)
