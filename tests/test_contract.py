@@ -24,7 +24,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", ["file_epoch", "longest_prefix_owner", "shard_membership",
                                   "topic_dedupe", "name_normalise", "makespan", "restart_verdict",
-                                  "failure_kind", "listing_stats", "evolved_columns"])
+                                  "failure_kind", "listing_stats", "evolved_columns",
+                                  "batch_rows_json", "raw_content"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("part", "orders", "customer", "nation", "documents", "pages", "events"):
