@@ -25,7 +25,10 @@ def get_spark(master: str | None = None, cores: int | None = None,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("LOAMFLOW_DRIVER_MEMORY", "8g"))
-         .config("spark.sql.streaming.stopActiveRunOnRestart", "true"))
+         .config("spark.sql.streaming.stopActiveRunOnRestart", "true")
+         # local file system: stat a micro-batch's files (<= 3000) on the driver instead of
+         # launching a listing job; clusters on object stores keep Spark's default (32)
+         .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "3000"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
