@@ -145,3 +145,43 @@ def ngram_hashes(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray
     for j in range(n):
         h = mix64(h * np.uint64(0xFF51AFD7ED558CCD) + words[at + j])
     return h, at
+
+
+#: Slots of the id filter below: 2 MB whatever the table.
+FILTER_SLOTS = 1 << 24
+
+
+def _slot(col) -> F.Column:
+    return F.pmod(F.xxhash64(col), F.lit(FILTER_SLOTS)).cast("int")
+
+
+def id_filter(ids: DataFrame, key: str) -> np.ndarray:
+    """A fixed-size bitmap of the hashed ids of a table: a test against it has false positives
+    but no false negatives. Spark ors 64 slots into a word, so at most 2**18 rows come here."""
+    words = (ids.select(_slot(F.col(key)).alias("slot")).distinct()
+             .groupBy((F.col("slot") / 64).cast("int").alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("bits")).toArrow())
+    out = np.zeros(FILTER_SLOTS // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def maybe_in(rows: DataFrame, bits: np.ndarray, key: str, keep: bool = True) -> DataFrame:
+    """Rows whose key may be among the filter's ids (``keep``), or that surely aren't."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    names = rows.columns
+
+    def run(batches):
+        have = shared.value
+        for batch in batches:
+            slot = batch.column(len(names)).to_numpy()
+            hit = (have[slot >> 6] >> (slot & 63)) & 1 == 1
+            yield batch.filter(pa.array(hit == keep)).select(range(len(names)))
+    return map_arrow(rows.withColumn("__slot", _slot(F.col(key))), run, rows.schema)
+
+
+def semi_join_text(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Join texts with a narrow table on doc_id: rows that the id filter rules out aren't
+    shuffled; the join itself is exact. ``ids`` holds one row an id."""
+    ids = materialize(ids, "ids")
+    return maybe_in(docs, id_filter(ids, "doc_id"), "doc_id").join(ids, "doc_id")

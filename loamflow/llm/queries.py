@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, warc
+from . import chunking, mixing, warc
 from .common import table
 
 
@@ -19,7 +19,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op5_mix_sources)}
+def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op5_mix_sources, op7_chunk_fingerprints)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": warc.ORACLE_WARC,
