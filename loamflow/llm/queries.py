@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, mixing, warc
+from . import chunking, mixing, quality, toxicity, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -23,7 +27,12 @@ def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.compare_with_next(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op5_mix_sources, op7_chunk_fingerprints)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_quality, op5_mix_sources, op7_chunk_fingerprints,
+                                   op9_toxicity)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": warc.ORACLE_WARC,
