@@ -2,7 +2,8 @@
 linear hinge-loss model by dual coordinate descent, with a logistic calibration.
 
 * Counts: all labelled training rows, in Spark (each task sums its own counts, one shuffle by
-  feature adds them); the table has 2**BITS features whatever the corpus.
+  feature adds them); the table has 2**BITS features whatever the corpus. Features whose
+  counts don't tell the classes apart (log-likelihood ratio test) get the ratio 0.
 * Fit: a bounded sample of labelled rows (``sample`` rows by smallest hash of the id), as
   hashed features; three quarters fit the hinge-loss model, the rest its calibration.
 * Score: one pass over every whole text with the 2**BITS weights.
@@ -18,22 +19,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, blocks, map_arrow, semi_join_text
+from .common import LOWER, blocks, map_arrow, materialize, semi_join_text
 
-BITS = 18
+BITS = 20
 N_FEATURES = 1 << BITS
 #: Rows of a block, so that (row, feature) fits 32 bits.
 MAX_ROWS = 1 << (31 - BITS)
-SAMPLE_ROWS = 4_000
-MIN_DOCS = 3
+SAMPLE_ROWS = 8_000
+#: Least log-likelihood ratio statistic of a feature (16: four standard deviations).
+MIN_G2 = 16.0
 SMOOTHING = 1.0
-C = 0.1
+C = 0.05
 EPOCHS = 30
 #: The share of ids whose labels are learnt from: crc32(id as text) mod FOLDS is not HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
 
-#: Distinct (row << BITS | feature) of a block of texts, ascending.
-Features = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: (bytes, offsets, keep) -> distinct (row << BITS | feature) of a block of texts, ascending;
+#: where ``keep`` is given, of the features it marks only.
+Features = Callable[[np.ndarray, np.ndarray, np.ndarray | None], np.ndarray]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -41,11 +44,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def hashed(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Key of hashed feature ``h`` (32 bits) in row ``rows``."""
+def hashed(h: np.ndarray, rows: np.ndarray, keep: np.ndarray | None) -> np.ndarray:
+    """Keys of the features of hashes ``h`` (32 bits) in rows ``rows``."""
     h = h ^ (h >> np.uint32(15))
     h = h * np.uint32(0x85EBCA6B)
     h = (h ^ (h >> np.uint32(13))) >> np.uint32(32 - BITS)
+    if keep is not None:
+        at = keep[h]
+        h, rows = h[at], rows[at]
     return (rows.astype(np.uint32) << np.uint32(BITS)) | h
 
 
@@ -56,7 +62,7 @@ def distinct(keys: list[np.ndarray]) -> np.ndarray:
 
 def char_ngrams(sizes: tuple[int, ...]) -> Features:
     """Byte n-grams of the text with A-Z lowered; none crosses two texts."""
-    def features(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    def features(raw: np.ndarray, off: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
         low = LOWER[raw].astype(np.uint32) + np.uint32(1)
         row = np.repeat(np.arange(len(off) - 1, dtype=np.uint32), np.diff(off))
         keys = []
@@ -68,7 +74,7 @@ def char_ngrams(sizes: tuple[int, ...]) -> Features:
             for j in range(n):
                 h = h * np.uint32(0x01000193) + low[j:j + m]
             inside = row[:m] == row[n - 1:]
-            keys.append(hashed(h[inside], row[:m][inside]))
+            keys.append(hashed(h[inside], row[:m][inside], keep))
         return distinct(keys)
     return features
 
@@ -76,12 +82,12 @@ def char_ngrams(sizes: tuple[int, ...]) -> Features:
 def featured(features: Features):
     """(row, row's features) over Arrow batches of (…, text): yields (batch, first row, end row,
     keys) with the rows of keys counted from the first row."""
-    def run(batch: pa.RecordBatch):
+    def run(batch: pa.RecordBatch, keep: np.ndarray | None = None):
         for a, b, raw, off in blocks(batch.column("text")):
             for c in range(a, b, MAX_ROWS):
                 d = min(b, c + MAX_ROWS)
                 base = off[c - a]
-                yield c, d, features(raw[base:off[d - a]], off[c - a:d - a + 1] - base)
+                yield c, d, features(raw[base:off[d - a]], off[c - a:d - a + 1] - base, keep)
     return run
 
 
@@ -131,20 +137,31 @@ def count_features(labelled: DataFrame, features: Features) -> tuple[np.ndarray,
     return out[0], out[1]
 
 
-def log_count_ratios(zero: np.ndarray, one: np.ndarray, smoothing: float = SMOOTHING,
-                     min_docs: int = MIN_DOCS) -> np.ndarray:
+def log_count_ratios(zero: np.ndarray, one: np.ndarray, zeros: int, ones: int,
+                     smoothing: float = SMOOTHING, min_g2: float = MIN_G2) -> np.ndarray:
+    """log(p/|p|) - log(q/|q|) of the smoothed counts; 0 for features below ``min_g2``."""
     p, q = one + smoothing, zero + smoothing
     r = np.log(p / p.sum()) - np.log(q / q.sum())
-    return np.where(zero + one >= min_docs, r, 0.0)
+    n, seen = max(zeros + ones, 1), zero + one
 
+    def part(have, total):
+        want = have * 0.0 + total
+        return np.where(have > 0, have * np.log(np.maximum(have, 1e-9) / np.maximum(want, 1e-9)), 0.0)
+    g2 = 2 * (part(one, seen * ones / n) + part(zero, seen * zeros / n)
+              + part(ones - one, (n - seen) * ones / n) + part(zeros - zero, (n - seen) * zeros / n))
+    return np.where(g2 >= min_g2, r, 0.0)
 
-def sample_features(labelled: DataFrame, features: Features, rows: int) -> list[tuple[int, np.ndarray]]:
-    """(label, features) of the ``rows`` labelled rows (doc_id, label, text) of smallest id hash."""
+
+def sample_features(labelled: DataFrame, features: Features, rows: int,
+                    keep: np.ndarray) -> list[tuple[int, bytes]]:
+    """(label, kept features) of the ``rows`` labelled rows (doc_id, label, text) of smallest id hash (and any of
+    equal hash)."""
     run = featured(features)
+    shared = labelled.sparkSession.sparkContext.broadcast(keep)
 
     def emit(batches):
         for batch in batches:
-            for a, b, keys in run(batch):
+            for a, b, keys in run(batch, shared.value):
                 cut = np.searchsorted(keys >> np.uint32(BITS), np.arange(b - a + 1))
                 f = (keys & np.uint32(N_FEATURES - 1)).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
@@ -152,9 +169,11 @@ def sample_features(labelled: DataFrame, features: Features, rows: int) -> list[
                      pa.array([f[cut[i]:cut[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["label", "f"])
 
     # the texts of the sample alone are featured: their rank is decided on ids
-    chosen = (labelled.withColumn("rank", F.xxhash64("doc_id", F.length("text"), "label"))
-              .orderBy("rank", "doc_id").limit(rows))
-    got = map_arrow(chosen.select("label", "text"), emit, "label int, f binary").collect()
+    rank = F.xxhash64("doc_id", "label")
+    cut = labelled.select(rank.alias("rank")).orderBy("rank").limit(rows).agg(F.max("rank")).first()[0]
+    if cut is None:
+        return []
+    got = map_arrow(labelled.where(rank <= cut).select("label", "text"), emit, "label int, f binary").collect()
     return sorted((r.label, bytes(r.f)) for r in got)
 
 
@@ -204,18 +223,15 @@ def fit(labelled: DataFrame, features: Features, sample: int = SAMPLE_ROWS, c: f
     """Train on ``labelled`` (doc_id, label 0 or 1, text). Without rows of both labels the model
     gives the smoothed share of label 1 to every text."""
     zero, one = count_features(labelled, features)
-    rows = sample_features(labelled, features, sample)
+    n = dict(labelled.groupBy("label").count().collect())
+    r = log_count_ratios(zero, one, n.get(0, 0), n.get(1, 0))
+    rows = sample_features(labelled, features, sample, r != 0)
     y = np.array([1.0 if label == 1 else -1.0 for label, _ in rows])
     share = ((y > 0).sum() + 1) / (len(y) + 2)
     prior = Model(np.zeros(N_FEATURES, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
     if len(set(y.tolist())) < 2:
         return prior
-    r = log_count_ratios(zero, one)
-    x = []
-    for _, f in rows:
-        at = np.frombuffer(f, "<u4").astype(np.int64)
-        at = at[r[at] != 0]
-        x.append((at, r[at]))
+    x = [(at, r[at]) for at in (np.frombuffer(f, "<u4").astype(np.int64) for _, f in rows)]
     part = np.random.default_rng(0).permutation(len(y)) % 4
     train, rest = np.flatnonzero(part > 0), np.flatnonzero(part == 0)
     if len(set(y[train].tolist())) < 2:
@@ -234,7 +250,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
              .where("label = most").drop("most"))
-    return semi_join_text(docs, known)
+    # read by the counts, by their totals and by the sample
+    return materialize(semi_join_text(docs, known), "labelled")
 
 
 def score(docs: DataFrame, model: Model, features: Features) -> DataFrame:
@@ -244,8 +261,9 @@ def score(docs: DataFrame, model: Model, features: Features) -> DataFrame:
 
     def emit(batches):
         m = shared.value
+        keep = m.weights != 0
         for batch in batches:
-            got = [m.scores(keys, b - a) for a, b, keys in run(batch)]
+            got = [m.scores(keys, b - a) for a, b, keys in run(batch, keep)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.concatenate(got) if got else np.empty(0))], ["doc_id", "score"])
     return map_arrow(docs, emit, "doc_id long, score double")

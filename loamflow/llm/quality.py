@@ -40,12 +40,12 @@ def shapes(raw: np.ndarray, s: np.ndarray, e: np.ndarray, word: np.ndarray, doc:
     return code.astype(np.uint64) + np.uint64(1)
 
 
-def features(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+def features(raw: np.ndarray, off: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
     """Words (A-Z lowered), and runs of one to three word shapes."""
     s, e, doc = word_spans(raw, off)
     word = word_hashes(LOWER[raw], s, e)
     shape = shapes(raw, s, e, word, doc) if len(s) else word
-    keys = [nbsvm.hashed((word >> np.uint64(32)).astype(np.uint32), doc)]
+    keys = [nbsvm.hashed((word >> np.uint64(32)).astype(np.uint32), doc, keep)]
     for n in (1, 2, 3):
         m = len(s) - n + 1
         if m > 0:
@@ -54,7 +54,7 @@ def features(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
                 h = h * np.uint64(0x100000001B3) + shape[j:j + m]
             h = h * np.uint64(0xD6E8FEB86659FD93)
             inside = doc[:m] == doc[n - 1:]
-            keys.append(nbsvm.hashed((h >> np.uint64(32)).astype(np.uint32)[inside], doc[:m][inside]))
+            keys.append(nbsvm.hashed((h >> np.uint64(32)).astype(np.uint32)[inside], doc[:m][inside], keep))
     return nbsvm.distinct(keys)
 
 

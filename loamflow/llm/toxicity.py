@@ -10,7 +10,7 @@ from . import nbsvm
 from .common import keyed_text
 
 THRESHOLD = 0.3
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6, 7)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPLE_ROWS,
