@@ -267,3 +267,18 @@ def score(docs: DataFrame, model: Model, features: Features) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.concatenate(got) if got else np.empty(0))], ["doc_id", "score"])
     return map_arrow(docs, emit, "doc_id long, score double")
+
+
+def keep_scoring(docs: DataFrame, model: Model, features: Features, threshold: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``; no shuffle."""
+    run = featured(features)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS weights
+
+    def emit(batches):
+        m = shared.value
+        keep = m.weights != 0
+        for batch in batches:
+            got = [m.scores(keys, b - a) for a, b, keys in run(batch, keep)]
+            if got:
+                yield batch.filter(pa.array(np.concatenate(got) >= threshold))
+    return map_arrow(docs, emit, docs.schema)

@@ -70,3 +70,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPLE
     return nbsvm.score(texts, model, features).select(
         "doc_id", nbsvm.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPLE_ROWS,
+              threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
+    model = nbsvm.fit(nbsvm.labelled_texts(keyed_text(docs), labels, "quality"), features, sample)
+    return nbsvm.keep_scoring(docs, model, features, threshold)

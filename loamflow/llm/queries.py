@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, mixing, quality, toxicity, warc
+from . import chunking, mixing, quality, secrets, toxicity, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest_columns(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,7 +35,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op3_quality, op5_mix_sources, op7_chunk_fingerprints,
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quality, op5_mix_sources, op7_chunk_fingerprints,
                                    op9_toxicity)}
 
 ORACLE_SQL = {
