@@ -152,12 +152,11 @@ def log_count_ratios(zero: np.ndarray, one: np.ndarray, zeros: int, ones: int,
     return np.where(g2 >= min_g2, r, 0.0)
 
 
-def sample_features(labelled: DataFrame, features: Features, rows: int,
+def sample_features(docs: DataFrame, known: DataFrame, features: Features, rows: int,
                     keep: np.ndarray) -> list[tuple[int, bytes]]:
-    """(label, kept features) of the ``rows`` labelled rows (doc_id, label, text) of smallest id hash (and any of
-    equal hash)."""
+    """(label, kept features) of the texts of the ``rows`` training ids of smallest hash."""
     run = featured(features)
-    shared = labelled.sparkSession.sparkContext.broadcast(keep)
+    shared = docs.sparkSession.sparkContext.broadcast(keep)
 
     def emit(batches):
         for batch in batches:
@@ -168,12 +167,9 @@ def sample_features(labelled: DataFrame, features: Features, rows: int,
                     [batch.column("label").slice(a, b - a),
                      pa.array([f[cut[i]:cut[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["label", "f"])
 
-    # the texts of the sample alone are featured: their rank is decided on ids
-    rank = F.xxhash64("doc_id", "label")
-    cut = labelled.select(rank.alias("rank")).orderBy("rank").limit(rows).agg(F.max("rank")).first()[0]
-    if cut is None:
-        return []
-    got = map_arrow(labelled.where(rank <= cut).select("label", "text"), emit, "label int, f binary").collect()
+    # ids alone are ranked; only the chosen texts are featured
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    got = map_arrow(semi_join_text(docs, chosen).select("label", "text"), emit, "label int, f binary").collect()
     return sorted((r.label, bytes(r.f)) for r in got)
 
 
@@ -219,13 +215,15 @@ def calibrate(margin: np.ndarray, one: np.ndarray, rounds: int = 50) -> tuple[fl
     return float(max(b[0], 1e-3)), float(b[1])
 
 
-def fit(labelled: DataFrame, features: Features, sample: int = SAMPLE_ROWS, c: float = C) -> Model:
-    """Train on ``labelled`` (doc_id, label 0 or 1, text). Without rows of both labels the model
-    gives the smoothed share of label 1 to every text."""
-    zero, one = count_features(labelled, features)
-    n = dict(labelled.groupBy("label").count().collect())
+def fit(docs: DataFrame, labels: DataFrame, features: Features, sample: int = SAMPLE_ROWS, c: float = C) -> Model:
+    """Train on the texts of ``docs`` (doc_id, text) with a row in ``labels`` (doc_id, label 0 or 1;
+    one row an id). Without texts of both labels the model gives the smoothed share of label 1
+    to every text."""
+    known = materialize(labels, "training-ids")
+    zero, one = count_features(semi_join_text(docs, known), features)
+    n = dict(docs.select("doc_id").join(known, "doc_id").groupBy("label").count().collect())
     r = log_count_ratios(zero, one, n.get(0, 0), n.get(1, 0))
-    rows = sample_features(labelled, features, sample, r != 0)
+    rows = sample_features(docs, known, features, sample, r != 0)
     y = np.array([1.0 if label == 1 else -1.0 for label, _ in rows])
     share = ((y > 0).sum() + 1) / (len(y) + 2)
     prior = Model(np.zeros(N_FEATURES, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
@@ -243,15 +241,13 @@ def fit(labelled: DataFrame, features: Features, sample: int = SAMPLE_ROWS, c: f
     return Model((w * r).astype(np.float32), bias, slope, offset)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(doc_id, label, text) of the training rows: labelled 0 or 1, not held out. Rows that repeat
-    an id with one label count once; an id labelled both ways is no training row."""
-    known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-             .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-             .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
-             .where("label = most").drop("most"))
-    # read by the counts, by their totals and by the sample
-    return materialize(semi_join_text(docs, known), "labelled")
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the training ids: labelled 0 or 1, not held out. Rows that repeat an id
+    with one label count once; an id labelled both ways is no training row."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+            .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
+            .where("label = most").drop("most"))
 
 
 def score(docs: DataFrame, model: Model, features: Features) -> DataFrame:

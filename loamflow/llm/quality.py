@@ -66,7 +66,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPLE
     gets the score of no features; repeated rows get equal scores; a null id is scored and is
     no training row. Without labels of both kinds all scores are equal."""
     texts = keyed_text(docs)
-    model = nbsvm.fit(nbsvm.labelled_texts(texts, labels, "quality"), features, sample)
+    model = nbsvm.fit(texts, nbsvm.training_labels(labels, "quality"), features, sample)
     return nbsvm.score(texts, model, features).select(
         "doc_id", nbsvm.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -75,5 +75,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPLE
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPLE_ROWS,
               threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores at least ``threshold``."""
-    model = nbsvm.fit(nbsvm.labelled_texts(keyed_text(docs), labels, "quality"), features, sample)
+    model = nbsvm.fit(keyed_text(docs), nbsvm.training_labels(labels, "quality"), features, sample)
     return nbsvm.keep_scoring(docs, model, features, threshold)

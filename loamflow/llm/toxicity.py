@@ -22,7 +22,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = nbsvm.SAMPL
     no training row. Without labels of both kinds all scores are equal."""
     features = nbsvm.char_ngrams(sizes)
     texts = keyed_text(docs)
-    model = nbsvm.fit(nbsvm.labelled_texts(texts, labels, "toxic"), features, sample)
+    model = nbsvm.fit(texts, nbsvm.training_labels(labels, "toxic"), features, sample)
     return nbsvm.score(texts, model, features).select(
         "doc_id", nbsvm.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
