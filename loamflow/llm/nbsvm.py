@@ -28,6 +28,9 @@ MAX_ROWS = 1 << (31 - BITS)
 SAMPLE_ROWS = 8_000
 #: Least log-likelihood ratio statistic of a feature (16: four standard deviations).
 MIN_G2 = 16.0
+#: The model's features: those of greatest statistic. Over a large corpus nearly every n-gram
+#: passes the least one.
+MAX_KEPT = 1 << 13
 SMOOTHING = 1.0
 C = 0.05
 EPOCHS = 30
@@ -138,8 +141,10 @@ def count_features(labelled: DataFrame, features: Features) -> tuple[np.ndarray,
 
 
 def log_count_ratios(zero: np.ndarray, one: np.ndarray, zeros: int, ones: int,
-                     smoothing: float = SMOOTHING, min_g2: float = MIN_G2) -> np.ndarray:
-    """log(p/|p|) - log(q/|q|) of the smoothed counts; 0 for features below ``min_g2``."""
+                     smoothing: float = SMOOTHING, min_g2: float = MIN_G2,
+                     max_kept: int = MAX_KEPT) -> np.ndarray:
+    """log(p/|p|) - log(q/|q|) of the smoothed counts; 0 for features below ``min_g2`` or not
+    among the ``max_kept`` of greatest statistic (and any equal to the last)."""
     p, q = one + smoothing, zero + smoothing
     r = np.log(p / p.sum()) - np.log(q / q.sum())
     n, seen = max(zeros + ones, 1), zero + one
@@ -149,6 +154,8 @@ def log_count_ratios(zero: np.ndarray, one: np.ndarray, zeros: int, ones: int,
         return np.where(have > 0, have * np.log(np.maximum(have, 1e-9) / np.maximum(want, 1e-9)), 0.0)
     g2 = 2 * (part(one, seen * ones / n) + part(zero, seen * zeros / n)
               + part(ones - one, (n - seen) * ones / n) + part(zeros - zero, (n - seen) * zeros / n))
+    if len(g2) > max_kept:
+        min_g2 = max(min_g2, np.partition(g2, -max_kept)[-max_kept])
     return np.where(g2 >= min_g2, r, 0.0)
 
 
@@ -169,8 +176,8 @@ def sample_features(docs: DataFrame, known: DataFrame, features: Features, rows:
 
     # ids alone are ranked; only the chosen texts are featured
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    got = map_arrow(semi_join_text(docs, chosen).select("label", "text"), emit, "label int, f binary").collect()
-    return sorted((r.label, bytes(r.f)) for r in got)
+    got = map_arrow(semi_join_text(docs, chosen).select("label", "text"), emit, "label int, f binary").toArrow()
+    return sorted(zip(got["label"].to_pylist(), got["f"].to_pylist()))
 
 
 def dual_coordinate_descent(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray,

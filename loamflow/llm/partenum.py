@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (LOWER, blocks, id_filter, keyed_text, map_arrow, materialize, maybe_in, mix64,
-                     ngram_hashes, word_hashes, word_spans)
+                     ngram_hashes, utf8, word_hashes, word_spans)
 from .components import connected_components
 
 WORDS = 5
@@ -44,6 +44,7 @@ NUM, DEN = 4, 5
 #: Members of a signature group compared at once.
 BLOCK = 256
 SKETCH = 64
+FACTS = ("cls", "root", "n", "sketch")
 
 
 def shingle_sets(raw: np.ndarray, off: np.ndarray, n: int = WORDS) -> list[np.ndarray]:
@@ -227,59 +228,93 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.join(b, "v").join(a, "u").select("v", "u", "a", "b"), run, "u long, v long")
 
 
-def _near(blocks_of_pairs: DataFrame) -> DataFrame:
-    """Pairs (u, v) between two blocks of a signature group that are of different components
-    and that neither their sizes nor their sketches keep from linking."""
+#: Members a class may be paired with in each round; None: with all that are left.
+ROUNDS = (4, 16, None)
+
+
+def _near(pairs: DataFrame, turn: int, most: int | None) -> DataFrame:
+    """Pairs (u, v) of classes between two blocks of a signature group (columns cls, root, n,
+    sketch, their namesakes ending in 2, and same) that are of different components and that
+    neither sizes nor sketches keep from linking; of each class at most ``most``, dealt by a
+    hash of the pair and the turn."""
     def run(batches):
         for batch in batches:
-            out_u, out_v = [], []
-            for left, right, same in zip(*(batch.column(i) for i in range(3))):
-                a, b = left.as_py(), right.as_py()
-                va, vb = (np.array([m[c] for m in x]) for c in ("cls",) for x in (a, b))
-                ra, rb = (np.array([m["root"] for m in x]) for x in (a, b))
-                na, nb = (np.array([m["n"] for m in x], np.int64) for x in (a, b))
-                sa, sb = (np.frombuffer(b"".join(m["sketch"] for m in x), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-                          for x in (a, b))
-                far = distance(na[:, None], nb[None, :])
-                ok = (ra[:, None] != rb[None, :]) & (np.abs(na[:, None] - nb[None, :]) <= far)
-                if same.as_py():
-                    ok &= np.triu(np.ones(ok.shape, bool), 1)
-                i, j = np.nonzero(ok)
-                for c in range(0, len(i), 4096):
-                    p, q = i[c:c + 4096], j[c:c + 4096]
-                    near = np.abs(sa[p] - sb[q]).sum(1) <= far[p, q]
-                    out_u.append(va[p[near]])
-                    out_v.append(vb[q[near]])
-            if out_u:
-                u, v = np.concatenate(out_u), np.concatenate(out_v)
-                got = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["u", "v"])
-    return map_arrow(blocks_of_pairs, run, "u long, v long").distinct()
+            col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            side = []
+            for end in ("", "2"):
+                flat = col["sketch" + end].flatten()
+                side.append((col["cls" + end].offsets.to_numpy() - col["cls" + end].offsets[0].as_py(),
+                             col["cls" + end].flatten().to_numpy(), col["root" + end].flatten().to_numpy(),
+                             col["n" + end].flatten().to_numpy().astype(np.int64),
+                             utf8(flat)[0].reshape(-1, SKETCH).astype(np.int16)))
+            out = [np.empty((0, 2), np.int64)]
+            for i, same in enumerate(col["same"].to_pylist()):
+                (ca, ra, na, sa), (cb, rb, nb, sb) = ([x[o[i]:o[i + 1]] for x in rest] for o, *rest in side)
+                ok = (ra[:, None] != rb) & (np.abs(na[:, None] - nb) <= distance(na[:, None], nb))
+                if same:
+                    ok = np.triu(ok, 1)
+                p, q = np.nonzero(ok)
+                for c in range(0, len(p), 8192):
+                    x, y = p[c:c + 8192], q[c:c + 8192]
+                    near = np.abs(sa[x] - sb[y]).sum(1) <= distance(na[x], nb[y])
+                    got = np.stack([ca[x[near]], cb[y[near]]], 1)
+                    if most is not None and len(got) > most:
+                        got = _dealt(got, turn, most)
+                    if len(got):
+                        out.append(got)
+            got = np.concatenate(out)
+            got = np.unique(np.stack([got.min(1), got.max(1)], 1), axis=0) if len(got) else got
+            yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["u", "v"])
+    return map_arrow(pairs, run, "u long, v long").distinct()
+
+
+def _dealt(pairs: np.ndarray, turn: int, most: int) -> np.ndarray:
+    """Of each first class the ``most`` pairs of least hash."""
+    h = mix64(pairs[:, 0].astype(np.uint64) ^ mix64(pairs[:, 1].astype(np.uint64) + np.uint64(turn)))
+    pairs = pairs[np.lexsort((h, pairs[:, 0]))]
+    start = np.flatnonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0]))
+    rank = np.arange(len(pairs)) - np.repeat(start, np.diff(np.append(start, len(pairs))))
+    return pairs[rank < most]
 
 
 def set_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (u, v) that join the classes into the components of all links. ``members``:
-    (sig, cls, hub), the classes of every signature that several classes share, and its least."""
+    (sig, cls, hub), the classes of every signature that several classes share, and its least.
+
+    After the hubs, ever more pairs of each group are tried in rounds, in the first rounds
+    within blocks and with the first block only, so that a large group of near copies comes
+    together before the last round takes every pair of different components that is left."""
     shared = members.where("cls <> hub").groupBy("cls", "hub").agg(F.count("*").alias("n"))
     best = shared.groupBy("cls").agg(F.max(F.struct("n", F.col("hub").alias("hub"))).alias("best"))
-    first = materialize(verified(best.select(F.col("best.hub").alias("u"), F.col("cls").alias("v")), sets), "links")
-    roots = connected_components(first)
+    tried = materialize(best.select(F.least("best.hub", "cls").alias("u"), F.greatest("best.hub", "cls").alias("v")), "tried")
+    links = materialize(verified(tried, sets), "links")
     facts = sets.select("cls", "n", "sketch")
-    labelled = (members.select("sig", "cls").join(roots, F.col("cls") == F.col("u"), "left")
-                .select("sig", "cls", F.coalesce("root", "cls").alias("root")))
-    open_ = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo < hi").select("sig"))
-    left = labelled.join(open_, "sig", "left_semi").join(facts, "cls")
     place = Window.partitionBy("sig").orderBy("root", "cls")
-    dealt = (left.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK))
-             .groupBy("sig", "block").agg(F.collect_list(F.struct("cls", "root", "n", "sketch")).alias("m")))
-    dealt = materialize(dealt, "blocks")
-    pairs = (dealt.alias("a").join(dealt.alias("b"), (F.col("a.sig") == F.col("b.sig"))
-                                   & (F.col("a.block") <= F.col("b.block")))
-             .select(F.col("a.m").alias("a"), F.col("b.m").alias("b"),
-                     (F.col("a.block") == F.col("b.block")).alias("same")))
-    second = verified(materialize(_near(pairs), "near"), sets)
-    return materialize(first.unionByName(second), "links")
+    last = Window.partitionBy("sig")
+    for turn, most in enumerate(ROUNDS):
+        links = roots = connected_components(links).select("u", F.col("root").alias("v"))  # as good as all links
+        labelled = (members.select("sig", "cls").join(roots, F.col("cls") == F.col("u"), "left")
+                    .select("sig", "cls", F.coalesce("v", "cls").alias("root")))
+        open_ = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                 .where("lo < hi").select("sig"))
+        dealt = (labelled.join(open_, "sig", "left_semi").join(facts, "cls")
+                 .withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK))
+                 .groupBy("sig", "block").agg(F.sort_array(F.collect_list(F.struct("cls", "root", "n", "sketch"))).alias("m"))
+                 .select("sig", "block", *[F.col(f"m.{c}").alias(c) for c in FACTS]))
+        dealt = materialize(dealt.withColumn("blocks", F.max("block").over(last) + 1), "blocks")
+        # groups of the same members are one; larger groups pair their blocks
+        alone = dealt.where("blocks = 1").dropDuplicates(["cls"]).select(
+            *FACTS, *[F.col(c).alias(c + "2") for c in FACTS], F.lit(True).alias("same"))
+        big = dealt.where("blocks > 1")
+        near_by = (F.col("a.block") == F.col("b.block")) | (F.col("a.block") == 0)
+        across = (big.alias("a").join(big.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.block") <= F.col("b.block"))
+                                      & (near_by if most is not None else F.lit(True)))
+                  .select(*[F.col(f"a.{c}").alias(c) for c in FACTS], *[F.col(f"b.{c}").alias(c + "2") for c in FACTS],
+                          (F.col("a.block") == F.col("b.block")).alias("same")))
+        new = materialize(_near(alone.unionByName(across), turn, most).join(tried, ["u", "v"], "left_anti"), "tried")
+        links = materialize(links.unionByName(verified(new, sets)), "links")
+        tried = tried.unionByName(new)
+    return links
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -311,3 +346,22 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component"))
     return (info.join(rooted.join(least, "root").select("cls", "component"), "cls", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when each group of linked documents keeps the
+    one of smallest doc_id. Of rows that repeat an id and text one stays; an id with several
+    texts stays with all of them if one is its group's smallest; rows without an id stay.
+    Only rows that may have to go are shuffled."""
+    found = materialize(jaccard_components(docs), "components").where("doc_id IS NOT NULL")
+    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"),
+                                      F.count("*").alias("n"))
+    odd = materialize(ids.where("n > 1 OR NOT stays"), "odd-ids")
+    bits = id_filter(odd, "doc_id")
+    names = docs.columns
+    known = odd.select(F.col("doc_id").alias("__id"), "stays", "n")
+    rest = maybe_in(docs, bits, "doc_id").join(known, F.col("doc_id") == F.col("__id"), "left")
+    once = rest.where("n > 1 AND stays").dropDuplicates(["doc_id", "text"])
+    return (maybe_in(docs, bits, "doc_id", keep=False)
+            .unionByName(rest.where("__id IS NULL OR (n = 1 AND stays)").select(*names))
+            .unionByName(once.select(*names)))

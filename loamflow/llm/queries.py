@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, mixing, quality, secrets, toxicity, warc
+from . import chunking, mixing, partenum, quality, secrets, toxicity, warc
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -35,7 +39,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quality, op5_mix_sources, op7_chunk_fingerprints,
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quality, op4_jaccard_join, op5_mix_sources, op7_chunk_fingerprints,
                                    op9_toxicity)}
 
 ORACLE_SQL = {

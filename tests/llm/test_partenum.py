@@ -112,3 +112,13 @@ def test_connected_components(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {x: find(x) for x in up if find(x) != x}
     assert connected_components(spark.createDataFrame([(7, 7)], "u long, v long")).collect() == []
+
+
+def test_one_of_each_group_stays(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "other words here"), (3, "other words here"), (None, "no id"), (4, None),
+            (5, "a b c d e f"), (6, "different text"), (6, "of one id")]
+    df = spark.createDataFrame([(*r, "c", 1, 2, "r") for r in rows], DOCS)
+    got = sorted((str(r.doc_id), r.text) for r in P.one_of_each(df).collect())
+    assert P.one_of_each(df).columns == df.columns
+    assert got == sorted([("1", rows[0][1]), ("3", rows[2][1]), ("None", "no id"), ("4", None), ("6", rows[7][1]), ("6", rows[8][1])], key=lambda x: (x[0], x[1] or ""))
+    assert P.one_of_each(df.limit(0)).collect() == []
