@@ -157,29 +157,53 @@ def _slot(col) -> F.Column:
 
 def id_filter(ids: DataFrame, key: str) -> np.ndarray:
     """A fixed-size bitmap of the hashed ids of a table: a test against it has false positives
-    but no false negatives. Spark ors 64 slots into a word, so at most 2**18 rows come here."""
-    words = (ids.select(_slot(F.col(key)).alias("slot")).distinct()
-             .groupBy((F.col("slot") / 64).cast("int").alias("word"))
+    but no false negatives."""
+    return slot_filter(ids.select(_slot(F.col(key)).alias("slot")))
+
+
+def slot_filter(slots: DataFrame) -> np.ndarray:
+    """The bitmap of a table's ``slot`` column. Spark ors 64 slots into a word, so at most 2**18
+    rows come here."""
+    words = (slots.distinct().groupBy((F.col("slot") / 64).cast("int").alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("bits")).toArrow())
     out = np.zeros(FILTER_SLOTS // 64, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 
+def has_slot(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
 def maybe_in(rows: DataFrame, bits: np.ndarray, key: str, keep: bool = True) -> DataFrame:
     """Rows whose key may be among the filter's ids (``keep``), or that surely aren't."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
     names = rows.columns
 
     def run(batches):
-        have = shared.value
         for batch in batches:
-            slot = batch.column(len(names)).to_numpy()
-            hit = (have[slot >> 6] >> (slot & 63)) & 1 == 1
+            hit = has_slot(shared.value, batch.column(len(names)).to_numpy())
             yield batch.filter(pa.array(hit == keep)).select(range(len(names)))
     return map_arrow(rows.withColumn("__slot", _slot(F.col(key))), run, rows.schema)
 
 
+def row_key() -> F.Column:
+    """A key of a row's id and text, so that rows without an id or with a repeated one can be
+    told apart by what they hold."""
+    return F.xxhash64("doc_id", "text")
+
+
+def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs``, all columns, without the rows whose row_key() is in ``keys`` (``__key``). Only
+    rows that the id filter can't clear are shuffled."""
+    names = docs.columns
+    keys = materialize(keys.distinct(), "keys")
+    bits = id_filter(keys, "__key")
+    keyed = docs.withColumn("__key", row_key())
+    return (maybe_in(keyed, bits, "__key", keep=False).select(*names)
+            .unionByName(maybe_in(keyed, bits, "__key").join(keys, "__key", "left_anti").select(*names)))
+
+
 def semi_join_text(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Join texts with a narrow table on doc_id: rows that the id filter rules out aren't
     shuffled; the join itself is exact. ``ids`` holds one row an id."""

@@ -359,9 +359,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     odd = materialize(ids.where("n > 1 OR NOT stays"), "odd-ids")
     bits = id_filter(odd, "doc_id")
     names = docs.columns
-    known = odd.select(F.col("doc_id").alias("__id"), "stays", "n")
+    known = odd.select(F.col("doc_id").alias("__id"), F.col("stays").alias("__stays"), F.col("n").alias("__n"))
     rest = maybe_in(docs, bits, "doc_id").join(known, F.col("doc_id") == F.col("__id"), "left")
-    once = rest.where("n > 1 AND stays").dropDuplicates(["doc_id", "text"])
+    once = rest.where("__n > 1 AND __stays").dropDuplicates(["doc_id", "text"])
     return (maybe_in(docs, bits, "doc_id", keep=False)
-            .unionByName(rest.where("__id IS NULL OR (n = 1 AND stays)").select(*names))
+            .unionByName(rest.where("__id IS NULL OR (__n = 1 AND __stays)").select(*names))
             .unionByName(once.select(*names)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, mixing, partenum, quality, secrets, toxicity, warc
+from . import chunking, mixing, partenum, quality, secrets, tiling, toxicity, warc
 from .common import table
 
 
@@ -35,12 +35,16 @@ def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quality, op4_jaccard_join, op5_mix_sources, op7_chunk_fingerprints,
-                                   op9_toxicity)}
+                                   op8_decontamination, op9_toxicity)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": warc.ORACLE_WARC,
