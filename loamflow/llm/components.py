@@ -32,10 +32,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     allowed; no edges give no rows."""
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                       .where("u <> v").distinct(), "cc")
-    mark = None
-    while True:
-        state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
-        if tuple(state) == mark or state[0] == 0:
-            return now.select("u", F.col("v").alias("root"))
-        mark = tuple(state)
-        now = materialize(_star(materialize(_star(now, True), "cc"), False), "cc")
+    while not _is_starred(now):
+        now = materialize(_star(_star(now, True), False), "cc")
+    return now.select("u", F.col("v").alias("root"))
+
+
+def _is_starred(edges: DataFrame) -> bool:
+    """Whether every vertex has one edge down, to a vertex that has none."""
+    forked = edges.groupBy("u").count().where("count > 1").select("u")
+    chained = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
+    return forked.union(chained).isEmpty()

@@ -229,7 +229,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 #: Members a class may be paired with in each round; None: with all that are left.
-ROUNDS = (4, 16, None)
+ROUNDS = (8, None)
 
 
 def _near(pairs: DataFrame, turn: int, most: int | None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, mixing, partenum, quality, secrets, tiling, toxicity, warc
+from . import chunking, ctw, mixing, partenum, pii, quality, secrets, tiling, toxicity, warc
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -43,8 +47,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quality, op4_jaccard_join, op5_mix_sources, op7_chunk_fingerprints,
-                                   op8_decontamination, op9_toxicity)}
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest_columns(pii.find_personal_data(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quality, op4_jaccard_join, op5_mix_sources, op6_context_tree,
+                                   op7_chunk_fingerprints, op8_decontamination, op9_toxicity, op10_personal_data)}
 
 ORACLE_SQL = {
     "op1_warc_revisits": warc.ORACLE_WARC,
