@@ -122,8 +122,8 @@ def main(argv=None) -> int:
         specs = specs_from_resolved(resolved)
         evolve = a.schema_evolution == "addNewColumns"
         if a.trigger == "waves":
-            outcomes, _ = drain_waves(spark, specs, layout, a.waves, a.pause_seconds, a.max_concurrent,
-                                      evolve)
+            outcomes, _ = drain_waves(spark, specs, layout, a.waves, a.pause_seconds,
+                                      max_concurrent=a.max_concurrent, evolve=evolve)
         else:
             outcomes, _ = drain(spark, specs, layout, None, a.max_concurrent, a.trigger, evolve)
         outcomes.orderBy("collection").show(200, truncate=False)

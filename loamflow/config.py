@@ -96,12 +96,15 @@ SYNTH_FILE_JITTER_MS = 86_399_999      # file name epoch: day midnight + 0..86,3
 # Our own settings
 # ----------------------------------------------------------------------------------------
 
-# File source default maxFileAge (7 days) silently skips late files; take every file.
-MAX_FILE_AGE = "3650d"
+# Spark's file source skips files older than the newest seen one by more than its maximum age
+# (seven days unless set). This is longer than any two file times can lie apart.
+MAX_FILE_AGE = "36500000d"
 
 RESCUED_COLUMN = "_rescued_data"
 LINEAGE_COLUMNS = ("_ingested_at", "_source_file", "_file_epoch_ms")
-BATCH_COLUMN = "_batch_id"
+# Names of our own that no source column may take; a source column so named is rescued.
+BATCH_COLUMN = "__loamflow_batch"
+FILE_COLUMN = "__loamflow_file"
 
 
 def tier_rows():

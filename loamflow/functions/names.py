@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -37,19 +38,20 @@ def safe_name(collection) -> Column:
     return F.regexp_replace(_c(collection), "[^A-Za-z0-9_]", "_")
 
 
+def safe_name_text(collection: str) -> str:
+    """The same of a plain string, for names of streams and folders."""
+    return re.sub("[^A-Za-z0-9_]", "_", collection)
+
+
 def file_epoch_ms(path) -> Column:
     """First 13-digit run followed by '_' after a '/', as bigint; NULL without a match."""
     return F.nullif(F.regexp_extract(_c(path), r"/(\d{13})_", 1), F.lit("")).try_cast("bigint")
 
 
-def collection_from_path(path) -> Column:
-    """'<...>/collection=<x>/<file>' -> '<x>'."""
-    return F.regexp_extract(_c(path), r"/collection=([^/]+)/", 1)
-
-
-def clean_message(msg, n: int = config.OUTCOME_MESSAGE_CHARS) -> Column:
-    """Newlines to spaces, then the first ``n`` characters."""
-    return F.substring(F.regexp_replace(_c(msg), "\n", " "), 1, n)
+def clean_message(msg, n: int | None = config.OUTCOME_MESSAGE_CHARS) -> Column:
+    """Newlines to spaces, then the first ``n`` characters (None: all)."""
+    whole = F.regexp_replace(_c(msg), "\n", " ")
+    return whole if n is None else F.substring(whole, 1, n)
 
 
 def failure_kind(text, extra_types=(), extra_classes=()) -> Column:

@@ -8,15 +8,17 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from .. import config
+from ..sources import storage
 
 _HISTORY_SCHEMA = "version INT, batch_id BIGINT, schema_json STRING"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMERIC = _INTEGRAL + (T.FloatType, T.DoubleType, T.DecimalType)
 _COMPLEX = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
-RESERVED = (config.RESCUED_COLUMN, config.BATCH_COLUMN) + tuple(config.LINEAGE_COLUMNS)
+#: Lower-case names of our own columns: a source column of such a name is rescued.
+RESERVED = frozenset(n.lower() for n in (config.RESCUED_COLUMN, config.BATCH_COLUMN, config.FILE_COLUMN,
+                                         *config.LINEAGE_COLUMNS))
 
 
 class SchemaStore:
@@ -30,40 +32,16 @@ class SchemaStore:
         self.path = path.rstrip("/")
         self._cache: tuple[int, T.StructType | None] | None = None
 
-    def _fs(self):
-        from ..sources.landing_writer import resolve_fs
-
-        fs, base, _ = resolve_fs(self.path)
-        return fs, base
-
     def _load(self) -> tuple[int, T.StructType | None]:
-        import pyarrow.fs as pafs
-
-        try:
-            fs, base = self._fs()
-        except Exception:  # a scheme Arrow cannot open: read the history with Spark
-            return self._load_with_spark()
-        info = fs.get_file_info(base)
-        if info.type == pafs.FileType.NotFound:
+        versions = [int(n[1:-5]) for n in storage.names(self.spark, self.path)
+                    if n.startswith("v") and n.endswith(".json") and n[1:-5].isdigit()]
+        if not versions:
             return 0, None
-        names = [f.base_name for f in fs.get_file_info(pafs.FileSelector(base))
-                 if f.base_name.startswith("v") and f.base_name.endswith(".json")]
-        if not names:
-            return 0, None
-        latest = max(names)
-        with fs.open_input_stream(f"{base}/{latest}") as fh:
-            row = json.loads(fh.read().decode("utf-8").strip().splitlines()[0])
+        row = json.loads(storage.read_text(self.spark, self._file(max(versions))).strip())
         return int(row["version"]), T.StructType.fromJson(json.loads(row["schema_json"]))
 
-    def _load_with_spark(self) -> tuple[int, T.StructType | None]:
-        try:
-            row = (self.spark.read.schema(_HISTORY_SCHEMA).json(self.path)
-                   .orderBy(F.col("version").desc()).select("version", "schema_json").first())
-        except AnalysisException:
-            row = None
-        if row is None:
-            return 0, None
-        return int(row.version), T.StructType.fromJson(json.loads(row.schema_json))
+    def _file(self, version: int) -> str:
+        return f"{self.path}/v{version:05d}.json"
 
     def latest(self) -> T.StructType | None:
         if self._cache is None:
@@ -76,22 +54,9 @@ class SchemaStore:
         return self._cache[0]
 
     def save(self, schema: T.StructType, batch_id: int) -> int:
-        import uuid
-
         v = self.version() + 1
-        try:
-            fs, base = self._fs()
-        except Exception:  # a scheme Arrow cannot open: append the version with Spark
-            (self.spark.createDataFrame([(v, int(batch_id), schema.json())], _HISTORY_SCHEMA)
-             .coalesce(1).write.mode("append").json(self.path))
-            self._cache = (v, schema)
-            return v
-        fs.create_dir(base, recursive=True)
         line = json.dumps({"version": v, "batch_id": int(batch_id), "schema_json": schema.json()})
-        tmp = f"{base}/_tmp_{uuid.uuid4().hex}"
-        with fs.open_output_stream(tmp) as out:
-            out.write((line + "\n").encode("utf-8"))
-        fs.move(tmp, f"{base}/v{v:05d}.json")
+        storage.write(self.spark, self._file(v), (line + "\n").encode("utf-8"))
         self._cache = (v, schema)
         return v
 
@@ -192,7 +157,7 @@ def evolve(tracked: T.StructType | None, observed: list[T.StructType]) -> T.Stru
                 i = pos[key]
                 fields[i] = T.StructField(fields[i].name, merge_nested(fields[i].dataType, f.dataType), True)
                 continue
-            if f.name in RESERVED:
+            if key in RESERVED:
                 continue
             if key in lower_to_name:
                 name = lower_to_name[key]
@@ -216,7 +181,7 @@ def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]
         return {}
     aggs = []
     for i, c in enumerate(columns):
-        v = F.col(f"`{c}`")
+        v = quoted(c)
         present = v.isNotNull()
         is_long = v.rlike(r"^\s*[+-]?[0-9]+\s*$") & v.try_cast("bigint").isNotNull()
         is_double = v.try_cast("double").isNotNull()
@@ -281,12 +246,45 @@ def _reshape(c: Column, src: T.DataType, tgt: T.DataType) -> Column:
     return F.transform(c, lambda x: _reshape(x, src.elementType, tgt.elementType))
 
 
-def _quoted(name: str) -> Column:
+def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+_FAMILY = ((T.BooleanType, "boolean"), (_NUMERIC, "number"), ((T.StringType, T.VarcharType, T.CharType), "text"),
+           (T.BinaryType, "binary"), (T.DateType, "date"), ((T.TimestampType, T.TimestampNTZType), "time"))
+#: Families between which try_cast is defined; all others are rescued as a whole.
+_CASTABLE = {("boolean", "number"), ("number", "boolean"), ("number", "time"), ("time", "number"), ("text", "boolean"),
+             ("text", "number"), ("text", "date"), ("text", "time"), ("text", "binary"), ("boolean", "text"),
+             ("number", "text"), ("date", "text"), ("time", "text"), ("binary", "text"), ("date", "time"), ("time", "date")}
+
+
+def family(t: T.DataType) -> str | None:
+    return next((name for kinds, name in _FAMILY if isinstance(t, kinds)), None)
+
+
+def castable(src: T.DataType, tgt: T.DataType) -> bool:
+    """Whether Spark defines try_cast from one atomic type to the other."""
+    a, b = family(src), family(tgt)
+    if a is None or b is None:
+        return src == tgt
+    if "time" in (a, b) and "number" in (a, b):  # only instants count seconds, and not every number type
+        other = src if a == "number" else tgt
+        instant = tgt if a == "number" else src
+        return isinstance(instant, T.TimestampType) and isinstance(other, (T.LongType, T.IntegerType, T.DoubleType, T.FloatType))
+    return a == b or (a, b) in _CASTABLE
+
+
+def rescuable(c: Column, t: T.DataType) -> Column:
+    """A value as the rescue JSON takes it: types JSON has no form for become text."""
+    if isinstance(t, T.BinaryType):
+        return F.base64(c)
+    if isinstance(t, (T.NullType, T.CalendarIntervalType, T.DayTimeIntervalType, T.YearMonthIntervalType)):
+        return c.cast("string")
+    return c
+
+
 def align_and_rescue(df: DataFrame, tracked: T.StructType, text_source: bool = False,
-                     keep: tuple[str, ...] = ("_source_file",),
+                     keep: tuple[str, ...] = (config.FILE_COLUMN,),
                      rescue_col: str = config.RESCUED_COLUMN) -> DataFrame:
     """Project ``df`` onto ``tracked``: same type -> as is; other atomic type -> try_cast,
     and a value that does not convert (text that does not parse, or a non-text value that
@@ -302,7 +300,7 @@ def align_and_rescue(df: DataFrame, tracked: T.StructType, text_source: bool = F
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         used.add(s.name.lower())
-        c = _quoted(s.name)
+        c = quoted(s.name)
         if s.dataType == f.dataType:
             cols.append(c.alias(f.name))
             continue
@@ -312,24 +310,29 @@ def align_and_rescue(df: DataFrame, tracked: T.StructType, text_source: bool = F
                 cols.append(fitted.alias(f.name))
             else:
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-                rescued.append(c.alias(s.name))
+                rescued.append(rescuable(c, s.dataType).alias(s.name))
+            continue
+        if not castable(s.dataType, f.dataType):
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            rescued.append(rescuable(c, s.dataType).alias(s.name))
             continue
         tc = c.try_cast(f.dataType)
         if text_source or isinstance(s.dataType, T.StringType):
             fits = c.isNull() | tc.isNotNull()
         else:
-            fits = c.isNull() | (tc.isNotNull() & (tc.cast(s.dataType) == c))
+            back = tc.try_cast(s.dataType) if castable(f.dataType, s.dataType) else F.lit(None).cast(s.dataType)
+            fits = c.isNull() | F.coalesce(tc.isNotNull() & (back == c), F.lit(False))
         cols.append(F.when(fits, tc).alias(f.name))
-        rescued.append(F.when(~fits, c).alias(s.name))
+        rescued.append(F.when(~fits, rescuable(c, s.dataType)).alias(s.name))
     for f in df.schema.fields:
-        if f.name.lower() in used or f.name in keep or f.name in RESERVED:
+        if f.name.lower() in used or f.name in keep:
             continue
-        rescued.append(_quoted(f.name).alias(f.name))
+        rescued.append(rescuable(quoted(f.name), f.dataType).alias(f.name))
     if rescued:
         rescue = F.nullif(F.to_json(F.struct(*rescued)), F.lit("{}"))
     else:
         rescue = F.lit(None).cast("string")
-    kept = [_quoted(k) for k in keep if k in df.columns]
+    kept = [quoted(k) for k in keep if k in df.columns]
     return df.select(*cols, rescue.alias(rescue_col), *kept)
 
 

@@ -54,13 +54,12 @@ def tier_conflicts(topics: DataFrame, canonical: str = "collection_of") -> DataF
 
 
 def assert_no_tier_conflicts(topics: DataFrame, canonical: str = "collection_of") -> None:
-    bad = tier_conflicts(topics, canonical).orderBy("collection").limit(20).collect()
-    if bad:
-        r = bad[0]
+    conflicts = tier_conflicts(topics, canonical)
+    first = conflicts.orderBy("collection").first()
+    if first:
         raise ValueError(
-            f"collection {r.collection!r} is assigned to two tiers ({r.tiers[0]!r} and "
-            f"{r.tiers[1]!r}); a collection maps to one raw dataset and one checkpoint, so it "
-            f"must belong to exactly one tier ({len(bad)} conflicting collection(s) shown)")
+            f"{conflicts.count()} collection(s) are assigned to several tiers, first {first.collection!r} "
+            f"({', '.join(first.tiers)}); a collection has one raw dataset and one checkpoint, so one tier")
 
 
 def dedupe_topics(topics: DataFrame, canonical: str = "collection_of") -> DataFrame:
@@ -126,10 +125,11 @@ def select_collections(discovered: DataFrame, parents: DataFrame) -> tuple[DataF
 
 
 def shard_assignment(selected: DataFrame, shard_count: int, owner_col: str = "owner") -> DataFrame:
-    """Round-robin shards over the distinct owners in sorted order: i-th owner -> i % count.
+    """Round-robin shards over the distinct owners in sorted order: i-th owner -> i % count; rows
+    without an owner have no shard.
     Only the (small, config-bounded) set of distinct owners is ranked; children follow
     their owner through an equi-join. Assignment moves when a new parent appears."""
-    ranked = (selected.select(owner_col).distinct()
+    ranked = (selected.select(owner_col).where(F.col(owner_col).isNotNull()).distinct()
               .withColumn("_i", F.row_number().over(Window.orderBy(owner_col)) - 1)
               .withColumn("shard_index", F.pmod(F.col("_i"), F.lit(int(shard_count))).cast("int"))
               .drop("_i"))
@@ -137,8 +137,8 @@ def shard_assignment(selected: DataFrame, shard_count: int, owner_col: str = "ow
 
 
 def with_tier_params(df: DataFrame, tiers: DataFrame) -> DataFrame:
-    """Attach (max_files, interval_seconds) by tier; tiers is a three-row config table."""
-    return df.join(F.broadcast(tiers), "tier", "left")
+    """Attach (max_files, interval_seconds) by tier."""
+    return df.join(tiers, "tier", "left")
 
 
 def tiers_frame(spark: SparkSession, rows=None) -> DataFrame:

@@ -22,11 +22,6 @@ ORACLE_SQL = {
     "drain_outcome_counts": """
         SELECT count(DISTINCT event_type) AS ok, CAST(0 AS BIGINT) AS failed FROM events""",
 
-    "raw_content_purchase": """
-        SELECT event_id, user_id, epoch_us(ts) AS ts_us, value, props,
-               min(epoch_us(ts) // 1000) OVER (PARTITION BY CAST(ts AS DATE), event_id // 2000) AS file_epoch_ms
-        FROM events WHERE event_type = 'purchase'""",
-
     "raw_content": f"""
         SELECT {_COLL} AS collection, event_id, user_id, epoch_us(ts) AS ts_us, value, props,
                min(epoch_us(ts) // 1000) OVER (PARTITION BY event_type, CAST(ts AS DATE), event_id // 2000)
@@ -56,7 +51,53 @@ ORACLE_SQL = {
         FROM events""",
 
     "late_files": f"""
-        SELECT {_COLL} AS collection, event_id, epoch_us(ts) AS ts_us FROM events""",
+        SELECT {_COLL} AS collection, event_id, epoch_us(ts) AS ts_us,
+               CASE WHEN day(ts) <= 5 THEN CAST(user_id AS BIGINT) + 1 END AS batch_id
+        FROM events""",
+
+    "rescued_type_pairs": f"""
+        SELECT {_COLL} AS collection, event_id,
+               CASE WHEN day(ts) % 2 = 1 THEN epoch_us(ts)
+                    WHEN event_type = 'error' THEN CAST(value > 50 AS BIGINT) END AS ts_us,
+               CASE WHEN day(ts) % 2 = 0 THEN
+                 CASE WHEN event_type IN ('click', 'view') THEN '{{"ts_us":"' || CAST(CAST(ts AS DATE) AS VARCHAR) || '"}}'
+                      WHEN event_type = 'purchase'
+                      THEN '{{"ts_us":"' || base64(encode(CAST(event_id AS VARCHAR))) || '"}}' END END AS _rescued_data
+        FROM events WHERE event_type <> 'signup'""",
+
+    "lineage": f"""
+        SELECT event_id, printf('%013d_%s_%02d_%02d.%s',
+                 min(epoch_us(ts) // 1000) OVER (PARTITION BY event_type, CAST(ts AS DATE), event_id // 2000),
+                 {_COLL}, day(ts), event_id // 2000, CASE WHEN event_type = 'signup' THEN 'csv' ELSE 'parquet' END) AS file_name,
+               true AS recent
+        FROM events""",
+
+    "priority_and_shard": f"""
+        WITH c AS (SELECT DISTINCT {_COLL} AS collection, event_type FROM events)
+        SELECT 'all' AS view, collection,
+               CASE WHEN event_type IN ('purchase', 'view') THEN collection ELSE 'events' END AS owner,
+               CASE event_type WHEN 'purchase' THEN 'medium' WHEN 'view' THEN 'low' ELSE 'high' END AS tier FROM c
+        UNION ALL SELECT 'high', collection, 'events', 'high' FROM c
+        UNION ALL SELECT 'low', collection, collection, 'low' FROM c WHERE event_type = 'view'
+        UNION ALL SELECT 'shard', collection, collection, 'medium' FROM c WHERE event_type = 'purchase'""",
+
+    "measured_fallback": """
+        SELECT p AS collection, 'NO_FILES' AS status, CAST(0 AS BIGINT) AS file_count, CAST(0 AS BIGINT) AS micro_batches,
+               CAST(0 AS BIGINT) AS rows_seen, CAST(0 AS DOUBLE) AS total_drain_wall_seconds, '[]' AS batch_details_json
+        FROM (VALUES ('orders'), ('refunds')) t(p)
+        WHERE NOT EXISTS (SELECT 1 FROM events WHERE starts_with('events_' || event_type, p || '_'))""",
+
+    "listing_tree": f"""
+        WITH t AS (SELECT count(DISTINCT year(ts)) AS y, count(DISTINCT strftime(ts, '%Y-%m')) AS m,
+                          count(DISTINCT CAST(ts AS DATE)) AS d FROM events)
+        SELECT {_COLL} AS collection, max(y) AS year_dirs_walked, max(m) AS month_dirs_walked, max(d) AS day_dirs_walked,
+               CAST(3 AS BIGINT) AS partition_tree_depth, count(*) AS rows, true AS bytes_match
+        FROM events, t GROUP BY 1""",
+
+    "results_append": f"""
+        SELECT {_COLL} AS collection, 'LISTED' AS status, CAST(2 AS BIGINT) AS runs,
+               CAST(2 * count(DISTINCT {_FILE_KEY}) AS BIGINT) AS files
+        FROM events GROUP BY event_type""",
 
     "steady_state_increment": f"""
         SELECT {_COLL} AS collection, count(*) AS rows_seen
@@ -186,7 +227,7 @@ ORACLE_SQL = {
         WITH t AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'shop.' || source ELSE source END AS topic,
                           CASE lang WHEN 'en' THEN 'high' WHEN 'de' THEN 'medium' ELSE 'low' END AS tier,
                           CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END AS tier_rank,
-                          CAST(doc_id AS INTEGER) AS position
+                          doc_id AS position
                    FROM documents),
              c AS (SELECT *, CASE WHEN strpos(topic, '.') > 0 THEN substr(topic, strpos(topic, '.') + 1)
                                   ELSE topic END AS collection FROM t)
@@ -276,7 +317,8 @@ ORACLE_SQL = {
                     WHEN contains(msg, 'UnknownFieldException')
                       OR contains(upper(msg), 'NEW_FIELDS_IN_RECORD_WITH_FILE_PATH')
                     THEN 'schema_evolution' ELSE 'genuine' END AS kind,
-               substr(replace(msg, chr(10), ' '), 1, 160) AS message
+               substr(replace(msg, chr(10), ' '), 1, 160) AS message,
+               replace(msg, chr(10), ' ') AS whole_message
         FROM (SELECT doc_id,
                      CASE doc_id % 4
                        WHEN 0 THEN text || ' [UnknownFieldException]'

@@ -9,6 +9,8 @@ DuckDB twin of each (same column names) except the two that carry wall-clock sec
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +21,11 @@ from ..operators.restarts import restart_verdict
 from ..session import new_run_dir
 from ..sources import landing as L
 from ..sources.landing_writer import block_file_key, write_landing
-from ..sources.results import read_results_json, write_results_json
+from ..sources.results import append_results, read_results, read_results_json, write_results_json
 from ..streaming import measure as M
-from ..streaming.drain import (drain, ingested_file_table, outcome_counts, raw_union,
-                               report_and_raise, row_counts, specs_from_resolved)
-from ..streaming.ingest import CollectionSpec, Layout, read_raw
+from ..streaming.drain import (drain_or_raise, ingested_file_table, outcome_counts, raw_union, row_counts,
+                               specs_from_resolved)
+from ..streaming.ingest import CollectionSpec, Layout
 from .resolve import resolve
 
 ROWS_PER_FILE = 2000
@@ -49,7 +51,7 @@ def _ts():
     return F.col("ts").cast("timestamp")
 
 
-def landing_frame(ev: DataFrame, csv_types=("signup",)) -> DataFrame:
+def landing_frame(ev: DataFrame, csv_types=("signup",), extra=()) -> DataFrame:
     """events -> landing rows: one collection per event type, one file per
     (collection, day, event_id block)."""
     ts = _ts()
@@ -59,7 +61,7 @@ def landing_frame(ev: DataFrame, csv_types=("signup",)) -> DataFrame:
         block_file_key("event_id", ROWS_PER_FILE).alias("file_key"),
         F.unix_millis(ts).alias("file_epoch_ms"),
         F.when(F.col("event_type").isin(*csv_types), "csv").otherwise("parquet").alias("_format"),
-        "event_id", "user_id", F.unix_micros(ts).alias("ts_us"), "value", "props")
+        "event_id", "user_id", F.unix_micros(ts).alias("ts_us"), "value", "props", *extra)
 
 
 class LandedRun:
@@ -100,7 +102,7 @@ def full_drain(spark: SparkSession, sf_dir: str) -> LandedRun:
     run.land(landing_frame(_table(spark, sf_dir, "events")))
     resolved = resolve(spark, run.root, DATABASE, _topics(spark))
     run.specs = specs_from_resolved(resolved)
-    run.outcomes, _att = drain(spark, run.specs, run.layout, backoff_seconds=1)
+    run.outcomes = drain_or_raise(spark, run.specs, run.layout)
     _CACHE[key] = run
     return run
 
@@ -124,21 +126,13 @@ def drain_outcome_counts(spark, sf_dir):
     return outcome_counts(run.outcomes).select("ok", "failed")
 
 
-def raw_content_purchase(spark, sf_dir):
-    run = full_drain(spark, sf_dir)
-    df = read_raw(spark, run.layout, "events_purchase")
-    return df.select("event_id", "user_id", "ts_us", "value", "props",
-                     F.col("_file_epoch_ms").alias("file_epoch_ms"))
-
-
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def _drain_all(spark, run: LandedRun, evolve: bool = True) -> list[CollectionSpec]:
     """Resolve and drain every landed collection (concurrently); fail on any failure."""
     specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
-    outcomes, _att = drain(spark, specs, run.layout, backoff_seconds=1, evolve=evolve)
-    report_and_raise(outcomes)
+    drain_or_raise(spark, specs, run.layout, evolve=evolve)
     return specs
 
 
@@ -194,6 +188,77 @@ def rescued_values(spark, sf_dir):
     return _raw_all(spark, run, specs, ["event_id", "value", "_rescued_data"])
 
 
+def rescued_type_pairs(spark, sf_dir):
+    """ts_us comes as bigint first, then as a date, a boolean or binary that no cast takes."""
+    run = LandedRun(spark, "pairs")
+    ev = _table(spark, sf_dir, "events")
+    odd = F.dayofmonth(_ts()) % 2 == 1
+    parquet = ev.where(F.col("event_type") != "signup")
+    run.land(landing_frame(parquet.where(odd)))
+    _drain_all(spark, run)
+    later = landing_frame(parquet.where(~odd))
+    typed = {"click": F.to_date(F.timestamp_micros("ts_us")), "error": F.col("value") > 50,
+             "purchase": F.col("event_id").cast("string").cast("binary"), "view": F.to_date(F.timestamp_micros("ts_us"))}
+    for kind, value in typed.items():
+        run.land(later.where(F.col("collection") == f"events_{kind}").withColumn("ts_us", value))
+    specs = _drain_all(spark, run)
+    return _raw_all(spark, run, specs, ["event_id", "ts_us", "_rescued_data"])
+
+
+def lineage(spark, sf_dir):
+    """Where every row came from, and that it came in this run."""
+    run = full_drain(spark, sf_dir)
+    raw = _raw_all(spark, run, run.specs, ["event_id", "_source_file", "_ingested_at"])
+    return raw.select("event_id", F.regexp_extract("_source_file", "([^/]+)$", 1).alias("file_name"),
+                      (F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("_ingested_at")) < 86400).alias("recent"))
+
+
+def priority_and_shard(spark, sf_dir):
+    """Collections of one tier, of one shard, and with an extra topic; one not owned by any."""
+    run = LandedRun(spark, "priority")
+    ev = _table(spark, sf_dir, "events")
+    run.land(landing_frame(ev))
+    run.land(landing_frame(ev.where("event_type = 'click'")).withColumn("collection", F.lit("audit")))
+    topics = O.topics_frame(spark, EVENT_TOPICS, [("shop.events_view", "low", 0)])
+    files = run.files()
+    views = {"all": {}, "high": {"priority": "high"}, "low": {"priority": "low"},
+             "shard": {"shard_count": 2, "shard_index": 1}}
+    out = [resolve(spark, run.root, DATABASE, topics, files=files, **kw).select(
+        F.lit(view).alias("view"), "collection", "owner", "tier") for view, kw in views.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
+def measured_fallback(spark, sf_dir):
+    """Nothing that landed is owned, so the parents are reported: NO_FILES, all zero."""
+    run = LandedRun(spark, "fallback")
+    run.land(landing_frame(_table(spark, sf_dir, "events")))
+    topics = O.topics_frame(spark, [("orders", "high", 0), ("refunds", "low", 1)])
+    res = M.measure(spark, run.root, DATABASE, f"{run.dir}/_measurement", topics, "BOUNDED_DRAIN")
+    return res["measurements"].select("collection", "status", "file_count", "micro_batches", "rows_seen",
+                                      "total_drain_wall_seconds", "batch_details_json")
+
+
+def listing_tree(spark, sf_dir):
+    """Bytes and folders of the listing against the manifest of what was landed."""
+    run = LandedRun(spark, "tree")
+    manifest = run.land(landing_frame(_table(spark, sf_dir, "events")))
+    res = M.measure(spark, run.root, DATABASE, f"{run.dir}/_measurement", _bare_topics(spark))
+    landed = manifest.groupBy("collection").agg(F.sum("bytes").alias("bytes"), F.sum("rows").cast("bigint").alias("rows"))
+    return res["measurements"].join(landed, "collection").select(
+        "collection", "year_dirs_walked", "month_dirs_walked", "day_dirs_walked", "partition_tree_depth", "rows",
+        (F.col("total_bytes") == F.col("bytes")).alias("bytes_match"))
+
+
+def results_append(spark, sf_dir):
+    """Typed results of two runs appended to one dataset."""
+    res = _measured(spark, sf_dir, "LISTING_ONLY")
+    path = f"{new_run_dir(spark, 'results')}/parquet"
+    for _ in range(2):
+        append_results(res["measurements"], path)
+    return read_results(spark, path).groupBy("collection", "status").agg(
+        F.count("*").alias("runs"), F.sum("file_count").alias("files"))
+
+
 def late_files(spark, sf_dir):
     run = LandedRun(spark, "late")
     ev = _table(spark, sf_dir, "events")
@@ -201,9 +266,12 @@ def late_files(spark, sf_dir):
     run.land(landing_frame(ev.where(~early)))
     _drain_all(spark, run)
     old = F.unix_millis(F.current_timestamp()) - F.lit(60 * 86400 * 1000)
-    run.land(landing_frame(ev.where(early)).withColumn("_mtime_ms", old))
+    # files without a modification time (0) are no older than any other to the stream
+    mtime = F.when(F.dayofmonth(_ts()) <= 2, F.lit(0).cast("bigint")).otherwise(old)
+    run.land(landing_frame(ev.where(early).withColumn("_late", mtime), extra=("_late",))
+             .withColumnRenamed("_late", "_mtime_ms").withColumn("_batch_id", F.col("user_id") + 1))
     specs = _drain_all(spark, run)
-    return _raw_all(spark, run, specs, ["event_id", "ts_us"])
+    return _raw_all(spark, run, specs, ["event_id", "ts_us", "_batch_id"]).withColumnRenamed("_batch_id", "batch_id")
 
 
 def steady_state_increment(spark, sf_dir):
@@ -283,7 +351,7 @@ def run_summary(spark, sf_dir):
 
 def results_cast(spark, sf_dir):
     res = _measured(spark, sf_dir, "LISTING_ONLY")
-    path = f"{res['run'].dir}/_results_json"
+    path = f"{new_run_dir(spark, 'results')}/json"
     write_results_json(res["measurements"], path)
     back = read_results_json(spark, path)
     return back.select("collection", "listing_status", "status", "file_count", "drain_seconds")
@@ -317,7 +385,7 @@ def backlog_anti(spark, sf_dir):
     early = F.dayofmonth(_ts()) <= 15
     run.land(landing_frame(ev.where(early)))
     specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
-    drain(spark, specs, run.layout, backoff_seconds=1)
+    drain_or_raise(spark, specs, run.layout)
     run.land(landing_frame(ev.where(~early)))
     # what the streams wrote, from their small per-batch file manifests (no raw scan)
     pending = L.backlog(run.files(), ingested_file_table(spark, run.layout, specs), "path")
@@ -377,7 +445,7 @@ def _doc_topics(spark, sf_dir):
     tier = F.when(F.col("lang") == "en", "high").when(F.col("lang") == "de", "medium").otherwise("low")
     topic = F.when(F.pmod(F.col("doc_id"), F.lit(2)) == 0, F.concat(F.lit("shop."), F.col("source"))) \
              .otherwise(F.col("source"))
-    return d.select(topic.alias("topic"), tier.alias("tier"), F.col("doc_id").cast("int").alias("position"),
+    return d.select(topic.alias("topic"), tier.alias("tier"), F.col("doc_id").alias("position"),
                     F.lit(0).alias("origin"))
 
 
@@ -438,19 +506,25 @@ def failure_kind(spark, sf_dir):
            .when(k == 1, F.concat(F.lit("error: new_fields_in_record_with_file_path "), F.col("text")))
            .when(k == 2, F.concat(F.lit("unknownfieldexception "), F.col("text")))
            .otherwise(F.col("text")))
-    return d.select("doc_id", N.failure_kind(msg).alias("kind"), N.clean_message(msg).alias("message"))
+    return d.select("doc_id", N.failure_kind(msg).alias("kind"), N.clean_message(msg).alias("message"),
+                    N.clean_message(msg, None).alias("whole_message"))
 
 
 QUERIES = {
     "raw_rows_by_collection": raw_rows_by_collection,
     "drain_outcomes": drain_outcomes,
     "drain_outcome_counts": drain_outcome_counts,
-    "raw_content_purchase": raw_content_purchase,
     "raw_content": raw_content,
     "csv_header_drift": csv_header_drift,
     "evolved_columns": evolved_columns,
     "frozen_schema_rescue": frozen_schema_rescue,
     "rescued_values": rescued_values,
+    "rescued_type_pairs": rescued_type_pairs,
+    "lineage": lineage,
+    "priority_and_shard": priority_and_shard,
+    "measured_fallback": measured_fallback,
+    "listing_tree": listing_tree,
+    "results_append": results_append,
     "late_files": late_files,
     "steady_state_increment": steady_state_increment,
     "rate_limited_batches": rate_limited_batches,

@@ -37,11 +37,15 @@ def get_spark(master: str | None = None, cores: int | None = None,
 
 
 def work_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; set a local one only when unset."""
+    """Shared folder named by ``spark.checkpoint.dir``. Only a local master, whose executors
+    are the driver, gets a temporary one when that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="loamflow-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
@@ -61,10 +65,6 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``loamflow`` importable in Python workers (once per SparkContext), the same
     way ``--py-files`` does: the package is zipped into the shared work folder and added
     with ``addPyFile``. Harmless when the package is installed on the workers."""
-    import hashlib
-    import io
-    import zipfile
-
     sc = spark.sparkContext
     key = id(sc._jsc) if getattr(sc, "_jsc", None) is not None else id(sc)
     with _SHIP_LOCK:
@@ -91,22 +91,9 @@ def _ship(spark: SparkSession, sc) -> None:
                         z.writestr(info, fh.read())
     data = buf.getvalue()
     digest = hashlib.sha1(data).hexdigest()[:16]
-    from .sources.landing_writer import resolve_fs
-
-    folder = f"{work_root(spark)}/loamflow/_pyfiles"
-    try:
-        fs, base_path, _ = resolve_fs(folder)
-    except Exception:  # a scheme Arrow cannot open: rely on --py-files / an installed wheel
-        import warnings
-
-        warnings.warn(f"cannot write the package zip below {folder}; deploy loamflow to the "
-                      f"workers with --py-files or as an installed package")
-        return
-    fs.create_dir(base_path, recursive=True)
-    target = f"{base_path}/loamflow-{digest}.zip"
-    if fs.get_file_info(target).type.name == "NotFound":
-        tmp = f"{base_path}/_tmp_{uuid.uuid4().hex}.zip"
-        with fs.open_output_stream(tmp) as out:
-            out.write(data)
-        fs.move(tmp, target)
-    sc.addPyFile(f"{folder}/loamflow-{digest}.zip")
+    from .sources import storage
+
+    target = f"{work_root(spark)}/loamflow/_pyfiles/loamflow-{digest}.zip"
+    if not storage.exists(spark, target):
+        storage.write(spark, target, data)
+    sc.addPyFile(target)

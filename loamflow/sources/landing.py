@@ -15,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import config
 from ..functions import names as N
+from . import storage
 
 LAYOUT_RE = (r"/" + re.escape(config.LANDING_SOURCE_SEGMENT) +
              r"/year=([^/]+)/month=([^/]+)/day=([^/]+)/database=([^/]+)/collection=([^/]+)/([^/]+)$")
@@ -53,14 +54,14 @@ def source_glob(root: str, database: str, collection: str, fmt: str, gz: bool =
 
 
 def list_landing(spark: SparkSession, root: str, database: str | None = None,
-                 year: str = "*", month: str = "*", day: str = "*") -> DataFrame:
+                 year: str = "*", month: str = "*", day: str = "*", collection: str | None = None) -> DataFrame:
     """One row per landed file: path, length, modificationTime, the layout segments, the
     collection directory and the file format (lenient and strict suffix rules).
-    ``year`` / ``month`` / ``day`` are glob patterns of the partition directories (for
+    Of one ``collection`` only, if given. ``year`` / ``month`` / ``day`` are glob patterns of the partition directories (for
     example ``day="{0[1-9],1[0-5]}"``): only matching directories are listed at all."""
     db = escape_glob(database) if database else "*"
     pattern = (f"{root.rstrip('/')}/{config.LANDING_SOURCE_SEGMENT}/year={year}/month={month}/"
-               f"day={day}/database={db}")
+               f"day={day}/database={db}" + (f"/collection={escape_glob(collection)}" if collection else ""))
     try:
         raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(pattern).select("path", "length", "modificationTime"))
@@ -82,6 +83,12 @@ def list_landing(spark: SparkSession, root: str, database: str | None = None,
     return out.select(*LISTING_SCHEMA.fieldNames())
 
 
+def collection_folders(spark: SparkSession, root: str, database: str) -> DataFrame:
+    """Distinct collection names by their folders, without looking into them."""
+    found = {f.rpartition("/collection=")[2] for f in storage.folders(spark, landing_glob(root, escape_glob(database), "*", "").rstrip("/"))}
+    return spark.createDataFrame([(n,) for n in sorted(found)], "collection string")
+
+
 def discover_collections(files: DataFrame) -> DataFrame:
     """Distinct collection names over all days (parents and children alike)."""
     return files.select("collection").distinct()
@@ -149,11 +156,11 @@ def listing_stats(files: DataFrame, selected: DataFrame, listing_seconds: float
         "format")
 
 
-def listing_error_stats(selected: DataFrame, error: str, listing_seconds: float = 0.0) -> DataFrame:
-    """Listing failed: every selected collection is ERROR with unknown (NULL) counts."""
-    msg = error[: config.LISTING_ERROR_CHARS]
-    return selected.select(
-        "collection", F.lit("ERROR").alias("listing_status"), F.lit(msg).alias("listing_error"),
+def listing_error_stats(errors: DataFrame, listing_seconds: float = 0.0) -> DataFrame:
+    """(collection, error) of collections that can't be listed: ERROR, with unknown (NULL) counts."""
+    return errors.select(
+        "collection", F.lit("ERROR").alias("listing_status"),
+        F.substring("error", 1, config.LISTING_ERROR_CHARS).alias("listing_error"),
         F.lit(float(listing_seconds)).alias("listing_seconds"),
         *[F.lit(0).cast("bigint").alias(c) for c in
           ("partition_tree_depth", "year_dirs_walked", "month_dirs_walked", "day_dirs_walked",

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..session import ship_package
+from . import storage
 
 MANIFEST_SCHEMA = ("path string, collection string, day date, file_key long, "
                    "format string, rows long, bytes long")
@@ -40,11 +41,12 @@ def block_file_key(id_col: str | Column, rows_per_file: int) -> Column:
 
 
 def resolve_fs(uri: str):
-    """(pyarrow filesystem, path, is_local) for a Hadoop-style URI or a plain path."""
+    """(pyarrow filesystem, path, is_local) for a qualified Hadoop-style URI (see storage.qualify):
+    what a path without a scheme means, only the driver's configuration says."""
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + unquote(urlparse(uri).path).lstrip("/"), True
     if "://" not in uri:
-        return pafs.LocalFileSystem(), uri, True
+        raise ValueError(f"not a qualified path: {uri}")
     fixed = uri.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)
     fs, path = pafs.FileSystem.from_uri(fixed)
     return fs, path, False
@@ -123,7 +125,7 @@ def write_landing(df: DataFrame, root: str, database: str, manifest_path: str,
     columns. With ``omit_null_columns`` a column that is NULL in every row of a file is
     left out of that file."""
     ship_package(df.sparkSession)
-    writer = _make_writer(root, database, fmt, omit_null_columns)
+    writer = _make_writer(storage.qualify(df.sparkSession, root), database, fmt, omit_null_columns)
     manifest = (df.groupBy("collection", "day", "file_key")
                 .applyInArrow(writer, MANIFEST_SCHEMA))
     manifest.write.mode("overwrite").parquet(manifest_path)

@@ -1,64 +1,25 @@
-"""Multi-collection drain: every resolved collection gets its own stream, at most
-``max_concurrent`` at once; one failure does not stop the others; every outcome and
-attempt is reported as a DataFrame, then the job fails if any collection failed.
+"""Drain of many collections: one stream each, at most ``max_concurrent`` running at a time.
 
-The driver part is a thin loop that starts and awaits streaming queries (the work of each
-micro-batch runs on the executors). The list it loops over is the resolved collections —
-config-bounded, one row per collection."""
+A stream that fails doesn't stop the others, and isn't started again here: its checkpoint
+stands, so the next run of the job (the scheduler's retry) goes on where it ended. What each
+stream came to is one row; kind and message are column expressions over these rows."""
 
 from __future__ import annotations
 
 import time
 import warnings
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config
 from ..functions import names as N
 from .ingest import BatchHandler, CollectionSpec, Layout, ingested_files, read_raw, start_ingest
 
-OUTCOME_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("collection", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("attempts", T.IntegerType()),
-    T.StructField("batches", T.LongType()),
-    T.StructField("files", T.LongType()),
-    T.StructField("message", T.StringType()),
-])
-
-PROGRESS_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("collection", T.StringType()),
-    T.StructField("attempt", T.IntegerType()),
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("input_files", T.LongType()),
-    T.StructField("trigger_ms", T.LongType()),
-])
-
-ATTEMPT_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("collection", T.StringType()),
-    T.StructField("attempt", T.IntegerType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("ran_seconds", T.DoubleType()),
-    T.StructField("message", T.StringType()),
-])
-
-
-def _kind_of(text: str) -> str:
-    """Python twin of :func:`names.failure_kind` for the supervising loop."""
-    if any(t in text for t in config.SCHEMA_EVOLUTION_TYPES):
-        return "schema_evolution"
-    up = text.upper()
-    if any(c in up for c in config.SCHEMA_EVOLUTION_ERROR_CLASSES):
-        return "schema_evolution"
-    return "genuine"
+_ENDED = "run_id string, collection string, name string, error string, batches long, files long"
+PROGRESS_SCHEMA = "run_id string, collection string, batch_id long, input_files long, batch_ms long"
 
 
 def specs_from_resolved(resolved: DataFrame) -> list[CollectionSpec]:
@@ -77,119 +38,76 @@ def specs_from_resolved(resolved: DataFrame) -> list[CollectionSpec]:
     return specs
 
 
-def _record_progress(handler: BatchHandler, q, run_id: str, collection: str, attempt: int) -> None:
-    """Keep (batch id, input files, trigger milliseconds) of every finished micro-batch."""
+def _until_end(spark: SparkSession, handler: BatchHandler, trigger: str) -> str | None:
+    """Run one stream until it ends; the text of what ended it, None for a clean end."""
+    # a pool for each collection, so that under spark.scheduler.mode=FAIR a large one doesn't
+    # hold back the small ones
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"raw_{handler.spec.name}")
     try:
-        for p in q.recentProgress:
-            if p.numInputRows or p.batchId is not None:
-                handler.progress.append((run_id, collection, attempt, int(p.batchId),
-                                         int(p.numInputRows or 0),
-                                         int((p.durationMs or {}).get("triggerExecution", 0))))
-    except Exception:  # progress is reporting only
-        pass
+        start_ingest(spark, handler.spec, handler.layout, trigger, handler.evolve, handler).awaitTermination()
+    except Exception as e:
+        return str(e) or type(e).__name__
+    return None
 
 
-def supervise(spark: SparkSession, spec: CollectionSpec, layout: Layout, run_id: str,
-              trigger: str = "availableNow", evolve: bool = True,
-              backoff_seconds: float = config.RESTART_BACKOFF_SECONDS,
-              max_restarts: int = config.MAX_RESTARTS,
-              max_schema_restarts: int = config.MAX_SCHEMA_RESTARTS,
-              healthy_seconds: float = config.HEALTHY_RESET_SECONDS):
-    """Run one collection's stream to completion, restarting from its checkpoint on
-    failure within the restart budget. Returns (outcome row, attempt rows)."""
-    restarts = schema_restarts = 0
-    attempts = []
-    handler = BatchHandler(spec, layout, evolve)
-    # one scheduler pool per collection (used when spark.scheduler.mode=FAIR), so a large
-    # collection's jobs do not hold back the small jobs of the others
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"raw_{spec.name}")
-    n = 0
-    while True:
-        n += 1
-        started = time.monotonic()
-        try:
-            q = start_ingest(spark, spec, layout, trigger, evolve, handler)
-            try:
-                q.awaitTermination()
-            finally:
-                _record_progress(handler, q, run_id, spec.collection, n)
-            attempts.append((run_id, spec.collection, n, "ok", time.monotonic() - started, None))
-            return ((run_id, spec.collection, spec.name, "ok", "ok", n, handler.batches,
-                     handler.files_seen, None), attempts, handler.progress)
-        except Exception as e:  # classified and bounded below
-            ran = time.monotonic() - started
-            text = str(e)
-            msg = text.replace("\n", " ")[: config.OUTCOME_MESSAGE_CHARS]
-            kind = _kind_of(text)
-            attempts.append((run_id, spec.collection, n, kind, ran, msg))
-            if ran >= healthy_seconds:
-                restarts = schema_restarts = 0
-            if kind == "schema_evolution":
-                schema_restarts += 1
-                if schema_restarts > max_schema_restarts:
-                    return ((run_id, spec.collection, spec.name, "failed", kind, n,
-                             handler.batches, handler.files_seen,
-                             f"schema-evolution restart loop ({schema_restarts}x) — {msg}"),
-                            attempts, handler.progress)
-            else:
-                restarts += 1
-                if restarts > max_restarts:
-                    return ((run_id, spec.collection, spec.name, "failed", kind, n,
-                             handler.batches, handler.files_seen,
-                             f"failed after {restarts - 1} restart(s): {msg}"), attempts,
-                            handler.progress)
-            time.sleep(backoff_seconds)
+def _width(specs: list, max_concurrent: int, trigger: str) -> int:
+    if max_concurrent <= 0:
+        raise ValueError("max_concurrent must be a positive integer")
+    if trigger == "continuous":  # no stream ends, so each needs a thread from the start
+        if len(specs) > max_concurrent:
+            warnings.warn(f"{len(specs)} continuous streams run at once; max_concurrent is {max_concurrent}")
+        return max(1, len(specs))
+    if max_concurrent > config.MAX_CONCURRENT_CAP:
+        warnings.warn(f"max_concurrent {max_concurrent} is lowered to {config.MAX_CONCURRENT_CAP}")
+    return min(max_concurrent, config.MAX_CONCURRENT_CAP)
 
 
 def drain(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, run_id: str | None = None,
           max_concurrent: int = config.DEFAULT_MAX_CONCURRENT, trigger: str = "availableNow",
-          evolve: bool = True, backoff_seconds: float = config.RESTART_BACKOFF_SECONDS,
-          with_progress: bool = False):
-    """Drain every collection; returns (outcomes, attempts) DataFrames, plus the per-batch
-    progress (batch id, input files, trigger ms) when ``with_progress``."""
-    if max_concurrent <= 0:
-        raise ValueError("max_concurrent must be a positive integer")
-    workers = min(int(max_concurrent), config.MAX_CONCURRENT_CAP)
-    if trigger == "continuous" and specs:
-        # continuous streams never finish: every collection needs its own supervisor
-        if len(specs) > workers:
-            warnings.warn(f"{len(specs)} continuous streams exceed the concurrency budget of "
-                          f"{workers}; they will contend for the cluster")
-        workers = len(specs)
+          evolve: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Drain every collection. Returns (outcomes, progress): one row a collection with status,
+    failure kind and message, and one row for every micro-batch that was written."""
     run_id = N.run_token(run_id)
+    handlers = [BatchHandler(s, layout, evolve) for s in specs]
+    with ThreadPoolExecutor(max_workers=_width(specs, max_concurrent, trigger)) as pool:
+        errors = list(pool.map(lambda h: _until_end(spark, h, trigger), handlers))
+    ended = spark.createDataFrame(
+        [(run_id, h.spec.collection, h.spec.name, e, h.batches, h.files_seen) for h, e in zip(handlers, errors)], _ENDED)
+    progress = spark.createDataFrame(
+        [(run_id, h.spec.collection, *p) for h in handlers for p in h.progress], PROGRESS_SCHEMA)
+    return outcomes_of(ended), progress
 
-    def one(spec):
-        return supervise(spark, spec, layout, run_id, trigger, evolve, backoff_seconds)
 
-    if specs:
-        with ThreadPoolExecutor(max_workers=workers) as ex:
-            results = list(ex.map(one, specs))
-    else:
-        results = []
-    outcomes = [r[0] for r in results]
-    attempts = [a for r in results for a in r[1]]
-    out = (spark.createDataFrame(outcomes, OUTCOME_SCHEMA),
-           spark.createDataFrame(attempts, ATTEMPT_SCHEMA))
-    if with_progress:
-        return out + (spark.createDataFrame([p for r in results for p in r[2]], PROGRESS_SCHEMA),)
-    return out
+def outcomes_of(ended: DataFrame) -> DataFrame:
+    """status 'ok' or 'failed', kind ('ok' or the failure's) and the cleaned-up message."""
+    return ended.select(
+        "run_id", "collection", "name", F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"),
+        F.coalesce(N.failure_kind("error"), F.lit("ok")).alias("kind"), "batches", "files",
+        N.clean_message("error").alias("message"))
 
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     """ok / failed counts and the sorted failed names, per run."""
+    failed = F.col("status") != "ok"
     return outcomes.groupBy("run_id").agg(
-        F.count_if(F.col("status") == "ok").alias("ok"),
-        F.count_if(F.col("status") != "ok").alias("failed"),
-        F.array_sort(F.collect_list(F.when(F.col("status") != "ok", F.col("name")))).alias("failed_names"))
+        F.count_if(~failed).alias("ok"), F.count_if(failed).alias("failed"),
+        F.array_sort(F.collect_list(F.when(failed, F.col("name")))).alias("failed_names"))
 
 
 def report_and_raise(outcomes: DataFrame, context: str = "raw ingestion") -> None:
-    """Raise when any collection failed permanently."""
-    failed = (outcomes.where(F.col("status") != "ok").select("name", "message")
-              .orderBy("name").collect())
+    """Raise when any collection failed."""
+    failed = outcomes.where(F.col("status") != "ok").select("name", "message").orderBy("name").collect()
     if failed:
-        raise RuntimeError(f"{context}: {len(failed)} collection(s) failed permanently: "
-                           f"{[r.name for r in failed]}")
+        raise RuntimeError(f"{context}: {len(failed)} collection(s) failed: "
+                           + "; ".join(f"{r.name}: {r.message}" for r in failed))
+
+
+def drain_or_raise(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, **options) -> DataFrame:
+    """Drain every collection and return the outcomes; raise if any failed, so that nothing is
+    read that only looks complete."""
+    outcomes, _ = drain(spark, specs, layout, **options)
+    report_and_raise(outcomes)
+    return outcomes
 
 
 def raw_union(spark: SparkSession, layout: Layout, specs: list[CollectionSpec],
@@ -204,12 +122,7 @@ def raw_union(spark: SparkSession, layout: Layout, specs: list[CollectionSpec],
             df = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
                              for c in columns])
         frames.append(df.withColumn("collection", F.lit(s.collection)))
-    if not frames:
-        return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
 def row_counts(spark: SparkSession, layout: Layout, specs: list[CollectionSpec]) -> DataFrame:
@@ -225,34 +138,23 @@ def row_counts(spark: SparkSession, layout: Layout, specs: list[CollectionSpec])
 
 
 def drain_waves(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, waves: int,
-                pause_seconds: float = 120.0, max_concurrent: int = config.DEFAULT_MAX_CONCURRENT,
-                evolve: bool = True, backoff_seconds: float = config.RESTART_BACKOFF_SECONDS
-                ) -> tuple[DataFrame, DataFrame]:
-    """Repeated bounded drains (one process, one writer per checkpoint): drain, stop on any
-    failure, pause, repeat. Outcomes and attempts carry the wave number."""
+                pause_seconds: float = 120.0, **options) -> tuple[DataFrame, DataFrame]:
+    """Repeated bounded drains with a pause between; a wave with a failure is the last. Outcomes
+    and progress carry the wave number."""
     if waves < 1 or pause_seconds <= 0:
         raise ValueError("waves and pause_seconds must be positive")
-    outs, atts = [], []
-    for wave in range(1, int(waves) + 1):
-        o, a = drain(spark, specs, layout, None, max_concurrent, "availableNow", evolve,
-                     backoff_seconds)
-        outs.append(o.withColumn("wave", F.lit(wave)))
-        atts.append(a.withColumn("wave", F.lit(wave)))
-        report_and_raise(o, f"drain wave {wave}")
-        if wave < waves:
+    done: list[tuple[DataFrame, DataFrame]] = []
+    for wave in range(1, waves + 1):
+        if done:
             time.sleep(pause_seconds)
-    out, att = outs[0], atts[0]
-    for o, a in zip(outs[1:], atts[1:]):
-        out, att = out.unionByName(o), att.unionByName(a)
-    return out, att
+        outcomes, progress = drain(spark, specs, layout, **options)
+        report_and_raise(outcomes, f"drain wave {wave}")
+        done.append((outcomes.withColumn("wave", F.lit(wave)), progress.withColumn("wave", F.lit(wave))))
+    return tuple(reduce(DataFrame.unionByName, frames) for frames in zip(*done))
 
 
 def ingested_file_table(spark: SparkSession, layout: Layout, specs: list[CollectionSpec]) -> DataFrame:
     """(collection, batch_id, path) over the file manifests of all collections."""
-    out = None
-    for sp in specs:
-        df = ingested_files(spark, layout, sp.name).withColumn("collection", F.lit(sp.collection))
-        out = df if out is None else out.unionByName(df)
-    if out is None:
-        return spark.createDataFrame([], "batch_id bigint, path string, collection string")
-    return out
+    empty = spark.createDataFrame([], "batch_id bigint, path string, collection string")
+    return reduce(DataFrame.unionByName, [
+        ingested_files(spark, layout, s.name).withColumn("collection", F.lit(s.collection)) for s in specs], empty)

@@ -7,12 +7,13 @@ stream silently drops columns it does not know. So the stream is a *metadata* st
 
 1. probe every file of the batch in parallel (Parquet footer / CSV header line; a
    ``mapInPandas`` over the paths, no data read) and group files by that signature;
-2. read each group with Spark (one physical schema per group, CSV bound by name);
+2. read each group with Spark (Parquet files whose shared columns agree in type are one
+   group; CSV bound by the names of its header);
 3. evolve the tracked schema (add columns only, never change a type) unless frozen;
 4. align every group to the tracked schema; values that do not fit and untracked
    columns go to ``_rescued_data`` as JSON;
-5. add lineage columns and overwrite the batch's own partition ``_batch_id=<id>``
-   (dynamic partition overwrite), so a replay after a crash rewrites the same rows;
+5. add lineage columns and overwrite the batch's own folder, so a replay after a crash
+   rewrites the same rows;
 6. save the evolved schema *after* the write.
 
 The file list of a batch is bounded by ``maxFilesPerTrigger`` (the tier's file cap); it is
@@ -23,6 +24,7 @@ from __future__ import annotations
 import csv
 import gzip
 import hashlib
+import json
 import time
 from dataclasses import dataclass
 from functools import reduce
@@ -33,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from .. import config
 from ..functions import names as N
 from ..functions import schema as S
 from ..session import ship_package
+from ..sources import storage
 from ..sources.landing import escape_glob, source_glob
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -130,36 +132,49 @@ def _probe_partition(fmt: str):
     return probe
 
 
-def _probe_bytes(fmt: str):
-    import io
-
-    def probe(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"], "signature": [
-                _signature_of_stream(io.BytesIO(c), p, fmt) for p, c in zip(pdf["path"], pdf["content"])]})
-    return probe
-
-
 def probe_groups(files: DataFrame, fmt: str) -> list[tuple[str, list[str]]]:
-    """[(signature, sorted paths)] for the files of one micro-batch. Files whose scheme
-    Arrow cannot open are probed from their bytes read by Spark's ``binaryFile`` source."""
+    """[(signature, sorted paths)] for the files of one micro-batch. Where Arrow can't open a
+    scheme, the footer or first line is read through Spark's own file system; no file's
+    body is read either way."""
     schema = "path string, signature string"
     sig = files.select("path").mapInPandas(_probe_partition(fmt), schema)
     rows = (sig.groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
             .orderBy("signature").collect())
-    groups = [(r.signature, list(r.paths)) for r in rows if r.signature is not None]
-    missing = [p for r in rows if r.signature is None for p in r.paths]
-    if missing:
-        spark = files.sparkSession
-        raw = spark.read.format("binaryFile").load(_glob_safe(missing)).select("path", "content")
-        more = (raw.mapInPandas(_probe_bytes(fmt), schema)
-                .groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-                .orderBy("signature").collect())
-        merged = dict(groups)
-        for r in more:
-            merged[r.signature] = sorted(merged.get(r.signature, []) + list(r.paths))
-        groups = sorted(merged.items())
-    return groups
+    groups = {r.signature: list(r.paths) for r in rows if r.signature is not None}
+    for path in (p for r in rows if r.signature is None for p in r.paths):
+        groups.setdefault(_spark_signature(files.sparkSession, path, fmt), []).append(path)
+    return sorted((s, sorted(p)) for s, p in groups.items())
+
+
+def _spark_signature(spark: SparkSession, path: str, fmt: str) -> str:
+    if fmt == "parquet":
+        return "spark:" + spark.read.parquet(*_glob_safe([path])).schema.json()
+    return "csv:" + storage.first_line(spark, path).lstrip("\ufeff")
+
+
+def merge_groups(groups: list[tuple[str, list[str]]]) -> list[tuple[T.StructType | None, list[str]]]:
+    """Parquet groups joined where their schemas agree on the type of every column they share:
+    such files read as one under the union of their columns (a column that a file lacks is
+    NULL), so optional columns don't multiply the reads. A group whose schema only Spark can
+    tell stays alone (None)."""
+    out: list[tuple[T.StructType | None, list[str]]] = []
+    for sig, paths in groups:
+        schema = parquet_schema(sig)
+        if schema is None:
+            out.append((None, list(paths)))
+            continue
+        mine = {f.name.lower(): f for f in schema.fields}
+        for i, (other, more) in enumerate(out):
+            if other is None or len(mine) != len(schema.fields):
+                continue
+            theirs = {f.name.lower(): f.dataType for f in other.fields}
+            if all(theirs.get(n, f.dataType) == f.dataType for n, f in mine.items()):
+                joined = T.StructType(other.fields + [f for n, f in mine.items() if n not in theirs])
+                out[i] = (joined, more + list(paths))
+                break
+        else:
+            out.append((schema, list(paths)))
+    return out
 
 
 # ----------------------------------------------------------------------------------------
@@ -176,6 +191,8 @@ CORRUPT_COLUMN = "_corrupt_record"
 def parquet_schema(signature: str | None) -> T.StructType | None:
     """Spark schema of a Parquet signature group (from the probed footer), so reading the
     group needs no schema-inference job; None -> let Spark infer."""
+    if signature and signature.startswith("spark:"):
+        return T.StructType.fromJson(json.loads(signature[len("spark:"):]))
     if not signature or not signature.startswith("parquet:"):
         return None
     import base64
@@ -205,12 +222,13 @@ def header_names(signature: str) -> list[str]:
     return out
 
 
-def read_group(spark: SparkSession, fmt: str, paths: list[str], signature: str | None = None) -> DataFrame:
+def read_group(spark: SparkSession, fmt: str, paths: list[str], signature: str | None = None,
+               known: T.StructType | None = None) -> DataFrame:
     """Read files that share one physical schema (Parquet) or one header (CSV: bound by
     the group's own header, all columns as text; a line whose field count does not match
     keeps its raw text in ``_corrupt_record``), with the source file of every row."""
     if fmt == "parquet":
-        known = parquet_schema(signature)
+        known = known or parquet_schema(signature)
         reader = spark.read.schema(known) if known is not None else spark.read
         df = reader.parquet(*_glob_safe(paths))
     else:
@@ -220,7 +238,7 @@ def read_group(spark: SparkSession, fmt: str, paths: list[str], signature: str |
         df = (spark.read.schema(schema).option("header", True).option("escape", '"')
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
               .csv(_glob_safe(paths)))
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    return df.withColumn(config.FILE_COLUMN, F.col("_metadata.file_path"))
 
 
 def evolve_for_batch(frames: list[DataFrame], fmt: str, tracked: T.StructType | None,
@@ -230,18 +248,18 @@ def evolve_for_batch(frames: list[DataFrame], fmt: str, tracked: T.StructType |
         return tracked
     known = {f.name.lower() for f in tracked.fields} if tracked is not None else set()
     if fmt == "parquet":
-        observed = [T.StructType([f for f in fr.schema.fields if f.name != "_source_file"])
+        observed = [T.StructType([f for f in fr.schema.fields if f.name != config.FILE_COLUMN])
                     for fr in frames]
         return S.evolve(tracked, observed)
     new_cols: list[str] = []
     for fr in frames:
         for c in fr.columns:
-            if c not in ("_source_file", CORRUPT_COLUMN) and c.lower() not in known \
-                    and c not in new_cols and c not in S.RESERVED:
+            if c not in (config.FILE_COLUMN, CORRUPT_COLUMN) and c.lower() not in known \
+                    and c not in new_cols and c.lower() not in S.RESERVED:
                 new_cols.append(c)
     if not new_cols:
         return tracked if tracked is not None else T.StructType([])
-    parts = [fr.select(*[F.col(f"`{c}`") for c in new_cols if c in fr.columns]) for fr in frames]
+    parts = [fr.select(*[S.quoted(c) for c in new_cols if c in fr.columns]) for fr in frames]
     parts = [p for p in parts if p.columns]
     text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     types = S.infer_text_types(text, new_cols)
@@ -255,10 +273,9 @@ def _has_new_text_columns(groups: list[tuple[str, list[str]]], tracked: T.Struct
 
 def finish(df: DataFrame, tracked: T.StructType) -> DataFrame:
     """Lineage columns and final column order of a raw dataset."""
-    out = df.withColumns({"_ingested_at": F.current_timestamp(),
-                          "_file_epoch_ms": N.file_epoch_ms("_source_file")})
-    return out.select(*[F.col(f"`{f.name}`") for f in tracked.fields], config.RESCUED_COLUMN,
-                      "_ingested_at", "_source_file", "_file_epoch_ms")
+    return df.select(*[S.quoted(f.name) for f in tracked.fields], config.RESCUED_COLUMN,
+                     F.current_timestamp().alias("_ingested_at"), F.col(config.FILE_COLUMN).alias("_source_file"),
+                     N.file_epoch_ms(config.FILE_COLUMN).alias("_file_epoch_ms"))
 
 
 class BatchHandler:
@@ -281,7 +298,7 @@ class BatchHandler:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        t = time.perf_counter()
+        began = t = time.perf_counter()
         if self.store is None:
             self.store = S.SchemaStore(spark, self.layout.schema_path(self.spec.name))
         tracked = self.store.latest()
@@ -290,31 +307,37 @@ class BatchHandler:
         t = self._tick("probe", t)
         if not groups:
             return
-        frames = [read_group(spark, self.spec.fmt, paths, sig) for sig, paths in groups]
+        if self.spec.fmt == "parquet":
+            frames = [read_group(spark, "parquet", paths, known=schema) for schema, paths in merge_groups(groups)]
+        else:
+            frames = [read_group(spark, "csv", paths, sig) for sig, paths in groups]
         t = self._tick("read_plan", t)
         cached = self.spec.fmt == "csv" and (self.evolve or tracked is None) and \
             _has_new_text_columns(groups, tracked)
         if cached:  # inference and write would otherwise read and parse the files twice
             frames = [fr.persist(StorageLevel.MEMORY_AND_DISK) for fr in frames]
-        new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve)
-        t = self._tick("evolve", t)
-        aligned = [S.align_and_rescue(fr, new_tracked, text_source=self.spec.fmt == "csv")
-                   for fr in frames]
-        out = finish(reduce(lambda a, b: a.unionByName(b), aligned), new_tracked)
-        (out.withColumn(config.BATCH_COLUMN, F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(config.BATCH_COLUMN).parquet(self.layout.raw_path(self.spec.name)))
-        t = self._tick("write", t)
-        if cached:
-            for fr in frames:
-                fr.unpersist()
-        write_file_manifest(spark, self.layout.files_path(self.spec.name), batch_id,
-                            [p for _s, paths in groups for p in paths])
+        try:
+            new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve)
+            t = self._tick("evolve", t)
+            aligned = [S.align_and_rescue(fr, new_tracked, text_source=self.spec.fmt == "csv")
+                       for fr in frames]
+            out = finish(reduce(lambda a, b: a.unionByName(b), aligned), new_tracked)
+            # the batch's own folder, as a whole: a replay rewrites it; rebalancing sizes its files
+            (out.hint("rebalance").write.mode("overwrite")
+             .parquet(f"{self.layout.raw_path(self.spec.name)}/{config.BATCH_COLUMN}={int(batch_id)}"))
+            t = self._tick("write", t)
+        finally:
+            if cached:
+                for fr in frames:
+                    fr.unpersist()
+        paths = [p for _s, group in groups for p in group]
+        write_file_manifest(spark, self.layout.files_path(self.spec.name), batch_id, paths)
         if tracked is None or new_tracked != tracked:
             self.store.save(new_tracked, batch_id)
         self._tick("schema_save", t)
-        self.files_seen += sum(len(p) for _s, p in groups)
+        self.files_seen += len(paths)
         self.batches += 1
+        self.progress.append((int(batch_id), len(paths), int(1000 * (time.perf_counter() - began))))
 
 
 def metadata_stream(spark: SparkSession, glob: str, max_files: int) -> DataFrame:
@@ -367,45 +390,27 @@ FILES_SCHEMA = "batch_id BIGINT, path STRING"
 def write_file_manifest(spark: SparkSession, folder: str, batch_id: int, paths: list[str]) -> None:
     """The files of one micro-batch (already on the driver, at most the tier's file cap) as
     one small JSON-lines file named after the batch id, so a replay rewrites it in place.
-    Written through the shared file system; Spark's writer where Arrow cannot open it."""
-    import json as _json
-    import uuid as _uuid
-
-    from ..sources.landing_writer import resolve_fs
-
-    lines = "".join(_json.dumps({"batch_id": int(batch_id), "path": p}) + "\n" for p in paths)
-    try:
-        fs, base, _ = resolve_fs(folder)
-    except Exception:
-        (spark.createDataFrame([(int(batch_id), p) for p in paths], FILES_SCHEMA)
-         .coalesce(1).write.mode("overwrite").json(f"{folder}/batch={int(batch_id)}"))
-        return
-    fs.create_dir(base, recursive=True)
-    tmp = f"{base}/_tmp_{_uuid.uuid4().hex}"
-    with fs.open_output_stream(tmp) as out:
-        out.write(lines.encode("utf-8"))
-    fs.move(tmp, f"{base}/batch-{int(batch_id):012d}.json")
+    Written through the file system that Spark uses for the folder."""
+    lines = "".join(json.dumps({"batch_id": int(batch_id), "path": p}) + "\n" for p in paths)
+    storage.write(spark, f"{folder}/batch-{int(batch_id):012d}.json", lines.encode("utf-8"))
 
 
 def ingested_files(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """(batch_id, path) of every file a collection's stream has written: a small table,
     so backlog questions never scan the raw data."""
-    try:
-        return (spark.read.schema(FILES_SCHEMA).option("recursiveFileLookup", "true")
-                .json(layout.files_path(name)))
-    except AnalysisException:
+    if not storage.exists(spark, layout.files_path(name)):
         return spark.createDataFrame([], FILES_SCHEMA)
+    return (spark.read.schema(FILES_SCHEMA).option("recursiveFileLookup", "true")
+            .json(layout.files_path(name)))
 
 
 def read_raw(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
     """Raw dataset with the latest tracked schema (older batches: new columns NULL).
-    None when nothing was ingested yet."""
+    None when nothing was ingested yet; data that a tracked schema promises but that isn't
+    there or can't be read is an error."""
     tracked = tracked_schema(spark, layout, name)
     if tracked is None:
         return None
     schema = S.raw_schema(tracked)
-    try:
-        df = spark.read.schema(schema).parquet(layout.raw_path(name))
-    except AnalysisException:
-        return None
-    return df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    df = spark.read.schema(schema).parquet(layout.raw_path(name))  # a tracked schema has data
+    return df.select(*[S.quoted(f.name) for f in schema.fields])

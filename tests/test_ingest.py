@@ -12,7 +12,7 @@ from loamflow.sources import landing as L
 from loamflow.sources.synth import synth_summary, synthesize
 from loamflow.streaming.drain import drain, outcome_counts, report_and_raise, row_counts, specs_from_resolved
 from loamflow.streaming.ingest import BatchHandler, CollectionSpec, Layout, ingest_available, read_raw, start_ingest
-from loamflow.streaming.measure import count_drain, measure
+from loamflow.streaming.measure import count_drains, measure
 
 DB = "db"
 
@@ -52,7 +52,7 @@ def test_synthesize_resolve_drain(spark, run_dir):
     child = resolved.where("collection = 'transactions_statuslogs'").first()
     assert (child.owner, child.tier, child.format) == ("transactions", "high", "parquet")
     specs = specs_from_resolved(resolved)
-    outcomes, attempts = drain(spark, specs, lay, max_concurrent=3, backoff_seconds=0)
+    outcomes, _ = drain(spark, specs, lay, max_concurrent=3)
     report_and_raise(outcomes)
     assert outcome_counts(outcomes).first().ok == 6
     assert {r.collection: r.n for r in row_counts(spark, lay, specs).collect()} == {
@@ -78,7 +78,7 @@ def test_synthesize_resolve_drain(spark, run_dir):
     assert otp.where(~F.col("phone").rlike("^9[0-9]{9}$")).count() == 0
     assert vk.where("_file_epoch_ms IS NULL OR _rescued_data IS NOT NULL").count() == 0
     # rerun without new files: nothing new
-    outcomes2, _ = drain(spark, specs, lay, backoff_seconds=0)
+    outcomes2, _ = drain(spark, specs, lay)
     assert outcomes2.agg(F.sum("files")).first()[0] == 0
     assert row_counts(spark, lay, specs).agg(F.sum("n")).first()[0] == 18000
 
@@ -174,8 +174,9 @@ def test_measure_gz_and_steady_state(spark, run_dir):
     root = f"{run_dir}/landing"
     _csv(root, "g", "1735689600000_g_00_00.csv.gz", "a,b\n1,2\n3,4\n", gz=True)
     _csv(root, "g", "1735689600000_g_00_01.CSV", "a,b\n5,6\n")
-    out = count_drain(spark, "g", "csv", 100, root, DB, f"{run_dir}/m", "r1")
-    assert out["status"] == "OK" and sum(b["rows"] for b in out["batches"]) == 2
+    phases, batches = count_drains(spark, [("g", "csv", 100)], root, DB, f"{run_dir}/m", "r1", 1)
+    assert [(r.phase, r.failure) for r in phases.collect()] == [("start", None), ("drain", None), ("stop", None)]
+    assert batches.agg(F.sum("rows")).first()[0] == 2
     topics = O.topics_frame(spark, [("g", "low", 0)])
     res = measure(spark, root, DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN", "pin")
     m = res["measurements"].first()
@@ -194,7 +195,7 @@ def test_measure_gz_and_steady_state(spark, run_dir):
     assert lm.status == "LISTED" and lm.rows_seen is None
 
 
-def test_failure_budget_and_isolation(spark, run_dir):
+def test_failure_and_isolation(spark, run_dir):
     import pytest
 
     lay = _layout(run_dir)
@@ -203,15 +204,12 @@ def test_failure_budget_and_isolation(spark, run_dir):
         f.write(b"this is not parquet")
     _pq(lay.source_root, "good", "1735689600000_good_00_00.parquet", {"a": [1, 2]})
     specs = [CollectionSpec("bad", "bad", "parquet"), CollectionSpec("good", "good", "parquet")]
-    outcomes, attempts = drain(spark, specs, lay, max_concurrent=2, backoff_seconds=0)
-    got = {r.collection: (r.status, r.attempts) for r in outcomes.collect()}
-    assert got["good"] == ("ok", 1)
-    assert got["bad"] == ("failed", 6)            # 1 try + 5 restarts, then the budget is spent
-    kinds = [r.kind for r in attempts.where("collection = 'bad'").orderBy("attempt").collect()]
-    assert kinds == ["genuine"] * 6
+    outcomes, _ = drain(spark, specs, lay, max_concurrent=2)
+    got = {r.collection: (r.status, r.kind) for r in outcomes.collect()}
+    assert got == {"good": ("ok", "ok"), "bad": ("failed", "genuine")}
     c = outcome_counts(outcomes).first()
     assert (c.ok, c.failed, list(c.failed_names)) == (1, 1, ["bad"])
-    with pytest.raises(RuntimeError, match="failed permanently"):
+    with pytest.raises(RuntimeError, match="1 collection.s. failed: bad"):
         report_and_raise(outcomes)
     assert read_raw(spark, lay, "good").count() == 2
 
@@ -221,13 +219,13 @@ def test_rate_limit_and_progress(spark, run_dir):
     for i in range(5):
         _pq(lay.source_root, "c", f"173568960000{i}_c_0{i}_00.parquet", {"a": [i]}, day=f"0{i + 1}")
     spec = CollectionSpec("c", "c", "parquet", max_files=2)
-    outcomes, _att, progress = drain(spark, [spec], lay, backoff_seconds=0, with_progress=True)
+    outcomes, progress = drain(spark, [spec], lay)
     o = outcomes.first()
     assert (o.batches, o.files) == (3, 5)
     assert sorted((r.batch_id, r.input_files) for r in progress.collect()) == [(0, 2), (1, 2), (2, 1)]
 
 
-def test_probe_falls_back_to_spark_bytes(spark, run_dir, monkeypatch):
+def test_probe_falls_back_to_spark_footers(spark, run_dir, monkeypatch):
     from loamflow.streaming import ingest as I
 
     lay = _layout(run_dir)
@@ -239,7 +237,76 @@ def test_probe_falls_back_to_spark_bytes(spark, run_dir, monkeypatch):
     monkeypatch.setattr(I, "_probe_partition", lambda fmt: (lambda it: (
         __import__("pandas").DataFrame({"path": pdf["path"], "signature": [None] * len(pdf)}) for pdf in it)))
     fallback = I.probe_groups(files, "parquet")
-    assert fallback == direct and len(direct) == 2
+    groups = lambda got: sorted((tuple(p), I.parquet_schema(s).simpleString()) for s, p in got)
+    assert groups(fallback) == groups(direct) and len(direct) == 2
+    _csv(lay.source_root, "g", "1735689600000_g_00_00.csv.gz", "a,é\n1,2\n", gz=True)
+    files = spark.read.format("binaryFile").load(f"{lay.source_root}/*/*/*/*/*/collection=g/*").select("path", "length")
+    assert [s for s, _ in I.probe_groups(files, "csv")] == ["csv:a,é"]
+
+
+def test_optional_columns_read_as_one_group(spark, run_dir):
+    from loamflow.streaming import ingest as I
+
+    lay = _layout(run_dir)
+    for i in range(24):
+        cols = {"id": [i]} | {f"c{j}": [i * 10 + j] for j in range(5) if i >> j & 1}
+        _pq(lay.source_root, "o", f"17356896000{i:02d}_o_00_{i:02d}.parquet", cols)
+    spec = CollectionSpec("o", "o", "parquet")
+    files = spark.read.format("binaryFile").load(lay.glob(spec)).select("path", "length")
+    groups = I.probe_groups(files, "parquet")
+    assert len(groups) > 20 and len(I.merge_groups(groups)) == 1
+    ingest_available(spark, spec, lay)
+    rows = {r.id: r for r in read_raw(spark, lay, "o").collect()}
+    assert all(rows[i][f"c{j}"] == (i * 10 + j if i >> j & 1 else None) for i in range(24) for j in range(5))
+    assert all(r._rescued_data is None for r in rows.values())
+    import glob as g
+
+    assert len(g.glob(f"{lay.raw_path('o').removeprefix('file:')}/*/*.parquet")) <= 4
+
+
+def test_own_column_names_and_backticks_are_kept(spark, run_dir):
+    lay = _layout(run_dir)
+    _pq(lay.source_root, "q", "1735689600000_q_00_00.parquet",
+        {"a`b": [1], "_batch_id": [77], "_source_file": ["mine"], "_Ingested_At": ["x"], "__loamflow_batch": [5]})
+    ingest_available(spark, CollectionSpec("q", "q", "parquet"), lay)
+    r = read_raw(spark, lay, "q").first()
+    assert (r["a`b"], r["_batch_id"]) == (1, 77) and r["_source_file"].endswith("_q_00_00.parquet")
+    assert json.loads(r._rescued_data) == {"_source_file": "mine", "_Ingested_At": "x", "__loamflow_batch": 5}
+
+
+def test_missing_raw_data_is_an_error(spark, run_dir):
+    import pytest
+
+    lay = _layout(run_dir)
+    _pq(lay.source_root, "e", "1735689600000_e_00_00.parquet", {"a": [1]})
+    spec = CollectionSpec("e", "e", "parquet")
+    ingest_available(spark, spec, lay)
+    wrong = Layout(lay.source_root, DB, f"{run_dir}/elsewhere", lay.checkpoint_root)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        row_counts(spark, wrong, [spec]).collect()
+
+
+def test_old_files_are_not_skipped(spark, run_dir):
+    lay = _layout(run_dir)
+    spec = CollectionSpec("t", "t", "parquet")
+    _pq(lay.source_root, "t", "1735689600000_t_00_00.parquet", {"a": [1]})
+    ingest_available(spark, spec, lay)
+    _pq(lay.source_root, "t", "1735689600001_t_00_01.parquet", {"a": [2]})
+    os.utime(f"{_dir(lay.source_root, 't')}/1735689600001_t_00_01.parquet", (0, 0))
+    ingest_available(spark, spec, lay)
+    assert sorted(r.a for r in read_raw(spark, lay, "t").collect()) == [1, 2]
+
+
+def test_paths_without_a_scheme(spark, run_dir):
+    from loamflow.sources import storage
+
+    plain = run_dir.removeprefix("file:")
+    for root in (plain, f"file:{plain}", f"file://{plain}"):
+        assert storage.qualify(spark, root) == f"file:{plain}"
+        lay = _layout(f"{root}/s{len(root)}")
+        _pq(lay.source_root.removeprefix("file:").replace("//", "/"), "s", "1735689600000_s_00_00.parquet", {"a": [1]})
+        ingest_available(spark, CollectionSpec("s", "s", "parquet"), lay)
+        assert read_raw(spark, lay, "s").count() == 1
 
 
 def test_csv_malformed_lines_are_rescued(spark, run_dir):
@@ -276,6 +343,24 @@ def test_measure_listing_error_rows(spark, run_dir, monkeypatch):
     assert (s.errored_collections, s.visible_files) == (1, 0)
 
 
+def test_one_unlistable_collection_is_the_only_error(spark, run_dir, monkeypatch):
+    from loamflow.streaming import measure as Mm
+
+    root, real = f"{run_dir}/landing", L.list_landing
+    for c in ("a", "a_b"):
+        _pq(root, c, f"1735689600000_{c}_00_00.parquet", {"a": [1]})
+
+    def listing(spark, root, database=None, *args, collection=None, **kw):
+        if collection in (None, "a_b"):
+            raise RuntimeError("denied")
+        return real(spark, root, database, *args, collection=collection, **kw)
+    monkeypatch.setattr(Mm.L, "list_landing", listing)
+    topics = O.topics_frame(spark, [("a", "high", 0)])
+    res = Mm.measure(spark, root, DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
+    got = {r.collection: (r.status, r.file_count, r.rows_seen, r.error) for r in res["measurements"].collect()}
+    assert got == {"a": ("OK", 1, 1, None), "a_b": ("ERROR", None, None, "denied")}
+
+
 def test_continuous_drain_starts_every_collection(spark, run_dir):
     import threading
     import time as _t
@@ -286,7 +371,7 @@ def test_continuous_drain_starts_every_collection(spark, run_dir):
     specs = [CollectionSpec(c, c, "parquet", interval_seconds=1) for c in ("x", "y")]
     box = {}
     th = threading.Thread(target=lambda: box.setdefault(
-        "r", drain(spark, specs, lay, max_concurrent=1, trigger="continuous", backoff_seconds=0)))
+        "r", drain(spark, specs, lay, max_concurrent=1, trigger="continuous")))
     th.start()
     from loamflow.streaming.ingest import query_name
 
@@ -325,7 +410,7 @@ def test_drain_waves(spark, run_dir):
     lay = _layout(run_dir)
     _pq(lay.source_root, "w", "1735689600000_w_00_00.parquet", {"a": [1, 2]})
     spec = CollectionSpec("w", "w", "parquet")
-    outcomes, attempts = drain_waves(spark, [spec], lay, waves=2, pause_seconds=0.1, backoff_seconds=0)
+    outcomes, _ = drain_waves(spark, [spec], lay, waves=2, pause_seconds=0.1)
     got = sorted((r.wave, r.status, r.files) for r in outcomes.collect())
     assert got == [(1, "ok", 1), (2, "ok", 0)]          # the second wave finds nothing new
     assert read_raw(spark, lay, "w").count() == 2
@@ -384,5 +469,12 @@ def test_measure_no_files_row(spark, run_dir):
     child = res["measurements"].where("collection = 'j_child'").first()
     assert (child.total_bytes, child.collection_dirs_checked) == (size, 1)
     assert res["summary"].first().visible_bytes == size
+    with_clash = O.topics_frame(spark, [("u-x", "low", 0), ("u_x", "low", 1)])
+    for c in ("u-x", "u_x"):
+        _pq(root, c, "1735689600000_c_00_00.parquet", {"a": [1]})
+    import pytest
+
+    with pytest.raises(ValueError, match="share a measurement checkpoint"):
+        measure(spark, root, DB, f"{run_dir}/_measurement", with_clash, "BOUNDED_DRAIN")
     proj = {r.max_workers: r.simple_ceil_collection_rounds for r in res["projections"].collect()}
     assert proj == {4: 1, 6: 1, 8: 1, 12: 1, 16: 1}       # only the OK collection counts

@@ -32,10 +32,6 @@ def test_file_epoch(spark):
     assert _one(spark, f, "/1735689600000_dir/f.parquet") == 1735689600000  # first match
 
 
-def test_collection_from_path(spark):
-    assert _one(spark, N.collection_from_path("v"), "/r/database=d/collection=a_b/f.csv") == "a_b"
-
-
 def test_clean_message_and_kind(spark):
     msg = "line1\nline2 " + "x" * 300
     assert _one(spark, N.clean_message("v"), msg) == ("line1 line2 " + "x" * 300)[:160]

@@ -1,5 +1,6 @@
 import json
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamflow.functions import schema as S
@@ -22,12 +23,12 @@ def test_align_and_rescue(spark):
                             T.StructField("c", T.StringType())])
     df = spark.createDataFrame([("1", 2.5, True, "x.parquet"), ("oops", 3.0, None, "x.parquet"),
                                 (None, 4.25, False, "x.parquet")],
-                               "a string, b double, n2 boolean, _source_file string")
+                               "a string, b double, n2 boolean, __loamflow_file string")
     rows = S.align_and_rescue(df, tracked).collect()
     assert [(r.a, r.b, r.c) for r in rows] == [(1, 2.5, None), (None, 3.0, None), (None, 4.25, None)]
     assert [json.loads(r._rescued_data) if r._rescued_data else None for r in rows] == [
         {"n2": True}, {"a": "oops"}, {"n2": False}]
-    assert rows[0]._source_file == "x.parquet"
+    assert rows[0]["__loamflow_file"] == "x.parquet"
 
 
 def test_non_text_round_trip_rule(spark):
@@ -80,11 +81,31 @@ def test_nested_evolution_and_alignment(spark):
     assert r.doc is None and r._rescued_data == '{"doc":{"x":"oops"}}'
 
 
-def test_schema_store_spark_fallback(spark, run_dir, monkeypatch):
-    st = S.SchemaStore(spark, f"{run_dir}/schemas/fb")
-    monkeypatch.setattr(S.SchemaStore, "_fs", lambda self: (_ for _ in ()).throw(OSError("no such scheme")))
-    assert st.latest() is None
+def test_schema_versions_are_ordered_by_number(spark, run_dir):
+    from loamflow.sources import storage
+
+    st = S.SchemaStore(spark, f"{run_dir}/schemas/n")
     s1 = T.StructType([T.StructField("a", T.LongType())])
-    st.save(s1, 0)
-    fresh = S.SchemaStore(spark, f"{run_dir}/schemas/fb")
-    assert fresh.latest() == s1 and fresh.version() == 1
+    for v in (99_999, 100_000):
+        storage.write(spark, st._file(v), json.dumps({"version": v, "batch_id": 0, "schema_json": s1.json()}).encode())
+    assert st.version() == 100_000
+
+
+def test_every_type_pair_aligns(spark):
+    import datetime
+    import decimal
+
+    values = {"boolean": True, "tinyint": 1, "smallint": 2, "int": 3, "bigint": 4, "float": 1.5, "double": 2.5,
+              "decimal(10,2)": decimal.Decimal("1.25"), "string": "x", "binary": bytearray(b"xy"),
+              "date": datetime.date(2024, 1, 2), "timestamp": datetime.datetime(2024, 1, 2, 3, 4, 5),
+              "timestamp_ntz": datetime.datetime(2024, 1, 2, 3, 4, 5), "array<int>": [1], "struct<a:int>": (1,)}
+    names = [f"c{i}" for i in range(len(values))]
+    targets = spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in zip(names, values))).schema
+    for source, value in values.items():
+        df = spark.createDataFrame([(value,), (None,)], f"v {source}").select(*[F.col("v").alias(n) for n in names])
+        out = S.align_and_rescue(df, targets)
+        assert out.schema.fields[:len(names)] == targets.fields
+        full, empty = out.collect()
+        kept = json.loads(full._rescued_data or "{}")
+        assert all((full[n] is None) == (n in kept) for n in names), (source, full)
+        assert empty._rescued_data is None and all(empty[n] is None for n in names)

@@ -31,7 +31,7 @@ def main():
     spec = I.CollectionSpec("events_click", "events_click", "parquet")
     batch = spark.read.format("binaryFile").load(run.layout.glob(spec)).select("path", "length")
     groups = I.probe_groups(batch, "parquet")
-    frames = [I.read_group(spark, "parquet", paths, sig) for sig, paths in groups]
+    frames = [I.read_group(spark, "parquet", paths, known=schema) for schema, paths in I.merge_groups(groups)]
     tracked = I.evolve_for_batch(frames, "parquet", None, True)
     ingest_batch = I.finish(S.align_and_rescue(frames[0], tracked), tracked)
     blocks = {

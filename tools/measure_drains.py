@@ -51,7 +51,7 @@ def main() -> None:
 
     t0 = time.perf_counter()
     specs = specs_from_resolved(resolve(spark, run.root, Q.DATABASE, topics))
-    outcomes, _ = drain(spark, specs, run.layout, backoff_seconds=1)
+    outcomes, _ = drain(spark, specs, run.layout)
     report_and_raise(outcomes)
     out["collections"] = len(specs)
     out["cold_drain_seconds"] = round(time.perf_counter() - t0, 3)
@@ -59,7 +59,7 @@ def main() -> None:
     extra = split_frame(ev.where(F.col("event_id") < 40)).withColumn("file_key", F.lit(10**9).cast("long"))
     run.land(extra)
     t0 = time.perf_counter()
-    outcomes2, _ = drain(spark, specs, run.layout, backoff_seconds=1)
+    outcomes2, _ = drain(spark, specs, run.layout)
     report_and_raise(outcomes2)
     out["steady_state_new_files"] = outcomes2.agg(F.sum("files")).first()[0]
     out["steady_state_drain_seconds"] = round(time.perf_counter() - t0, 3)
