@@ -43,7 +43,8 @@ WORDS = 5
 NUM, DEN = 4, 5
 #: Members of a signature group compared at once.
 BLOCK = 256
-SKETCH = 64
+#: Slots of a set's sketch.
+SKETCH = 256
 FACTS = ("cls", "root", "n", "sketch")
 
 
@@ -157,8 +158,17 @@ def all_signatures(sets: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """How many of a set's features fall into each of 64 slots, up to 255."""
-    return np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    """How many of a set's features fall into each of 256 slots, up to 15, two to a byte."""
+    n = np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=SKETCH), 15).astype(np.uint8)
+    return (n[0::2] | n[1::2] << 4).tobytes()
+
+
+def _slots(sketches) -> np.ndarray:
+    """The slots of an Arrow array of sketches."""
+    packed = utf8(sketches)[0].reshape(-1, SKETCH // 2)
+    out = np.empty((len(packed), SKETCH), np.int8)
+    out[:, 0::2], out[:, 1::2] = packed & 15, packed >> 4
+    return out
 
 
 def _classes(batches):
@@ -228,8 +238,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.join(b, "v").join(a, "u").select("v", "u", "a", "b"), run, "u long, v long")
 
 
-#: Members a class may be paired with in each round; None: with all that are left.
-ROUNDS = (8, None)
+#: Pairs a task remembers, so as not to send them again.
+KEPT_PAIRS = 1 << 20
+#: Each round looks at one of so many signatures, and pairs a class with so many members of a
+#: group; the last looks at all, with all that are left.
+ROUNDS = ((8, 8), (1, None))
 
 
 def _near(pairs: DataFrame, turn: int, most: int | None) -> DataFrame:
@@ -238,6 +251,7 @@ def _near(pairs: DataFrame, turn: int, most: int | None) -> DataFrame:
     neither sizes nor sketches keep from linking; of each class at most ``most``, dealt by a
     hash of the pair and the turn."""
     def run(batches):
+        sent = np.empty((0, 2), np.int64)
         for batch in batches:
             col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             side = []
@@ -246,7 +260,7 @@ def _near(pairs: DataFrame, turn: int, most: int | None) -> DataFrame:
                 side.append((col["cls" + end].offsets.to_numpy() - col["cls" + end].offsets[0].as_py(),
                              col["cls" + end].flatten().to_numpy(), col["root" + end].flatten().to_numpy(),
                              col["n" + end].flatten().to_numpy().astype(np.int64),
-                             utf8(flat)[0].reshape(-1, SKETCH).astype(np.int16)))
+                             _slots(flat)))
             out = [np.empty((0, 2), np.int64)]
             for i, same in enumerate(col["same"].to_pylist()):
                 (ca, ra, na, sa), (cb, rb, nb, sb) = ([x[o[i]:o[i + 1]] for x in rest] for o, *rest in side)
@@ -264,6 +278,11 @@ def _near(pairs: DataFrame, turn: int, most: int | None) -> DataFrame:
                         out.append(got)
             got = np.concatenate(out)
             got = np.unique(np.stack([got.min(1), got.max(1)], 1), axis=0) if len(got) else got
+            if len(got):
+                both = np.concatenate([sent, got])
+                _, first = np.unique(both, axis=0, return_index=True)
+                got = both[np.sort(first[first >= len(sent)])]
+                sent = np.concatenate([sent, got])[-KEPT_PAIRS:]
             yield pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["u", "v"])
     return map_arrow(pairs, run, "u long, v long").distinct()
 
@@ -291,9 +310,9 @@ def set_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     facts = sets.select("cls", "n", "sketch")
     place = Window.partitionBy("sig").orderBy("root", "cls")
     last = Window.partitionBy("sig")
-    for turn, most in enumerate(ROUNDS):
+    for turn, (share, most) in enumerate(ROUNDS):
         links = roots = connected_components(links).select("u", F.col("root").alias("v"))  # as good as all links
-        labelled = (members.select("sig", "cls").join(roots, F.col("cls") == F.col("u"), "left")
+        labelled = (members.where(F.pmod("sig", F.lit(share)) == 0).select("sig", "cls").join(roots, F.col("cls") == F.col("u"), "left")
                     .select("sig", "cls", F.coalesce("v", "cls").alias("root")))
         open_ = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                  .where("lo < hi").select("sig"))
@@ -311,7 +330,11 @@ def set_links(members: DataFrame, sets: DataFrame) -> DataFrame:
                                       & (near_by if most is not None else F.lit(True)))
                   .select(*[F.col(f"a.{c}").alias(c) for c in FACTS], *[F.col(f"b.{c}").alias(c + "2") for c in FACTS],
                           (F.col("a.block") == F.col("b.block")).alias("same")))
-        new = materialize(_near(alone.unionByName(across), turn, most).join(tried, ["u", "v"], "left_anti"), "tried")
+        # groups of one least member meet in one task, which drops the pairs they have in common;
+        # no class is in more groups than it has signatures
+        pairs = alone.unionByName(across)
+        pairs = pairs.repartition(F.array_min("cls"))
+        new = materialize(_near(pairs, turn, most).join(tried, ["u", "v"], "left_anti"), "tried")
         links = materialize(links.unionByName(verified(new, sets)), "links")
         tried = tried.unionByName(new)
     return links
