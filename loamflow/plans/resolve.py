@@ -1,6 +1,6 @@
 """The resolve plan: topics + landing listing -> one row per collection to ingest with its
-owner, tier, batching parameters, format and shard. One Catalyst plan; the listing is read
-once and feeds discovery and format detection."""
+owner, tier, batching parameters, format and shard. The listing is read once, into one row a
+collection below the shared work folder; discovery and formats both come from that."""
 
 from __future__ import annotations
 
@@ -35,12 +35,12 @@ def resolve(spark: SparkSession, source_root: str, database: str, topics: DataFr
         O.assert_no_tier_conflicts(topics)
     parents = O.parents_frame(topics, priority)
     files = files if files is not None else L.list_landing(spark, source_root, database)
-    selected, _fallback = O.select_collections(L.discover_collections(files), parents)
+    found = L.collections_once(files)
+    selected, _fallback = O.select_collections(found, parents)
     sharded = O.shard_assignment(selected, shard_count)
     if shard_count > 1 and shard_index is not None:
         sharded = sharded.where(F.col("shard_index") == shard_index)
-    formats = L.detect_formats(files, allow_gzip=False)
-    out = (sharded.join(formats, "collection", "left")
+    out = (sharded.join(found, "collection", "left")
            .withColumn("name", N.table_name("collection")))
     out = O.with_tier_params(out, tiers if tiers is not None else O.tiers_frame(spark))
     out = out.select("collection", "name", "owner", "tier", "format", "is_parent",

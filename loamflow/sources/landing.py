@@ -15,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import config
 from ..functions import names as N
+from ..session import new_run_dir
 from . import storage
 
 LAYOUT_RE = (r"/" + re.escape(config.LANDING_SOURCE_SEGMENT) +
@@ -110,6 +111,14 @@ def detect_formats(files: DataFrame, allow_gzip: bool = False) -> DataFrame:
                       .when(F.col("_has_csv"), "csv").alias("format"))
 
 
+def collections_once(files: DataFrame) -> DataFrame:
+    """(collection, format) of every collection, from one pass over the listing; the small result
+    is written to the shared work folder, so what reads it doesn't list again."""
+    path = f"{new_run_dir(files.sparkSession, 'collections')}/formats"
+    detect_formats(files, allow_gzip=False).write.parquet(path)
+    return files.sparkSession.read.parquet(path)
+
+
 def tree_metrics(files: DataFrame) -> dict:
     """Year / month / day directory counts and tree depth from one aggregate row.
     Empty directories are invisible to a file listing."""

@@ -41,3 +41,12 @@ def test_makespan_and_rounds_need_no_join(spark):
     for name in ("makespan", "ceil_rounds"):
         plan = _plan(Q.QUERIES[name](spark, SF))
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_resolve_lists_once(spark, run_dir):
+    from loamflow.plans.resolve import resolve
+
+    run = Q.LandedRun(spark, "plan")
+    run.land(Q.landing_frame(Q._table(spark, SF, "events")))
+    plan = _plan(resolve(spark, run.root, Q.DATABASE, Q._topics(spark)))
+    assert "binaryFile" not in plan and "CartesianProduct" not in plan
