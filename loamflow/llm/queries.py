@@ -56,5 +56,6 @@ QUERIES = {f.__name__: f for f in (op1_warc_revisits, op2_secret_scan, op3_quali
 
 ORACLE_SQL = {
     "op1_warc_revisits": warc.ORACLE_WARC,
+    "op4_jaccard_join": partenum.ORACLE_COMPONENTS,
     "op5_mix_sources": mixing.ORACLE_MIX,
 }
