@@ -20,6 +20,8 @@ from ..session import new_run_dir, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes handled at once by the numpy kernels (a longer document is one block).
 BLOCK_BYTES = 1 << 20
+#: Limits of the batches that go to and from Python workers.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -41,7 +43,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def map_arrow(df: DataFrame, func: Callable, schema: str) -> DataFrame:
-    ship_package(df.sparkSession)
+    """``mapInArrow`` in batches small enough for whole texts: the session's batch limits are
+    lowered to BATCH_ROWS and BATCH_BYTES if they are above (results don't depend on them)."""
+    spark = df.sparkSession
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key, "0")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+    ship_package(spark)
     return df.mapInArrow(func, schema)
 
 
