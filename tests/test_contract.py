@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from loamflow.operators.scans import segmented_counts
+from loamflow.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
 
@@ -10,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"batch_details_json", "drain_projection"}
+    mine = set(Q.QUERIES)
+    assert mine <= set(q) and mine - set(o) == {"batch_details_json", "drain_projection"}
     assert "batch_rows_json" in o
 
 
@@ -25,7 +27,8 @@ def test_entry_smoke(spark):
 @pytest.mark.parametrize("name", ["file_epoch", "longest_prefix_owner", "shard_membership",
                                   "topic_dedupe", "name_normalise", "makespan", "restart_verdict",
                                   "failure_kind", "listing_stats", "evolved_columns",
-                                  "batch_rows_json", "raw_content"])
+                                  "batch_rows_json", "raw_content", "listing_tree",
+                                  "measured_fallback", "rescued_type_pairs"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("part", "orders", "customer", "nation", "documents", "pages", "events"):
