@@ -48,8 +48,8 @@ def map_arrow(df: DataFrame, func: Callable, schema: str) -> DataFrame:
     spark = df.sparkSession
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key, "0")
-        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+        now = spark.conf.get(key).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
     ship_package(spark)
     return df.mapInArrow(func, schema)
