@@ -24,9 +24,9 @@ def fixture(spark, folder):
     good = [d for d, (_, q, _) in zip(docs, labels) if q]
     docs += [(300 + i, d[1] + " more", "en", "copies", 0) for i, d in enumerate(good[:8])]
     docs += [(400 + i, good[20 + i][1] + " " + b, "en", "leak", 0) for i, (_, b) in enumerate(bench)]
-    docs += [(500, good[30][1] + " token = '0123456789abcdef0123456789abcdef'", "en", None, 0), (None, good[31][1] + " no id", "en", "x", 0)]
+    docs += [(500, " ".join(word() for _ in range(60)) + " token = '0123456789abcdef0123456789abcdef'", "en", None, 0), (None, good[31][1] + " no id", "en", "x", 0)]
     docs += [docs[3], (600, None, "en", "x", None), (601, "", "en", "x", 0)]
-    docs = [(i, t, x, s, t and len(t)) for i, t, x, s, _ in docs]
+    docs = [(i, t, x, s, None if t is None else len(t)) for i, t, x, s, _ in docs]
     spark.createDataFrame(docs, COLUMNS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
@@ -61,7 +61,7 @@ def test_every_stage_against_its_definition(spark, run_dir):
 
     four = stages.redact_secrets(spark, three, run_dir)
     assert four.columns == names and four.count() == three.count()
-    assert all(secrets.find_secrets(r.text or "") == ([], []) and r.n_chars == (r.text and len(r.text)) for r in four.collect())
+    assert all(secrets.find_secrets(r.text or "") == ([], []) and r.n_chars == (None if r.text is None else len(r.text)) for r in four.collect())
     assert len(set(rows(four)) - set(rows(three))) == 1
 
     five = stages.mix(spark, four, run_dir)
