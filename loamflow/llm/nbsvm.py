@@ -3,15 +3,17 @@ linear hinge-loss model by dual coordinate descent, with a logistic calibration.
 
 * Counts: all labelled training rows, in Spark (each task sums its own counts, one shuffle by
   feature adds them); the table has 2**BITS features whatever the corpus. Features whose
-  counts don't tell the classes apart (log-likelihood ratio test) get the ratio 0.
+  counts don't tell the classes apart (log-likelihood ratio test) get the ratio 0; all others
+  are kept.
 * Fit: a bounded sample of labelled rows (``sample`` rows by smallest hash of the id), as
-  hashed features; three quarters fit the hinge-loss model, the rest its calibration.
+  hashed features in gaps of a byte or a few; three quarters fit the hinge-loss model, the
+  rest its calibration.
 * Score: one pass over every whole text with the 2**BITS weights.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,9 +30,6 @@ MAX_ROWS = 1 << (31 - BITS)
 SAMPLE_ROWS = 8_000
 #: Least log-likelihood ratio statistic of a feature (16: four standard deviations).
 MIN_G2 = 16.0
-#: The model's features: those of greatest statistic. Over a large corpus nearly every n-gram
-#: passes the least one.
-MAX_KEPT = 1 << 13
 SMOOTHING = 1.0
 C = 0.05
 EPOCHS = 30
@@ -141,10 +140,8 @@ def count_features(labelled: DataFrame, features: Features) -> tuple[np.ndarray,
 
 
 def log_count_ratios(zero: np.ndarray, one: np.ndarray, zeros: int, ones: int,
-                     smoothing: float = SMOOTHING, min_g2: float = MIN_G2,
-                     max_kept: int = MAX_KEPT) -> np.ndarray:
-    """log(p/|p|) - log(q/|q|) of the smoothed counts; 0 for features below ``min_g2`` or not
-    among the ``max_kept`` of greatest statistic (and any equal to the last)."""
+                     smoothing: float = SMOOTHING, min_g2: float = MIN_G2) -> np.ndarray:
+    """log(p/|p|) - log(q/|q|) of the smoothed counts; 0 for features below ``min_g2``."""
     p, q = one + smoothing, zero + smoothing
     r = np.log(p / p.sum()) - np.log(q / q.sum())
     n, seen = max(zeros + ones, 1), zero + one
@@ -154,14 +151,41 @@ def log_count_ratios(zero: np.ndarray, one: np.ndarray, zeros: int, ones: int,
         return np.where(have > 0, have * np.log(np.maximum(have, 1e-9) / np.maximum(want, 1e-9)), 0.0)
     g2 = 2 * (part(one, seen * ones / n) + part(zero, seen * zeros / n)
               + part(ones - one, (n - seen) * ones / n) + part(zeros - zero, (n - seen) * zeros / n))
-    if len(g2) > max_kept:
-        min_g2 = max(min_g2, np.partition(g2, -max_kept)[-max_kept])
     return np.where(g2 >= min_g2, r, 0.0)
 
 
+def packed(f: np.ndarray) -> bytes:
+    """Ascending features as gaps: a byte 255 for each 255 of a gap, then the rest as one byte."""
+    gap = np.diff(f.astype(np.int64), prepend=0)
+    out = np.full(int((gap // 255 + 1).sum()), 255, np.uint8)
+    out[np.cumsum(gap // 255 + 1) - 1] = gap % 255
+    return out.tobytes()
+
+
+def unpacked(gaps: bytes) -> np.ndarray:
+    step = np.frombuffer(gaps, np.uint8)
+    return np.cumsum(step, dtype=np.int64)[step != 255]
+
+
+class Rows:
+    """(features, values) of packed rows, unpacked when asked for; a feature's value is its ratio."""
+
+    def __init__(self, gaps: list[bytes], r: np.ndarray):
+        self.gaps, self.r = gaps, r
+
+    def __len__(self) -> int:
+        return len(self.gaps)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i >= len(self.gaps):
+            raise IndexError(i)
+        f = unpacked(self.gaps[i])
+        return f, self.r[f]
+
+
 def sample_features(docs: DataFrame, known: DataFrame, features: Features, rows: int,
                     keep: np.ndarray) -> list[tuple[int, bytes]]:
-    """(label, kept features) of the texts of the ``rows`` training ids of smallest hash."""
+    """(label, packed kept features) of the texts of the ``rows`` training ids of smallest hash."""
     run = featured(features)
     shared = docs.sparkSession.sparkContext.broadcast(keep)
 
@@ -169,10 +193,10 @@ def sample_features(docs: DataFrame, known: DataFrame, features: Features, rows:
         for batch in batches:
             for a, b, keys in run(batch, shared.value):
                 cut = np.searchsorted(keys >> np.uint32(BITS), np.arange(b - a + 1))
-                f = (keys & np.uint32(N_FEATURES - 1)).astype("<u4")
+                f = keys & np.uint32(N_FEATURES - 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("label").slice(a, b - a),
-                     pa.array([f[cut[i]:cut[i + 1]].tobytes() for i in range(b - a)], pa.binary())], ["label", "f"])
+                     pa.array([packed(f[cut[i]:cut[i + 1]]) for i in range(b - a)], pa.binary())], ["label", "f"])
 
     # ids alone are ranked; only the chosen texts are featured
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -180,7 +204,7 @@ def sample_features(docs: DataFrame, known: DataFrame, features: Features, rows:
     return sorted(zip(got["label"].to_pylist(), got["f"].to_pylist()))
 
 
-def dual_coordinate_descent(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray,
+def dual_coordinate_descent(x: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: np.ndarray,
                             epochs: int = EPOCHS, seed: int = 1) -> tuple[np.ndarray, float]:
     """L2-regularised squared hinge loss: minimise |w|^2/2 + sum cost * max(0, 1 - y(wx+b))^2 over
     rows ``x`` of (features, values); the bias is the weight of a feature that is always 1."""
@@ -236,14 +260,14 @@ def fit(docs: DataFrame, labels: DataFrame, features: Features, sample: int = SA
     prior = Model(np.zeros(N_FEATURES, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
     if len(set(y.tolist())) < 2:
         return prior
-    x = [(at, r[at]) for at in (np.frombuffer(f, "<u4").astype(np.int64) for _, f in rows)]
+    x = [gaps for _, gaps in rows]
     part = np.random.default_rng(0).permutation(len(y)) % 4
     train, rest = np.flatnonzero(part > 0), np.flatnonzero(part == 0)
     if len(set(y[train].tolist())) < 2:
         return prior
     cost = np.where(y > 0, c * len(y) / (2 * (y > 0).sum()), c * len(y) / (2 * (y < 0).sum()))
-    w, bias = dual_coordinate_descent([x[i] for i in train], y[train], cost[train])
-    margin = np.array([float(w[x[i][0]] @ x[i][1]) + bias for i in rest])
+    w, bias = dual_coordinate_descent(Rows([x[i] for i in train], r), y[train], cost[train])
+    margin = np.array([float(w[f] @ v) + bias for f, v in Rows([x[i] for i in rest], r)])
     slope, offset = calibrate(margin, y[rest] > 0)
     return Model((w * r).astype(np.float32), bias, slope, offset)
 

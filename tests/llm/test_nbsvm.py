@@ -81,3 +81,20 @@ def test_ratios_keep_what_tells_the_classes_apart():
     zero, one = np.array([0, 100, 50, 1]), np.array([40, 10, 5, 0])
     r = nbsvm.log_count_ratios(zero, one, 1000, 100)
     assert r[0] > 0 and r[1] == r[2] == r[3] == 0
+
+
+def test_every_feature_that_passes_the_test_is_kept():
+    hits = np.arange(20_000) % 300 + 30
+    side = np.arange(20_000) % 2 == 0
+    r = nbsvm.log_count_ratios(np.where(side, 0, hits), np.where(side, hits, 0), 500, 500)
+    assert (r[side] > 0).all() and (r[~side] < 0).all()
+
+
+def test_packed_rows_come_back_whole():
+    rnd = np.random.default_rng(4)
+    r = rnd.normal(size=nbsvm.N_FEATURES)
+    rows = [np.sort(rnd.choice(nbsvm.N_FEATURES, k, replace=False)).astype(np.uint32) for k in (0, 1, 5, 300, 200_000)]
+    rows += [np.array([0]), np.array([0, 254, 255, 510, 1020, nbsvm.N_FEATURES - 1]), np.array([255])]
+    x = nbsvm.Rows([nbsvm.packed(f) for f in rows], r)
+    assert len(x) == len(rows) and len(x.gaps[4]) < 300_000
+    assert all((f == want).all() and len(f) == len(want) and (v == r[want]).all() for want, (f, v) in zip(rows, x))
