@@ -10,15 +10,17 @@ has it whole, and of spans in conflict the set of greatest total score stays.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, keyed_text, map_arrow
+from .common import blocks, keyed_text, map_arrow, materialize
 from .secrets import _FOUND, _SPAN, FOUND, SPANS
 
 KINDS = ("email", "ip", "card", "phone")
@@ -371,32 +373,81 @@ def _texts_with_signs(col):
             yield a + i, col[a + i].as_py() or ""
 
 
-def _sample(batches):
-    """(rank, cls, tags) of the windows that begin near base spans, and of one other window each."""
-    for batch in batches:
-        rows = []
-        for _, text in _texts_with_signs(batch.column(0)):
-            c = classes(text)
-            spans = patterns(text)
-            starts = window_starts(c)
-            w, _ = windows(c, starts)
-            for s, x in zip(starts.tolist(), w):
-                tags = tag_row([p for p in spans if p[1] < s + WINDOW and p[2] > s], s)
-                rows.append((x.tobytes(), tags.tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
-                                          pa.array([r[1] for r in rows], pa.binary())], ["cls", "tags"])
+def strata(tags: np.ndarray) -> list[int]:
+    """What a window is drawn for: each kind (1, 2, …) that it holds some of, or 0 for none."""
+    return np.unique((tags[tags > 0].astype(np.int64) + 1) // 2).tolist() or [0]
+
+
+def _sampler(sample: int):
+    """A map over batches whose first column is text: (stratum, rank, cls, tags) of the task's
+    ``sample`` distinct windows of smallest rank, a hash of the window, in each stratum."""
+    def smallest(have: dict) -> dict:
+        return dict(sorted(have.items())[:sample])
+
+    def run(batches):
+        held: list[dict] = [{} for _ in range(len(KINDS) + 1)]
+        for batch in batches:
+            for _, text in _texts_with_signs(batch.column(0)):
+                c = classes(text)
+                spans = patterns(text)
+                starts = window_starts(c)
+                w, _ = windows(c, starts)
+                for s, x in zip(starts.tolist(), w):
+                    tags = tag_row([p for p in spans if p[1] < s + WINDOW and p[2] > s], s)
+                    row = x.tobytes(), tags.tobytes()
+                    rank = int.from_bytes(hashlib.blake2b(b"".join(row), digest_size=8).digest(), "big") >> 1
+                    for k in strata(tags):
+                        held[k][rank, *row] = None
+                        if len(held[k]) > 4 * sample + 1000:
+                            held[k] = smallest(held[k])
+        for k, have in enumerate(held):
+            rows = list(smallest(have))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int64()),
+                 pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
+                ["stratum", "rank", "cls", "tags"])
+    return run
+
+
+def draw(texts: DataFrame, sample: int) -> list[list[tuple[bytes, bytes]]]:
+    """For each stratum the (cls, tags) of the ``sample`` distinct windows of smallest rank over all
+    ``texts`` (text), by rank; or as many as there are."""
+    rows = materialize(map_arrow(texts.select("text"), _sampler(sample),
+                                 "stratum int, rank long, cls binary, tags binary"), "windows")
+    bucket = F.shiftright("rank", 51)  # 4096 of them; whole buckets come here, as few as hold the sample
+    count = (rows.select("stratum", "rank").distinct().groupBy("stratum", bucket.alias("bucket")).count()
+             .orderBy("stratum", "bucket").collect())
+    need, last = [sample] * (len(KINDS) + 1), [-1] * (len(KINDS) + 1)
+    for r in count:
+        if need[r.stratum] > 0:
+            need[r.stratum] -= r["count"]
+            last[r.stratum] = r.bucket
+    got = (rows.where(bucket <= F.element_at(F.array(*map(F.lit, last)), F.col("stratum") + 1)).distinct()
+           .orderBy("stratum", "rank", "cls", "tags").collect())
+    return [[(bytes(r.cls), bytes(r.tags)) for r in got if r.stratum == k][:sample] for k in range(len(KINDS) + 1)]
+
+
+def choose(drawn: list[list[tuple[bytes, bytes]]], sample: int) -> list[tuple[bytes, bytes]]:
+    """At most ``sample`` of the drawn windows: half without a span, or what there is of these, and
+    the rest from the kinds in turn, so that a kind with few windows leaves its turns to others."""
+    none = drawn[0][:sample // 2]
+    some: dict[tuple[bytes, bytes], None] = {}
+    turns = [x for turn in zip_longest(*drawn[1:]) for x in turn if x is not None]
+    for x in turns:
+        if len(some) == sample - len(none):
+            break
+        some[x] = None
+    return sorted([*none, *some]) if some else []
 
 
 def train(texts: DataFrame, sample: int = SAMPLE_WINDOWS) -> Network | None:
-    """A network from the ``sample`` windows of smallest hash among those near a digit or ``@``,
-    equal windows once. None if no text has such a window with a span."""
-    rows = (map_arrow(texts.select("text"), _sample, "cls binary, tags binary")
-            .groupBy("cls", "tags").count().withColumn("rank", F.xxhash64("cls", "tags"))
-            .orderBy("rank", "cls", "tags").limit(sample).select("cls", "tags").collect())
-    rows.sort()
-    cls = np.array([np.frombuffer(r.cls, np.int8) for r in rows])
-    tags = np.array([np.frombuffer(r.tags, np.int8) for r in rows])
-    return fit(cls, tags) if len(rows) and tags.any() else None
+    """A network from at most ``sample`` distinct windows near a digit or ``@``, those of smallest
+    hash among the windows with a span of each kind and, for half of the sample, among those
+    without any. None if no text has such a window with a span."""
+    rows = choose(draw(texts, sample), sample)
+    cls = np.array([np.frombuffer(x, np.int8) for x, _ in rows])
+    tags = np.array([np.frombuffer(y, np.int8) for _, y in rows])
+    return fit(cls, tags) if rows else None
 
 
 def find_personal_data(docs: DataFrame, sample: int = SAMPLE_WINDOWS) -> DataFrame:

@@ -119,3 +119,17 @@ def test_operator(spark):
     assert all(set(text([s]) for s in P.patterns(t or "")) <= set(by[i]) for i, t in docs)
     assert P.find_personal_data(df.limit(0)).collect() == []
     assert {r.spans for r in S.digest_columns(P.find_personal_data(df.where("doc_id = 501")), P.KINDS).collect()} == {""}
+
+
+def test_sample_holds_every_kind_where_other_digits_are_common(spark):
+    rnd = random.Random(8)
+    rare = ["mail x.1@mail1.example.com now", "host 10.20.30.40 up", f"paid {card(rnd)} once", "call +1 (555) 555-0100 today"]
+    logs = [("\n" * rnd.randrange(9)).join(f"{rnd.randrange(1, 99999)}{rnd.choice(';:,/_')}{'ab' * rnd.randrange(9)}" for _ in range(60))
+            for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in logs + rare * 2], "text string").repartition(3)
+    drawn = P.draw(df, 40)
+    rows = P.choose(drawn, 40)
+    kinds = [k for _, tags in rows for k in P.strata(np.frombuffer(tags, np.int8))]
+    assert set(kinds) == {0, 1, 2, 3, 4} and len(rows) == len(set(rows)) <= 40 and kinds.count(0) == 20
+    assert len(drawn[0]) == 40 and all(drawn[1:])
+    assert P.train(df, 40) is not None and P.train(df.where("text like '%;%'").limit(0), 40) is None
