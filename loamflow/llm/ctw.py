@@ -5,16 +5,17 @@ over the bytes before it. Every tree node has a Krichevsky-Trofimov estimate fro
 of zeros and ones, and the mixture weighs, at every node, stopping there against the product
 of its children, over all depths up to ``DEPTH`` bytes.
 
-* Counts: Spark counts (context of DEPTH bytes, next byte) over all training texts; counts of
-  shorter contexts are sums of these. Texts start after DEPTH bytes 0xFF and end with one
-  (UTF-8 has none), so starts and ends are modelled, too.
-* Tree: a context is a node of its own if it holds at least a 1/``NODE_SHARE`` of the training
-  bytes; the rare contexts below a node share one node. No context is dropped, and the tree
-  has at most DEPTH * NODE_SHARE nodes whatever the corpus.
-* Score: the mixture's probability of a byte depends on the deepest node of its context only,
-  so the model becomes a table (node, byte) -> log probability, with the next node. Texts are
-  cut into stretches that run in parallel in numpy; the DEPTH bytes before a stretch find
-  its first node, so the result is that of the whole text.
+* Counts: Spark counts (context of DEPTH bytes, next byte) over all texts, those learnt from
+  apart; counts of shorter contexts are sums of these. Texts start after DEPTH bytes 0xFF and
+  end with one (UTF-8 has none), so starts and ends are modelled, too.
+* Tree: every context of 0..DEPTH bytes that was learnt from is a node. Contexts that share
+  their last SPLIT bytes are a subtree, worked on within one task; the levels above, at most
+  256**(SPLIT - 1) contexts, meet on the driver and go to the tasks.
+* Score: the mixture's probability of each distinct (context, byte) of all texts is a table in
+  Spark. Its most used rows, of fixed number, go to the tasks; the rest is joined.
+
+``train`` is the same mixture with at most ``NODE_SHARE`` nodes a depth, the rare contexts below
+a node sharing one, as a table in memory; ``score`` doesn't use it.
 
 The base score needs the corpus counts of every word. They stay in Spark: a table of the most
 frequent words of fixed size goes to the tasks, and the rest is joined.
@@ -40,6 +41,11 @@ EDGE = 0xFF
 STRETCH = 256
 #: Words that are at least a 1/FREQUENT of all, so at most as many: their counts are sent to the tasks.
 FREQUENT = 1 << 21
+#: The distinct (context, byte) of the greatest use sent to the tasks, at most.
+FREQUENT_GRAMS = 1 << 21
+SPLIT = 3
+#: Rows that a task works on at once, besides one subtree of more.
+CHUNK = 1 << 18
 FOLDS, HELD_OUT = 7, 2
 LN10 = float(np.log(10))
 
@@ -287,6 +293,200 @@ def log10_of(model: Model, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.bincount(doc, total, n)[:n]
 
 
+# ---- the whole tree in Spark ----------------------------------------------------------------
+
+def _newest_first(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """As _grams with the newest byte on top, so that a shorter context is a prefix."""
+    code = np.zeros(len(at), np.uint64)
+    for j in (*range(1, DEPTH + 1), 0):
+        code = (code << np.uint64(8)) | text[at - j].astype(np.uint64)
+    return code
+
+
+def tree_grams(training: DataFrame, others: DataFrame) -> DataFrame:
+    """(code, n, uses): how often each code is in ``training`` and in both (text)."""
+    def part(texts, learnt):
+        return (map_arrow(texts.select("text"), _counter(lambda raw, off: _newest_first(*framed(raw, off))), "code long, n long")
+                .select("code", F.col("n").alias("uses"), (F.col("n") * learnt).alias("n")))
+    return (part(training, 1).unionByName(part(others, 0)).groupBy("code")
+            .agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")))
+
+
+_SMALL = 1 << 16
+_KT: list[np.ndarray] = []
+
+
+def _kt_small(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """kt_log, by a table where the counts are small."""
+    if not _KT:
+        k = np.arange(_SMALL, dtype=float)
+        _KT.extend([_log_gamma(k + 0.5), _log_gamma(k + 1.0)])
+    all_ = a + b
+    i, j, n = (np.where(all_ < _SMALL, x, 0).astype(np.int64) for x in (a, b, all_))
+    out = _KT[0][i] + _KT[0][j] - _KT[1][n] - np.log(np.pi)
+    if len(big := np.flatnonzero(all_ >= _SMALL)):
+        out[big] = kt_log(a[big], b[big])
+    return out
+
+
+@dataclass
+class Level:
+    """Of one depth the bit nodes (context << 8 | node of the byte's path, ascending) with their zeros
+    and ones, log P_w, and the weight of stopping there."""
+    key: np.ndarray
+    zero: np.ndarray
+    one: np.ndarray
+    log: np.ndarray
+    weight: np.ndarray
+
+
+def deepest(code: np.ndarray, n: np.ndarray) -> Level:
+    """The level of depth DEPTH from ascending distinct codes with their counts."""
+    ctx, byte = code >> 8 << 8, code & 255
+    keys, zeros, ones = [], [], []
+    for j in range(8):
+        key, bit = ctx | (byte | 256) >> (8 - j), byte >> (7 - j) & 1
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        keys.append(key[first])
+        zeros.append(np.add.reduceat(n * (1 - bit), first) if len(first) else first)
+        ones.append(np.add.reduceat(n * bit, first) if len(first) else first)
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    zero, one = np.concatenate(zeros)[order].astype(float), np.concatenate(ones)[order].astype(float)
+    return Level(key[order], zero, one, _kt_small(zero, one), np.ones(len(key)))
+
+
+def mixed(key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray) -> Level:
+    """A level from its counts and the sum of log P_w of its children."""
+    own = _kt_small(zero, one) + np.log(0.5)
+    log = np.logaddexp(own, below + np.log(0.5))
+    return Level(key, zero, one, log, np.exp(own - log))
+
+
+def summed(x: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, zeros, ones and log P_w of the children of each bit node one level up."""
+    key, at = np.unique(x.key >> 16 << 8 | x.key & 255, return_inverse=True)
+    return key, *(np.bincount(at, v, len(key)) for v in (x.zero, x.one, x.log))
+
+
+def subtree(code: np.ndarray, n: np.ndarray) -> list[Level]:
+    """The levels DEPTH..SPLIT of ascending codes that hold whole subtrees."""
+    levels = [deepest(code[n > 0], n[n > 0])]
+    while len(levels) <= DEPTH - SPLIT:
+        levels.append(mixed(*summed(levels[-1])))
+    return levels
+
+
+def log10_of_codes(code: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """log10 probability of each code's byte after its context; ``levels`` from DEPTH to 0."""
+    byte, out = code & 255, np.zeros(len(code))
+    for j in range(8):
+        u, p = (byte | 256) >> (8 - j), np.full(len(code), 0.5)
+        for d, x in zip(range(DEPTH, -1, -1), levels):
+            if not len(x.key):
+                continue
+            key = code >> 8 * (DEPTH + 1 - d) << 8 | u
+            at = np.minimum(np.searchsorted(x.key, key), len(x.key) - 1)
+            hit = np.flatnonzero(x.key[at] == key)  # where nothing was learnt p is a half at any depth
+            at = at[hit]
+            w = x.weight[at]
+            p[hit] = w * (x.one[at] + 0.5) / (x.zero[at] + x.one[at] + 1) + (1 - w) * p[hit]
+        out += np.log10(np.where(byte >> (7 - j) & 1, p, 1 - p))
+    return out
+
+
+def _chunks(batches):
+    """Ascending rows (code, n, uses) in pieces of whole subtrees: a row of three packed columns, and
+    the bit nodes of depth SPLIT - 1 with what the piece adds to them."""
+    def row(part):
+        code, n, _ = part
+        up = summed(subtree(code, n)[-1])
+        packed = [pa.array([x.tobytes()], pa.binary()) for x in part]
+        lists = [pa.array([x.tolist()], pa.list_(t)) for x, t in zip(up, (pa.int64(), *[pa.float64()] * 3))]
+        return pa.RecordBatch.from_arrays([*packed, *lists], ["code", "n", "uses", "key", "zero", "one", "log"])
+
+    held: list = []
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        if sum(len(x[0]) for x in held) > CHUNK:
+            part = [np.concatenate(x) for x in zip(*held)]
+            tree = part[0] >> 8 * (DEPTH + 1 - SPLIT)
+            cut = int(np.searchsorted(tree, tree[-1], "left"))  # the last subtree may go on
+            if cut:
+                yield row([x[:cut] for x in part])
+            held = [[x[cut:] for x in part]]
+    if held:
+        yield row([np.concatenate(x) for x in zip(*held)])
+
+
+def gram_logs(training: DataFrame, others: DataFrame) -> DataFrame:
+    """(code, uses, log): the log10 probability of every distinct code of ``training`` and ``others``
+    (text), learnt from ``training``."""
+    tree = F.shiftrightunsigned("code", 8 * (DEPTH + 1 - SPLIT))
+    chunks = materialize(map_arrow(
+        tree_grams(training, others).select("code", "n", "uses").repartition(tree).sortWithinPartitions("code"), _chunks,
+        "code binary, n binary, uses binary, key array<long>, zero array<double>, one array<double>, log array<double>"), "trees")
+    top = (chunks.select(F.inline(F.arrays_zip("key", "zero", "one", "log"))).groupBy("key")
+           .agg(*(F.sum(c).alias(c) for c in ("zero", "one", "log"))).toArrow())
+    key = top["key"].to_numpy()
+    order = np.argsort(key)
+    upper = [mixed(key[order], *(top[c].to_numpy()[order] for c in ("zero", "one", "log")))]
+    while len(upper) < SPLIT:
+        upper.append(mixed(*summed(upper[-1])))
+    shared = training.sparkSession.sparkContext.broadcast(upper)
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                code, n, uses = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in range(3))
+                levels = [*subtree(code, n), *shared.value]
+                for a in range(0, len(code), CHUNK):
+                    part = code[a:a + CHUNK]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part), pa.array(uses[a:a + CHUNK]), pa.array(log10_of_codes(part, levels))], ["code", "uses", "log"])
+    return map_arrow(chunks.select("code", "n", "uses"), run, "code long, uses long, log double")
+
+
+_NONE = np.uint64((1 << 64) - 1)
+
+
+def _home(code: np.ndarray, bits: int) -> np.ndarray:
+    return (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def hash_table(code: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, values) of a table with open addresses, at most half full."""
+    bits = max(4, int(2 * len(code)).bit_length())
+    keys, values = np.full(1 << bits, _NONE), np.zeros(1 << bits)
+    slot, left = _home(code, bits), np.arange(len(code))
+    while len(left):
+        free = np.flatnonzero(keys[slot] == _NONE)
+        at, first = np.unique(slot[free], return_index=True)
+        put = free[first]
+        keys[at], values[at] = code[left[put]], value[left[put]]
+        stay = np.ones(len(left), bool)
+        stay[put] = False
+        left, slot = left[stay], slot[stay] + 1 & (1 << bits) - 1
+    return keys, values
+
+
+def look_up(table: tuple[np.ndarray, np.ndarray], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value or 0, whether it is there) of each code."""
+    keys, values = table
+    slot = _home(code, len(keys).bit_length() - 1)
+    have = keys[slot]
+    hit = have == code
+    out = np.where(hit, values[slot], 0.0)
+    left = np.flatnonzero(~hit & (have != _NONE))
+    while len(left):
+        slot[left] = slot[left] + 1 & len(keys) - 1
+        have = keys[slot[left]]
+        got = left[have == code[left]]
+        out[got], hit[got] = values[slot[got]], True
+        left = left[(have != code[left]) & (have != _NONE)]
+    return out, hit
+
+
 def train(texts: DataFrame) -> Model:
     """The model of all ``texts`` (text). Without any it gives every byte a 256th."""
     return build(*node_counts(materialize(gram_counts(texts), "grams")))
@@ -299,7 +499,7 @@ def _word_codes(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return word_hashes(LOWER[raw], s, e)
 
 
-def score(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, frequent: int = FREQUENT, frequent_grams: int = FREQUENT_GRAMS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of
     every row of ``docs`` (doc_id, text).
 
@@ -318,42 +518,60 @@ def score(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     top = words.where(F.col("n") * frequent >= n_words).toArrow()
     key = top["word"].to_numpy()
     order = np.argsort(key)
+    grams = materialize(gram_logs(training, texts.where(held_out(F.col("doc_id")))), "gram-logs").withColumn(
+        "use", F.floor(F.log2("uses") * 8))
+    use, room = 1 << 20, frequent_grams
+    for r in grams.groupBy("use").count().orderBy(F.desc("use")).collect():
+        if (room := room - r["count"]) < 0:
+            break
+        use = r.use
+    hot = grams.where(F.col("use") >= use).select("code", "log").toArrow()
     shared = spark.sparkContext.broadcast((
-        train(training), key[order], np.log10(top["n"].to_numpy()[order] + 1.0), float(np.log10(ends + 1.0))))
+        hash_table(hot["code"].to_numpy().astype(np.uint64), hot["log"].to_numpy()), key[order], np.log10(top["n"].to_numpy()[order] + 1.0), float(np.log10(ends + 1.0))))
 
     def run(batches):
-        model, known, logs, end_log = shared.value
+        table, known, logs, end_log = shared.value
+
+        def lists(parts):
+            return pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0]] + [c[1:] + o for (c, _), o in zip(
+                    parts, np.cumsum([0] + [len(x) for _, x in parts]))]), pa.int32()),
+                pa.array(np.concatenate([x for _, x in parts]) if parts else np.empty(0, np.int64)))
         for batch in batches:
-            ids, cols = batch.column(0), [[] for _ in range(6)]
+            ids, cols = batch.column(0), [[] for _ in range(7)]
             for a, b, raw, off in blocks(batch.column(1)):
                 s, e, doc = word_spans(raw, off)
                 w = word_hashes(LOWER[raw], s, e).astype(np.int64)
                 at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
                 hit = known[at] == w if len(known) else np.zeros(len(w), bool)
                 cut = np.searchsorted(doc[~hit], np.arange(b - a + 1))
+                code = _newest_first(*framed(raw, off))
+                log, there = look_up(table, code)
+                row = np.repeat(np.arange(b - a), np.diff(off) + 1)
                 for col, x in zip(cols, (
                         np.bincount(doc, minlength=b - a)[:b - a] + 1,
                         np.bincount(doc[hit], minlength=b - a)[:b - a],
                         np.bincount(doc[hit], logs[at[hit]] if len(known) else None, b - a)[:b - a] + end_log,
-                        log10_of(model, raw, off), np.diff(off))):
+                        np.bincount(row, log, b - a), np.diff(off))):
                     col.extend(x.tolist())
                 cols[5].append((cut, w[~hit]))
-            rest = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0]] + [c[1:] + o for (c, _), o in zip(
-                    cols[5], np.cumsum([0] + [len(x) for _, x in cols[5]]))]), pa.int32()),
-                pa.array(np.concatenate([x for _, x in cols[5]]) if cols[5] else np.empty(0, np.int64)))
+                cols[6].append((np.searchsorted(row[~there], np.arange(b - a + 1)), code[~there].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [ids, *(pa.array(c, t) for c, t in zip(cols[:5], (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))),
-                 rest], ["doc_id", "n_tokens", "hits", "logs", "score", "bytes", "rest"])
+                 lists(cols[5]), lists(cols[6])], ["doc_id", "n_tokens", "hits", "logs", "score", "bytes", "rest", "rest_grams"])
 
     rows = materialize(map_arrow(texts, run, "doc_id long, n_tokens long, hits long, logs double, score double, bytes long, "
-                                 "rest array<long>").withColumn("row", F.monotonically_increasing_id()), "scored")
+                                 "rest array<long>, rest_grams array<long>").withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = (rows.select("row", F.explode("rest").alias("word")).join(words, "word")
             .groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_logs")))
-    return (rows.drop("rest").join(rare, "row", "left").select(
+    rare_grams = (rows.select("row", F.explode("rest_grams").alias("code"))
+                  .join(grams.where(F.col("use") < use).select("code", "log"), "code")
+                  .groupBy("row").agg(F.sum("log").alias("more_score")))
+    scored = F.col("score") + F.coalesce("more_score", F.lit(0.0))
+    return (rows.drop("rest", "rest_grams").join(rare, "row", "left").join(rare_grams, "row", "left").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens",
         (F.col("hits") + F.coalesce("more", F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(bottom)).alias("base_score"),
-        "score", (-F.col("score") / F.log10(F.lit(2.0)) / (F.col("bytes") + 1)).alias("bits_per_byte")))
+        scored.alias("score"), (-scored / F.log10(F.lit(2.0)) / (F.col("bytes") + 1)).alias("bits_per_byte")))
 

@@ -122,3 +122,16 @@ def test_nothing_to_learn_from(spark):
         assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0)
         assert r.score == pytest.approx(-4 * math.log10(256), rel=1e-5)
     assert C.score(df.limit(0)).collect() == []
+
+
+def test_the_tree_grows_with_the_text(spark, monkeypatch):
+    monkeypatch.setattr(C, "NODE_SHARE", 20)  # no bound of the scores
+    monkeypatch.setattr(C, "CHUNK", 50)
+    rows = [(i, t) for i, t in corpus(60) if i is not None]
+    df = spark.createDataFrame([(*r, 1, 1, 1, "w", 1) for r in rows], DOCS).repartition(3)
+    low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    model = Plain([low(t).encode() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2], 1 << 40)
+    for few in (0, 40, 1 << 20):  # grams sent to the tasks: none, some, all
+        by = {r.doc_id: r.score for r in C.score(df, frequent_grams=few).collect()}
+        for i, t in rows[:9] + rows[-4:]:
+            assert by[i] == pytest.approx(model.log10(low(t).encode()), rel=1e-6)
