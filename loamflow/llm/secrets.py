@@ -35,12 +35,21 @@ MIN_ASSIGN, MIN_ACCESS = 8, 16
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\})+")
 UNICODE_ONE = re.compile(r"\\(?:u\{([0-9A-Fa-f]+)\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run may go on over line ends and the next line's indent.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-](?:(?:\r?\n[ \t]*)?[A-Za-z0-9+/_-]){15,}")
+_BREAK = re.compile(r"[\r\n \t]+")
+#: Characters of a stretch within other bytes, at least; no secret is shorter.
+MIN_STRETCH = 14
+_CHAR = (rb"(?:[\t\n\r\f\v\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|"
+         rb"\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})")
+_ANY, _STRETCH = re.compile(_CHAR + rb"+"), re.compile(_CHAR + rb"{%d,}" % MIN_STRETCH)
+#: Where compressed bytes may begin within others.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]")
 #: A compressed layer may unfold to so many bytes; a larger one is left unopened.
 MAX_UNFOLDED = 64 << 20
-#: Bytes of which at least one run of 16 is needed by access, hex and base64.
+#: Bytes of which at least one run of 16 is needed by access, hex and base64 (which may go over lines).
 _RUN = np.zeros(256, bool)
-_RUN[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = True
+_RUN[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-\r\n"]] = True
 _MARK = np.zeros(256, bool)
 _MARK[[*b"=:%\\"]] = True
 
@@ -70,25 +79,29 @@ class Layer:
         return int(self.start[a]), int(self.end[b - 1])
 
 
-def _decoded(data: bytes) -> tuple[str, list[int]] | None:
-    """Text of the bytes and the byte offset of each character (and the end), if they are
-    readable UTF-8."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not text or any(ord(c) < 32 and c not in "\t\n\r\f\v" or ord(c) == 127 for c in text):
-        return None
-    if len(text) == len(data):
-        return text, list(range(len(data) + 1))
-    at = [0]
-    for c in text:
-        at.append(at[-1] + len(c.encode()))
-    return text, at
+def _characters(data: bytes, base: int) -> list[tuple[str, int, int]]:
+    """(character, first, end) byte offsets, from ``base``, of readable UTF-8."""
+    out = []
+    for c in data.decode("utf-8"):
+        size = len(c.encode())
+        out.append((c, base, base + size))
+        base += size
+    return out
+
+
+def _readable(data: bytes) -> list[tuple[str, int, int]]:
+    """(character, first, end) of the readable UTF-8 of the bytes: all of them, or the stretches of
+    MIN_STRETCH characters, a NUL, which no pattern takes, in place of what lies before each."""
+    if _ANY.fullmatch(data):
+        return _characters(data, 0)
+    out: list[tuple[str, int, int]] = []
+    for m in _STRETCH.finditer(data):
+        out += [("\0", m.start(), m.start() + 1), *_characters(m[0], m.start())]
+    return out
 
 
-def _inflate(data: bytes) -> bytes | None:
-    """What gzip, zlib, bzip2 or xz bytes unfold to; None for others."""
+def _inflate(data: bytes) -> tuple[bytes, int] | None:
+    """What gzip, zlib, bzip2 or xz bytes unfold to, and how many of them; None for others."""
     if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
         z = zlib.decompressobj(47)
         unfold = z.decompress
@@ -102,23 +115,45 @@ def _inflate(data: bytes) -> bytes | None:
         out = unfold(data, MAX_UNFOLDED + 1)
     except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
         return None
-    return out if z.eof and len(out) <= MAX_UNFOLDED else None
+    return (out, len(data) - len(z.unused_data)) if z.eof and len(out) <= MAX_UNFOLDED else None
 
 
-def _opened(data: bytes, starts: list[int], ends: list[int], path: tuple[str, ...]) -> Iterator[Layer]:
-    """The layer of decoded bytes, byte i of which stands for [starts[i], ends[i])."""
-    inner, lo, hi = _inflate(data), starts[0], ends[-1]
-    while inner is not None:  # compressed bytes stand for their container as a whole
-        path, data = (*path, "compressed"), inner
-        if again := _inflate(data):
-            inner = again
+def _unfolded(data: bytes, origin, path: tuple[str, ...]) -> Iterator[Layer]:
+    """The layers of the compressed bytes that begin anywhere in ``data``; these stand for their
+    container as a whole, ``origin(first byte, end byte)``."""
+    end = 0
+    for at in sorted({0, *(m.start() for m in _MAGIC.finditer(data))}):
+        if at < end or (got := _inflate(data[at:])) is None:
             continue
-        if got := _decoded(data):
-            yield Layer(got[0], [lo] * len(got[0]), [hi] * len(got[0]), path)
-        return
-    if got := _decoded(data):
-        text, at = got
-        yield Layer(text, [starts[i] for i in at[:-1]], [ends[i - 1] for i in at[1:]], path)
+        end, inner = at + got[1], got[0]
+        lo, hi = origin(at, end)
+        if text := "".join(c for c, _, _ in _readable(inner)):
+            yield Layer(text, [lo] * len(text), [hi] * len(text), (*path, "compressed"))
+        yield from _unfolded(inner, lambda a, b, lo=lo, hi=hi: (lo, hi), (*path, "compressed"))
+
+
+def _base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
+    """The layers of one run, read from each of its first four characters: what is before the
+    encoded text may be of any length."""
+    if "\n" in m[0]:
+        at = [m.start() + i for i, c in enumerate(m[0]) if not c.isspace()]
+        run = _BREAK.sub("", m[0])
+    else:
+        at, run = range(m.start(), m.end()), m[0]
+    run = run.replace("-", "+").replace("_", "/")
+    path = (*layer.path, "base64")
+    for k in range(4):
+        part = run[k:]
+        if len(part) % 4 == 1:
+            part = part[:-1]
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+
+        def origin(a: int, b: int, k=k) -> tuple[int, int]:
+            return layer.start[at[k + 4 * a // 3]], layer.end[at[k + (8 * (b - 1) + 7) // 6]]
+        yield from _unfolded(data, origin, path)
+        if chars := _readable(data):
+            spans = [origin(a, b) for _, a, b in chars]
+            yield Layer("".join(c for c, _, _ in chars), [a for a, _ in spans], [b for _, b in spans], path)
 
 
 def _rewritten(layer: Layer, pattern: re.Pattern, decode, name: str) -> Iterator[Layer]:
@@ -146,25 +181,40 @@ def _rewritten(layer: Layer, pattern: re.Pattern, decode, name: str) -> Iterator
 
 
 def _url(m: re.Match):
-    got = _decoded(binascii.unhexlify(m[0].replace("%", "")))
-    if got is None:
-        return None
-    text, at = got
-    return [(c, m.start() + 3 * at[i], m.start() + 3 * at[i + 1]) for i, c in enumerate(text)]
+    """Bytes that aren't readable stay escaped."""
+    data, last = binascii.unhexlify(m[0].replace("%", "")), 0
+    out: list[tuple[str, int, int]] = []
+
+    def kept(a: int, b: int):
+        return [(m.string[i], i, i + 1) for i in range(m.start() + 3 * a, m.start() + 3 * b)]
+    for x in _ANY.finditer(data):
+        out += kept(last, x.start())
+        out += [(c, m.start() + 3 * a, m.start() + 3 * b) for c, a, b in _characters(x[0], x.start())]
+        last = x.end()
+    return out + kept(last, len(data)) if last else None
 
 
 def _unicode(m: re.Match):
+    """Escapes that are no character stay as they are."""
     out: list[tuple[str, int, int]] = []
     for x in UNICODE_ONE.finditer(m[0]):
         code = int(next(g for g in x.groups() if g), 16)
-        if code > 0x10FFFF:
-            return None
         a, b = m.start() + x.start(), m.start() + x.end()
         if 0xDC00 <= code < 0xE000 and out and 0xD800 <= ord(out[-1][0]) < 0xDC00:
             high, a, _ = out.pop()
             code = 0x10000 + ((ord(high) - 0xD800) << 10) + (code - 0xDC00)
-        out.append((chr(code), a, b))
-    return None if any(0xD800 <= ord(c) < 0xE000 for c, _, _ in out) else out
+        out.append((chr(code) if code <= 0x10FFFF else "\ud800", a, b))
+    lone = [0xD800 <= ord(c) < 0xE000 for c, _, _ in out]
+    if all(lone):
+        return None
+    return [y for x, bad in zip(out, lone) for y in ([(m.string[i], i, i + 1) for i in range(x[1], x[2])] if bad else [x])]
+
+
+def _escaped_bytes(m: re.Match) -> tuple[bytes, list[int]] | None:
+    """The bytes that escapes below 256 stand for, and where each begins (and the end)."""
+    found = list(UNICODE_ONE.finditer(m[0]))
+    codes = [int(next(g for g in x.groups() if g), 16) for x in found]
+    return (bytes(codes), [m.start() + x.start() for x in found] + [m.end()]) if max(codes) < 256 else None
 
 
 def unwrap(layer: Layer) -> Iterator[Layer]:
@@ -173,23 +223,15 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
     if "%" in text:
         yield from _rewritten(layer, URL, _url, "url")
         for m in URL.finditer(text):  # escaped bytes that are compressed
-            data = binascii.unhexlify(m[0].replace("%", ""))
-            if (inner := _inflate(data)) is not None and (got := _decoded(inner)):
-                lo, hi = layer.origin(*m.span())
-                yield Layer(got[0], [lo] * len(got[0]), [hi] * len(got[0]), (*layer.path, "url", "compressed"))
+            yield from _unfolded(binascii.unhexlify(m[0].replace("%", "")),
+                                 lambda a, b, m=m: layer.origin(m.start() + 3 * a, m.start() + 3 * b), (*layer.path, "url"))
     if "\\" in text:
         yield from _rewritten(layer, UNICODE, _unicode, "unicode")
+        for m in UNICODE.finditer(text):
+            if got := _escaped_bytes(m):
+                yield from _unfolded(got[0], lambda a, b, at=got[1]: layer.origin(at[a], at[b]), (*layer.path, "unicode"))
     for m in BASE64.finditer(text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-        if not data:
-            continue
-        a = m.start()
-        starts = [layer.start[a + 4 * i // 3] for i in range(len(data))]
-        ends = [layer.end[a + (8 * i + 7) // 6] for i in range(len(data))]
-        yield from _opened(data, starts, ends, (*layer.path, "base64"))
+        yield from _base64(layer, m)
 
 
 def find_secrets(text: str) -> tuple[list, list]:

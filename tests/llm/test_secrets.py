@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
@@ -90,3 +91,24 @@ def test_operator_digests_and_redaction(spark):
     r = next(r for r in red if r.doc_id == 1)
     assert r.text.startswith("[SECRET] x [SECRET]") and r.n_chars == len(r.text) and (r.base, r.found) == ("b", 1)
     assert S.scan_secrets(docs.limit(0)).collect() == [] and S.redact(docs.limit(0)).collect() == []
+
+
+def test_joined_wrapped_and_broken_layers():
+    plain = f"see password={'x' * 10} and {KEY} end " + "of a long text " * 9
+    noise = "".join(chr(random.Random(3).randrange(33, 126)) for _ in range(300))
+    packed = [f(plain.encode()) for f in (gzip.compress, zlib.compress, bz2.compress, lzma.compress)]
+    odd = base64.encodebytes(gzip.compress((plain + noise).encode())).decode()
+    wrapped = [base64.encodebytes(plain.encode()).decode(), odd, odd.replace("\n", "\r\n  "),
+               *(f"{before}{b64(x)}" for before in ("https://h.example/r/", "blob-", "abcdefghijklmnopq", "/x_")
+                 for x in (plain, *packed)),
+               b64(b"\xff\x00\x01" + plain.encode() + b"\xfe"), b64(gzip.compress(b"\xff" + plain.encode())),
+               *("".join(f"\\x{b:02x}" for b in x) for x in packed),
+               "%E9" + quote(plain, safe="").replace("A", "%41") + "%ff", "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in plain)]
+    for inner in wrapped:
+        text = f"before {inner} after"
+        base, found = S.find_secrets(text)
+        assert {f[0] for f in base + found} >= {"assign", "access"} and found, inner
+        assert all(7 <= a < b <= 7 + len(inner.rstrip()) for _, a, b, _ in found), (inner, found)
+    text = "https://h.example/r/" + b64("abc" + KEY + "!!")
+    [(kind, a, b, path)] = S.find_secrets(text)[1]
+    assert (kind, path, a) == ("access", "base64", 24) and base64.b64decode(text[20:])[3:].startswith(KEY.encode())
