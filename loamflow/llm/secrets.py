@@ -40,9 +40,8 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-](?:(?:\r?\n[ \t]*)?[A-Za-z0-9+/_-]){15,}")
 _BREAK = re.compile(r"[\r\n \t]+")
 #: Characters of a stretch within other bytes, at least; no secret is shorter.
 MIN_STRETCH = 14
-_CHAR = (rb"(?:[\t\n\r\f\v\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|"
-         rb"\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})")
-_ANY, _STRETCH = re.compile(_CHAR + rb"+"), re.compile(_CHAR + rb"{%d,}" % MIN_STRETCH)
+_CHAR = r"[^\x00-\x08\x0e-\x1f\x7f\ud800-\udfff]"
+_ANY, _STRETCH = re.compile(_CHAR + "+"), re.compile(_CHAR + "{%d,}" % MIN_STRETCH)
 #: Where compressed bytes may begin within others.
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]")
 #: A compressed layer may unfold to so many bytes; a larger one is left unopened.
@@ -89,14 +88,30 @@ def _characters(data: bytes, base: int) -> list[tuple[str, int, int]]:
     return out
 
 
+def _stretches(data: bytes, pattern: re.Pattern) -> Iterator[tuple[bytes, int]]:
+    """The bytes of each stretch of readable UTF-8, and where it begins."""
+    text, base, last = data.decode("utf-8", "surrogateescape"), 0, 0
+    for m in pattern.finditer(text):
+        base += len(text[last:m.start()].encode("utf-8", "surrogateescape"))
+        part = m[0].encode()
+        yield part, base
+        base, last = base + len(part), m.end()
+
+
+def _parts(data: bytes) -> list[tuple[bytes, int]]:
+    """All of the bytes if they are readable, or else the stretches of MIN_STRETCH characters."""
+    whole = list(_stretches(data, _ANY))
+    return whole if len(whole) == 1 and whole[0][0] == data else list(_stretches(data, _STRETCH))
+
+
 def _readable(data: bytes) -> list[tuple[str, int, int]]:
     """(character, first, end) of the readable UTF-8 of the bytes: all of them, or the stretches of
-    MIN_STRETCH characters, a NUL, which no pattern takes, in place of what lies before each."""
-    if _ANY.fullmatch(data):
-        return _characters(data, 0)
+    MIN_STRETCH characters, a NUL, which no pattern takes, after each."""
     out: list[tuple[str, int, int]] = []
-    for m in _STRETCH.finditer(data):
-        out += [("\0", m.start(), m.start() + 1), *_characters(m[0], m.start())]
+    for part, a in _parts(data):
+        out += _characters(part, a)
+        if len(part) < len(data):
+            out.append(("\0", out[-1][1], out[-1][2]))
     return out
 
 
@@ -127,7 +142,7 @@ def _unfolded(data: bytes, origin, path: tuple[str, ...]) -> Iterator[Layer]:
             continue
         end, inner = at + got[1], got[0]
         lo, hi = origin(at, end)
-        if text := "".join(c for c, _, _ in _readable(inner)):
+        if text := "\0".join(part.decode() for part, _ in _parts(inner)):
             yield Layer(text, [lo] * len(text), [hi] * len(text), (*path, "compressed"))
         yield from _unfolded(inner, lambda a, b, lo=lo, hi=hi: (lo, hi), (*path, "compressed"))
 
@@ -187,10 +202,10 @@ def _url(m: re.Match):
 
     def kept(a: int, b: int):
         return [(m.string[i], i, i + 1) for i in range(m.start() + 3 * a, m.start() + 3 * b)]
-    for x in _ANY.finditer(data):
-        out += kept(last, x.start())
-        out += [(c, m.start() + 3 * a, m.start() + 3 * b) for c, a, b in _characters(x[0], x.start())]
-        last = x.end()
+    for part, at in _stretches(data, _ANY):
+        out += kept(last, at)
+        out += [(c, m.start() + 3 * a, m.start() + 3 * b) for c, a, b in _characters(part, at)]
+        last = at + len(part)
     return out + kept(last, len(data)) if last else None
 
 
