@@ -9,6 +9,7 @@ sequence holds no ASCII byte.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     executor loses nothing that the folder holds."""
     spark = df.sparkSession
     path = new_run_dir(spark, label)
-    df.write.parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """A job within deletes its shuffle files when it has ended, not when the driver happens to
+    collect its garbage; for jobs whose result is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def map_arrow(df: DataFrame, func: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` in batches small enough for whole texts: the session's batch limits are
     lowered to BATCH_ROWS and BATCH_BYTES if they are above (results don't depend on them)."""
