@@ -53,7 +53,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
 
 
 def op12_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
