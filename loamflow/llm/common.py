@@ -8,8 +8,10 @@ sequence holds no ASCII byte.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_run_dir(spark, label)
     with shuffles_released(spark):
         df.write.parquet(path)
+    give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,6 +60,33 @@ def shuffles_released(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Return memory that is free in this process to the system: Arrow's pool, and the C heap
+    where it can be trimmed."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _tidy(func: Callable) -> Callable:
+    """``func``, giving memory back when a partition ends: a worker is reused by later stages."""
+    @wraps(func)
+    def run(batches):
+        try:
+            yield from func(batches)
+        finally:
+            give_back()
+    return run
+
+
+def free_name(names: list[str], stem: str) -> str:
+    """``stem``, with so many underscores that no column of ``names`` is called so."""
+    taken = {n.lower() for n in names}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def map_arrow(df: DataFrame, func: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` in batches small enough for whole texts: the session's batch limits are
     lowered to BATCH_ROWS and BATCH_BYTES if they are above (results don't depend on them)."""
@@ -67,7 +97,7 @@ def map_arrow(df: DataFrame, func: Callable, schema: str) -> DataFrame:
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
     ship_package(spark)
-    return df.mapInArrow(func, schema)
+    return df.mapInArrow(_tidy(func), schema)
 
 
 def keyed_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -123,14 +153,18 @@ _PINV = np.uint64(pow(int(_P), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
 
 
+def _series(size: int, base: np.uint64) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get("p")
-    if have is None or len(have) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        for name, base in (("p", _P), ("i", _PINV)):
-            out = np.full(size, base, np.uint64)
-            out[0] = 1
-            _POWERS[name] = np.cumprod(out, dtype=np.uint64)
+    """Powers of the hash base and of its inverse; those of two blocks are kept."""
+    if n > 2 * BLOCK_BYTES + 1:
+        return _series(n, _P), _series(n, _PINV)
+    if not _POWERS:
+        _POWERS["p"], _POWERS["i"] = (_series(2 * BLOCK_BYTES + 1, x) for x in (_P, _PINV))
     return _POWERS["p"], _POWERS["i"]
 
 
@@ -150,9 +184,22 @@ def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span, from one running polynomial over the block."""
+    """A 64-bit hash of every span, from one running polynomial over the block. A longer text
+    is hashed in pieces, if its spans come in ascending order: a span's hash doesn't depend on
+    where it lies."""
     if not len(s):
         return np.empty(0, np.uint64)
+    if len(raw) > 2 * BLOCK_BYTES and (s[1:] >= s[:-1]).all():
+        cuts = np.searchsorted(s, np.arange(0, len(raw) + BLOCK_BYTES, BLOCK_BYTES)).tolist()
+        out = np.empty(len(s), np.uint64)
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                out[a:b] = _span_hashes(raw[s[a]:e[a:b].max()], s[a:b] - s[a], e[a:b] - s[a])
+        return out
+    return _span_hashes(raw, s, e)
+
+
+def _span_hashes(raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     p, inv = _powers(len(raw) + 1)
     run = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * p[:len(raw)], out=run[1:])
@@ -209,7 +256,7 @@ def maybe_in(rows: DataFrame, bits: np.ndarray, key: str, keep: bool = True) ->
         for batch in batches:
             hit = has_slot(shared.value, batch.column(len(names)).to_numpy())
             yield batch.filter(pa.array(hit == keep)).select(range(len(names)))
-    return map_arrow(rows.withColumn("__slot", _slot(F.col(key))), run, rows.schema)
+    return map_arrow(rows.withColumn(free_name(names, "slot"), _slot(F.col(key))), run, rows.schema)
 
 
 def row_key() -> F.Column:
@@ -219,14 +266,15 @@ def row_key() -> F.Column:
 
 
 def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs``, all columns, without the rows whose row_key() is in ``keys`` (``__key``). Only
-    rows that the id filter can't clear are shuffled."""
+    """``docs``, all columns, without the rows whose row_key() is in ``keys`` (key). Only
+    rows that the id filter can't clear are shuffled. Columns of ``docs`` may have any name."""
     names = docs.columns
-    keys = materialize(keys.distinct(), "keys")
-    bits = id_filter(keys, "__key")
-    keyed = docs.withColumn("__key", row_key())
-    return (maybe_in(keyed, bits, "__key", keep=False).select(*names)
-            .unionByName(maybe_in(keyed, bits, "__key").join(keys, "__key", "left_anti").select(*names)))
+    name = free_name(names, "row_key")
+    keys = materialize(keys.select(F.col("key").alias(name)).distinct(), "keys")
+    bits = id_filter(keys, name)
+    keyed = docs.withColumn(name, row_key())
+    return (maybe_in(keyed, bits, name, keep=False).select(*names)
+            .unionByName(maybe_in(keyed, bits, name).join(keys, name, "left_anti").select(*names)))
 
 
 def semi_join_text(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (LOWER, blocks, id_filter, keyed_text, map_arrow, materialize, maybe_in, mix64,
+from .common import (LOWER, blocks, free_name, id_filter, keyed_text, map_arrow, materialize, maybe_in, mix64,
                      ngram_hashes, utf8, word_hashes, word_spans)
 from .components import connected_components
 
@@ -382,11 +382,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     odd = materialize(ids.where("n > 1 OR NOT stays"), "odd-ids")
     bits = id_filter(odd, "doc_id")
     names = docs.columns
-    known = odd.select(F.col("doc_id").alias("__id"), F.col("stays").alias("__stays"), F.col("n").alias("__n"))
-    rest = maybe_in(docs, bits, "doc_id").join(known, F.col("doc_id") == F.col("__id"), "left")
-    once = rest.where("__n > 1 AND __stays").dropDuplicates(["doc_id", "text"])
+    known = free_name(names, "known")
+    odd = odd.select(F.struct("doc_id", "stays", "n").alias(known))
+    rest = maybe_in(docs, bits, "doc_id").join(odd, F.col("doc_id") == F.col(f"{known}.doc_id"), "left")
+    alone, stays = F.col(f"{known}.n") == 1, F.col(f"{known}.stays")
+    once = rest.where(~alone & stays).dropDuplicates(["doc_id", "text"])
     return (maybe_in(docs, bits, "doc_id", keep=False)
-            .unionByName(rest.where("__id IS NULL OR (__n = 1 AND __stays)").select(*names))
+            .unionByName(rest.where(F.col(known).isNull() | (alone & stays)).select(*names))
             .unionByName(once.select(*names)))
 
 

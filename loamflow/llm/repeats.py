@@ -217,7 +217,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     holds a row's bytes and its places. ``trigger`` < ``length`` < 2 ** 8 + ``trigger``."""
     docs = numbered(docs)
     parse = map_arrow(docs.select("row", "text"), _parse(length, trigger), "code long, phrase long, row long, place long")
-    often = parse.groupBy("code").count().where("count > 1").select("code")
+    # written first, so that a hot trigger's phrases meet a plain scan and Spark can split the join
+    often = materialize(parse.groupBy("code").count().where("count > 1").select("code"), "repeats-often")
     repeated = materialize(parse.join(often, "code"), "repeats-phrases")
     first = F.min(F.struct("row", "place")).alias("first")
     classes = materialize(repeated.groupBy("code", "phrase").agg(first).select("code", "first.row", "first.place"),

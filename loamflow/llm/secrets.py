@@ -3,8 +3,13 @@
 A text is scanned as it is, then unwrapped: URL escapes, Unicode escapes, base64 runs, and
 compressed bytes within them become new layers, which are scanned and unwrapped in turn until
 nothing new comes up. Every layer carries a map from its characters to the original's, so a
-secret found in any layer has a span of the original text. A layer seen before at the same
-place ends its branch (cycle detection).
+secret found in any layer has a span of the original text. A layer or unfolded content seen
+before at the same place ends its branch (cycle detection).
+
+The worklist is a stack of generators, so that layers nested however deep need no recursion
+and only one branch is held at a time. What compressed bytes unfold to is read as a stream:
+above ``KEPT`` bytes it is unfolded again for each look and read in pieces, cut where no
+secret and no wrapping can go on, so memory doesn't grow with it.
 """
 
 from __future__ import annotations
@@ -16,7 +21,6 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +48,12 @@ _CHAR = r"[^\x00-\x08\x0e-\x1f\x7f\ud800-\udfff]"
 _ANY, _STRETCH = re.compile(_CHAR + "+"), re.compile(_CHAR + "{%d,}" % MIN_STRETCH)
 #: Where compressed bytes may begin within others.
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x78[\x01\x5e\x9c\xda]")
-#: A compressed layer may unfold to so many bytes; a larger one is left unopened.
-MAX_UNFOLDED = 64 << 20
+#: Unfolded bytes up to so many are kept; more are read as a stream, in chunks and pieces of about these sizes.
+KEPT, CHUNK, PIECE = 8 << 20, 1 << 20, 4 << 20
+#: Bytes of a possible stream that are tried before all of it.
+TRIED = 1 << 14
+#: A byte that is in no secret and no wrapping: text may be cut after it.
+_CUT = re.compile(rb"[^A-Za-z0-9+/_.=:%\\\\\"'{}\s\x80-\xff]")
 #: Bytes of which at least one run of 16 is needed by access, hex and base64 (which may go over lines).
 _RUN = np.zeros(256, bool)
 _RUN[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-\r\n"]] = True
@@ -69,14 +77,21 @@ def in_order(spans) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text whose character i stands for ``[start[i], end[i])`` of the original."""
+    """A text whose character i stands for ``[start[i], end[i])`` of the original; one number
+    in place of a map stands for all characters."""
 
-    def __init__(self, text: str, start, end, path: tuple[str, ...] = ()):
+    def __init__(self, text: str, start: np.ndarray | int, end: np.ndarray | int, path: tuple[str, ...] = ()):
         self.text, self.start, self.end, self.path = text, start, end, path
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
+        if isinstance(self.start, int):
+            return self.start, self.end
         return int(self.start[a]), int(self.end[b - 1])
 
+    def origins(self, a: np.ndarray, b: np.ndarray):
+        """Maps of characters that stand for ``[a, b)`` of this layer."""
+        return (self.start, self.end) if isinstance(self.start, int) else (self.start[a], self.end[b - 1])
+
 
 def _characters(data: bytes, base: int) -> list[tuple[str, int, int]]:
     """(character, first, end) byte offsets, from ``base``, of readable UTF-8."""
@@ -104,57 +119,180 @@ def _parts(data: bytes) -> list[tuple[bytes, int]]:
     return whole if len(whole) == 1 and whole[0][0] == data else list(_stretches(data, _STRETCH))
 
 
-def _readable(data: bytes) -> list[tuple[str, int, int]]:
-    """(character, first, end) of the readable UTF-8 of the bytes: all of them, or the stretches of
-    MIN_STRETCH characters, a NUL, which no pattern takes, after each."""
-    out: list[tuple[str, int, int]] = []
+def _readable(data: bytes) -> tuple[str, np.ndarray, np.ndarray]:
+    """Text, first and end byte of each character of the readable UTF-8 of the bytes: all of them,
+    or the stretches of MIN_STRETCH characters, a NUL, which no pattern takes, after each."""
+    text, first, end = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for part, a in _parts(data):
-        out += _characters(part, a)
+        begins = np.flatnonzero(np.frombuffer(part, np.uint8) & 0xC0 != 0x80) + a
+        ends = np.append(begins[1:], a + len(part))
         if len(part) < len(data):
-            out.append(("\0", out[-1][1], out[-1][2]))
-    return out
-
-
-def _inflate(data: bytes) -> tuple[bytes, int] | None:
-    """What gzip, zlib, bzip2 or xz bytes unfold to, and how many of them; None for others."""
-    if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
-        z = zlib.decompressobj(47)
-        unfold = z.decompress
-    elif data[:3] == b"BZh":
-        unfold = (z := bz2.BZ2Decompressor()).decompress
-    elif data[:6] == b"\xfd7zXZ\0":
-        unfold = (z := lzma.LZMADecompressor()).decompress
-    else:
-        return None
+            part, begins, ends = part + b"\0", np.append(begins, begins[-1]), np.append(ends, ends[-1])
+        text.append(part.decode())
+        first.append(begins)
+        end.append(ends)
+    return "".join(text), np.concatenate(first), np.concatenate(end)
+
+
+class Broken(Exception):
+    """Bytes that are no compressed stream, or not all of one."""
+
+
+_FORMS = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor),
+          (b"\xfd7zXZ\0", lambda: lzma.LZMADecompressor(lzma.FORMAT_XZ)))
+
+
+def _form(head: bytes):
+    """A decompressor for bytes that begin so, or None."""
+    for magic, new in _FORMS:
+        if head.startswith(magic):
+            return new()
+    if len(head) > 2 and head[0] == 0x78 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    return None
+
+
+def _unfold(chunks: Iterator[bytes], taken: list[int]) -> Iterator[bytes]:
+    """What the compressed stream at the beginning of ``chunks`` unfolds to, in chunks; members
+    joined one after another unfold as one. ``taken`` gets the number of bytes after each whole
+    member. Raises Broken if the first member isn't whole; a later one that isn't ends it."""
+    data, used = b"", 0
+    while True:
+        while len(data) < 6 and (more := next(chunks, b"")):
+            data += more
+        z = _form(data)
+        if z is None:
+            if not taken:
+                raise Broken
+            return
+        try:
+            while not z.eof:
+                if isinstance(z, (bz2.BZ2Decompressor, lzma.LZMADecompressor)):
+                    if z.needs_input and not data:
+                        data = next(chunks, b"")
+                    if z.needs_input and not data:
+                        raise EOFError
+                    size, out = len(data), z.decompress(data, CHUNK)
+                    data = b""
+                else:
+                    if not data:
+                        data = next(chunks, b"")
+                    if not data:
+                        raise EOFError
+                    size, out = len(data), z.decompress(data, CHUNK)
+                    data = z.unconsumed_tail
+                    size -= len(data)
+                used += size
+                if out:
+                    yield out
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError) as e:
+            if not taken:
+                raise Broken from e
+            return
+        data = z.unused_data + (data if z.unused_data is not data else b"")
+        used -= len(z.unused_data)
+        taken.append(used)
+
+
+class Content:
+    """Bytes that can be read again and again: kept ones, or those that another content's bytes
+    from ``at`` on unfold to."""
+
+    def __init__(self, kept: bytes | None, parent: Content | None = None, at: int = 0):
+        self.kept, self.parent, self.at = kept, parent, at
+
+    def chunks(self, at: int = 0) -> Iterator[bytes]:
+        if self.kept is not None:
+            view = memoryview(self.kept)
+            for a in range(at, len(view), CHUNK):
+                yield bytes(view[a:a + CHUNK])
+            return
+        for chunk in _unfold(self.parent.chunks(self.at), []):
+            if at < len(chunk):
+                yield chunk[at:]
+            at = max(0, at - len(chunk))
+
+
+def _opened(parent: Content, at: int, head: bytes) -> tuple[Content, int, bytes] | None:
+    """The content of the stream that begins at ``at`` of ``parent`` with the bytes ``head``, the
+    bytes it takes, and its digest; None if there is no whole stream."""
+    try:
+        for _ in _unfold(iter([head]), []):
+            break
+    except Broken as e:
+        if len(head) < TRIED or not isinstance(e.__cause__, EOFError):
+            return None
+    taken: list[int] = []
+    digest, kept, size = hashlib.sha1(), [], 0
     try:
-        out = unfold(data, MAX_UNFOLDED + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+        for chunk in _unfold(parent.chunks(at), taken):
+            digest.update(chunk)
+            size += len(chunk)
+            if size <= KEPT:
+                kept.append(chunk)
+    except Broken:
         return None
-    return (out, len(data) - len(z.unused_data)) if z.eof and len(out) <= MAX_UNFOLDED else None
-
-
-def _unfolded(data: bytes, origin, path: tuple[str, ...]) -> Iterator[Layer]:
-    """The layers of the compressed bytes that begin anywhere in ``data``; these stand for their
-    container as a whole, ``origin(first byte, end byte)``."""
-    end = 0
-    for at in sorted({0, *(m.start() for m in _MAGIC.finditer(data))}):
-        if at < end or (got := _inflate(data[at:])) is None:
+    whole = b"".join(kept) if size <= KEPT else None
+    return Content(whole, parent, at), taken[-1], digest.digest()
+
+
+def _pieces(content: Content) -> Iterator[tuple[int, bytes]]:
+    """(first byte, bytes) of pieces of a content, cut where no secret and no wrapping can go on."""
+    if content.kept is not None:
+        yield 0, content.kept
+        return
+    at, held, searched = 0, bytearray(), 0
+    for chunk in content.chunks():
+        held += chunk
+        if len(held) < PIECE:
             continue
-        end, inner = at + got[1], got[0]
-        lo, hi = origin(at, end)
-        if text := "\0".join(part.decode() for part, _ in _parts(inner)):
-            yield Layer(text, [lo] * len(text), [hi] * len(text), (*path, "compressed"))
-        yield from _unfolded(inner, lambda a, b, lo=lo, hi=hi: (lo, hi), (*path, "compressed"))
+        cut = max((m.end() for m in _CUT.finditer(held, searched)), default=0)
+        searched = len(held)
+        if cut:
+            yield at, bytes(held[:cut])
+            at += cut
+            del held[:cut]
+            searched = len(held)
+    if held:
+        yield at, bytes(held)
+
+
+def _unfolded(data: Content, origin, path: tuple[str, ...], seen: set) -> Iterator:
+    """The layers of the compressed bytes that begin anywhere in ``data``, and the generator that
+    goes on within each; these stand for their container as a whole, ``origin(first byte, end
+    byte)``. Content seen before at its place gives nothing."""
+    end, carry = 0, b""
+    path = (*path, "compressed")
+    for first, piece in _pieces(data):
+        block, base = carry + piece, first - len(carry)
+        starts = {m.start() for m in _MAGIC.finditer(block)} | ({0} if first == 0 else set())
+        for at in sorted(starts):
+            if base + at < end or _form(block[at:at + 6]) is None:
+                continue
+            got = _opened(data, base + at, block[at:at + TRIED])
+            if got is None:
+                continue
+            inner, size, digest = got
+            end = base + at + size
+            lo, hi = origin(base + at, end)
+            if ("content", digest, lo, hi) in seen:
+                continue
+            seen.add(("content", digest, lo, hi))
+            for _, part in _pieces(inner):
+                if text := "\0".join(x.decode() for x, _ in _parts(part)):
+                    yield Layer(text, lo, hi, path)
+            yield _unfolded(inner, lambda a, b, lo=lo, hi=hi: (lo, hi), path, seen)
+        carry = block[-5:]  # a magic may lie across two pieces
 
 
-def _base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
+def _base64(layer: Layer, m: re.Match, seen: set) -> Iterator:
     """The layers of one run, read from each of its first four characters: what is before the
     encoded text may be of any length."""
     if "\n" in m[0]:
-        at = [m.start() + i for i, c in enumerate(m[0]) if not c.isspace()]
+        at = np.array([m.start() + i for i, c in enumerate(m[0]) if not c.isspace()])
         run = _BREAK.sub("", m[0])
     else:
-        at, run = range(m.start(), m.end()), m[0]
+        at, run = np.arange(m.start(), m.end()), m[0]
     run = run.replace("-", "+").replace("_", "/")
     path = (*layer.path, "base64")
     for k in range(4):
@@ -164,35 +302,33 @@ def _base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
         data = base64.b64decode(part + "=" * (-len(part) % 4))
 
         def origin(a: int, b: int, k=k) -> tuple[int, int]:
-            return layer.start[at[k + 4 * a // 3]], layer.end[at[k + (8 * (b - 1) + 7) // 6]]
-        yield from _unfolded(data, origin, path)
-        if chars := _readable(data):
-            spans = [origin(a, b) for _, a, b in chars]
-            yield Layer("".join(c for c, _, _ in chars), [a for a, _ in spans], [b for _, b in spans], path)
+            return layer.origin(at[k + 4 * a // 3], at[k + (8 * (b - 1) + 7) // 6] + 1)
+        yield from _unfolded(Content(data), origin, path, seen)
+        text, first, end = _readable(data)
+        if text:
+            yield Layer(text, *layer.origins(at[k + 4 * first // 3], at[k + (8 * (end - 1) + 7) // 6] + 1), path)
 
 
 def _rewritten(layer: Layer, pattern: re.Pattern, decode, name: str) -> Iterator[Layer]:
     """The whole layer with each match of ``pattern`` replaced by ``decode(match)``, a list of
     (character, first, end) offsets within the layer, or None to leave it."""
-    text, start, end, last = [], [], [], 0
-    changed = False
+    text, first, end, last = [], [], [], 0
+
+    def keep(b: int) -> None:
+        text.append(layer.text[last:b])
+        first.append(np.arange(last, b, dtype=np.int32))
+        end.append(np.arange(last + 1, b + 1, dtype=np.int32))
     for m in pattern.finditer(layer.text):
         if (new := decode(m)) is None:
             continue
-        changed = True
-        text.append(layer.text[last:m.start()])
-        start.extend(layer.start[last:m.start()])
-        end.extend(layer.end[last:m.start()])
-        for c, a, b in new:
-            text.append(c)
-            start.append(layer.start[a])
-            end.append(layer.end[b - 1])
+        keep(m.start())
+        text.append("".join(c for c, _, _ in new))
+        first.append(np.array([a for _, a, _ in new], np.int32))
+        end.append(np.array([b for _, _, b in new], np.int32))
         last = m.end()
-    if changed:
-        text.append(layer.text[last:])
-        start.extend(layer.start[last:])
-        end.extend(layer.end[last:])
-        yield Layer("".join(text), start, end, (*layer.path, name))
+    if text:
+        keep(len(layer.text))
+        yield Layer("".join(text), *layer.origins(np.concatenate(first), np.concatenate(end)), (*layer.path, name))
 
 
 def _url(m: re.Match):
@@ -232,21 +368,23 @@ def _escaped_bytes(m: re.Match) -> tuple[bytes, list[int]] | None:
     return (bytes(codes), [m.start() + x.start() for x in found] + [m.end()]) if max(codes) < 256 else None
 
 
-def unwrap(layer: Layer) -> Iterator[Layer]:
-    """The layers one step below."""
+def unwrap(layer: Layer, seen: set) -> Iterator:
+    """The layers one step below, and generators of more."""
     text = layer.text
     if "%" in text:
         yield from _rewritten(layer, URL, _url, "url")
         for m in URL.finditer(text):  # escaped bytes that are compressed
-            yield from _unfolded(binascii.unhexlify(m[0].replace("%", "")),
-                                 lambda a, b, m=m: layer.origin(m.start() + 3 * a, m.start() + 3 * b), (*layer.path, "url"))
+            yield from _unfolded(Content(binascii.unhexlify(m[0].replace("%", ""))),
+                                 lambda a, b, m=m: layer.origin(m.start() + 3 * a, m.start() + 3 * b),
+                                 (*layer.path, "url"), seen)
     if "\\" in text:
         yield from _rewritten(layer, UNICODE, _unicode, "unicode")
         for m in UNICODE.finditer(text):
             if got := _escaped_bytes(m):
-                yield from _unfolded(got[0], lambda a, b, at=got[1]: layer.origin(at[a], at[b]), (*layer.path, "unicode"))
+                yield from _unfolded(Content(got[0]), lambda a, b, at=got[1]: layer.origin(at[a], at[b]),
+                                     (*layer.path, "unicode"), seen)
     for m in BASE64.finditer(text):
-        yield from _base64(layer, m)
+        yield from _base64(layer, m, seen)
 
 
 def find_secrets(text: str) -> tuple[list, list]:
@@ -254,12 +392,17 @@ def find_secrets(text: str) -> tuple[list, list]:
     decoded layers show as (kind, start, end, path of decodings), both in order."""
     base = scan(text)
     n = len(text)
-    todo = deque([Layer(text, range(n), range(1, n + 1))])
     seen: set = set()
     known, found = set(base), {}
+    todo = [unwrap(Layer(text, np.arange(n, dtype=np.int32), np.arange(1, n + 1, dtype=np.int32)), seen)]
     while todo:
-        for layer in unwrap(todo.popleft()):
-            mark = (hashlib.sha1(layer.text.encode()).digest(), layer.start[0], layer.end[-1])
+        layer = next(todo[-1], None)
+        if layer is None:
+            todo.pop()
+        elif not isinstance(layer, Layer):
+            todo.append(layer)
+        else:
+            mark = (hashlib.sha1(layer.text.encode()).digest(), *layer.origin(0, len(layer.text)))
             if mark in seen:
                 continue
             seen.add(mark)
@@ -268,7 +411,7 @@ def find_secrets(text: str) -> tuple[list, list]:
                 if span not in known:
                     known.add(span)
                     found[span] = "/".join(layer.path)
-            todo.append(layer)
+            todo.append(unwrap(layer, seen))
     return base, [(*s, found[s]) for s in in_order(found)]
 
 

@@ -2,9 +2,9 @@
 
 Tokens are runs of letters and digits, A-Z lowered. Documents and benchmark items are joined on
 shared seeds (runs of five tokens); a fixed-size Bloom filter of the benchmark's seeds keeps all
-other seeds out of the join. Each pair is then tiled: running Karp-Rabin finds the longest
-common runs of unmarked tokens, each token belongs to one tile, and what the tiles cover of
-the item decides. Order doesn't matter, so reordered passages are caught.
+other seeds out of the join. Each text then meets its items once and is tiled by each: running
+Karp-Rabin finds the longest common runs of unmarked tokens, each token belongs to one tile,
+and what the tiles cover of the item decides. Order doesn't matter, so reordered passages are caught.
 """
 
 from __future__ import annotations
@@ -14,13 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (FILTER_SLOTS, LOWER, blocks, has_slot, map_arrow, materialize, mix64, ngram_hashes, row_key,
-                     slot_filter, without_rows, word_hashes)
+from .common import (FILTER_SLOTS, LOWER, blocks, has_slot, id_filter, map_arrow, materialize, maybe_in, mix64,
+                     ngram_hashes, row_key, slot_filter, without_rows, word_hashes)
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
-#: Search length that running Karp-Rabin starts with.
-FIRST_LENGTH = 32
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -65,11 +63,11 @@ def _items(min_match: int):
 
 
 def _candidates(bits, lengths: list[int]):
-    """key, doc_id, tokens, seeds of the texts with seeds that may be the benchmark's."""
+    """key, seeds of the texts with seeds that may be the benchmark's."""
     def run(batches):
         for batch in batches:
-            key, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, _, raw, off in blocks(batch.column(2)):
+            key = batch.column(0).to_numpy()
+            for a, _, raw, off in blocks(batch.column(1)):
                 word, doc = tokens(raw, off)
                 hits, at = [], []
                 for n in lengths:
@@ -77,96 +75,114 @@ def _candidates(bits, lengths: list[int]):
                     x, y = _slots(seed)
                     ok = has_slot(bits.value, x)
                     ok[ok] = has_slot(bits.value, y[ok])
-                    hits.append(seed[ok])
+                    hits.append(seed[ok].view(np.int64))
                     at.append(doc[first[ok]])
-                hits, at = np.concatenate(hits), np.concatenate(at)
-                cut = np.searchsorted(doc, np.arange(len(off)))
-                rows = [(key[a + i], ids[a + i], word[cut[i]:cut[i + 1]].tobytes(),
-                         np.unique(hits[at == i]).astype(np.int64).tolist()) for i in np.unique(at).tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                     pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))],
-                    ["key", "doc_id", "tokens", "seeds"])
+                if not sum(map(len, hits)):
+                    continue
+                row, seed = np.unique(np.stack([np.concatenate(at), np.concatenate(hits)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(key[a + row]), pa.array(seed)], ["key", "seed"])
     return run
 
 
-def _rolling(x: np.ndarray, marked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Karp-Rabin hashes of the runs of ``n`` unmarked tokens, and where they start."""
-    m = len(x) - n + 1
-    if m <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    base = np.full(len(x) + 1, 0x100000001B3, np.uint64)
-    base[0] = 1
-    power = np.cumprod(base, dtype=np.uint64)  # run hash, shifted to a common power by its place
-    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * power[:-1], dtype=np.uint64)])
-    at = np.arange(m)
-    h = (run[n:] - run[:-n]) * power[m - 1 - at]
-    bad = np.concatenate([[0], np.cumsum(marked)])
-    free = bad[n:] == bad[:-n]
-    return h[free] * _shift(len(x), m), at[free]
-
-
-_INVERSE = pow(0x100000001B3, -1, 1 << 64)
-
-
-def _shift(size: int, m: int) -> np.uint64:
-    """Takes hashes of texts of different sizes to one power."""
-    return np.uint64(pow(_INVERSE, m - 1, 1 << 64))
-
-
-def _matches(p, t, used_p, used_t, n: int) -> list[tuple[int, int, int]]:
-    """(length, start in p, start in t) of the common unmarked runs of at least ``n`` tokens, as
-    long as they go to the right, none a part of another."""
-    hp, ap = _rolling(p, used_p, n)
-    ht, at = _rolling(t, used_t, n)
-    if not len(hp) or not len(ht):
-        return []
-    order = np.argsort(ht, kind="stable")
-    ht, at = ht[order], at[order]
-    lo, hi = np.searchsorted(ht, hp, "left"), np.searchsorted(ht, hp, "right")
-    out, inside = [], set()
-    for i, a, b in zip(ap.tolist(), lo.tolist(), hi.tolist()):
-        for j in at[a:b].tolist():
-            if (i, j) in inside:
-                continue
-            k = 0
-            while i + k < len(p) and j + k < len(t) and p[i + k] == t[j + k] and not used_p[i + k] and not used_t[j + k]:
-                k += 1
-                inside.add((i + k, j + k))
-            if k >= n:
-                out.append((k, i, j))
-    return out
+_BASE = 0x100000001B3
+
+
+class Runs:
+    """The runs of ``n`` tokens of a sequence by Karp-Rabin hash, for any ``n``; marked tokens are
+    in none."""
+
+    def __init__(self, x: np.ndarray, used: np.ndarray):
+        self.x, self.used = x, used
+        base = np.full(len(x) + 1, _BASE, np.uint64)
+        base[0] = 1
+        self.power = np.cumprod(base, dtype=np.uint64)
+        self.run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * self.power[:-1], dtype=np.uint64)])
+
+    def of(self, n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, start) of the unmarked runs of ``n`` tokens; hashes are shifted to the power of
+        ``size``, the longer of two sequences."""
+        m = len(self.x) - n + 1
+        if m <= 0:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        marked = np.concatenate([[0], np.cumsum(self.used)])
+        at = np.flatnonzero(marked[n:] == marked[:-n])
+        h = (self.run[at + n] - self.run[at]) * self.power[m - 1 - at]
+        return h * np.uint64(pow(_BASE, size - len(self.x), 1 << 64)), at
+
+
+def _common(p: Runs, t: Runs, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and start of the unmarked runs of ``n`` tokens of both whose hash the other has too."""
+    size = max(len(p.x), len(t.x))
+    (hp, ip), (ht, it) = p.of(n, size), t.of(n, size)
+    order = np.argsort(hp, kind="stable")
+    known = hp[order]
+    if not len(known):
+        return hp, ip, ht[:0], it[:0]
+    at = np.minimum(np.searchsorted(known, ht), len(known) - 1)
+    both = known[at] == ht
+    ht, it = ht[both], it[both]
+    mine = np.isin(hp, ht)
+    return hp[mine], ip[mine], ht, it
+
+
+def _shared_part(p: np.ndarray, t: np.ndarray, least: int) -> np.ndarray:
+    """Places of ``t`` in runs of ``least`` tokens or more that all occur in ``p``."""
+    inside = np.concatenate([[False], np.isin(t, p), [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    a, b = edge[::2], edge[1::2]
+    keep = b - a >= least
+    a, b = a[keep], b[keep]
+    return np.repeat(a - np.concatenate([[0], np.cumsum(b - a)[:-1]]), b - a) + np.arange((b - a).sum()) if len(a) else a
 
 
 def tiles(p: np.ndarray, t: np.ndarray, min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
     """Greedy string tiling of pattern ``p`` by ``t``: (length, start in p, start in t), longest
     first; of equal lengths the first in p, then in t. Every token is in one tile at most.
-    Tiles of fewer than ``min_match`` tokens (all of a shorter pattern) don't count."""
+    Tiles of fewer than ``min_match`` tokens (all of a shorter pattern) don't count.
+
+    Each round finds the greatest length of a common run of unmarked tokens, by bisection over
+    Karp-Rabin hashes, and marks all runs of that length in order; what a marked run leaves of
+    others is found again at its shorter length. A round takes time in proportion to the
+    tokens, however often they repeat."""
     least = min(min_match, len(p))
     if not least:
         return []
-    used_p, used_t = np.zeros(len(p), bool), np.zeros(len(t), bool)
+    place = _shared_part(p, t, least)
+    if not len(place):
+        return []
+    gap = np.flatnonzero(np.diff(place) > 1) + 1  # a marked token stands for what is left out
+    used_t = np.insert(np.zeros(len(place), bool), gap, True)
+    t, place = np.insert(t[place], gap, 0), np.insert(place, gap, -1)
+    a, b = Runs(p, np.zeros(len(p), bool)), Runs(t, used_t)
     out: list[tuple[int, int, int]] = []
-    n = max(least, min(FIRST_LENGTH, len(p)))
+    most = min(len(p), len(t))
     while True:
-        found = _matches(p, t, used_p, used_t, n)
-        longest = max((m[0] for m in found), default=0)
-        if longest > 2 * n:
-            n = longest
-            continue
-        todo = sorted(found, key=lambda m: (-m[0], m[1], m[2]))
-        again = False
-        for k, i, j in todo:
-            if used_p[i:i + k].any() or used_t[j:j + k].any():
-                again = True  # what is left of it may still be long enough
-                continue
-            used_p[i:i + k] = used_t[j:j + k] = True
-            out.append((k, i, j))
-        if again and todo:
-            continue
-        if n == least:
+        lo, hi = least - 1, most  # some run of lo tokens is common (if lo >= least), none of more than hi
+        while lo < hi:
+            n = least if lo < least else (lo + hi + 1) // 2
+            if len(_common(a, b, n)[0]):
+                lo = n
+            else:
+                hi = n - 1
+        if lo < least:
             return out
-        n = max(least, n // 2)
+        hp, ip, ht, it = _common(a, b, lo)
+        order = np.argsort(ht, kind="stable")  # by hash, then by place
+        ht, it = ht[order], it[order]
+        first = np.searchsorted(ht, hp, "left")
+        turn: dict[int, int] = {}  # a hash's places before this one are marked in t
+        for i, j in zip(ip.tolist(), first.tolist()):
+            if a.used[i:i + lo].any():
+                continue
+            k, h = turn.get(j, j), ht[j]
+            while k < len(ht) and ht[k] == h and (b.used[it[k]:it[k] + lo].any() or (p[i:i + lo] != t[it[k]:it[k] + lo]).any()):
+                k += 1
+            turn[j] = k
+            if k < len(ht) and ht[k] == h:
+                s = int(it[k])
+                a.used[i:i + lo] = b.used[s:s + lo] = True
+                out.append((lo, i, int(place[s])))
+        most = lo
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
@@ -185,33 +201,40 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, min_match: int = M
     bits = spark.sparkContext.broadcast(slot_filter(items.select(F.explode("slots").alias("slot"))))
     short = [r[0] for r in items.select((F.octet_length("tokens") / 8).cast("int").alias("n"))
              .where(F.col("n").between(1, min_match - 1)).distinct().collect()]  # fewer than min_match rows
-    found = materialize(map_arrow(
-        docs.select(row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text"),
-        _candidates(bits, sorted({*short, min_match})), "key long, doc_id long, tokens binary, seeds array<long>")
-        .dropDuplicates(["key"]), "candidates")
+    found = map_arrow(docs.select(row_key(), "text"), _candidates(bits, sorted({*short, min_match})), "key long, seed long")
     seeds = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
-    pairs = found.select("key", F.explode("seeds").alias("seed")).join(seeds, "seed").select("key", "item_id").distinct()
-    both = (pairs.join(found.drop("seeds"), "key")
-            .join(items.select("item_id", F.col("tokens").alias("item")).dropDuplicates(["item_id", "item"]), "item_id")
-            .select("key", "doc_id", "item_id", "tokens", "item"))
+    pairs = found.distinct().join(seeds, "seed").select("key", "item_id").distinct()
+    held = items.select("item_id", "tokens").dropDuplicates()
+    per_doc = materialize(pairs.join(held, "item_id").groupBy("key")
+                          .agg(F.collect_list(F.struct("item_id", "tokens")).alias("items")), "candidates")
+    texts = docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    both = maybe_in(texts, id_filter(per_doc, "key"), "key").join(per_doc, "key")  # each text once, with its items
 
     def run(batches):
         for batch in batches:
             rows = []
-            for i, (t, p) in enumerate(zip(batch.column(3), batch.column(4))):
-                p = np.frombuffer(p.as_py(), np.uint64)
-                got = tiles(p, np.frombuffer(t.as_py(), np.uint64), min_match)
-                rows.append((len(p), sum(k for k, _, _ in got), len(got)))
-            n, covered, count = (np.array(x, np.int64) for x in (zip(*rows) if rows else ((), (), ())))
+            for a, b, raw, off in blocks(batch.column(2)):
+                word, doc = tokens(raw, off)
+                cut = np.searchsorted(doc, np.arange(b - a + 1))
+                for i in range(b - a):
+                    key, doc_id = batch.column(0)[a + i].as_py(), batch.column(1)[a + i].as_py()
+                    for item in batch.column(3)[a + i].as_py():
+                        p = np.frombuffer(item["tokens"], np.uint64)
+                        got = tiles(p, word[cut[i]:cut[i + 1]], min_match)
+                        rows.append((key, doc_id, item["item_id"], len(p), sum(k for k, _, _ in got), len(got)))
+            key, doc_id, item, n, covered, count = zip(*rows) if rows else ((),) * 6
+            share = np.array(covered, float) / np.maximum(np.array(n, np.int64), 1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(n), pa.array(covered), pa.array(count), pa.array(covered / np.maximum(n, 1))],
+                [*[pa.array(x, pa.int64()) for x in (key, doc_id, item, n, covered, count)], pa.array(share)],
                 ["key", "doc_id", "item_id", "item_tokens", "covered_tokens", "n_tiles", "coverage"])
-    return map_arrow(both, run, "key long, doc_id long, item_id long, item_tokens long, covered_tokens long, "
-                     "n_tiles long, coverage double").where(F.col("coverage") >= threshold)
+    return (map_arrow(both, run, "key long, doc_id long, item_id long, item_tokens long, covered_tokens long, "
+                      "n_tiles long, coverage double").where(F.col("coverage") >= threshold).distinct())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """``docs``, all columns, without the rows that hold a benchmark item."""
+    """``docs``, all columns, whatever their names, without the rows that hold a benchmark item.
+    Null and empty texts stay, as do all rows if either table is empty; of repeated rows all
+    go or stay. A long text's memory is its own tokens'."""
     bad = contaminated_pairs(docs, benchmark, min_match, threshold)
-    return without_rows(docs, bad.select(F.col("key").alias("__key")))
+    return without_rows(docs, bad.select("key"))

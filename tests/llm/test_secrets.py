@@ -112,3 +112,68 @@ def test_joined_wrapped_and_broken_layers():
     text = "https://h.example/r/" + b64("abc" + KEY + "!!")
     [(kind, a, b, path)] = S.find_secrets(text)[1]
     assert (kind, path, a) == ("access", "base64", 24) and base64.b64decode(text[20:])[3:].startswith(KEY.encode())
+
+
+def test_large_and_deep_compressed_layers():
+    filler = b"harmless words, again and again. " * 2_400_000  # 79 MB
+    inner = b64(gzip.compress(filler + KEY.encode() + b" end"))
+    assert [f[:3] for f in S.find_secrets(f"x {inner} y")[1]] == [("access", 2, 2 + len(inner.rstrip("=")))]
+    deep = f"password={'z' * 12}".encode()
+    for _ in range(1200):
+        deep = gzip.compress(deep, 1)
+    [(kind, a, b, path)] = S.find_secrets("<" + b64(deep) + ">")[1]
+    assert (kind, path.count("compressed")) == ("assign", 1200) and a == 1
+
+
+def test_streams_above_the_kept_size_equal_kept_ones(monkeypatch):
+    rnd = random.Random(4)
+    inner = gzip.compress(f"token: {'q' * 20}, {KEY}".encode())
+    body = b"".join(rnd.choice([b"plain, text; ", inner, b"\x1f\x8b\x08", b"\x78\x9c", bytes([rnd.randrange(256)]),
+                                b64(f"secret={'v' * 9}").encode() + b", ", b"0f" * 20 + b"<"]) for _ in range(400))
+    texts = [b64(gzip.compress(body)), b64(lzma.compress(body)), b64(zlib.compress(gzip.compress(body) + bz2.compress(body)))]
+    want = [S.find_secrets(t) for t in texts]
+    for name, size in (("KEPT", 100), ("CHUNK", 64), ("PIECE", 256), ("TRIED", 64)):
+        monkeypatch.setattr(S, name, size)
+    assert [S.find_secrets(t) for t in texts] == want and all(w[1] for w in want)
+
+
+def test_members_joined_cycles_and_truncated_streams():
+    halves = gzip.compress(b"see " + KEY[:10].encode()) + gzip.compress(KEY[10:].encode() + b" end")
+    assert [f[0] for f in S.find_secrets(b64(halves))[1]] == ["access"]
+    assert S.find_secrets(b64(gzip.compress(KEY.encode())[:-9]))[1] == []
+    # a stream whose content is seen again at its place: the same bytes two ways, and a self-copy
+    assert len(S.find_secrets(b64(gzip.compress(b64(halves).encode())))[1]) == 1
+
+
+def plain_layers(data, depth=0):
+    """Every text that some chain of whole-text decodings gives: the worklist by brute force."""
+    text = data.decode("utf-8", "ignore")
+    out = {text}
+    if depth > 5:
+        return out
+    for f in (lambda: re.sub(r"(%[0-9A-Fa-f]{2})+", lambda m: bytes.fromhex(m[0].replace("%", "")).decode(), text).encode(),
+              lambda: re.sub(r"\\u([0-9A-Fa-f]{4})", lambda m: chr(int(m[1], 16)), text).encode(),
+              lambda: base64.b64decode(text, validate=True), lambda: gzip.decompress(data), lambda: zlib.decompress(data),
+              lambda: bz2.decompress(data), lambda: lzma.decompress(data)):
+        try:
+            new = f()
+        except Exception:
+            continue
+        if new and new != data:
+            out |= plain_layers(new, depth + 1)
+    return out
+
+
+def test_random_nestings_against_brute_force():
+    rnd = random.Random(8)
+    wraps = [lambda d: base64.b64encode(d), lambda d: quote(d, safe="").encode(), lambda d: base64.b64encode(gzip.compress(d)),
+             lambda d: base64.b64encode(bz2.compress(d)), lambda d: base64.b64encode(gzip.compress(zlib.compress(d))),
+             lambda d: "".join(f"\\u{ord(c):04x}" for c in d.decode()).encode()]
+    for _ in range(60):
+        data = rnd.choice([f"my secret = {'k' * 11}", f"{KEY} here", "ab" * 20 + " é", "nothing at all"]).encode()
+        for _ in range(rnd.randint(0, 4)):
+            data = rnd.choice(wraps)(data)
+        kinds = {k for t in plain_layers(data) for k, _, _ in S.scan(t)}
+        base, found = S.find_secrets(data.decode())
+        assert {x[0] for x in base + found} >= kinds, data
+        assert all(0 <= x[1] < x[2] <= len(data.decode()) for x in base + found)
