@@ -1,8 +1,9 @@
 """Landing-zone listing as a DataFrame, and everything computed from it: collection
 discovery, format detection, listing statistics, mixed-format directories, backlog.
 
-The listing is Spark's ``binaryFile`` source with only metadata columns selected, so file
-content is never read (ReadSchema: path, length, modificationTime)."""
+The driver lists the day folders only; tasks walk them, first for the collection folders, then
+for the files of each. What they find is written once as a snapshot in the shared work folder
+and read from there, so no file status is held by the driver, and nothing is listed twice."""
 
 from __future__ import annotations
 
@@ -11,11 +12,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from .. import config
 from ..functions import names as N
-from ..session import new_run_dir
+from ..session import new_run_dir, ship_package
 from . import storage
 
 LAYOUT_RE = (r"/" + re.escape(config.LANDING_SOURCE_SEGMENT) +
@@ -54,40 +54,113 @@ def source_glob(root: str, database: str, collection: str, fmt: str, gz: bool =
     return landing_glob(root, escape_glob(database), escape_glob(collection), f"*.{ext}")
 
 
-def list_landing(spark: SparkSession, root: str, database: str | None = None,
-                 year: str = "*", month: str = "*", day: str = "*", collection: str | None = None) -> DataFrame:
-    """One row per landed file: path, length, modificationTime, the layout segments, the
-    collection directory and the file format (lenient and strict suffix rules).
-    Of one ``collection`` only, if given. ``year`` / ``month`` / ``day`` are glob patterns of the partition directories (for
-    example ``day="{0[1-9],1[0-5]}"``): only matching directories are listed at all."""
-    db = escape_glob(database) if database else "*"
-    pattern = (f"{root.rstrip('/')}/{config.LANDING_SOURCE_SEGMENT}/year={year}/month={month}/"
-               f"day={day}/database={db}" + (f"/collection={escape_glob(collection)}" if collection else ""))
-    try:
-        raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(pattern).select("path", "length", "modificationTime"))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], LISTING_SCHEMA)
-        raise
+SNAPSHOT_SCHEMA = "path string, length long, modificationTime timestamp, error string"
+#: Files a directory walk leaves out, as Spark's own listings do.
+_HIDDEN = ("_", ".")
+
+
+def _entries(fs, folder: str) -> list:
+    """What lies directly in a folder, hidden names left out."""
+    import pyarrow.fs as pafs
+
+    return [f for f in fs.get_file_info(pafs.FileSelector(folder)) if not f.base_name.startswith(_HIDDEN)]
+
+
+def _walk(root: str, entries, depth: int):
+    """Rows (path, length, modificationTime, error) of what lies ``depth`` folders below each given
+    path (relative to ``root``): folders by name pattern for two levels, files for one. A folder
+    that can't be listed is a row with its error."""
+    import pyarrow as pa
+
+    from .landing_writer import resolve_fs
+
+    patterns = {2: ("database=", "collection="), 1: ("",)}[depth]
+
+    def run(batches):
+        fs, base, _ = resolve_fs(root)
+        for batch in batches:
+            rows = []
+            for path, error in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                if error is not None:
+                    rows.append((path, None, None, error))
+                    continue
+                now = [path]
+                for level, prefix in enumerate(patterns, 1):
+                    below = []
+                    for folder in now:
+                        try:
+                            found = entries(fs, f"{base.rstrip('/')}/{folder}")
+                        except Exception as e:
+                            rows.append((folder, None, None, str(e) or type(e).__name__))
+                            continue
+                        for f in found:
+                            if f.is_file and depth == 1:
+                                rows.append((f"{folder}/{f.base_name}", f.size, (f.mtime_ns or 0) // 1000, None))
+                            elif not f.is_file and depth > 1 and f.base_name.startswith(prefix):
+                                below.append(f"{folder}/{f.base_name}")
+                    now = below
+                if depth > 1:
+                    rows += [(p, None, None, None) for p in now]
+            cols = list(zip(*rows)) or [()] * 4
+            kinds = (pa.string(), pa.int64(), pa.timestamp("us", tz="UTC"), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             ["path", "length", "modificationTime", "error"])
+    return run
+
+
+def scan_landing(spark: SparkSession, root: str, database: str | None = None, year: str = "*", month: str = "*",
+                 day: str = "*", collection: str | None = None) -> DataFrame:
+    """The snapshot of a listing: one row for each landed file (LISTING_SCHEMA, ``error`` null) and
+    one for each folder that can't be listed, with its error and the segments it has."""
+    from .landing_writer import resolve_fs
+
+    root = storage.qualify(spark, root).rstrip("/")
+    days = storage.folders(spark, f"{root}/{config.LANDING_SOURCE_SEGMENT}/year={year}/month={month}/day={day}")
+    snapshot = new_run_dir(spark, "listing")
+    if days:
+        ship_package(spark)
+        width = spark.sparkContext.defaultParallelism
+        try:
+            resolve_fs(root)
+        except Exception:  # a scheme that only Spark's readers open: day by day, so that the driver holds one at a time
+            for d in days:
+                (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(escape_glob(d))
+                 .select("path", "length", "modificationTime", F.lit(None).cast("string").alias("error"))
+                 .write.mode("append").parquet(snapshot))
+        else:
+            top = spark.createDataFrame([(d[len(root) + 1:], None, None, None) for d in days], SNAPSHOT_SCHEMA)
+            folders = top.repartition(min(len(days), width)).mapInArrow(_walk(root, _entries, 2), SNAPSHOT_SCHEMA)
+            folder = F.regexp_extract("path", "/database=([^/]+)/collection=([^/]+)$", 1)
+            name = F.regexp_extract("path", "/collection=([^/]+)$", 1)
+            mine = F.col("error").isNotNull() | ((F.lit(True) if database is None else folder == database)
+                                                 & (F.lit(True) if collection is None else name == collection))
+            (folders.where(mine).repartition(width, "path").mapInArrow(_walk(root, _entries, 1), SNAPSHOT_SCHEMA)
+             .withColumn("path", F.concat(F.lit(f"{root}/"), "path")).write.parquet(snapshot))
+    files = spark.read.schema(SNAPSHOT_SCHEMA).parquet(snapshot) if days else spark.createDataFrame([], SNAPSHOT_SCHEMA)
     p = F.col("path")
-    parts = {name: F.regexp_extract(p, LAYOUT_RE, i)
-             for i, name in enumerate(["year", "month", "day", "database", "collection",
-                                       "file_name"], start=1)}
-    out = (raw.where(p.rlike(LAYOUT_RE))
-           .withColumns(parts)
+    segments = {n: F.regexp_extract(p, rf"/{n}=([^/]+)", 1) for n in ("year", "month", "day", "database", "collection")}
+    out = (files.where(p.rlike(LAYOUT_RE) | F.col("error").isNotNull()).withColumns(segments)
+           .withColumn("file_name", F.when(F.col("error").isNull(), F.regexp_extract(p, "([^/]+)$", 1)))
            .withColumn("dir", F.regexp_replace(p, r"/[^/]+$", ""))
            .withColumn("file_format", N.format_suffix("file_name", allow_gzip=True))
            .withColumn("strict_format", N.format_suffix("file_name", allow_gzip=False)))
     if database:
-        out = out.where(F.col("database") == database)
-    return out.select(*LISTING_SCHEMA.fieldNames())
+        out = out.where((F.col("database") == database) | F.col("error").isNotNull())
+    if collection:
+        out = out.where(F.col("collection") == collection)
+    return out.select(*LISTING_SCHEMA.fieldNames(), "error")
 
 
-def collection_folders(spark: SparkSession, root: str, database: str) -> DataFrame:
-    """Distinct collection names by their folders, without looking into them."""
-    found = {f.rpartition("/collection=")[2] for f in storage.folders(spark, landing_glob(root, escape_glob(database), "*", "").rstrip("/"))}
-    return spark.createDataFrame([(n,) for n in sorted(found)], "collection string")
+def list_landing(spark: SparkSession, root: str, database: str | None = None,
+                 year: str = "*", month: str = "*", day: str = "*", collection: str | None = None) -> DataFrame:
+    """One row per landed file: path, length, modificationTime, the layout segments, the
+    collection directory and the file format (lenient and strict suffix rules).
+    Of one ``collection`` only, if given. ``year`` / ``month`` / ``day`` are glob patterns of the partition directories (for
+    example ``day="{0[1-9],1[0-5]}"``): only matching directories are listed at all. Raises if a folder can't be listed."""
+    found = scan_landing(spark, root, database, year, month, day, collection)
+    if bad := found.where("error is not null").first():
+        raise OSError(f"cannot list {bad.path}: {bad.error}")
+    return found.drop("error")
 
 
 def discover_collections(files: DataFrame) -> DataFrame:

@@ -39,6 +39,11 @@ def folders(spark: SparkSession, glob: str) -> list[str]:
     return [s.getPath().toString() for s in (fs.globStatus(p) or []) if s.isDirectory()]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _open(spark, path)
+    fs.mkdirs(p)
+
+
 def write(spark: SparkSession, path: str, data: bytes) -> None:
     """Write a small file under a temporary name and move it into place, over an older one."""
     folder, _, name = path.rpartition("/")

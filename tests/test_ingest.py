@@ -327,36 +327,41 @@ def test_listing_day_glob_prunes(spark, run_dir):
     assert L.list_landing(spark, root, DB, day="2*").count() == 0
 
 
-def test_measure_listing_error_rows(spark, run_dir, monkeypatch):
-    from loamflow.streaming import measure as Mm
+def _refuse(monkeypatch, marker, message):
+    """Listing a folder whose path holds ``marker`` fails, in the tasks too."""
+    def entries(fs, folder):
+        if marker in folder:
+            raise RuntimeError(message)
+        import pyarrow.fs as pafs
+
+        return [f for f in fs.get_file_info(pafs.FileSelector(folder)) if f.base_name[0] not in "_."]
+    monkeypatch.setattr(L, "_entries", entries)
 
-    def boom(*a, **k):
-        raise RuntimeError("throttled by the store")
 
-    monkeypatch.setattr(Mm.L, "list_landing", boom)
+def test_measure_listing_error_rows(spark, run_dir, monkeypatch):
+    root = f"{run_dir}/landing"
+    _pq(root, "a", "1735689600000_a_00_00.parquet", {"a": [1]})
+    _refuse(monkeypatch, "day=", "throttled by the store")
     topics = O.topics_frame(spark, [("a", "high", 0)])
-    res = Mm.measure(spark, f"{run_dir}/landing", DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
+    res = measure(spark, root, DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
     m = res["measurements"].first()
     assert (m.status, m.listing_status, m.file_count, m.rows_seen) == ("ERROR", "ERROR", None, None)
     assert "throttled" in m.error
     s = res["summary"].first()
     assert (s.errored_collections, s.visible_files) == (1, 0)
+    import pytest
 
+    with pytest.raises(OSError, match="throttled"):
+        L.list_landing(spark, root, DB)
 
-def test_one_unlistable_collection_is_the_only_error(spark, run_dir, monkeypatch):
-    from loamflow.streaming import measure as Mm
 
-    root, real = f"{run_dir}/landing", L.list_landing
+def test_one_unlistable_collection_is_the_only_error(spark, run_dir, monkeypatch):
+    root = f"{run_dir}/landing"
     for c in ("a", "a_b"):
         _pq(root, c, f"1735689600000_{c}_00_00.parquet", {"a": [1]})
-
-    def listing(spark, root, database=None, *args, collection=None, **kw):
-        if collection in (None, "a_b"):
-            raise RuntimeError("denied")
-        return real(spark, root, database, *args, collection=collection, **kw)
-    monkeypatch.setattr(Mm.L, "list_landing", listing)
+    _refuse(monkeypatch, "collection=a_b", "denied")
     topics = O.topics_frame(spark, [("a", "high", 0)])
-    res = Mm.measure(spark, root, DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
+    res = measure(spark, root, DB, f"{run_dir}/_measurement", topics, "BOUNDED_DRAIN")
     got = {r.collection: (r.status, r.file_count, r.rows_seen, r.error) for r in res["measurements"].collect()}
     assert got == {"a": ("OK", 1, 1, None), "a_b": ("ERROR", None, None, "denied")}
 
