@@ -100,6 +100,9 @@ SYNTH_FILE_JITTER_MS = 86_399_999      # file name epoch: day midnight + 0..86,3
 # (seven days unless set). This is longer than any two file times can lie apart.
 MAX_FILE_AGE = "36500000d"
 
+# Raw batches smaller than this are put together by a compaction.
+COMPACT_BYTES = 128 << 20
+
 RESCUED_COLUMN = "_rescued_data"
 LINEAGE_COLUMNS = ("_ingested_at", "_source_file", "_file_epoch_ms")
 # Names of our own that no source column may take; a source column so named is rescued.

@@ -39,6 +39,12 @@ def folders(spark: SparkSession, glob: str) -> list[str]:
     return [s.getPath().toString() for s in (fs.globStatus(p) or []) if s.isDirectory()]
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, p = _open(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.mkdirs(p)

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import names as N
+from .filestate import plan_files, start_planner
 from .ingest import BatchHandler, CollectionSpec, Layout, ingested_files, read_raw, start_ingest
 
 _ENDED = "run_id string, collection string, name string, error string, batches long, files long"
-PROGRESS_SCHEMA = "run_id string, collection string, batch_id long, input_files long, batch_ms long"
+PROGRESS_SCHEMA = ("run_id string, collection string, batch_id long, input_files long, batch_ms long, "
+                   "rows long, rescued_rows long, malformed_lines long")
 
 
 def specs_from_resolved(resolved: DataFrame) -> list[CollectionSpec]:
@@ -44,7 +46,7 @@ def _until_end(spark: SparkSession, handler: BatchHandler, trigger: str) -> str
     # hold back the small ones
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"raw_{handler.spec.name}")
     try:
-        start_ingest(spark, handler.spec, handler.layout, trigger, handler.evolve, handler).awaitTermination()
+        start_ingest(spark, handler.spec, handler.layout, trigger, handler.evolve, handler, plan=False).awaitTermination()
     except Exception as e:
         return str(e) or type(e).__name__
     return None
@@ -66,11 +68,21 @@ def drain(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, run_
           max_concurrent: int = config.DEFAULT_MAX_CONCURRENT, trigger: str = "availableNow",
           evolve: bool = True) -> tuple[DataFrame, DataFrame]:
     """Drain every collection. Returns (outcomes, progress): one row a collection with status,
-    failure kind and message, and one row for every micro-batch that was written."""
+    failure kind and message, and one row for every micro-batch that was written, with its
+    files, rows, rescued rows and malformed lines (observed on the write)."""
     run_id = N.run_token(run_id)
     handlers = [BatchHandler(s, layout, evolve) for s in specs]
-    with ThreadPoolExecutor(max_workers=_width(specs, max_concurrent, trigger)) as pool:
-        errors = list(pool.map(lambda h: _until_end(spark, h, trigger), handlers))
+    width = _width(specs, max_concurrent, trigger)
+    if specs:
+        plan_files(spark, layout, specs)  # one listing for all
+    planner = (start_planner(spark, layout, specs, min(s.interval_seconds for s in specs))
+               if specs and trigger == "continuous" else None)
+    try:
+        with ThreadPoolExecutor(max_workers=width) as pool:
+            errors = list(pool.map(lambda h: _until_end(spark, h, trigger), handlers))
+    finally:
+        if planner is not None:
+            planner.stop()
     ended = spark.createDataFrame(
         [(run_id, h.spec.collection, h.spec.name, e, h.batches, h.files_seen) for h, e in zip(handlers, errors)], _ENDED)
     progress = spark.createDataFrame(

@@ -1,9 +1,9 @@
 """Incremental ingestion of one collection into its append-only raw dataset.
 
 Open-source Spark has no self-tracking, schema-evolving file stream, and a plain file
-stream silently drops columns it does not know. So the stream is a *metadata* stream —
-``binaryFile`` with only ``path``/``length`` selected, rate-limited by
-``maxFilesPerTrigger`` — and each micro-batch runs in ``foreachBatch``:
+stream silently drops columns it does not know. So the stream is a *metadata* stream — the
+planned batches of :mod:`.filestate`, each a list of at most the tier's file cap — and each
+micro-batch runs in ``foreachBatch``:
 
 1. probe every file of the batch in parallel (Parquet footer / CSV header line; a
    ``mapInPandas`` over the paths, no data read) and group files by that signature;
@@ -13,8 +13,12 @@ stream silently drops columns it does not know. So the stream is a *metadata* st
 4. align every group to the tracked schema; values that do not fit and untracked
    columns go to ``_rescued_data`` as JSON;
 5. add lineage columns and overwrite the batch's own folder, so a replay after a crash
-   rewrites the same rows;
-6. save the evolved schema *after* the write.
+   rewrites the same rows; rows, rescued rows and malformed lines are observed on the way;
+6. save the evolved schema, then the batch's file manifest: that is its commit. Readers see
+   the batches that have one, and a replayed batch that has one is not written again.
+
+Nothing is shuffled: a batch's files are what its scan makes of them. :func:`compact` puts
+small batches together afterwards.
 
 The file list of a batch is bounded by ``maxFilesPerTrigger`` (the tier's file cap); it is
 the only thing that reaches the driver, as with Spark's own file source."""
@@ -25,13 +29,15 @@ import csv
 import gzip
 import hashlib
 import json
+import re
 import time
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -42,8 +48,8 @@ from ..functions import schema as S
 from ..session import ship_package
 from ..sources import storage
 from ..sources.landing import escape_glob, source_glob
+from .filestate import batch_stream, plan_files
 
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 @dataclass(frozen=True)
@@ -79,6 +85,16 @@ class Layout:
     def schema_path(self, name: str) -> str:
         return f"{self.checkpoint_root.rstrip('/')}/{self.prefix}schemas/{name}"
 
+    @property
+    def plan_root(self) -> str:
+        return f"{self.checkpoint_root.rstrip('/')}/{self.prefix}plan"
+
+    def plan_path(self, name: str) -> str:
+        return f"{self.plan_root}/name={name}"
+
+    def compact_path(self, name: str) -> str:
+        return f"{self.checkpoint_root.rstrip('/')}/{self.prefix}compact/{name}"
+
     def glob(self, spec: CollectionSpec) -> str:
         return source_glob(self.source_root, self.database, spec.collection, spec.fmt, gz=self.gz)
 
@@ -301,6 +317,8 @@ class BatchHandler:
         began = t = time.perf_counter()
         if self.store is None:
             self.store = S.SchemaStore(spark, self.layout.schema_path(self.spec.name))
+        if storage.exists(spark, manifest_path(self.layout.files_path(self.spec.name), batch_id)):
+            return  # replayed after its commit
         tracked = self.store.latest()
         t = self._tick("schema_load", t)
         groups = probe_groups(batch, self.spec.fmt)
@@ -322,30 +340,31 @@ class BatchHandler:
             aligned = [S.align_and_rescue(fr, new_tracked, text_source=self.spec.fmt == "csv")
                        for fr in frames]
             out = finish(reduce(lambda a, b: a.unionByName(b), aligned), new_tracked)
-            # the batch's own folder, as a whole: a replay rewrites it; rebalancing sizes its files
-            (out.hint("rebalance").write.mode("overwrite")
-             .parquet(f"{self.layout.raw_path(self.spec.name)}/{config.BATCH_COLUMN}={int(batch_id)}"))
+            seen = Observation()
+            out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(config.RESCUED_COLUMN).alias("rescued"),
+                              F.count_if(F.get_json_object(config.RESCUED_COLUMN, f"$.{CORRUPT_COLUMN}").isNotNull())
+                              .alias("malformed"))
+            # the batch's own folder, as a whole: a replay rewrites it
+            out.write.mode("overwrite").parquet(batch_folder(self.layout, self.spec.name, batch_id))
+            counted = seen.get
             t = self._tick("write", t)
         finally:
             if cached:
                 for fr in frames:
                     fr.unpersist()
         paths = [p for _s, group in groups for p in group]
-        write_file_manifest(spark, self.layout.files_path(self.spec.name), batch_id, paths)
         if tracked is None or new_tracked != tracked:
             self.store.save(new_tracked, batch_id)
+        write_file_manifest(spark, self.layout.files_path(self.spec.name), batch_id, paths)
         self._tick("schema_save", t)
         self.files_seen += len(paths)
         self.batches += 1
-        self.progress.append((int(batch_id), len(paths), int(1000 * (time.perf_counter() - began))))
+        self.progress.append((int(batch_id), len(paths), int(1000 * (time.perf_counter() - began)),
+                              counted["rows"], counted["rescued"], counted["malformed"]))
 
 
-def metadata_stream(spark: SparkSession, glob: str, max_files: int) -> DataFrame:
-    """Rate-limited stream of new file paths; late files are always taken."""
-    return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-            .option("maxFilesPerTrigger", int(max_files))
-            .option("maxFileAge", config.MAX_FILE_AGE)
-            .load(glob).select("path", "length"))
+def batch_folder(layout: Layout, name: str, batch_id: int | str) -> str:
+    return f"{layout.raw_path(name)}/{config.BATCH_COLUMN}={batch_id}"
 
 
 def query_name(prefix: str, layout: Layout, name: str) -> str:
@@ -355,12 +374,15 @@ def query_name(prefix: str, layout: Layout, name: str) -> str:
 
 def start_ingest(spark: SparkSession, spec: CollectionSpec, layout: Layout,
                  trigger: str = "availableNow", evolve: bool = True,
-                 handler: BatchHandler | None = None) -> StreamingQuery:
+                 handler: BatchHandler | None = None, plan: bool = True) -> StreamingQuery:
     """Start the stream of one collection. ``trigger``: 'availableNow' (bounded drain) or
-    'continuous' (micro-batch every tier interval)."""
+    'continuous' (micro-batch every tier interval; files that land later come in as a
+    ``filestate.start_planner`` of the run plans them). ``plan``: plan its new files first."""
     ship_package(spark)
+    if plan:
+        plan_files(spark, layout, [spec])
     handler = handler or BatchHandler(spec, layout, evolve)
-    writer = (metadata_stream(spark, layout.glob(spec), spec.max_files).writeStream
+    writer = (batch_stream(spark, layout, spec.name).writeStream
               .queryName(query_name("raw", layout, spec.name))
               .option("checkpointLocation", layout.checkpoint_path(spec.name))
               .foreachBatch(handler))
@@ -387,12 +409,66 @@ def tracked_schema(spark: SparkSession, layout: Layout, name: str) -> T.StructTy
 FILES_SCHEMA = "batch_id BIGINT, path STRING"
 
 
+def manifest_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/batch-{int(batch_id):012d}.json"
+
+
 def write_file_manifest(spark: SparkSession, folder: str, batch_id: int, paths: list[str]) -> None:
     """The files of one micro-batch (already on the driver, at most the tier's file cap) as
-    one small JSON-lines file named after the batch id, so a replay rewrites it in place.
-    Written through the file system that Spark uses for the folder."""
+    one small JSON-lines file named after the batch id. Written through the file system that
+    Spark uses for the folder, in one move: the batch's commit."""
     lines = "".join(json.dumps({"batch_id": int(batch_id), "path": p}) + "\n" for p in paths)
-    storage.write(spark, f"{folder}/batch-{int(batch_id):012d}.json", lines.encode("utf-8"))
+    storage.write(spark, manifest_path(folder, batch_id), lines.encode("utf-8"))
+
+
+def committed_batches(spark: SparkSession, layout: Layout, name: str) -> list[int]:
+    """The batches with a manifest: one small file each, so this list is of batches, not files."""
+    found = (re.fullmatch(r"batch-(\d+)\.json", n) for n in storage.names(spark, layout.files_path(name)))
+    return sorted(int(m[1]) for m in found if m)
+
+
+def compactions(spark: SparkSession, layout: Layout, name: str) -> dict[str, list[int]]:
+    """Folder suffix -> the batches that it holds, as of the last compaction."""
+    versions = sorted(n for n in storage.names(spark, layout.compact_path(name)) if n.startswith("v"))
+    return json.loads(storage.read_text(spark, f"{layout.compact_path(name)}/{versions[-1]}")) if versions else {}
+
+
+def raw_folders(spark: SparkSession, layout: Layout, name: str) -> list[str]:
+    """The folders whose files are the raw dataset now: of committed batches only, a compacted
+    folder in place of the batches that it holds."""
+    packed = compactions(spark, layout, name)
+    within = {b for batches in packed.values() for b in batches}
+    alone = [b for b in committed_batches(spark, layout, name) if b not in within]
+    return [batch_folder(layout, name, x) for x in [*packed, *alone]]
+
+
+def compact(spark: SparkSession, layout: Layout, name: str, target_bytes: int = config.COMPACT_BYTES) -> int:
+    """Put consecutive small batches together into folders of about ``target_bytes``, and return
+    how many batches were. Rows and columns stay as they are. The new folders count from the moment
+    that the new version of the compaction list is in place; what they replace is no longer
+    read, and is left for a clean-up once no reader of older versions runs."""
+    packed = compactions(spark, layout, name)
+    within = {b for batches in packed.values() for b in batches}
+    bins: list[list[int]] = [[]]
+    size = 0
+    for batch in (b for b in committed_batches(spark, layout, name) if b not in within):
+        own = storage.folder_bytes(spark, batch_folder(layout, name, batch))
+        if bins[-1] and size + own > target_bytes:
+            bins.append([])
+            size = 0
+        bins[-1].append(batch)
+        size += own
+    tracked = tracked_schema(spark, layout, name)
+    new: dict[str, list[int]] = {}
+    for batches in (b for b in bins if len(b) > 1):
+        folder = f"{batches[0]}-{batches[-1]}-{uuid.uuid4().hex[:8]}"
+        rows = spark.read.schema(S.raw_schema(tracked)).parquet(*[batch_folder(layout, name, b) for b in batches])
+        rows.coalesce(1).write.parquet(batch_folder(layout, name, folder))  # one task reads about target_bytes
+        new[folder] = batches
+    if new:
+        version = len(storage.names(spark, layout.compact_path(name)))
+        storage.write(spark, f"{layout.compact_path(name)}/v{version:012d}.json", json.dumps(packed | new).encode())
+    return sum(map(len, new.values()))
 
 
 def ingested_files(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -405,12 +481,16 @@ def ingested_files(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
-    """Raw dataset with the latest tracked schema (older batches: new columns NULL).
-    None when nothing was ingested yet; data that a tracked schema promises but that isn't
+    """Raw dataset with the latest tracked schema (older batches: new columns NULL), as of the
+    batches that are committed now; a batch that is being written isn't seen.
+    None when nothing was ingested yet; data that a commit promises but that isn't
     there or can't be read is an error."""
     tracked = tracked_schema(spark, layout, name)
     if tracked is None:
         return None
     schema = S.raw_schema(tracked)
-    df = spark.read.schema(schema).parquet(layout.raw_path(name))  # a tracked schema has data
+    folders = raw_folders(spark, layout, name)
+    if not folders:
+        return None
+    df = spark.read.schema(schema).parquet(*folders)
     return df.select(*[S.quoted(f.name) for f in schema.fields])
