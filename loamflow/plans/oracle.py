@@ -7,6 +7,8 @@ from __future__ import annotations
 
 _FILE_KEY = "CAST(CAST(ts AS DATE) AS VARCHAR) || ':' || CAST(event_id // 2000 AS VARCHAR)"
 _COLL = "'events_' || event_type"
+# files a batch: the tier's cap
+_CAP = "CASE WHEN event_type = 'purchase' THEN 500 ELSE 3000 END"
 
 ORACLE_SQL = {
     "raw_rows_by_collection": f"""
@@ -62,8 +64,56 @@ ORACLE_SQL = {
                CASE WHEN day(ts) % 2 = 0 THEN
                  CASE WHEN event_type IN ('click', 'view') THEN '{{"ts_us":"' || CAST(CAST(ts AS DATE) AS VARCHAR) || '"}}'
                       WHEN event_type = 'purchase'
-                      THEN '{{"ts_us":"' || base64(encode(CAST(event_id AS VARCHAR))) || '"}}' END END AS _rescued_data
-        FROM events WHERE event_type <> 'signup'""",
+                      THEN '{{"ts_us":"' || base64(encode(CAST(event_id AS VARCHAR))) || '"}}'
+                      WHEN event_type = 'signup'
+                      THEN '{{"ts_us":"at ' || CAST(epoch_us(ts) AS VARCHAR) || '"}}' END END AS _rescued_data
+        FROM events""",
+
+    "ingest_batches": f"""
+        SELECT {_COLL} AS collection,
+               CAST(ceil(count(DISTINCT CASE WHEN day(ts) % 2 = 1 THEN {_FILE_KEY} END) / {_CAP}) +
+                    ceil(count(DISTINCT CASE WHEN day(ts) % 2 = 0 THEN {_FILE_KEY} END) / {_CAP}) AS BIGINT) AS batches,
+               count(*) AS rows, count_if(day(ts) % 2 = 0)::BIGINT AS rescued_rows, CAST(0 AS BIGINT) AS malformed_lines
+        FROM events GROUP BY event_type""",
+
+    "drain_wave_log": f"""
+        SELECT CAST(1 AS INTEGER) AS wave, {_COLL} AS collection, 'ok' AS status, 'ok' AS kind,
+               CAST(ceil(count(DISTINCT {_FILE_KEY}) / {_CAP}) AS BIGINT) AS batches,
+               count(DISTINCT {_FILE_KEY}) AS files, count(*) AS rows
+        FROM events GROUP BY event_type
+        UNION ALL SELECT DISTINCT 2, {_COLL}, 'ok', 'ok', 0, 0, 0 FROM events""",
+
+    "compacted_content": f"""
+        WITH b AS (SELECT event_type,
+                 CAST(ceil(count(DISTINCT CASE WHEN day(ts) > 10 THEN {_FILE_KEY} END) / {_CAP}) +
+                      ceil(count(DISTINCT CASE WHEN day(ts) <= 10 THEN {_FILE_KEY} END) / {_CAP}) AS BIGINT) AS batches
+          FROM events GROUP BY event_type)
+        SELECT {_COLL} AS collection, event_id, epoch_us(ts) AS ts_us, value, batches, CAST(1 AS BIGINT) AS folders
+        FROM events JOIN b USING (event_type)""",
+
+    "hostile_tree": f"""
+        SELECT {_COLL} AS collection, CASE WHEN event_type = 'purchase' THEN 'events_purchase' ELSE 'events' END AS owner,
+               CASE WHEN event_type IN ('signup', 'view') THEN 'csv' ELSE 'parquet' END AS drained_as,
+               CASE WHEN event_type IN ('signup', 'view') THEN 'csv' ELSE 'parquet' END AS listed_as,
+               count(DISTINCT {_FILE_KEY}) + CAST(event_type = 'view' AS BIGINT) AS file_count,
+               CASE WHEN event_type = 'click' THEN count(DISTINCT CASE WHEN user_id % 2 = 0 THEN CAST(ts AS DATE) END)
+                    ELSE 0 END AS mixed_dirs,
+               count(*) AS rows
+        FROM events GROUP BY event_type
+        UNION ALL SELECT 'events_viewers', 'events', 'parquet', 'parquet', count(DISTINCT {_FILE_KEY}), 0, count(*)
+        FROM events WHERE event_type = 'view'
+        UNION ALL SELECT 'events_notes', 'events', NULL, NULL, 0, 0, 0""",
+
+    "resolution_split": """
+        WITH c AS (SELECT DISTINCT event_type AS t FROM events)
+        SELECT count(*) + 1 AS selected, count_if(t IN ('purchase', 'view'))::BIGINT AS parents,
+               count_if(t NOT IN ('purchase', 'view'))::BIGINT + 1 AS children, count(*) AS present,
+               CAST(1 AS BIGINT) AS skipped, count_if(t NOT IN ('signup', 'error'))::BIGINT AS parquet,
+               count_if(t IN ('signup', 'error'))::BIGINT AS csv FROM c""",
+
+    "measured_times": f"""
+        SELECT DISTINCT {_COLL} AS collection, true AS total_is_sum, true AS drained, true AS same_time,
+               true AS run_token FROM events""",
 
     "lineage": f"""
         SELECT event_id, printf('%013d_%s_%02d_%02d.%s',

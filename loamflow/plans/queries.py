@@ -9,24 +9,27 @@ DuckDB twin of each (same column names) except the two that carry wall-clock sec
 
 from __future__ import annotations
 
+import gzip
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config
 from ..functions import names as N
 from ..operators import ownership as O
 from ..operators.projection import ceil_rounds, makespan
 from ..operators.restarts import restart_verdict
 from ..session import new_run_dir
 from ..sources import landing as L
+from ..sources import storage
 from ..sources.landing_writer import block_file_key, write_landing
 from ..sources.results import append_results, read_results, read_results_json, write_results_json
 from ..streaming import measure as M
-from ..streaming.drain import (drain_or_raise, ingested_file_table, outcome_counts, raw_union, row_counts,
-                               specs_from_resolved)
-from ..streaming.ingest import CollectionSpec, Layout
-from .resolve import resolve
+from ..streaming.drain import (drain, drain_waves, ingested_file_table, outcome_counts, raw_union, report_and_raise,
+                               row_counts, specs_from_resolved)
+from ..streaming.ingest import CollectionSpec, Layout, committed_batches, compact, raw_folders
+from .resolve import resolution_counts, resolve
 
 ROWS_PER_FILE = 2000
 DATABASE = "shop"
@@ -100,9 +103,10 @@ def full_drain(spark: SparkSession, sf_dir: str) -> LandedRun:
         return _CACHE[key]
     run = LandedRun(spark, "full")
     run.land(landing_frame(_table(spark, sf_dir, "events")))
-    resolved = resolve(spark, run.root, DATABASE, _topics(spark))
-    run.specs = specs_from_resolved(resolved)
-    run.outcomes = drain_or_raise(spark, run.specs, run.layout)
+    files = run.files()
+    run.specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark), files=files))
+    run.outcomes, run.progress = drain(spark, run.specs, run.layout, files=files)
+    report_and_raise(run.outcomes)
     _CACHE[key] = run
     return run
 
@@ -131,8 +135,10 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 def _drain_all(spark, run: LandedRun, evolve: bool = True) -> list[CollectionSpec]:
     """Resolve and drain every landed collection (concurrently); fail on any failure."""
-    specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
-    drain_or_raise(spark, specs, run.layout, evolve=evolve)
+    files = run.files()
+    specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark), files=files))
+    run.outcomes, run.progress = drain(spark, specs, run.layout, evolve=evolve, files=files)
+    report_and_raise(run.outcomes)
     return specs
 
 
@@ -189,15 +195,14 @@ def rescued_values(spark, sf_dir):
 
 
 def rescued_type_pairs(spark, sf_dir):
-    """ts_us comes as bigint first, then as a date, a boolean or binary that no cast takes."""
+    """ts_us comes as bigint first, then as a date, a boolean, binary or (CSV) text that no cast takes."""
     run = LandedRun(spark, "pairs")
     ev = _table(spark, sf_dir, "events")
     odd = F.dayofmonth(_ts()) % 2 == 1
-    parquet = ev.where(F.col("event_type") != "signup")
-    run.land(landing_frame(parquet.where(odd)))
+    run.land(landing_frame(ev.where(odd)))
     _drain_all(spark, run)
-    later = landing_frame(parquet.where(~odd))
-    typed = {"click": F.to_date(F.timestamp_micros("ts_us")), "error": F.col("value") > 50,
+    later = landing_frame(ev.where(~odd))
+    typed = {"signup": F.concat(F.lit("at "), F.col("ts_us").cast("string")), "click": F.to_date(F.timestamp_micros("ts_us")), "error": F.col("value") > 50,
              "purchase": F.col("event_id").cast("string").cast("binary"), "view": F.to_date(F.timestamp_micros("ts_us"))}
     for kind, value in typed.items():
         run.land(later.where(F.col("collection") == f"events_{kind}").withColumn("ts_us", value))
@@ -330,6 +335,103 @@ def batch_rows_json(spark, sf_dir):
         "collection", "micro_batches", "rows_seen", "batch_rows_json")
 
 
+def ingest_batches(spark, sf_dir):
+    """Rows, rescued rows and malformed lines that each collection's batches were observed to
+    write: an odd number of days as they are, the others with a value that doesn't fit."""
+    run = LandedRun(spark, "observed")
+    ev = _table(spark, sf_dir, "events")
+    odd = F.dayofmonth(_ts()) % 2 == 1
+    run.land(landing_frame(ev.where(odd)))
+    _drain_all(spark, run)
+    first = run.progress
+    run.land(landing_frame(ev.where(~odd)).withColumn("value", F.lit("n/a")))
+    _drain_all(spark, run)
+    return first.unionByName(run.progress).groupBy("collection").agg(
+        F.count("*").alias("batches"), F.sum("rows").alias("rows"), F.sum("rescued_rows").alias("rescued_rows"),
+        F.sum("malformed_lines").alias("malformed_lines"))
+
+
+def drain_wave_log(spark, sf_dir):
+    """Two waves over one landing: the first takes every file, the second finds nothing new."""
+    run = LandedRun(spark, "waves")
+    run.land(landing_frame(_table(spark, sf_dir, "events")))
+    specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
+    outcomes, progress = drain_waves(spark, specs, run.layout, 2, pause_seconds=0.01)
+    rows = progress.groupBy("wave", "collection").agg(F.sum("rows").alias("rows"))
+    return outcomes.join(rows, ["wave", "collection"], "left").select(
+        "wave", "collection", "status", "kind", "batches", "files", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+def compacted_content(spark, sf_dir):
+    """The raw rows of two drains' batches after these were put together, how many batches there
+    were, and in how many folders they are now."""
+    run = LandedRun(spark, "compact")
+    ev = _table(spark, sf_dir, "events")
+    for late in (False, True):
+        run.land(landing_frame(ev.where((F.dayofmonth(_ts()) > 10) == late)))
+        specs = _drain_all(spark, run)
+    for s in specs:
+        compact(spark, run.layout, s.name)
+    folders = spark.createDataFrame([(s.collection, len(committed_batches(spark, run.layout, s.name)),
+                                      len(raw_folders(spark, run.layout, s.name))) for s in specs],
+                                    "collection string, batches long, folders long")
+    return _raw_all(spark, run, specs, ["event_id", "ts_us", "value"]).join(folders, "collection")
+
+
+def hostile_tree(spark, sf_dir):
+    """One listing of a zone with sibling names, gzip files, both formats in one folder, files of
+    neither and a collection without any that can be read: how it resolves, what is listed."""
+    run = LandedRun(spark, "hostile")
+    ev = _table(spark, sf_dir, "events")
+    run.land(landing_frame(ev, csv_types=("signup", "view")))
+    view = landing_frame(ev.where("event_type = 'view'"))
+    run.land(view.withColumn("collection", F.lit("events_viewers")))  # a name that begins with another's
+    run.land(landing_frame(ev.where("event_type = 'click' and user_id % 2 = 0")).withColumn("_format", F.lit("csv")))
+    day = f"{run.root}/{config.LANDING_SOURCE_SEGMENT}/year=2024/month=01/day=01/database={DATABASE}"
+    storage.write(spark, f"{day}/collection=events_notes/readme.txt", b"neither format")
+    storage.write(spark, f"{day}/collection=events_view/0000000000001_v.csv.gz", gzip.compress(b"event_id\n-1\n"))
+    storage.write(spark, f"{day}/collection=events_view/_hidden.csv", b"event_id\n-2\n")
+    files = run.files()
+    resolved = resolve(spark, run.root, DATABASE, _topics(spark), files=files)
+    stats = L.listing_stats(files, resolved.select("collection"))
+    mixed = L.mixed_format_dirs(files).groupBy("collection").agg(F.count("*").alias("mixed_dirs"))
+    drain_specs = specs_from_resolved(resolved)
+    outcomes, progress = drain(spark, drain_specs, run.layout, files=files)
+    report_and_raise(outcomes)
+    rows = progress.groupBy("collection").agg(F.sum("rows").alias("rows"))
+    return (resolved.select("collection", "owner", F.col("format").alias("drained_as"))
+            .join(stats.select("collection", F.col("format").alias("listed_as"), "file_count"), "collection")
+            .join(mixed, "collection", "left").join(rows, "collection", "left").fillna(0, ["mixed_dirs", "rows"]))
+
+
+def resolution_split(spark, sf_dir):
+    """Selected, parents and children, present and skipped, and formats of one resolution with a
+    topic that nothing landed for, its parent present or not."""
+    run = LandedRun(spark, "split")
+    run.land(landing_frame(_table(spark, sf_dir, "events"), csv_types=("signup", "error")))
+    topics = O.topics_frame(spark, EVENT_TOPICS, [("shop.events_view", "low", 0)])
+    day = f"{run.root}/{config.LANDING_SOURCE_SEGMENT}/year=2024/month=01/day=01/database={DATABASE}"
+    storage.write(spark, f"{day}/collection=events_empty/notes.txt", b"")
+    return resolution_counts(resolve(spark, run.root, DATABASE, topics))
+
+
+def measured_times(spark, sf_dir):
+    """What is exact about a run's times: the total is the sum of the phases, and the time of the
+    measurement comes back from JSON as it was."""
+    res = _measured(spark, sf_dir, "BOUNDED_DRAIN",
+                    [("high", 7, 90), ("medium", 7, 90), ("low", 7, 90)], "ratelimit")
+    path = f"{new_run_dir(spark, 'results')}/json"
+    write_results_json(res["measurements"], path)
+    back, now = read_results_json(spark, path), res["measurements"]
+    both = back.alias("b").join(now.alias("n"), "collection")
+    return both.select(
+        "collection", (F.abs(F.col("b.total_drain_wall_seconds") - (F.col("b.query_start_seconds") + F.col("b.drain_seconds")
+                                                                    + F.col("b.query_stop_seconds"))) < 1e-6).alias("total_is_sum"),
+        (F.col("b.drain_seconds") > 0).alias("drained"),
+        (F.unix_millis("b.measured_at_utc") == F.unix_millis("n.measured_at_utc")).alias("same_time"),
+        F.col("b.run_id").rlike("^[0-9]{8}T[0-9]{6}Z_[0-9a-f]{8}$").alias("run_token"))
+
+
 def drain_projection(spark, sf_dir):
     res = _measured(spark, sf_dir, "BOUNDED_DRAIN",
                     [("high", 7, 90), ("medium", 7, 90), ("low", 7, 90)], "ratelimit")
@@ -384,8 +486,7 @@ def backlog_anti(spark, sf_dir):
     ev = _table(spark, sf_dir, "events")
     early = F.dayofmonth(_ts()) <= 15
     run.land(landing_frame(ev.where(early)))
-    specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
-    drain_or_raise(spark, specs, run.layout)
+    specs = _drain_all(spark, run)
     run.land(landing_frame(ev.where(~early)))
     # what the streams wrote, from their small per-batch file manifests (no raw scan)
     pending = L.backlog(run.files(), ingested_file_table(spark, run.layout, specs), "path")
@@ -548,4 +649,10 @@ QUERIES = {
     "ceil_rounds": ceil_rounds_by_nation,
     "restart_verdict": restart_verdicts,
     "failure_kind": failure_kind,
+    "ingest_batches": ingest_batches,
+    "drain_wave_log": drain_wave_log,
+    "compacted_content": compacted_content,
+    "hostile_tree": hostile_tree,
+    "resolution_split": resolution_split,
+    "measured_times": measured_times,
 }

@@ -66,15 +66,15 @@ def _width(specs: list, max_concurrent: int, trigger: str) -> int:
 
 def drain(spark: SparkSession, specs: list[CollectionSpec], layout: Layout, run_id: str | None = None,
           max_concurrent: int = config.DEFAULT_MAX_CONCURRENT, trigger: str = "availableNow",
-          evolve: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Drain every collection. Returns (outcomes, progress): one row a collection with status,
+          evolve: bool = True, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Drain every collection; ``files`` is the zone's listing, if there is one already. Returns (outcomes, progress): one row a collection with status,
     failure kind and message, and one row for every micro-batch that was written, with its
     files, rows, rescued rows and malformed lines (observed on the write)."""
     run_id = N.run_token(run_id)
     handlers = [BatchHandler(s, layout, evolve) for s in specs]
     width = _width(specs, max_concurrent, trigger)
     if specs:
-        plan_files(spark, layout, specs)  # one listing for all
+        plan_files(spark, layout, specs, files)  # one listing for all
     planner = (start_planner(spark, layout, specs, min(s.interval_seconds for s in specs))
                if specs and trigger == "continuous" else None)
     try:

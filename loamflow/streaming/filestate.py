@@ -14,12 +14,11 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config
-from ..operators.scans import with_rank
 from ..sources import storage
 from ..sources.landing import list_landing
 
@@ -51,14 +50,14 @@ def plan_files(spark: SparkSession, layout: Layout, specs: list[CollectionSpec],
     fresh = (files.join(want, "collection").where(ends)
              .select("name", "path", "length", "modificationTime", "max_files")
              .join(state.select("name", "path"), ["name", "path"], "left_anti"))
-    ranked = with_rank(fresh, ["name", "modificationTime", "path"], "place")
-    first = ranked.groupBy("name").agg(F.min("place").alias("first"))
     after = state.groupBy("name").agg((F.max(F.col("batch").cast("long")) + 1).alias("after"))
-    number = F.coalesce("after", F.lit(0)) + F.floor((F.col("place") - F.col("first")) / F.col("max_files"))
-    batches = (ranked.join(first, "name").join(after, "name", "left")
-               .select("path", "length", "name", F.format_string("%012d", number).alias("batch")))
-    # one task a collection writes its batches in order, so their files' times are in order, too
-    (batches.repartition("name").sortWithinPartitions("name", "batch", "path")
+    # a collection's new paths go to one task, which ranks them and writes its batches in order,
+    # so that their files' times are in order, too
+    place = F.row_number().over(Window.partitionBy("name").orderBy("modificationTime", "path")) - 1
+    number = F.coalesce("after", F.lit(0)) + F.floor(F.col("place") / F.col("max_files"))
+    (fresh.join(after, "name", "left").withColumn("place", place)
+     .select("path", "length", "name", F.format_string("%012d", number).alias("batch"))
+     .sortWithinPartitions("name", "batch", "path")
      .write.mode("append").partitionBy("name", "batch").parquet(layout.plan_root))
 
 

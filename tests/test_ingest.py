@@ -483,3 +483,97 @@ def test_measure_no_files_row(spark, run_dir):
         measure(spark, root, DB, f"{run_dir}/_measurement", with_clash, "BOUNDED_DRAIN")
     proj = {r.max_workers: r.simple_ceil_collection_rounds for r in res["projections"].collect()}
     assert proj == {4: 1, 6: 1, 8: 1, 12: 1, 16: 1}       # only the OK collection counts
+
+
+def test_plan_cuts_batches_by_age_and_cap(spark, run_dir):
+    from loamflow.streaming.filestate import plan_files, planned_files
+
+    lay = _layout(run_dir)
+    specs = [CollectionSpec("p", "p", "parquet", max_files=2), CollectionSpec("p_x", "p_x", "csv", max_files=3)]
+    names = [f"17356896000{i:02d}_p_00_00.parquet" for i in range(5)]
+    for i, n in enumerate(names):
+        _pq(lay.source_root, "p", n, {"a": [i]})
+        os.utime(f"{_dir(lay.source_root, 'p')}/{n}", (1000 - i, 1000 - i))     # the last is the oldest
+    _csv(lay.source_root, "p_x", "1735689600000_p_x_00_00.csv", "a\n1\n")
+    _csv(lay.source_root, "p_x", "1735689600000_p_x_00_00.csv.gz", "a\n2\n", gz=True)   # not of this layout
+
+    def plan():
+        plan_files(spark, lay, specs)
+        rows = planned_files(spark, lay).orderBy("name", "batch", "path").collect()
+        return [(r.name, int(r.batch), r.path.rpartition("/")[2]) for r in rows]
+    want = [("p", 0, names[3]), ("p", 0, names[4]), ("p", 1, names[1]), ("p", 1, names[2]), ("p", 2, names[0]),
+            ("p_x", 0, "1735689600000_p_x_00_00.csv")]
+    assert plan() == want and plan() == want            # nothing new, nothing planned
+    _pq(lay.source_root, "p", "0000000000001_late.parquet", {"a": [9]})
+    os.utime(f"{_dir(lay.source_root, 'p')}/0000000000001_late.parquet", (0, 0))
+    assert plan() == sorted([*want, ("p", 3, "0000000000001_late.parquet")])
+    h = ingest_available(spark, specs[0], lay)
+    assert [p[1] for p in h.progress] == [2, 2, 1, 1] and sum(p[3] for p in h.progress) == 6
+
+
+def test_readers_see_committed_batches_only(spark, run_dir):
+    from loamflow.streaming.ingest import batch_folder
+
+    lay = _layout(run_dir)
+    spec = CollectionSpec("v", "v", "parquet")
+    _pq(lay.source_root, "v", "1735689600000_v_00_00.parquet", {"a": [1, 2]})
+    ingest_available(spark, spec, lay)
+    before = read_raw(spark, lay, "v").collect()
+    # a batch that was cut short: rows, but no manifest
+    read_raw(spark, lay, "v").write.parquet(batch_folder(lay, "v", 1))
+    assert read_raw(spark, lay, "v").collect() == before
+    _pq(lay.source_root, "v", "1735689700000_v_00_01.parquet", {"a": [3]})
+    ingest_available(spark, spec, lay)                  # batch 1 replaces what was left
+    assert sorted(r.a for r in read_raw(spark, lay, "v").collect()) == [1, 2, 3]
+
+
+def test_compaction_keeps_rows_and_later_batches(spark, run_dir):
+    from loamflow.streaming.ingest import compact, raw_folders
+
+    lay = _layout(run_dir)
+    spec = CollectionSpec("w", "w", "parquet", max_files=1)
+    for i in range(5):
+        _pq(lay.source_root, "w", f"173568960000{i}_w_00_00.parquet", {"a": [i], **({"b": ["x"]} if i > 2 else {})})
+    ingest_available(spark, spec, lay)
+    rows = sorted(map(str, read_raw(spark, lay, "w").collect()))
+    assert len(raw_folders(spark, lay, "w")) == 5 and compact(spark, lay, "w", target_bytes=1) == 0
+    assert compact(spark, lay, "w") == 5 and len(raw_folders(spark, lay, "w")) == 1
+    assert sorted(map(str, read_raw(spark, lay, "w").collect())) == rows and compact(spark, lay, "w") == 0
+    _pq(lay.source_root, "w", "1735689700000_w_00_00.parquet", {"a": [7]})
+    ingest_available(spark, spec, lay)
+    assert read_raw(spark, lay, "w").count() == 6 and len(raw_folders(spark, lay, "w")) == 2
+
+
+def test_batch_writes_without_a_shuffle(spark, run_dir, monkeypatch):
+    from loamflow.streaming import ingest as In
+
+    lay, plans, real = _layout(run_dir), [], In.finish
+
+    def finish(df, tracked):
+        out = real(df, tracked)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(In, "finish", finish)
+    _pq(lay.source_root, "z2", "1735689600000_z_00_00.parquet", {"a": [1]})
+    ingest_available(spark, CollectionSpec("z2", "z2", "parquet"), lay)
+    assert plans and "Exchange" not in plans[0]
+
+
+def test_planner_stream_feeds_continuous_drains(spark, run_dir):
+    import time as _t
+
+    from loamflow.streaming.filestate import start_planner
+
+    lay = _layout(run_dir)
+    spec = CollectionSpec("pc", "pc", "parquet", interval_seconds=1)
+    q = start_ingest(spark, spec, lay, trigger="continuous")
+    planner = start_planner(spark, lay, [spec], 1)
+    try:
+        _pq(lay.source_root, "pc", "1735689600000_pc_00_00.parquet", {"a": [5]})
+        end = _t.time() + 60
+        while (raw := read_raw(spark, lay, "pc")) is None and _t.time() < end:
+            _t.sleep(0.5)
+    finally:
+        planner.stop()
+        q.stop()
+    assert [r.a for r in raw.collect()] == [5]
