@@ -48,8 +48,9 @@ def main():
             "inference job), pruned to the tracked columns plus the file-path metadata column; "
             "alignment, rescue JSON and lineage are one codegen'd projection; no shuffle.",
         "listing statistics (A1, A4, F2)":
-            "binaryFile scans read only path/length (no content); the distinct-directory count "
-            "is a two-level hash aggregate, partial before each shuffle.",
+            "the scan is of the snapshot that tasks wrote of their walk (no file status on the "
+            "driver); the distinct-directory count is a two-level hash aggregate, partial before "
+            "each shuffle.",
         "longest-prefix ownership (E1)":
             "prefix candidates semi-join the parents (equi-join, AQE broadcasts the side it "
             "measures small); the longest match is a hash max(length); no nested-loop join.",
