@@ -9,11 +9,12 @@ other equi-join. A name of k underscores has k + 1 candidates; nothing is capped
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import names as N
+from .scans import with_rank
 
 TOPIC_SCHEMA = "topic string, tier string, position int"
 
@@ -63,11 +64,13 @@ def assert_no_tier_conflicts(topics: DataFrame, canonical: str = "collection_of"
 
 
 def dedupe_topics(topics: DataFrame, canonical: str = "collection_of") -> DataFrame:
-    """One row per canonical collection: the first in (origin, tier order, position)."""
-    t = with_canonical(topics, canonical).withColumn("_tr", _tier_rank(F.col("tier")))
-    order = F.struct("origin", "_tr", "position")
-    first = F.min_by(F.struct("topic", "tier", "position", "origin"), order)
-    return (t.groupBy("collection").agg(first.alias("f"))
+    """One row per canonical collection: the first in (origin, tier order, position, topic).
+    The rows are first put together by topic, a hash aggregate of one number; only distinct
+    topics meet the aggregate by the whole order."""
+    t = (with_canonical(topics, canonical).groupBy("collection", "topic", "tier", "origin")
+         .agg(F.min("position").alias("position")))
+    order = F.struct("origin", _tier_rank(F.col("tier")), "position", "topic", "tier")
+    return (t.groupBy("collection").agg(F.min(order).alias("f"))
             .select("collection", "f.topic", "f.tier", "f.position", "f.origin"))
 
 
@@ -126,13 +129,13 @@ def select_collections(discovered: DataFrame, parents: DataFrame) -> tuple[DataF
 
 def shard_assignment(selected: DataFrame, shard_count: int, owner_col: str = "owner") -> DataFrame:
     """Round-robin shards over the distinct owners in sorted order: i-th owner -> i % count; rows
-    without an owner have no shard.
-    Only the (small, config-bounded) set of distinct owners is ranked; children follow
-    their owner through an equi-join. Assignment moves when a new parent appears."""
-    ranked = (selected.select(owner_col).where(F.col(owner_col).isNotNull()).distinct()
-              .withColumn("_i", F.row_number().over(Window.orderBy(owner_col)) - 1)
-              .withColumn("shard_index", F.pmod(F.col("_i"), F.lit(int(shard_count))).cast("int"))
-              .drop("_i"))
+    without an owner have no shard. The owners are ranked by ranges, not in one task; children
+    follow their owner through an equi-join. One shard needs no ranks.
+    Assignment moves when a new parent appears."""
+    if int(shard_count) == 1:
+        return selected.withColumn("shard_index", F.when(F.col(owner_col).isNotNull(), 0))
+    ranked = with_rank(selected.select(owner_col).where(F.col(owner_col).isNotNull()).distinct(), [owner_col], "owner_rank")
+    ranked = ranked.select(owner_col, F.pmod("owner_rank", F.lit(int(shard_count))).cast("int").alias("shard_index"))
     return selected.join(ranked, owner_col, "left")
 
 

@@ -1,16 +1,8 @@
-"""Running (prefix) sums and maxima over an ordered key, without one task per partition.
+"""Ranks over a whole order, without a window over the whole table.
 
-A plain ``Window.partitionBy(k).orderBy(o)`` sorts every row of key ``k`` in one task; a key
-holding a third of all rows would put a third of the data in one task. Here rows are cut
-into buckets of the order key (``bucket = floor(o / width)``):
-
-1. per (key, bucket) totals — a partial aggregate;
-2. the exclusive prefix of those totals over buckets — a window over the small bucket
-   table (rows / width entries per key);
-3. the running value inside each (key, bucket) — a window bounded by ``width`` rows when
-   the order key is unique — plus the bucket's offset.
-
-Exact for sums and maxima; equal to the single-window result."""
+``Window.orderBy(o)`` alone sorts every row in one task. Here rows are dealt into ranges of the
+order; a range's first rank is the rows of all ranges before it, and only one row a range is
+summed in one place."""
 
 from __future__ import annotations
 
@@ -36,75 +28,3 @@ def with_rank(df: DataFrame, order: list[Column | str], out: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
     return (dealt.withColumn(out, place).join(F.broadcast(starts), part)
             .withColumn(out, F.col(f"{out}_start") + F.col(out)).drop(part, f"{out}_start"))
-
-
-def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, str] | None = None,
-            maxes: dict[str, str] | None = None, width: int = 1 << 16) -> DataFrame:
-    """``df`` plus inclusive running sums (``sums``: out -> column) and running maxima
-    (``maxes``: out -> column) per ``keys`` in ``order`` (unique within keys; ``width`` then
-    also bounds the rows of one (key, bucket) window partition)."""
-    sums = sums or {}
-    maxes = maxes or {}
-    b = F.floor(F.col(order) / F.lit(int(width))).cast("long")
-    x = df.withColumn("_bkt", b)
-    tot = x.groupBy(*keys, "_bkt").agg(
-        *[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()],
-        *[F.max(c).alias(f"_m_{o}") for o, c in maxes.items()])
-    prev = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, "_bkt",
-                     *[F.coalesce(F.sum(f"_t_{o}").over(prev), F.lit(0)).alias(f"_o_{o}")
-                       for o in sums],
-                     *[F.max(f"_m_{o}").over(prev).alias(f"_p_{o}") for o in maxes])
-    inner = Window.partitionBy(*keys, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    y = x.select("*", *[F.sum(c).over(inner).alias(f"_r_{o}") for o, c in sums.items()],
-                 *[F.max(c).over(inner).alias(f"_q_{o}") for o, c in maxes.items()])
-    z = y.join(off, [*keys, "_bkt"], "inner")
-    cols = {o: F.col(f"_r_{o}") + F.col(f"_o_{o}") for o in sums}
-    cols.update({o: F.greatest(F.col(f"_q_{o}"), F.col(f"_p_{o}")) for o in maxes})
-    drop = ["_bkt"] + [f"_r_{o}" for o in sums] + [f"_o_{o}" for o in sums] + \
-           [f"_q_{o}" for o in maxes] + [f"_p_{o}" for o in maxes]
-    return z.withColumns(cols).drop(*drop)
-
-
-def segmented_counts(df: DataFrame, keys: list[str], order: str, reset: str,
-                     counts: dict[str, str], width: int = 1 << 16) -> DataFrame:
-    """``df`` plus, per ``keys`` in ``order``, running counts that restart at every row
-    where ``reset`` is true (the resetting row itself counts after the restart):
-    ``counts`` maps output -> 0/1 column. One pass over ``df``: rows are windowed per
-    (key, bucket); each bucket is summarised as (totals, has_reset, counts after its last
-    reset) and the buckets of a key are combined with windows over the small bucket
-    table; nothing sorts a key's whole history in one task."""
-    b = F.floor(F.col(order) / F.lit(int(width))).cast("long")
-    x = df.withColumn("_bkt", b).withColumn("_rs", F.coalesce(F.col(reset), F.lit(False)))
-    w = Window.partitionBy(*keys, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    y = x.select("*", F.max(F.col("_rs").cast("int")).over(w).alias("_lr"),
-                 *[F.sum(c).over(w).alias(f"_l_{o}") for o, c in counts.items()])
-    y = y.select("*", *[F.last(F.when(F.col("_rs"), F.col(f"_l_{o}") - F.col(c)), ignorenulls=True)
-                        .over(w).alias(f"_lb_{o}") for o, c in counts.items()])
-    # values at the last row of a bucket: all of them are non-decreasing in ``order``
-    # (0/1 counts), so plain maxima (a hash aggregate) give them
-    summ = (y.groupBy(*keys, "_bkt")
-            .agg(F.max("_lr").alias("_mr"), *[F.max(f"_l_{o}").alias(f"_ml_{o}") for o in counts],
-                 *[F.max(f"_lb_{o}").alias(f"_mb_{o}") for o in counts])
-            .select(*keys, "_bkt", (F.col("_mr") == 1).alias("_has"),
-                    *[F.col(f"_ml_{o}").alias(f"_t_{o}") for o in counts],
-                    *[(F.col(f"_ml_{o}") - F.col(f"_mb_{o}")).alias(f"_a_{o}") for o in counts]))
-    prev = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    incl = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, 0)
-    s1 = summ.select("*", *[F.sum(f"_t_{o}").over(incl).alias(f"_si_{o}") for o in counts])
-    s2 = s1.select(
-        *keys, "_bkt",
-        F.max(F.col("_has").cast("int")).over(prev).alias("_ph"),
-        *[F.coalesce(F.sum(f"_t_{o}").over(prev), F.lit(0)).alias(f"_sp_{o}") for o in counts],
-        *[F.last(F.when(F.col("_has"), F.col(f"_a_{o}")), ignorenulls=True).over(prev)
-          .alias(f"_pa_{o}") for o in counts],
-        *[F.last(F.when(F.col("_has"), F.col(f"_si_{o}")), ignorenulls=True).over(prev)
-          .alias(f"_ps_{o}") for o in counts])
-    inc = s2.select(*keys, "_bkt", *[
-        F.when(F.col("_ph") == 1, F.col(f"_pa_{o}") + F.col(f"_sp_{o}") - F.col(f"_ps_{o}"))
-        .otherwise(F.col(f"_sp_{o}")).alias(f"_in_{o}") for o in counts])
-    z = y.join(inc, [*keys, "_bkt"], "inner")
-    out = {o: F.when(F.col("_lr") == 1, F.col(f"_l_{o}") - F.col(f"_lb_{o}"))
-           .otherwise(F.col(f"_in_{o}") + F.col(f"_l_{o}")) for o in counts}
-    drop = ["_bkt", "_rs", "_lr"] + [f"_{p}_{o}" for o in counts for p in ("l", "lb", "in")]
-    return z.withColumns(out).drop(*drop)

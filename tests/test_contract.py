@@ -2,7 +2,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from loamflow.operators.scans import segmented_counts
 from loamflow.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -42,15 +41,3 @@ def test_query_matches_oracle(spark, name):
     idx = [ocols.index(c) for c in cols]
     exp = sorted((tuple(r[i] for i in idx) for r in res.fetchall()), key=repr)
     assert got == exp
-
-
-def test_segmented_counts(spark):
-    rows = [("a", i, i in (3, 7), 1 if i % 2 else 0) for i in range(12)] + \
-           [("b", i, i == 0, 1) for i in range(5)]
-    df = spark.createDataFrame(rows, "k string, o long, r boolean, g int")
-    got = {(x.k, x.o): x.c for x in segmented_counts(df, ["k"], "o", "r", {"c": "g"}, width=4).collect()}
-    for k in ("a", "b"):
-        c = 0
-        for _k, o, r, g in [x for x in rows if x[0] == k]:
-            c = (0 if r else c) + g
-            assert got[(k, o)] == c

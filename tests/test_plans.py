@@ -36,6 +36,8 @@ def test_restart_verdict_has_no_single_partition_window(spark):
     plan = _plan(restart_verdict(Q._attempts(spark, SF), width=64))
     assert "SinglePartition" not in plan
     assert "CartesianProduct" not in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "Join" not in final
 
 
 def test_makespan_and_rounds_need_no_join(spark):
@@ -51,3 +53,16 @@ def test_resolve_lists_once(spark, run_dir):
     run.land(Q.landing_frame(Q._table(spark, SF, "events")))
     plan = _plan(resolve(spark, run.root, Q.DATABASE, Q._topics(spark)))
     assert "binaryFile" not in plan and "CartesianProduct" not in plan
+
+
+def test_shards_rank_without_a_window_over_all_owners(spark, run_dir):
+    owned = Q._table(spark, SF, "customer").selectExpr("concat('o', c_custkey) AS owner")
+    plan = _plan(O.shard_assignment(owned, 3)).split("== Initial Plan ==")[0]
+    assert "windowspecdefinition(owner#" not in plan and "windowspecdefinition(owner_rank_part#" in plan
+    alone = _plan(O.shard_assignment(owned, 1))
+    assert "Window" not in alone and "Exchange" not in alone
+
+
+def test_topics_reach_the_ordered_aggregate_once_per_distinct_topic(spark):
+    plan = _plan(O.dedupe_topics(Q._doc_topics(spark, SF))).split("== Initial Plan ==")[0]
+    assert "HashAggregate(keys=[collection" in plan.rsplit("SortAggregate", 1)[-1]

@@ -1,12 +1,9 @@
 import math
 import random
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
-
 from loamflow.operators.projection import ceil_rounds, makespan
 from loamflow.operators.restarts import restart_verdict
-from loamflow.operators.scans import running
+from loamflow.operators.scans import with_rank
 
 
 def _lpt(durations, workers):
@@ -46,17 +43,13 @@ def test_ceil_rounds(spark):
     assert got[("a", 4)] == 3 and got[("a", 16)] == 1 and got[("b", 4)] == 1
 
 
-def test_running_scan_equals_window(spark):
+def test_rank_equals_window(spark, run_dir):
     rng = random.Random(3)
-    rows = [(rng.choice("abc"), i, rng.randint(0, 5), rng.choice([None, rng.randint(0, 50)]))
-            for i in range(400)]
-    df = spark.createDataFrame(rows, "k string, o long, x int, y int")
-    got = running(df, ["k"], "o", sums={"sx": "x"}, maxes={"my": "y"}, width=16)
-    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
-    exp = df.select("k", "o", F.sum("x").over(w).alias("sx"), F.max("y").over(w).alias("my"))
-    a = sorted((r.k, r.o, r.sx, r.my) for r in got.collect())
-    b = sorted((r.k, r.o, r.sx, r.my) for r in exp.collect())
-    assert a == b
+    rows = [(rng.choice("abcde"), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, o long").repartition(7)
+    got = with_rank(df, ["k", "o"], "place").collect()
+    assert [(r.k, r.o) for r in sorted(got, key=lambda r: r.place)] == sorted(rows)
+    assert sorted(r.place for r in got) == list(range(400))
 
 
 def _verdict(log):
@@ -93,3 +86,17 @@ def test_restart_verdict_matches_simulation(spark):
     for s in {r[0] for r in rows}:
         log = sorted((a, k, t) for c, a, k, t in rows if c == s)
         assert got[s] == _verdict(log), s
+
+
+def test_restart_verdict_of_limits_nulls_and_nothing(spark):
+    schema = "collection string, attempt long, kind string, ran_seconds double"
+    log = ([("none left", i, "genuine", 1.0) for i in range(6)] + [("one left", i, "genuine", 1.0) for i in range(5)]
+           + [("reset", i, "genuine", 300.0 if i == 4 else None) for i in range(9)]
+           + [("unknown", 0, None, 1.0), (None, 0, "ok", 1.0)])
+    for width in (1, 2, 3, 1 << 16):
+        got = {r.collection: tuple(r)[1:] for r in restart_verdict(
+            spark.createDataFrame(log, schema), width=width).collect()}
+        assert got == {"none left": ("failed", 5, 6, 0, 6), "one left": ("running", None, None, None, 5),
+                       "reset": ("running", None, None, None, 9), "unknown": ("running", None, None, None, 1),
+                       None: ("ok", 0, 0, 0, 1)}
+    assert restart_verdict(spark.createDataFrame([], schema)).collect() == []
