@@ -173,41 +173,35 @@ def evolve(tracked: T.StructType | None, observed: list[T.StructType]) -> T.Stru
 _ISO_TS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
 
 
+#: What a text value parses as, narrowest first; a column's type is the first that all its values do.
+_TEXT_TYPES = (T.LongType(), T.DoubleType(), T.BooleanType(), T.TimestampType())
+
+
+def text_type_bits(c: Column) -> Column:
+    """The aggregate that folds a text column's values into one number: bit i is set when every
+    value present parses as ``_TEXT_TYPES[i]``; NULL when no value is present. Folds of parts
+    of the rows are put together by ``&``, so that it may be observed on a write."""
+    parses = (c.rlike(r"^\s*[+-]?[0-9]+\s*$") & c.try_cast("bigint").isNotNull(),
+              c.try_cast("double").isNotNull(),
+              F.lower(F.trim(c)).isin("true", "false"),
+              c.rlike(_ISO_TS) & c.try_cast("timestamp").isNotNull())
+    bits = sum((F.when(p, 1 << i).otherwise(0) for i, p in enumerate(parses)), F.lit(0))
+    return F.bit_and(F.when(c.isNotNull(), bits))
+
+
+def text_type_of(bits: int | None) -> T.DataType:
+    """The type that ``text_type_bits`` leaves for a column."""
+    return next((t for i, t in enumerate(_TEXT_TYPES) if bits and bits >> i & 1), T.StringType())
+
+
 def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, T.DataType]:
     """Narrowest of bigint, double, boolean, timestamp (ISO 8601 date-time text only),
     string that every non-null value of a text column parses as. One aggregation pass,
     one result row."""
     if not columns:
         return {}
-    aggs = []
-    for i, c in enumerate(columns):
-        v = quoted(c)
-        present = v.isNotNull()
-        is_long = v.rlike(r"^\s*[+-]?[0-9]+\s*$") & v.try_cast("bigint").isNotNull()
-        is_double = v.try_cast("double").isNotNull()
-        is_bool = F.lower(F.trim(v)).isin("true", "false")
-        is_ts = v.rlike(_ISO_TS) & v.try_cast("timestamp").isNotNull()
-        aggs += [F.bool_and(~present | is_long).alias(f"l{i}"),
-                 F.bool_and(~present | is_double).alias(f"d{i}"),
-                 F.bool_and(~present | is_bool).alias(f"b{i}"),
-                 F.bool_and(~present | is_ts).alias(f"t{i}"),
-                 F.max(present).alias(f"p{i}")]
-    row = df.agg(*aggs).first()
-    out: dict[str, T.DataType] = {}
-    for i, c in enumerate(columns):
-        if not row[f"p{i}"]:
-            out[c] = T.StringType()
-        elif row[f"l{i}"]:
-            out[c] = T.LongType()
-        elif row[f"d{i}"]:
-            out[c] = T.DoubleType()
-        elif row[f"b{i}"]:
-            out[c] = T.BooleanType()
-        elif row[f"t{i}"]:
-            out[c] = T.TimestampType()
-        else:
-            out[c] = T.StringType()
-    return out
+    row = df.agg(*[text_type_bits(quoted(c)).alias(f"t{i}") for i, c in enumerate(columns)]).first()
+    return {c: text_type_of(row[f"t{i}"]) for i, c in enumerate(columns)}
 
 
 def nested_fits(src: T.DataType, tgt: T.DataType) -> bool:

@@ -9,7 +9,9 @@ micro-batch runs in ``foreachBatch``:
    ``mapInPandas`` over the paths, no data read) and group files by that signature;
 2. read each group with Spark (Parquet files whose shared columns agree in type are one
    group; CSV bound by the names of its header);
-3. evolve the tracked schema (add columns only, never change a type) unless frozen;
+3. evolve the tracked schema (add columns only, never change a type) unless frozen; the type of
+   a new CSV column is guessed by a few rows, folded over all rows by the write of step 5, and
+   the folder written again where the guess was wrong, so no batch is kept in memory;
 4. align every group to the tracked schema; values that do not fit and untracked
    columns go to ``_rescued_data`` as JSON;
 5. add lineage columns and overwrite the batch's own folder, so a replay after a crash
@@ -36,8 +38,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -202,6 +203,8 @@ def _glob_safe(paths: list[str]) -> list[str]:
 
 
 CORRUPT_COLUMN = "_corrupt_record"
+#: Rows of one file a header that a new column's type is first guessed by; all rows are looked at in the write.
+GUESS_ROWS = 1000
 
 
 def parquet_schema(signature: str | None) -> T.StructType | None:
@@ -258,33 +261,52 @@ def read_group(spark: SparkSession, fmt: str, paths: list[str], signature: str |
 
 
 def evolve_for_batch(frames: list[DataFrame], fmt: str, tracked: T.StructType | None,
-                     evolve: bool) -> T.StructType:
-    """Tracked schema after this batch (unchanged when frozen and already known)."""
+                     evolve: bool, types: dict[str, T.DataType] | None = None) -> T.StructType:
+    """Tracked schema after this batch (unchanged when frozen and already known). ``types``: those
+    of the new columns of a CSV batch, by name."""
     if tracked is not None and not evolve:
         return tracked
-    known = {f.name.lower() for f in tracked.fields} if tracked is not None else set()
     if fmt == "parquet":
         observed = [T.StructType([f for f in fr.schema.fields if f.name != config.FILE_COLUMN])
                     for fr in frames]
         return S.evolve(tracked, observed)
-    new_cols: list[str] = []
-    for fr in frames:
-        for c in fr.columns:
-            if c not in (config.FILE_COLUMN, CORRUPT_COLUMN) and c.lower() not in known \
-                    and c not in new_cols and c.lower() not in S.RESERVED:
-                new_cols.append(c)
-    if not new_cols:
-        return tracked if tracked is not None else T.StructType([])
-    parts = [fr.select(*[S.quoted(c) for c in new_cols if c in fr.columns]) for fr in frames]
-    parts = [p for p in parts if p.columns]
-    text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    types = S.infer_text_types(text, new_cols)
-    return S.evolve(tracked, [T.StructType([T.StructField(c, types[c]) for c in new_cols])])
-
-
-def _has_new_text_columns(groups: list[tuple[str, list[str]]], tracked: T.StructType | None) -> bool:
-    known = {f.name.lower() for f in tracked.fields} if tracked is not None else set()
-    return any(n.lower() not in known for sig, _p in groups for n in header_names(sig))
+    return S.evolve(tracked, [T.StructType([T.StructField(c, t) for c, t in (types or {}).items()])])
+
+
+def new_text_columns(frames: list[DataFrame], tracked: T.StructType | None) -> list[str]:
+    """Columns of a CSV batch that aren't tracked yet, in order of appearance; names that differ by
+    case only are one column, under the name that came first."""
+    skip = S.RESERVED | {CORRUPT_COLUMN} | ({f.name.lower() for f in tracked.fields} if tracked is not None else set())
+    found: dict[str, str] = {}
+    for c in (c for fr in frames for c in fr.columns):
+        if c.lower() not in skip:
+            found.setdefault(c.lower(), c)
+    return list(found.values())
+
+
+def _text_bits(fr: DataFrame, new: list[str]) -> dict[str, Column]:
+    """Column name -> the fold of its type, for the new columns that ``fr`` has."""
+    mine = {c.lower(): c for c in fr.columns}
+    return {c: S.text_type_bits(S.quoted(mine[c.lower()])) for c in new if c.lower() in mine}
+
+
+def guess_text_types(heads: list[DataFrame], new: list[str]) -> dict[str, T.DataType]:
+    """Types of new columns by the first rows of one file a header: what the write begins with.
+    The write itself tells the types of all rows (``BatchHandler``)."""
+    folds = []
+    for fr in heads:
+        bits = _text_bits(fr, new)
+        if bits:
+            folds.append(fr.limit(GUESS_ROWS).agg(F.map_from_arrays(
+                F.array(*map(F.lit, bits)), F.array(*bits.values())).alias("bits")))
+    rows = reduce(DataFrame.unionByName, folds).collect() if folds else []
+    return _types_of([r.bits for r in rows], new)
+
+
+def _types_of(parts: list[dict[str, int | None]], new: list[str]) -> dict[str, T.DataType]:
+    """Types by the folds of several parts; a part without a value of a column says nothing."""
+    seen = {c: [p[c] for p in parts if p.get(c) is not None] for c in new}
+    return {c: S.text_type_of(reduce(lambda x, y: x & y, bits) if bits else None) for c, bits in seen.items()}
 
 
 def finish(df: DataFrame, tracked: T.StructType) -> DataFrame:
@@ -330,28 +352,17 @@ class BatchHandler:
         else:
             frames = [read_group(spark, "csv", paths, sig) for sig, paths in groups]
         t = self._tick("read_plan", t)
-        cached = self.spec.fmt == "csv" and (self.evolve or tracked is None) and \
-            _has_new_text_columns(groups, tracked)
-        if cached:  # inference and write would otherwise read and parse the files twice
-            frames = [fr.persist(StorageLevel.MEMORY_AND_DISK) for fr in frames]
-        try:
-            new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve)
-            t = self._tick("evolve", t)
-            aligned = [S.align_and_rescue(fr, new_tracked, text_source=self.spec.fmt == "csv")
-                       for fr in frames]
-            out = finish(reduce(lambda a, b: a.unionByName(b), aligned), new_tracked)
-            seen = Observation()
-            out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(config.RESCUED_COLUMN).alias("rescued"),
-                              F.count_if(F.get_json_object(config.RESCUED_COLUMN, f"$.{CORRUPT_COLUMN}").isNotNull())
-                              .alias("malformed"))
-            # the batch's own folder, as a whole: a replay rewrites it
-            out.write.mode("overwrite").parquet(batch_folder(self.layout, self.spec.name, batch_id))
-            counted = seen.get
-            t = self._tick("write", t)
-        finally:
-            if cached:
-                for fr in frames:
-                    fr.unpersist()
+        new = (new_text_columns(frames, tracked)
+               if self.spec.fmt == "csv" and (self.evolve or tracked is None) else [])
+        types = guess_text_types([read_group(spark, "csv", paths[:1], sig) for sig, paths in groups], new) if new else {}
+        t = self._tick("evolve", t)
+        while True:
+            new_tracked = evolve_for_batch(frames, self.spec.fmt, tracked, self.evolve, types)
+            counted, exact = self._write(frames, new_tracked, new, batch_id)
+            if exact == types:
+                break
+            types = exact  # a later row is of another type than the first ones: the folder is written anew
+        t = self._tick("write", t)
         paths = [p for _s, group in groups for p in group]
         if tracked is None or new_tracked != tracked:
             self.store.save(new_tracked, batch_id)
@@ -363,6 +374,26 @@ class BatchHandler:
                               counted["rows"], counted["rescued"], counted["malformed"]))
 
 
+    def _write(self, frames: list[DataFrame], tracked: T.StructType, new: list[str],
+               batch_id: int) -> tuple[dict, dict[str, T.DataType]]:
+        """Write the batch's own folder, as a whole (a replay rewrites it). Returns what the same pass
+        observed: rows, rescued rows and malformed lines, and the types of the ``new`` text columns."""
+        folds: list[Observation] = []
+        aligned = []
+        for fr in frames:
+            bits = _text_bits(fr, new)
+            if bits:
+                folds.append(Observation())
+                fr = fr.observe(folds[-1], *[b.alias(c) for c, b in bits.items()])
+            aligned.append(S.align_and_rescue(fr, tracked, text_source=self.spec.fmt == "csv"))
+        seen = Observation()
+        out = finish(reduce(lambda a, b: a.unionByName(b), aligned), tracked).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count(config.RESCUED_COLUMN).alias("rescued"),
+            F.count_if(F.get_json_object(config.RESCUED_COLUMN, f"$.{CORRUPT_COLUMN}").isNotNull()).alias("malformed"))
+        out.write.mode("overwrite").parquet(batch_folder(self.layout, self.spec.name, batch_id))
+        return seen.get, _types_of([f.get for f in folds], new)
+
+
 def batch_folder(layout: Layout, name: str, batch_id: int | str) -> str:
     return f"{layout.raw_path(name)}/{config.BATCH_COLUMN}={batch_id}"
 

@@ -92,6 +92,42 @@ def test_csv_header_drift_and_new_column_same_batch(spark, run_dir):
     assert rows == [(1, "x", None), (2, "y", None), (3, "z", True)]
 
 
+def test_csv_type_is_that_of_all_rows_in_one_pass_or_two(spark, run_dir, monkeypatch):
+    from loamflow.streaming import ingest as In
+
+    def not_now(*_a):
+        raise AssertionError("a batch was kept, or a guess made for nothing")
+
+    monkeypatch.setattr(In, "GUESS_ROWS", 2)
+    monkeypatch.setattr(type(spark.range(1)), "persist", not_now)
+    writes, real = [], In.BatchHandler._write
+
+    def write(self, frames, tracked, new, batch_id):
+        writes.append([f.dataType.simpleString() for f in tracked.fields])
+        return real(self, frames, tracked, new, batch_id)
+    monkeypatch.setattr(In.BatchHandler, "_write", write)
+    lay = _layout(run_dir)
+    spec = CollectionSpec("ty", "ty", "csv")
+    # by its first rows n is bigint and e has no value; a later row and another header say otherwise
+    _csv(lay.source_root, "ty", "1735689600000_ty_00_00.csv", "n,e,same\n1,,1\n2,,2\n2.5,true,3\n")
+    _csv(lay.source_root, "ty", "1735689600001_ty_00_01.csv", "n,E\n7,FALSE\n8,\n9,True\n")
+    ingest_available(spark, spec, lay)
+    assert len(writes) == 2 and writes[1] == ["double", "boolean", "bigint"]  # a wrong guess costs one more pass
+    got = sorted(((r.n, r.E, r.same, r._rescued_data) for r in read_raw(spark, lay, "ty").collect()), key=str)
+    assert got == sorted([(1.0, None, 1, None), (2.0, None, 2, None), (2.5, True, 3, None), (7.0, False, None, None),
+                          (8.0, None, None, None), (9.0, True, None, None)], key=str)
+    # a right guess costs none; nothing new, no guess
+    _csv(lay.source_root, "ty", "1735689600002_ty_00_02.csv", "n,late\n1,2024-01-01T00:00:00Z\n")
+    _csv(lay.source_root, "ty", "1735689600003_ty_00_03.csv", "n,none\n")
+    ingest_available(spark, spec, lay)
+    assert writes[2:] == [["double", "boolean", "bigint", "timestamp", "string"]]
+    monkeypatch.setattr(In, "guess_text_types", not_now)
+    _csv(lay.source_root, "ty", "1735689600004_ty_00_04.csv", "n\nx\n")
+    ingest_available(spark, spec, lay)
+    assert len(writes) == 4
+    assert read_raw(spark, lay, "ty").where("_rescued_data = '{\"n\":\"x\"}'").count() == 1
+
+
 def test_evolution_across_batches_and_rescue(spark, run_dir):
     lay = _layout(run_dir)
     _pq(lay.source_root, "p", "1735689600000_p_00_00.parquet", {"a": pa.array([1, 2], pa.int32())})
