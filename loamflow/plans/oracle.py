@@ -273,6 +273,15 @@ ORACLE_SQL = {
                CAST(count(DISTINCT tier) AS INTEGER) AS n_tiers
         FROM c GROUP BY collection HAVING count(DISTINCT tier) > 1""",
 
+    "failed_outcomes": """
+        SELECT 'events_' || event_type AS collection,
+               CASE event_type WHEN 'error' THEN 'failed' ELSE 'ok' END AS status,
+               CASE event_type WHEN 'error' THEN 'genuine' ELSE 'ok' END AS kind,
+               CASE WHEN event_type <> 'error' THEN count(*) END AS rows,
+               (SELECT count(DISTINCT event_type) FROM events WHERE event_type <> 'error') AS ok,
+               CAST(1 AS BIGINT) AS failed, 'events_error' AS failed_names, true AS stops_the_job
+        FROM events GROUP BY event_type""",
+
     "topic_dedupe": """
         WITH t AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'shop.' || source ELSE source END AS topic,
                           CASE lang WHEN 'en' THEN 'high' WHEN 'de' THEN 'medium' ELSE 'low' END AS tier,

@@ -404,6 +404,26 @@ def hostile_tree(spark, sf_dir):
             .join(mixed, "collection", "left").join(rows, "collection", "left").fillna(0, ["mixed_dirs", "rows"]))
 
 
+def failed_outcomes(spark, sf_dir):
+    """A drain in which one collection holds a file that can't be read: it fails, the others are
+    drained whole, and the report names it and stops the job."""
+    run = LandedRun(spark, "failed")
+    run.land(landing_frame(_table(spark, sf_dir, "events")))
+    day = f"{run.root}/{config.LANDING_SOURCE_SEGMENT}/year=2024/month=01/day=01/database={DATABASE}"
+    storage.write(spark, f"{day}/collection=events_error/0000000000001_error_00_00.parquet", b"not parquet")
+    specs = specs_from_resolved(resolve(spark, run.root, DATABASE, _topics(spark)))
+    outcomes, _progress = drain(spark, specs, run.layout)
+    try:
+        report_and_raise(outcomes)
+        report = ""
+    except RuntimeError as e:
+        report = str(e)
+    counts = outcome_counts(outcomes).select("run_id", "ok", "failed", F.array_join("failed_names", ",").alias("failed_names"))
+    return (outcomes.join(row_counts(spark, run.layout, specs), "collection").join(counts, "run_id").select(
+        "collection", "status", "kind", F.when(F.col("status") == "ok", F.col("n")).alias("rows"), "ok", "failed",
+        "failed_names", F.lit("1 collection(s) failed: events_error: " in report).alias("stops_the_job")))
+
+
 def resolution_split(spark, sf_dir):
     """Selected, parents and children, present and skipped, and formats of one resolution with a
     topic that nothing landed for, its parent present or not."""
@@ -653,6 +673,7 @@ QUERIES = {
     "drain_wave_log": drain_wave_log,
     "compacted_content": compacted_content,
     "hostile_tree": hostile_tree,
+    "failed_outcomes": failed_outcomes,
     "resolution_split": resolution_split,
     "measured_times": measured_times,
 }
