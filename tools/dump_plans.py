@@ -55,11 +55,11 @@ def main():
             "prefix candidates semi-join the parents (equi-join, AQE broadcasts the side it "
             "measures small); the longest match is a hash max(length); no nested-loop join.",
         "round-robin shards (G1)":
-            "the only un-partitioned window ranks the distinct owners (config-sized) after a "
-            "hash aggregate; rows follow through an equi-join.",
+            "distinct owners are dealt into ranges and ranked within each; only the ranges' counts "
+            "(a row a range) meet in one place; rows follow through an equi-join.",
         "restart verdict (G2)":
-            "windows are partitioned by (stream, bucket) and by stream over the bucket table; "
-            "every aggregate is a hash aggregate; no single-partition exchange.",
+            "one scan and no join: one exchange of the attempts by (stream, bucket) serves the windows "
+            "and the aggregate to a row a bucket; a second one, of these rows, serves the rest.",
         "makespan projection (F8, F9)":
             "month sums are partially aggregated before the shuffle; collect_list per priority "
             "then folds at most one entry per month; worker counts come from explode, no join.",
