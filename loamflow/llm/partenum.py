@@ -15,13 +15,16 @@ that is at a Hamming distance of at most a ninth of their sizes' sum.
   that isn't empty, so it leaves out the empty ones; the others (few) emit them all. A guest
   picks only as many parts as its partners can't all differ on.
 
-Sets are classed by their hash first: equal sets emit signatures once a batch, and take part
+Sets are classed by their hash first: equal sets emit signatures once a task, and take part
 in the join as one. Sets that share a signature are candidates. First each is verified against
 the least set of the signature group it shares most signatures with; verified links make
 components. What is left are pairs of one signature group in different components; they are
 compared in blocks, where size, component and a lower bound of the distance rule out
-nearly all without sending them on, and the rest are verified on their exact sets. So no link
-between components is lost, and no group of copies is ever expanded into its pairs.
+nearly all without sending them on, and the rest are verified on their exact sets. A large
+group's blocks are spread by hash, and two blocks of one component are never put together. So
+no link between components is lost, and no group of copies is ever expanded into its pairs.
+
+``jaccard_links`` gives the join itself: every link between two classes.
 """
 
 from __future__ import annotations
@@ -43,6 +46,8 @@ WORDS = 5
 NUM, DEN = 4, 5
 #: Members of a signature group compared at once.
 BLOCK = 256
+#: Classes a task remembers, so as not to send their signatures again.
+KEPT_CLASSES = 1 << 18
 #: Slots of a set's sketch.
 SKETCH = 256
 FACTS = ("cls", "root", "n", "sketch")
@@ -173,10 +178,14 @@ def _slots(sketches) -> np.ndarray:
 
 def _classes(batches):
     """Two kinds of rows (kind, cls, codes): for each text its shingle count, its class (null
-    without words) and its doc_id; for each class, once a batch, -1 and its signatures."""
+    without words) and its doc_id; for each class, once a task as long as it is remembered, -1
+    and its signatures."""
+    seen: set[int] = set()
     for batch in batches:
-        ids, seen = batch.column(0).to_pylist(), set()
+        ids = batch.column(0).to_pylist()
         for a, b, raw, off in blocks(batch.column(1)):
+            if len(seen) > KEPT_CLASSES:
+                seen.clear()
             sets = shingle_sets(raw, off)
             cls = [set_class(s) if len(s) else None for s in sets]
             new = [i for i, c in enumerate(cls) if c is not None and c not in seen and not seen.add(c)]
@@ -296,6 +305,61 @@ def _dealt(pairs: np.ndarray, turn: int, most: int) -> np.ndarray:
     return pairs[rank < most]
 
 
+def _members_of(rows: DataFrame, *keys: str) -> DataFrame:
+    """The classes of each group in one row, as arrays."""
+    group = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*FACTS))).alias("m"))
+    return group.select(*keys, *[F.col(f"m.{c}").alias(c) for c in FACTS])
+
+
+def _block_pairs(large: DataFrame, facts: DataFrame, all_pairs: bool) -> DataFrame:
+    """Pairs of blocks of each large signature group, as ``_near`` takes them; but for
+    ``all_pairs`` only a block with itself and with the group's first.
+
+    Components of a block's size or more have blocks of their own, the others share some; a
+    class's block follows from counts and hashes, so no group is ranked in one task. Blocks
+    that hold nothing but one and the same component are not paired. The pairs are
+    found on the blocks' names; each block's classes are joined to them by that name."""
+    counts = large.groupBy("sig", "root").agg(F.count("*").alias("m"))
+    rest = counts.where(F.col("m") < BLOCK).groupBy("sig").agg(F.sum("m").alias("rest"))
+    homes = counts.join(rest, "sig", "left")
+    own = F.xxhash64("root", F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / BLOCK)))
+    common = F.xxhash64(F.pmod(F.xxhash64("root"), F.ceil(F.col("rest") / BLOCK)))
+    placed = (large.join(homes, ["sig", "root"])
+              .withColumn("block", F.when(F.col("m") >= BLOCK, own).otherwise(common))
+              .select("sig", "block", "cls", "root").join(facts, "cls"))
+    filled = materialize(_members_of(placed, "sig", "block"), "blocks")
+    names = filled.select("sig", "block", F.array_min("root").alias("lo"), F.array_max("root").alias("hi"))
+    one = (F.col("a.lo") == F.col("a.hi")) & (F.col("b.lo") == F.col("b.hi")) & (F.col("a.lo") == F.col("b.lo"))
+    pairs = (names.alias("a").join(names.alias("b"), (F.col("a.sig") == F.col("b.sig"))
+                                   & (F.col("a.block") <= F.col("b.block")) & ~one)
+             .select("a.sig", F.col("a.block").alias("x"), F.col("b.block").alias("y")))
+    if not all_pairs:
+        first = names.groupBy("sig").agg(F.min("block").alias("first"))
+        pairs = pairs.join(first, "sig").where("x = y OR x = first").drop("first")
+    left = filled.withColumnRenamed("block", "x")
+    right = filled.select("sig", F.col("block").alias("y"), *[F.col(c).alias(c + "2") for c in FACTS])
+    return (pairs.join(left, ["sig", "x"]).join(right, ["sig", "y"])
+            .select(*FACTS, *[c + "2" for c in FACTS], (F.col("x") == F.col("y")).alias("same")))
+
+
+def _candidates(labelled: DataFrame, facts: DataFrame, turn: int, most: int | None) -> DataFrame:
+    """Pairs (u, v) of classes of different components that share a signature and may link.
+    ``labelled``: (sig, cls, root); ``facts``: (cls, n, sketch). See ``_near`` for the others."""
+    open_ = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size"))
+             .where("lo < hi").select("sig", "size"))
+    dealt = materialize(labelled.join(open_, "sig"), "open")
+    small = _members_of(dealt.where(F.col("size") <= BLOCK).join(facts, "cls"), "sig")
+    # groups of the same members are one; larger groups pair their blocks
+    pairs = small.dropDuplicates(["cls"]).select(
+        *FACTS, *[F.col(c).alias(c + "2") for c in FACTS], F.lit(True).alias("same"))
+    large = dealt.where(F.col("size") > BLOCK)
+    if not large.isEmpty():
+        pairs = pairs.unionByName(_block_pairs(large, facts, most is None))
+    # groups of one least member meet in one task, which drops the pairs they have in common;
+    # no class is in more groups than it has signatures
+    return _near(pairs.repartition(F.array_min("cls"), F.array_min("cls2")), turn, most)
+
+
 def set_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (u, v) that join the classes into the components of all links. ``members``:
     (sig, cls, hub), the classes of every signature that several classes share, and its least.
@@ -308,45 +372,19 @@ def set_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     tried = materialize(best.select(F.least("best.hub", "cls").alias("u"), F.greatest("best.hub", "cls").alias("v")), "tried")
     links = materialize(verified(tried, sets), "links")
     facts = sets.select("cls", "n", "sketch")
-    place = Window.partitionBy("sig").orderBy("root", "cls")
-    last = Window.partitionBy("sig")
     for turn, (share, most) in enumerate(ROUNDS):
         links = roots = connected_components(links).select("u", F.col("root").alias("v"))  # as good as all links
         labelled = (members.where(F.pmod("sig", F.lit(share)) == 0).select("sig", "cls").join(roots, F.col("cls") == F.col("u"), "left")
                     .select("sig", "cls", F.coalesce("v", "cls").alias("root")))
-        open_ = (labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo < hi").select("sig"))
-        dealt = (labelled.join(open_, "sig", "left_semi").join(facts, "cls")
-                 .withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK))
-                 .groupBy("sig", "block").agg(F.sort_array(F.collect_list(F.struct("cls", "root", "n", "sketch"))).alias("m"))
-                 .select("sig", "block", *[F.col(f"m.{c}").alias(c) for c in FACTS]))
-        dealt = materialize(dealt.withColumn("blocks", F.max("block").over(last) + 1), "blocks")
-        # groups of the same members are one; larger groups pair their blocks
-        alone = dealt.where("blocks = 1").dropDuplicates(["cls"]).select(
-            *FACTS, *[F.col(c).alias(c + "2") for c in FACTS], F.lit(True).alias("same"))
-        big = dealt.where("blocks > 1")
-        near_by = (F.col("a.block") == F.col("b.block")) | (F.col("a.block") == 0)
-        across = (big.alias("a").join(big.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.block") <= F.col("b.block"))
-                                      & (near_by if most is not None else F.lit(True)))
-                  .select(*[F.col(f"a.{c}").alias(c) for c in FACTS], *[F.col(f"b.{c}").alias(c + "2") for c in FACTS],
-                          (F.col("a.block") == F.col("b.block")).alias("same")))
-        # groups of one least member meet in one task, which drops the pairs they have in common;
-        # no class is in more groups than it has signatures
-        pairs = alone.unionByName(across)
-        pairs = pairs.repartition(F.array_min("cls"))
-        new = materialize(_near(pairs, turn, most).join(tried, ["u", "v"], "left_anti"), "tried")
+        new = materialize(_candidates(labelled, facts, turn, most).join(tried, ["u", "v"], "left_anti"), "tried")
         links = materialize(links.unionByName(verified(new, sets)), "links")
         tried = tried.unionByName(new)
     return links
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
-
-    component_id is the smallest doc_id reachable by links, the own included. Texts without
-    words (null, empty) have no shingles and link with nothing; repeated rows link with each
-    other; rows with a null id take part, and get the component of their class (null only if
-    no id is in it). An empty table gives no rows."""
+def _signed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the join works on: (doc_id, n_shingles, cls) of every row, the members of shared
+    signatures (sig, cls, hub), and the sets of their classes (cls, n, sketch, features)."""
     texts = keyed_text(docs)
     group = Window.partitionBy("kind", "code")
     seen = (map_arrow(texts, _classes, "kind long, cls long, codes array<long>")
@@ -356,7 +394,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     seen = materialize(seen, "signatures")  # of signatures only those that several classes share
     info = seen.where("kind >= 0").select(F.col("code").alias("doc_id"), F.col("kind").alias("n_shingles"), "cls")
     members = materialize(seen.where("kind < 0").select(F.col("code").alias("sig"), "cls", "hub").distinct(), "members")
-    classes = info.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
     shared = materialize(members.select("cls").distinct(), "shared")
     wanted = materialize(info.join(shared, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
                          .select("doc_id"), "wanted")
@@ -364,6 +401,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         map_arrow(maybe_in(texts, id_filter(wanted, "doc_id"), "doc_id"), _full_sets,
                   "cls long, n int, sketch binary, features binary")
         .join(shared, "cls", "left_semi").dropDuplicates(["cls"]), "full-sets")
+    return info, members, sets
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+
+    component_id is the smallest doc_id reachable by links, the own included. Texts without
+    words (null, empty) have no shingles and link with nothing; repeated rows link with each
+    other; rows with a null id take part, and get the component of their class (null only if
+    no id is in it). An empty table gives no rows."""
+    info, members, sets = _signed(docs)
+    classes = info.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
     roots = connected_components(set_links(members, sets)).select(F.col("u").alias("cls"), "root")
     rooted = classes.join(roots, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "first_id")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component"))
@@ -371,6 +420,29 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
+def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The join itself: (rows, links).
+
+    ``rows``: doc_id, n_shingles, cls, n_links of every row of ``docs`` (doc_id, text); cls is the
+    class of equal sets (null without words), n_links the number of other rows that the row
+    links with, equal ones included. ``links``: (u, v), u < v, every two classes that link. Its
+    size is that of the result: classes are not expanded into their rows, but a group of many
+    different near copies has as many links as it has. Nulls, empty and repeated rows
+    are as for ``jaccard_components``; an empty table gives two empty ones."""
+    info, members, sets = _signed(docs)
+    labelled = members.select("sig", "cls", F.col("cls").alias("root"))
+    tried = materialize(_candidates(labelled, sets.select("cls", "n", "sketch"), 0, None), "tried")
+    links = materialize(verified(tried, sets).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")), "links")
+    sizes = info.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("size"))
+    ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    others = (ends.join(sizes, F.col("v") == F.col("cls")).groupBy(F.col("u").alias("cls"))
+              .agg(F.sum("size").alias("others")))
+    counts = sizes.join(others, "cls", "left").select(
+        "cls", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return (info.join(counts, "cls", "left")
+            .select("doc_id", "n_shingles", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links")), links)
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay when each group of linked documents keeps the
     one of smallest doc_id. Of rows that repeat an id and text one stays; an id with several

@@ -68,6 +68,48 @@ def test_components_match_brute_force(spark):
         assert got == brute(rows)
 
 
+def brute_links(rows):
+    sets = [shingles(t) for _, t in rows]
+    links = lambda x, y: bool(x) and bool(y) and 100 * len(x & y) >= 80 * len(x | y)
+    return sorted((str(i), len(x), sum(links(x, y) for y in sets) - links(x, x)) for (i, _), x in zip(rows, sets))
+
+
+def test_links_match_brute_force(spark):
+    for seed in (1, 3):
+        rows = corpus(seed)
+        df = spark.createDataFrame([(*r, "c", 1, 2, "r") for r in rows], DOCS).repartition(4)
+        got, links = P.jaccard_links(df)
+        got = got.collect()
+        assert sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in got) == brute_links(rows)
+        classes = {r.cls for r in got}
+        pairs = [tuple(r) for r in links.collect()]
+        assert len(set(pairs)) == len(pairs) and all(u < v and {u, v} <= classes for u, v in pairs)
+    rows, links = P.jaccard_links(df.limit(0))
+    assert rows.collect() == [] and links.collect() == []
+
+
+def test_groups_of_many_blocks(spark, monkeypatch):
+    """With blocks of four, most signature groups are of many, of one component or of several."""
+    monkeypatch.setattr(P, "BLOCK", 4)
+    rnd = random.Random(5)
+    word = lambda: "w%d" % rnd.randrange(4000)
+    first = [word() for _ in range(80)]
+    rows = []
+    for i in range(120):  # two families around one passage that link within, a few drifting between
+        w = list(first)
+        if i % 2:
+            w[60:] = ["v%d" % k for k in range(20)]
+        for _ in range(i % 3):
+            w[rnd.randrange(len(w))] = word()
+        rows.append((i, " ".join(w)))
+    rows += [(500 + i, rows[0][1]) for i in range(40)]
+    df = spark.createDataFrame([(*r, "c", 1, 2, "r") for r in rows], DOCS).repartition(3)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in P.jaccard_components(df).collect())
+    assert got == brute(rows)
+    got = sorted((str(r.doc_id), r.n_shingles, r.n_links) for r in P.jaccard_links(df)[0].collect())
+    assert got == brute_links(rows)
+
+
 def test_empty_table_and_no_copies(spark):
     df = spark.createDataFrame([(1, "a b c", "c", 1, 1, "r"), (2, None, "c", 1, 1, "r")], DOCS)
     assert P.jaccard_components(df.limit(0)).collect() == []
