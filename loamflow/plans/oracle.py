@@ -232,6 +232,20 @@ ORACLE_SQL = {
                      END AS path
               FROM orders)""",
 
+    "landing_names": """
+        SELECT o_orderkey, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
+               strftime(o_orderdate, '%d') AS day_of_month, epoch_ms(date_trunc('day', o_orderdate)::TIMESTAMP) AS midnight_ms,
+               printf('%013d_%s_%02d_%02d.%s', epoch_ms(date_trunc('day', o_orderdate)::TIMESTAMP), lower(o_orderstatus),
+                      dayofyear(o_orderdate), o_orderkey % 120,
+                      CASE WHEN o_totalprice > 100000 THEN 'csv' ELSE 'parquet' END) AS file_name
+        FROM orders""",
+
+    "error_texts": """
+        SELECT doc_id, substr(concat_ws(' | ', source, text, CASE WHEN lang <> 'en' THEN lang END), 1, 2000) AS joined,
+               regexp_replace(coalesce(CASE WHEN doc_id % 2 = 0 THEN text END, '') || '; ' || source, '^[; ]+', '')
+                 AS appended
+        FROM documents""",
+
     "longest_prefix_owner": """
         WITH n AS (SELECT p_partkey, lower(p_type) || '_' || replace(lower(p_brand), 'brand#', 'b')
                           || '_' || CAST(p_size AS VARCHAR) AS name FROM part),

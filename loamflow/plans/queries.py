@@ -631,6 +631,26 @@ def failure_kind(spark, sf_dir):
                     N.clean_message(msg, None).alias("whole_message"))
 
 
+def landing_names(spark, sf_dir):
+    """The partition folder and the file name of each order, were it landed by day."""
+    o = _table(spark, sf_dir, "orders")
+    day = F.to_date("o_orderdate")
+    ms = N.midnight_epoch_ms(day)
+    part = N.day_partition_values(day)
+    name = N.landing_file_name(ms, F.lower("o_orderstatus"), F.dayofyear(day), F.pmod("o_orderkey", F.lit(120)),
+                               F.when(F.col("o_totalprice") > 100000, "csv").otherwise("parquet"))
+    return o.select("o_orderkey", *[v.alias(k) for k, v in part.items()], ms.alias("midnight_ms"), name.alias("file_name"))
+
+
+def error_texts(spark, sf_dir):
+    """Errors put together as measurement rows hold them: parts joined and cut, one more added
+    to a text that may be missing."""
+    d = _table(spark, sf_dir, "documents")
+    parts = F.array("source", "text", F.when(F.col("lang") != "en", F.col("lang")))
+    before = F.when(F.pmod("doc_id", F.lit(2)) == 0, F.col("text"))
+    return d.select("doc_id", N.join_errors(parts).alias("joined"), N.append_error(before, "source").alias("appended"))
+
+
 QUERIES = {
     "raw_rows_by_collection": raw_rows_by_collection,
     "drain_outcomes": drain_outcomes,
@@ -676,4 +696,6 @@ QUERIES = {
     "failed_outcomes": failed_outcomes,
     "resolution_split": resolution_split,
     "measured_times": measured_times,
+    "landing_names": landing_names,
+    "error_texts": error_texts,
 }
