@@ -613,3 +613,37 @@ def test_planner_stream_feeds_continuous_drains(spark, run_dir):
         planner.stop()
         q.stop()
     assert [r.a for r in raw.collect()] == [5]
+
+
+def test_count_drain_of_many_small_batches(spark, run_dir):
+    """A batch of small files is one job with one reading task, whatever the cores, and the caller's
+    settings stay as they are."""
+    from loamflow.streaming.measure import count_stream, drain_session, drain_settings
+
+    root, adaptive = f"{run_dir}/landing", spark.conf.get("spark.sql.adaptive.enabled")
+    for i in range(24):
+        _pq(root, "s", f"17356896000{i:02d}_s_{i:02d}_00.parquet", {"a": [i, i]}, day=f"{i % 4 + 1:02d}")
+    done = []
+    session = drain_session(spark, drain_settings(spark, run_dir), 2, 24, 24 * 400)
+    query = count_stream(session, root, DB, "s", "parquet", 2, f"{run_dir}/m/s", "many_small", lambda *b: done.append(b))
+    query.awaitTermination()
+    assert [b[:2] for b in done] == [(i, 4) for i in range(12)]
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
+    assert len(jobs) == 12
+    assert sum(tracker.getStageInfo(i).numTasks for j in jobs for i in j.stageIds) == 24  # one reads, one adds up
+    assert spark.conf.get("spark.sql.adaptive.enabled") == adaptive
+
+
+def test_count_drain_takes_the_listed_files(spark, run_dir):
+    """Files directly in a collection's folders only, as the listing has them: neither what lies in a
+    folder with a file's name, nor in one that looks like a partition."""
+    for coll, sub in (("plain", "old.parquet"), ("parted", "hour=01")):
+        root = f"{run_dir}/{coll}"
+        _pq(root, coll, "1735689600000_x_00_00.parquet", {"a": [1, 2]})
+        _pq(root, f"{coll}2", "1735689600000_x_00_00.parquet", {"a": [1, 2, 3]})
+        os.makedirs(f"{_dir(root, coll)}/{sub}")
+        pq.write_table(pa.table({"a": [3, 4, 5]}), f"{_dir(root, coll)}/{sub}/1735689600001_x_00_01.parquet")
+        topics = O.topics_frame(spark, [(coll, "low", 0)])
+        m = measure(spark, root, DB, f"{root}/_measurement", topics, "BOUNDED_DRAIN")["measurements"].first()
+        assert (m.status, m.file_count, m.rows_seen, m.micro_batches) == ("OK", 1, 2, 1)
