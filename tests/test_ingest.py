@@ -647,3 +647,23 @@ def test_count_drain_takes_the_listed_files(spark, run_dir):
         topics = O.topics_frame(spark, [(coll, "low", 0)])
         m = measure(spark, root, DB, f"{root}/_measurement", topics, "BOUNDED_DRAIN")["measurements"].first()
         assert (m.status, m.file_count, m.rows_seen, m.micro_batches) == ("OK", 1, 2, 1)
+
+
+def test_count_drain_looks_up_a_batch_in_few_tasks(spark, run_dir):
+    """The files of a large batch are looked up by as many tasks as there are cores, so that the driver
+    gets a result a core, not one a file."""
+    from loamflow.streaming.measure import count_stream, drain_session, drain_settings
+
+    root = f"{run_dir}/landing"
+    for i in range(24):
+        _pq(root, "l", f"17356896000{i:02d}_l_{i:02d}_00.parquet", {"a": [i, i]})
+    done = []
+    settings = drain_settings(spark, run_dir) | {"spark.sql.sources.parallelPartitionDiscovery.threshold": "3"}
+    query = count_stream(drain_session(spark, settings, 100, 24, 24 * 400), root, DB, "l", "parquet", 100,
+                         f"{run_dir}/m/l", "few_tasks", lambda *b: done.append(b))
+    query.awaitTermination()
+    assert [b[:2] for b in done] == [(0, 48)]
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
+    cores = spark.sparkContext.defaultParallelism
+    assert len(jobs) > 1 and max(tracker.getStageInfo(i).numTasks for j in jobs for i in j.stageIds) <= cores
