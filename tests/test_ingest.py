@@ -667,3 +667,29 @@ def test_count_drain_looks_up_a_batch_in_few_tasks(spark, run_dir):
     jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
     cores = spark.sparkContext.defaultParallelism
     assert len(jobs) > 1 and max(tracker.getStageInfo(i).numTasks for j in jobs for i in j.stageIds) <= cores
+
+
+def test_count_drain_of_small_files_is_a_task_a_batch(spark, run_dir, monkeypatch):
+    """A batch that can't be large is counted by the task that reads it, and its checkpoint has no
+    checksum files, each of which takes a process; every batch is counted and checkpointed."""
+    from loamflow.streaming import measure as M
+
+    root, started, start = f"{run_dir}/landing", [], M.count_stream
+    for i in range(24):
+        _pq(root, "t", f"17356896000{i:02d}_t_{i:02d}_00.parquet", {"a": [i, i]}, day=f"{i % 4 + 1:02d}")
+    monkeypatch.setattr(M, "count_stream", lambda *a, **k: started.append(start(*a, **k)) or started[-1])
+    res = M.measure(spark, root, DB, f"{run_dir}/m", O.topics_frame(spark, [("t", "low", 0)]), "BOUNDED_DRAIN", "small",
+                    tiers=O.tiers_frame(spark, [("low", 2, 90)]))
+    assert [(r.batch_id, r.rows) for r in res["batches"].orderBy("batch_id").collect()] == [(i, 4) for i in range(12)]
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(started[0].runId))]
+    assert [tracker.getStageInfo(i).numTasks for j in jobs for i in j.stageIds] == [1] * 12
+    names = [f for _, _, files in os.walk(f"{run_dir}/m/small/checkpoints") for f in files]
+    assert "11" in names and not [f for f in names if f.endswith(".crc")]
+
+
+def test_only_small_batches_are_one_task():
+    from loamflow.streaming.measure import fits_one_task
+
+    assert fits_one_task(7, 100_000) and fits_one_task(7, 3 << 20)
+    assert not fits_one_task(7, 4 << 20) and not fits_one_task(3000, 1) and not fits_one_task(7)
